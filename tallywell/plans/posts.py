@@ -136,25 +136,21 @@ QUERIES = {
     )
 }
 
-_TERM_LIST = "[" + ", ".join(f"'{t}'" for t in TERMS) + "]"
-
-
 def _sql_matches(source: str) -> str:
-    return f"""terms AS (SELECT unnest({_TERM_LIST}) AS term),
-      posts AS ({source}),
-      hits AS (
-        SELECT term, count(*) AS n FROM posts, terms
-        WHERE regexp_matches(lower(text), '(?:^|[^\\p{{L}}\\p{{M}}])' || term || '(?:$|[^\\p{{L}}\\p{{M}}])')
-        GROUP BY term)"""
+    # One constant pattern per term; the consuming form stands in for look-around.
+    hits = " UNION ALL ".join(
+        f"""SELECT '{term}' AS term, count(*) FILTER (
+              WHERE regexp_matches(lower(text), '(?:^|[^\\p{{L}}\\p{{M}}]){term}(?:$|[^\\p{{L}}\\p{{M}}])')) AS n FROM posts"""
+        for term in TERMS
+    )
+    return f"posts AS ({source}), hits AS ({hits})"
 
 
 _ORIGINALS = "SELECT text FROM documents WHERE source <> 'src0'"
 _SHARE = f"""WITH {_sql_matches(_ORIGINALS)}
-  SELECT term, coalesce(n, 0) AS n, (SELECT count(*) FROM posts) AS total,
-         round(coalesce(n, 0)::DOUBLE * 100 / (SELECT count(*) FROM posts), 6) AS pct
-  FROM terms LEFT JOIN hits USING (term)"""
-_MATCHES = f"""WITH {_sql_matches('SELECT text FROM conversations')}
-  SELECT term, coalesce(n, 0) AS n FROM terms LEFT JOIN hits USING (term)"""
+  SELECT term, n, (SELECT count(*) FROM posts) AS total,
+         round(n::DOUBLE * 100 / (SELECT count(*) FROM posts), 6) AS pct FROM hits"""
+_MATCHES = f"WITH {_sql_matches('SELECT text FROM conversations')} SELECT term, n FROM hits"
 
 ORACLE = {
     "scan_ndjson": f"SELECT text, {REPOST} AS repost_id FROM documents",
@@ -169,7 +165,7 @@ ORACLE = {
     "zero_filled_counts": _MATCHES,
     "sum_by_key": "SELECT event_type AS key, sum(floor(value)::BIGINT)::BIGINT AS count FROM events GROUP BY 1",
     "mr_term_job": f"""WITH {_sql_matches(_ORIGINALS)}
-      SELECT term AS key, n AS count FROM hits UNION ALL SELECT 'posts', count(*) FROM posts""",
+      SELECT term AS key, n AS count FROM hits WHERE n > 0 UNION ALL SELECT 'posts', count(*) FROM posts""",
     "scan_tsv_kv": "SELECT event_type AS key, floor(value)::BIGINT AS count FROM events WHERE event_id % 7 <> 0",
     "sink_text_report": """SELECT printf('%s' || chr(9) || '%d' || chr(9) || '(%6.2f%% of total)', event_type, count(*),
         count(*) * 100.0::DOUBLE / (SELECT count(*) FROM events)) AS line FROM events GROUP BY event_type""",
