@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: <well>_s<site>_x<column>_y<row>[_z<plane>]_<channel>, matched on the stem of the name.
-# (?d): only \n ends a line, so that '.' accepts every other character.
-IMAGE_NAME = r"(?d)^(.+)_s(\d+)_x(\d+)_y(\d+)(_z(\d+))?_(.+)"
+# Fixed value: <well>_s<site>_x<column>_y<row>[_z<plane>]_<channel>, up to the suffix.
+IMAGE_NAME = r"^([^\n]+)_s(\d+)_x(\d+)_y(\d+)(?:_z(\d+))?_([^\n]+?)(?:\.[^.\n]+)?$"
+_BREAK = "\u0001"
 
 # Media types by lower-case suffix.
 MEDIA_TYPES = {
@@ -78,25 +78,31 @@ def sanitize(name: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(joined, r"[^A-Za-z0-9_.-]", ""), r"^[._]+|[._]+$", "")
 
 
-def image_name(path: Column) -> Column:
-    """Struct of the fields in an image name; null when the name does not match."""
-    name = stem(path)
+def is_image(path: Column) -> Column:
+    return base_name(path).rlike(IMAGE_NAME)
 
-    def group(n: int) -> Column:
-        return F.regexp_extract(name, IMAGE_NAME, n)
 
-    def number(n: int) -> Column:
-        return group(n).try_cast("int")
+def image_parts(path: Column) -> Column:
+    """The six raw fields of an image name, from one pass of the pattern."""
+    marked = F.regexp_replace(base_name(path), IMAGE_NAME, _BREAK.join(f"${n}" for n in range(1, 7)))
+    return F.split(marked, _BREAK, 6)
 
-    fields = F.struct(
-        group(1).alias("well"),
-        number(2).alias("site"),
-        number(3).alias("site_x"),
-        number(4).alias("site_y"),
-        F.coalesce(number(6), F.lit(1)).alias("site_z"),
-        F.replace(group(7), F.lit("_"), F.lit(" ")).alias("channel"),
-    )
-    return F.when(name.rlike(IMAGE_NAME), fields)
+
+def image_fields(parts: Column) -> list[Column]:
+    """Typed columns from the parts of a matching name; the plane defaults to 1."""
+
+    def number(i: int) -> Column:
+        # A missing plane is an empty part; a failed try_cast is far dearer than this test.
+        return F.nullif(F.get(parts, F.lit(i)), F.lit("")).try_cast("int")
+
+    return [
+        F.get(parts, F.lit(0)).alias("well"),
+        number(1).alias("site"),
+        number(2).alias("site_x"),
+        number(3).alias("site_y"),
+        F.coalesce(number(4), F.lit(1)).alias("site_z"),
+        F.replace(F.get(parts, F.lit(5)), F.lit("_"), F.lit(" ")).alias("channel"),
+    ]
 
 
 def result_name(name: Column) -> Column:

@@ -39,10 +39,10 @@ def term_share_extract(posts: DataFrame, terms: Sequence[str], text: str = "text
 
 def term_share_flags(posts: DataFrame, terms: Sequence[str], text: str = "text") -> DataFrame:
     """(term, n, total, pct) by one indicator sum per term: a single pass, and no text is shuffled."""
-    flags = [
-        F.sum(tm.contains_term(F.col(text), term).cast("bigint")).alias(f"t{i}") for i, term in enumerate(terms)
-    ]
-    return _one_row_to_shares(posts.agg(F.count("*").alias("total"), *flags), terms)
+    lowered = posts.select(F.lower(text).alias("_lower"))
+    flags = [tm.lower_contains_term(F.col("_lower"), term).alias(f"t{i}") for i, term in enumerate(terms)]
+    sums = [F.sum(F.col(f"t{i}").cast("bigint")).alias(f"t{i}") for i in range(len(terms))]
+    return _one_row_to_shares(lowered.select(*flags).agg(F.count("*").alias("total"), *sums), terms)
 
 
 def term_share_filter(posts: DataFrame, terms: Sequence[str], text: str = "text") -> DataFrame:

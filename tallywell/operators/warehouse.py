@@ -201,14 +201,17 @@ def experiment_wells(stored: DataFrame, plate_wells: DataFrame) -> DataFrame:
 
 
 def parse_images(files: DataFrame, path: str = "path", strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(parsed, rejected): image files with the fields of their names."""
-    parsed = files.withColumn("_name", names.image_name(F.col(path)))
-    bad = F.col("_name").isNull()
+    """(parsed, rejected): image files with the fields of their names.
+
+    The parts are a column of their own, so the pattern runs once for all six fields.
+    """
+    matches = names.is_image(F.col(path))
     if strict:
         message = F.concat(F.lit("not an image name: "), F.col(path))
-        parsed = parsed.withColumn("_name", F.when(bad, F.raise_error(message)).otherwise(F.col("_name")))
-    good = parsed.where(~bad).select(*files.columns, "_name.*")
-    return good, parsed.where(bad).select(*files.columns)
+        matches = F.when(matches, True).otherwise(F.raise_error(message).cast("boolean"))
+    split = files.where(matches).withColumn("_parts", names.image_parts(F.col(path)))
+    parsed = split.select(*files.columns, *names.image_fields(F.col("_parts")))
+    return parsed, files.where(~F.coalesce(names.is_image(F.col(path)), F.lit(False)))
 
 
 def ingest_images(

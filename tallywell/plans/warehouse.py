@@ -37,10 +37,10 @@ def list_experiments(spark, sf_dir):
 
 
 def lookup_layout(spark, sf_dir):
-    # The first supplier of the table, in its own nation.
-    return warehouse.lookup_layout(
-        _projects(spark, sf_dir), _experiments(spark, sf_dir), "NATION_15", "Supplier#000000000"
-    )
+    projects, experiments = _projects(spark, sf_dir), _experiments(spark, sf_dir)
+    named = experiments.join(projects.withColumnsRenamed({"id": "projectid", "name": "project"}), "projectid")
+    project, experiment = named.select("project", "name").orderBy("name").first()
+    return warehouse.lookup_layout(projects, experiments, project, experiment)
 
 
 def validate_units(spark, sf_dir):
@@ -268,7 +268,7 @@ ORACLE = {
     "list_projects": "SELECT n_name AS name FROM nation",
     "list_experiments": "SELECT s_name AS name FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_name = 'NATION_3'",
     "lookup_layout": """SELECT s_nationkey || '/' || s_name || '/layout.csv' AS compound_layout_path
-      FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_name = 'NATION_15' AND s_name = 'Supplier#000000000'""",
+      FROM supplier ORDER BY s_name LIMIT 1""",
     "validate_units": f"WITH {st.SQL_DOCUMENTS} SELECT project_name, experiment_name, 'z: um' AS errors FROM docs WHERE z_unit = 'um'",
     "parse_image_name": f"""WITH {st.SQL_IMAGES}
       SELECT l_orderkey, l_linenumber, path, well, site, site_x, site_y, site_z::INTEGER AS site_z, channel FROM files WHERE ok""",
