@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,6 +60,7 @@ def map_image_sets(
     keys: Sequence[str] = SET_KEY,
     spread_by: Sequence[str] = ("path",),
     max_rows: int = 50_000,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Run ``work`` on each image set; a failing set gives one row with its error, others go on.
 
@@ -67,23 +69,48 @@ def map_image_sets(
     combinable over parts. Output: keys, part, status, error, then ``schema``.
     """
     split = split_hot_groups(images, keys, spread_by, max_rows)
-    result = T.StructType.fromDDL(schema)
-    head = T.StructType([split.schema[k] for k in (*keys, "part")]).add("status", "string").add("error", "string")
-    columns = [f.name for f in head] + [f.name for f in result]
     group = [*keys, "part"]
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        try:
-            out = work(rows).copy()
-            out["status"], out["error"] = "done", None
-        except Exception as problem:  # noqa: BLE001 - any failure of user code is recorded
-            out = pd.DataFrame([{f.name: None for f in result}])
-            out["status"], out["error"] = "failed", str(problem)
-        for name, value in zip(group, key):
-            out[name] = value
-        return out[columns]
-
-    return split.groupBy(*group).applyInPandas(run, T.StructType(head.fields + result.fields))
+    result = T.StructType.fromDDL(schema)
+    head = T.StructType([split.schema[k] for k in group]).add("status", "string").add("error", "string")
+    columns = [f.name for f in result]
+
+    def run_sets(rows: pd.DataFrame, bounds: np.ndarray) -> Iterator[pd.DataFrame]:
+        outputs, done, failed, errors = [], [], [], []
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            try:
+                out = work(rows.iloc[a:b].reset_index(drop=True))
+                outputs.append(out if list(out.columns) == columns else out[columns])
+                done.append(a)
+            except Exception as problem:  # noqa: BLE001 - any failure of user code is recorded
+                failed.append(a)
+                errors.append(str(problem))
+        if outputs:
+            keyed = rows[group].iloc[np.repeat(done, [len(out) for out in outputs])].reset_index(drop=True)
+            keyed = keyed.assign(status="done", error=None)
+            yield pd.concat([keyed, pd.concat(outputs, ignore_index=True)], axis=1)
+        if failed:
+            keyed = rows[group].iloc[failed].reset_index(drop=True)
+            yield keyed.assign(status="failed", error=errors, **dict.fromkeys(columns))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pending = None
+        for batch in batches:
+            rows = batch if pending is None else pd.concat([pending, batch], ignore_index=True)
+            key = rows[group]
+            same = (key == key.shift()) | (key.isna() & key.shift().isna())
+            starts = np.flatnonzero(~same.all(axis=1).to_numpy())
+            pending = rows.iloc[starts[-1] :]
+            if len(starts) > 1:
+                yield from run_sets(rows, starts)
+        if pending is not None and len(pending):
+            yield from run_sets(pending.reset_index(drop=True), np.array([0, len(pending)]))
+
+    # A set's rows are adjacent after this, so many small sets share one Arrow batch; the last set
+    # of a batch waits for the next batch, and is bounded by max_rows. The number of partitions is
+    # given, since AQE would merge partitions by their bytes, which say little about the work.
+    count = partitions or int(images.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = split.repartition(count, *group).sortWithinPartitions(*group)
+    return placed.mapInPandas(run, T.StructType(head.fields + result.fields))
 
 
 def retry_lineage(attempts: DataFrame, set_key: Sequence[str], order_by: Sequence[str], max_attempts: int | None = None) -> DataFrame:

@@ -180,10 +180,19 @@ def experiment_channels(documents: DataFrame, channels: DataFrame) -> tuple[Data
     return joined.where(good).drop("_configured"), rejected
 
 
-def resolve_sites(requests: DataFrame, sites: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(matched, rejected): (experiment, well, site) requests with the id of the stored site."""
+def resolve_sites(requests: DataFrame, sites: DataFrame, strict: bool = False) -> DataFrame:
+    """(experiment, well, site) requests with the id of the stored site; null where there is none.
+
+    ``strict`` fails on the first unknown site. Both outcomes stay in one frame, so the join runs once.
+    """
+    on = ["experiment", "well", "site"]
     stored = sites.select("experiment", F.col("well_name").alias("well"), F.col("site_id").alias("site"), F.col("id").alias("siteid"))
-    return lookup_or_reject(requests, stored, ["experiment", "well", "site"], ["siteid"], strict)
+    joined = requests.join(stored, on, "left").select(*requests.columns, "siteid")
+    if strict:
+        key = F.concat_ws("/", *[F.col(c).cast("string") for c in on])
+        unknown = F.raise_error(F.concat(F.lit("site not found: "), key)).cast("bigint")
+        joined = joined.withColumn("siteid", F.coalesce("siteid", unknown))
+    return joined
 
 
 def site_table(experiment_wells: DataFrame, plate_wells: DataFrame, well_sites: DataFrame) -> DataFrame:
@@ -200,8 +209,8 @@ def experiment_wells(stored: DataFrame, plate_wells: DataFrame) -> DataFrame:
     return stored.join(dim, "wellid").select(F.col("experimentid").alias("experiment"), "well_name")
 
 
-def parse_images(files: DataFrame, path: str = "path", strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(parsed, rejected): image files with the fields of their names.
+def parse_images(files: DataFrame, path: str = "path", strict: bool = False) -> DataFrame:
+    """Image files with the fields of their names; other files are left out, or an error when ``strict``.
 
     The parts are a column of their own, so the pattern runs once for all six fields.
     """
@@ -210,32 +219,37 @@ def parse_images(files: DataFrame, path: str = "path", strict: bool = False) ->
         message = F.concat(F.lit("not an image name: "), F.col(path))
         matches = F.when(matches, True).otherwise(F.raise_error(message).cast("boolean"))
     split = files.where(matches).withColumn("_parts", names.image_parts(F.col(path)))
-    parsed = split.select(*files.columns, *names.image_fields(F.col("_parts")))
-    return parsed, files.where(~F.coalesce(names.is_image(F.col(path)), F.lit(False)))
+    return split.select(*files.columns, *names.image_fields(F.col("_parts")))
 
 
-def ingest_images(
-    files: DataFrame, wells: DataFrame, channels: DataFrame, bucket: str, path: str = "path"
-) -> tuple[DataFrame, DataFrame]:
-    """(rows, rejected): image rows with storage path, well and channel ids.
+def unnamed_images(files: DataFrame, path: str = "path") -> DataFrame:
+    """Files whose name is not that of an image."""
+    return files.where(~F.coalesce(names.is_image(F.col(path)), F.lit(False)))
 
-    ``files`` has (project_name, experiment_name, plate_type, path). Rejected rows carry a reason.
+
+def ingest_images(files: DataFrame, wells: DataFrame, channels: DataFrame, bucket: str, path: str = "path") -> DataFrame:
+    """Image rows with storage path, well and channel ids, and ``reason``: null, or why the row is rejected.
+
+    ``files`` has (project_name, experiment_name, plate_type, path).
     """
-    parsed, unnamed = parse_images(files, path)
+    parts = F.when(names.is_image(F.col(path)), names.image_parts(F.col(path)))
+    split = files.withColumn("_parts", parts)
+    parsed = split.select(*files.columns, *names.image_fields(F.col("_parts")))
     stored = names.join_path(
         F.lit(bucket), F.col("project_name"), F.col("experiment_name"), names.sanitize(names.base_name(F.col(path)))
     )
     well_dim = wells.select("plate_type", F.col("well_name").alias("well"), F.col("id").alias("wellid"))
     channel_dim = F.broadcast(channels.select(F.col("name").alias("channel"), F.col("id").alias("channelid")))
     joined = parsed.join(well_dim, ["plate_type", "well"], "left").join(channel_dim, "channel", "left")
-    reason = F.when(F.col("wellid").isNull(), "unknown well").when(F.col("channelid").isNull(), "unknown channel")
-    checked = joined.withColumn("reason", reason)
-    rows = checked.where(F.col("reason").isNull()).select(
+    reason = (
+        F.when(F.col("well").isNull(), "not an image name")
+        .when(F.col("wellid").isNull(), "unknown well")
+        .when(F.col("channelid").isNull(), "unknown channel")
+    )
+    return joined.select(
         "project_name", "experiment_name", path, stored.alias("s3path"), "well", "wellid", "channel", "channelid",
-        "site", "site_x", "site_y", "site_z", F.lit(1).alias("site_t"),
+        "site", "site_x", "site_y", "site_z", F.lit(1).alias("site_t"), reason.alias("reason"),
     )
-    rejected = checked.where(F.col("reason").isNotNull()).select(*files.columns, "reason")
-    return rows, rejected.unionByName(unnamed.withColumn("reason", F.lit("not an image name")))
 
 
 def attach_coordinates(images: DataFrame, coordinates: DataFrame, on: Sequence[str] = ("experiment", "well", "site")) -> DataFrame:
@@ -253,18 +267,16 @@ def files_of_experiment(files: DataFrame, batches: DataFrame, condition: Column)
     return files.join(wanted, ["experiment", "batchid"], "left_semi")
 
 
-def ingest_batch_results(
-    results: DataFrame, sites: DataFrame, batches: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """(batch_sites, rejected): sites a batch has processed, from its result rows.
+def ingest_batch_results(results: DataFrame, sites: DataFrame, batches: DataFrame) -> DataFrame:
+    """(experiment, batchid, well, site, siteid, reason): sites a batch has processed, from its result rows.
 
     ``results`` has (experiment, batchid, name) with names ``<well>_s<site>_...``.
-    Each (batch, site) is written once; rows of unknown batches or sites are rejected.
+    Each (batch, site) comes once; ``reason`` is null, or why the row is rejected.
     """
     parsed = results.select("experiment", "batchid", F.inline(F.array(names.result_name(F.col("name"))))).distinct()
-    known, no_batch = lookup_or_reject(parsed, batches.select("experiment", "batchid"), ["experiment", "batchid"], [])
-    matched, no_site = resolve_sites(known, sites)
-    rejected = no_batch.withColumn("reason", F.lit("unknown batch")).unionByName(
-        no_site.withColumn("reason", F.lit("unknown site"))
+    known = batches.select("experiment", "batchid", F.lit(True).alias("_known"))
+    resolved = resolve_sites(parsed.join(known, ["experiment", "batchid"], "left"), sites)
+    reason = F.when(F.col("_known").isNull(), "unknown batch").when(F.col("siteid").isNull(), "unknown site")
+    return resolved.select(
+        "experiment", "batchid", "well", "site", F.when(F.col("_known"), F.col("siteid")).alias("siteid"), reason.alias("reason")
     )
-    return matched.select("experiment", "batchid", "well", "site", "siteid"), rejected

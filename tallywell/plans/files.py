@@ -94,7 +94,7 @@ def gen_random_frame(spark, sf_dir):
 def dim_channels(spark, sf_dir):
     from tallywell.operators.warehouse import parse_images
 
-    parsed, _ = parse_images(image_files(spark, sf_dir))
+    parsed = parse_images(image_files(spark, sf_dir))
     used = parsed.groupBy(F.col("channel").alias("name")).agg(F.count("*").alias("n_images"))
     dim = ex.dim_channels(spark).join(used, "name", "left")
     return dim.select(

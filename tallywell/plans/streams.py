@@ -23,7 +23,7 @@ def _as_stream(rows, label, files=6):
 
 
 def stream_images(spark, sf_dir):
-    parsed, _ = parse_images(_as_stream(st.image_files(spark, sf_dir), "image-feed"))
+    parsed = parse_images(_as_stream(st.image_files(spark, sf_dir), "image-feed"))
     return feed.drain_to_table(parsed, "images").drop("experiment", "seen")
 
 

@@ -49,7 +49,7 @@ def validate_units(spark, sf_dir):
 
 
 def parse_image_name(spark, sf_dir):
-    parsed, _ = warehouse.parse_images(st.image_files(spark, sf_dir))
+    parsed = warehouse.parse_images(st.image_files(spark, sf_dir))
     return parsed.drop("experiment", "seen")
 
 
@@ -92,10 +92,10 @@ def _files(spark, sf_dir):
 
 
 def ingest_images(spark, sf_dir):
-    rows, rejected = warehouse.ingest_images(_files(spark, sf_dir), _plate_type_wells(spark, sf_dir), ex.dim_channels(spark), "images")
-    columns = ["s3path", "wellid", "channelid", "site", "site_x", "site_y", "site_z", "reason"]
-    good = rows.withColumn("reason", F.lit(None).cast("string")).select("path", *columns)
-    return good.unionByName(rejected.select("path", "reason"), allowMissingColumns=True)
+    rows = warehouse.ingest_images(_files(spark, sf_dir), _plate_type_wells(spark, sf_dir), ex.dim_channels(spark), "images")
+    columns = ["s3path", "wellid", "channelid", "site", "site_x", "site_y", "site_z"]
+    kept = [F.when(F.col("reason").isNull(), F.col(c)).alias(c) for c in columns]
+    return rows.select("path", *kept, "reason")
 
 
 def ingest_batch_results(spark, sf_dir):
@@ -105,9 +105,7 @@ def ingest_batch_results(spark, sf_dir):
         F.when(F.col("l_linenumber") == 1, -F.col("l_orderkey")).otherwise(F.col("l_orderkey")).alias("batchid"),
         name.alias("name"),
     )
-    rows, rejected = warehouse.ingest_batch_results(results, _sites(spark, sf_dir), st.batches(spark, sf_dir))
-    good = rows.withColumn("reason", F.lit(None).cast("string"))
-    return good.unionByName(rejected, allowMissingColumns=True)
+    return warehouse.ingest_batch_results(results, _sites(spark, sf_dir), st.batches(spark, sf_dir))
 
 
 def upsert_dimension(spark, sf_dir):
@@ -119,7 +117,7 @@ def upsert_dimension(spark, sf_dir):
 
 
 def lookup_or_reject(spark, sf_dir):
-    parsed, _ = warehouse.parse_images(st.image_files(spark, sf_dir))
+    parsed = warehouse.parse_images(st.image_files(spark, sf_dir))
     wells = st.plate_wells(spark, sf_dir).select(F.col("well_name").alias("well"), F.col("id").alias("wellid"))
     matched, rejected = warehouse.lookup_or_reject(parsed.select("l_orderkey", "l_linenumber", "well"), wells, ["well"], ["wellid"])
     return matched.unionByName(rejected, allowMissingColumns=True)
@@ -130,11 +128,8 @@ def _sites(spark, sf_dir):
 
 
 def resolve_sites(spark, sf_dir):
-    parsed, _ = warehouse.parse_images(st.image_files(spark, sf_dir))
-    matched, rejected = warehouse.resolve_sites(
-        parsed.select("experiment", "well", F.col("site").alias("site"), "l_orderkey"), _sites(spark, sf_dir)
-    )
-    return matched.unionByName(rejected, allowMissingColumns=True)
+    parsed = warehouse.parse_images(st.image_files(spark, sf_dir))
+    return warehouse.resolve_sites(parsed.select("experiment", "well", "site", "l_orderkey"), _sites(spark, sf_dir))
 
 
 def experiment_wells(spark, sf_dir):
@@ -182,7 +177,7 @@ def progress_matrix(spark, sf_dir):
 
 
 def attach_coordinates(spark, sf_dir):
-    parsed, _ = warehouse.parse_images(st.image_files(spark, sf_dir))
+    parsed = warehouse.parse_images(st.image_files(spark, sf_dir))
     used = st.stored_wells(spark, sf_dir).where(F.col("wellid") % 3 != 0)
     coordinates = warehouse.experiment_wells(used, st.plate_wells(spark, sf_dir)).select(
         "experiment", F.col("well_name").alias("well"), F.explode(F.sequence(F.lit(1), F.lit(4))).alias("site")
@@ -201,7 +196,7 @@ def next_batch_id(spark, sf_dir):
 
 
 def image_sets(spark, sf_dir):
-    parsed, _ = warehouse.parse_images(st.image_files(spark, sf_dir))
+    parsed = warehouse.parse_images(st.image_files(spark, sf_dir))
     return sets.image_sets(parsed).withColumn("files", F.concat_ws("|", "files"))
 
 
@@ -212,18 +207,18 @@ def files_by_name(spark, sf_dir):
 
 
 def number_image_sets(spark, sf_dir):
-    parsed, _ = warehouse.parse_images(st.image_files(spark, sf_dir))
+    parsed = warehouse.parse_images(st.image_files(spark, sf_dir))
     return sets.number_image_sets(parsed, next_batch_id(spark, sf_dir), "seen")
 
 
 def _measure(rows: pd.DataFrame) -> pd.DataFrame:
-    if (rows["well"] == "A01").any():
+    if rows["well"].iat[0] == "A01":
         raise ValueError("no cells")
     return pd.DataFrame({"n_images": [len(rows)], "planes": [int(rows["site_z"].sum())]})
 
 
 def map_image_sets(spark, sf_dir):
-    parsed, _ = warehouse.parse_images(st.image_files(spark, sf_dir))
+    parsed = warehouse.parse_images(st.image_files(spark, sf_dir))
     images = parsed.select("experiment", "well", "site", "path", "site_z")
     mapped = sets.map_image_sets(images, _measure, "n_images bigint, planes bigint")
     return mapped.groupBy("experiment", "well", "site", "status", "error").agg(
