@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywell.functions import names
+from tallywell.functions.checks import require
 from tallywell.operators.tabular import prefix_columns
 from tallywell.sources.tables import scan_by_suffix, union_frames
 
@@ -22,11 +23,10 @@ PARENT = "Parent_nucleus"
 
 def route_result_files(files: DataFrame, name: str = "filename", strict: bool = True) -> DataFrame:
     """Add ``route`` (merge or skip); any other file is an error, or ``unexpected`` when not strict."""
-    route = names.result_route(F.col(name))
+    routed = files.withColumn("route", names.result_route(F.col(name)))
     if strict:
-        message = F.concat(F.lit("unexpected file name "), F.col(name))
-        route = F.when(route == "unexpected", F.raise_error(message)).otherwise(route)
-    return files.withColumn("route", route)
+        routed = require(routed, F.col("route") != "unexpected", F.concat(F.lit("unexpected file name "), F.col(name)))
+    return routed
 
 
 def stored_key(file_path: Column) -> Column:

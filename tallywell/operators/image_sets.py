@@ -87,7 +87,8 @@ def map_image_sets(
         if outputs:
             keyed = rows[group].iloc[np.repeat(done, [len(out) for out in outputs])].reset_index(drop=True)
             keyed = keyed.assign(status="done", error=None)
-            yield pd.concat([keyed, pd.concat(outputs, ignore_index=True)], axis=1)
+            if len(keyed):
+                yield pd.concat([keyed, pd.concat(outputs, ignore_index=True)], axis=1)
         if failed:
             keyed = rows[group].iloc[failed].reset_index(drop=True)
             yield keyed.assign(status="failed", error=errors, **dict.fromkeys(columns))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywell.functions import names, numbers
+from tallywell.functions.checks import require
 from tallywell.operators.indexing import index_rows
 from tallywell.sources.experiments import grid_columns, start_time
 
@@ -16,13 +17,14 @@ def list_projects(projects: DataFrame) -> DataFrame:
     return projects.select("name")
 
 
+def project_id(projects: DataFrame, project: str) -> Column:
+    """Id of the project as a scalar subquery, which fails unless there is exactly one of that name."""
+    return only_value(projects.where(F.col("name") == project), "id", f"project {project}").scalar()
+
+
 def list_experiments(projects: DataFrame, experiments: DataFrame, project: str) -> DataFrame:
     """Experiment names of one project; an unknown project is an error."""
-    known = projects.where(F.col("name") == project).select(F.col("id").alias("projectid"))
-    checked = F.when(
-        known.agg(F.count("*").alias("n")).scalar() == 0, F.raise_error(F.lit(f"project '{project}' not found"))
-    ).otherwise(F.col("name"))
-    return experiments.join(known, "projectid", "left_semi").select(checked.alias("name"))
+    return experiments.where(F.col("projectid") == project_id(projects, project)).select("name")
 
 
 def only_value(rows: DataFrame, column: str, label: str) -> DataFrame:
@@ -36,8 +38,7 @@ def only_value(rows: DataFrame, column: str, label: str) -> DataFrame:
 
 def find_experiment(projects: DataFrame, experiments: DataFrame, project: str, experiment: str) -> DataFrame:
     """The experiment rows with that name in that project."""
-    known = projects.where(F.col("name") == project).select(F.col("id").alias("projectid"))
-    return experiments.where(F.col("name") == experiment).join(known, "projectid", "left_semi")
+    return experiments.where((F.col("name") == experiment) & (F.col("projectid") == project_id(projects, project)))
 
 
 def lookup_layout(projects: DataFrame, experiments: DataFrame, project: str, experiment: str) -> DataFrame:
@@ -55,10 +56,7 @@ def lookup_or_reject(
     missing = F.col("_found").isNull()
     if strict:
         key = F.concat_ws("/", *[F.col(c).cast("string") for c in on])
-        joined = joined.withColumn(
-            "_found", F.when(missing, F.raise_error(F.concat(F.lit("not found: "), key))).otherwise(F.col("_found"))
-        )
-        return joined.drop("_found"), df.limit(0)
+        return require(joined, ~missing, F.concat(F.lit("not found: "), key)).drop("_found"), df.limit(0)
     return joined.where(~missing).drop("_found"), joined.where(missing).select(*df.columns)
 
 
@@ -190,8 +188,7 @@ def resolve_sites(requests: DataFrame, sites: DataFrame, strict: bool = False) -
     joined = requests.join(stored, on, "left").select(*requests.columns, "siteid")
     if strict:
         key = F.concat_ws("/", *[F.col(c).cast("string") for c in on])
-        unknown = F.raise_error(F.concat(F.lit("site not found: "), key)).cast("bigint")
-        joined = joined.withColumn("siteid", F.coalesce("siteid", unknown))
+        joined = require(joined, F.col("siteid").isNotNull(), F.concat(F.lit("site not found: "), key))
     return joined
 
 
@@ -215,10 +212,9 @@ def parse_images(files: DataFrame, path: str = "path", strict: bool = False) ->
     The parts are a column of their own, so the pattern runs once for all six fields.
     """
     matches = names.is_image(F.col(path))
-    if strict:
-        message = F.concat(F.lit("not an image name: "), F.col(path))
-        matches = F.when(matches, True).otherwise(F.raise_error(message).cast("boolean"))
-    split = files.where(matches).withColumn("_parts", names.image_parts(F.col(path)))
+    message = F.concat(F.lit("not an image name: "), F.col(path))
+    images = require(files, matches, message) if strict else files.where(matches)
+    split = images.withColumn("_parts", names.image_parts(F.col(path)))
     return split.select(*files.columns, *names.image_fields(F.col("_parts")))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywell.functions import names, numbers
+from tallywell.functions.checks import require
 from tallywell.schemas import EXPERIMENT
 
 # Imaging channels (name, is_fluorescence, wavelength in nm, is_brightfield, brightfield type).
@@ -94,9 +95,7 @@ def validate_units(documents: DataFrame, strict: bool = True) -> tuple[DataFrame
     bad = F.size("unit_errors") > 0
     if strict:
         message = F.concat(F.lit("wrong grid unit "), F.concat_ws(", ", "unit_errors"))
-        checked = checked.withColumn(
-            "unit_errors", F.when(bad, F.raise_error(message)).otherwise(F.col("unit_errors"))
-        )
+        checked = require(checked, ~bad, message)
     return checked.where(~bad).drop("unit_errors"), checked.where(bad)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywell.functions.checks import require
 from tallywell.functions.text import strip
 from tallywell.schemas import POST
 from tallywell.storage import materialize
@@ -26,11 +27,8 @@ def json_lines(lines: DataFrame, strict: bool = True) -> DataFrame:
     value = strip(F.col("value"))
     parsed = lines.select(value.alias("value")).where(F.length("value") > 0)
     parsed = parsed.withColumn("keys", F.json_object_keys("value"))
-    if strict:
-        checked = F.when(F.col("keys").isNull(), F.raise_error(F.lit("malformed JSON line"))).otherwise(F.col("keys"))
-        parsed = parsed.withColumn("keys", checked)
-    else:
-        parsed = parsed.where(F.col("keys").isNotNull())
+    valid = F.col("keys").isNotNull()
+    parsed = require(parsed, valid, F.lit("malformed JSON line")) if strict else parsed.where(valid)
     return parsed.withColumn("text", F.get_json_object("value", "$.text"))
 
 
