@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywell.functions import names
-from tallywell.functions.checks import require
+from tallywell.functions.checks import keep_checked, require
 from tallywell.operators.tabular import prefix_columns
 from tallywell.sources.tables import scan_by_suffix, union_frames
 
@@ -21,11 +21,15 @@ ROOT_KEY = "ObjectNumber"
 PARENT = "Parent_nucleus"
 
 
+def _unexpected(name: str) -> Column:
+    return F.concat(F.lit("unexpected file name "), F.col(name))
+
+
 def route_result_files(files: DataFrame, name: str = "filename", strict: bool = True) -> DataFrame:
     """Add ``route`` (merge or skip); any other file is an error, or ``unexpected`` when not strict."""
     routed = files.withColumn("route", names.result_route(F.col(name)))
     if strict:
-        routed = require(routed, F.col("route") != "unexpected", F.concat(F.lit("unexpected file name "), F.col(name)))
+        routed = require(routed, F.col("route") != "unexpected", _unexpected(name))
     return routed
 
 
@@ -44,7 +48,10 @@ def merge_frames(
     experiment; the record of files stays a DataFrame and is applied as a
     semi-join on the file's key, so neither file list nor content passes the driver.
     """
-    routed = route_result_files(files).where(F.col("route") == "merge").select(F.col("s3path").alias("_key")).distinct()
+    route = F.col("route")
+    routed = route_result_files(files, strict=False)
+    routed = keep_checked(routed, route == "merge", route == "skip", _unexpected("filename"))
+    routed = routed.select(F.col("s3path").alias("_key")).distinct()
     frames = {}
     for stem in names.MERGED_STEMS:
         found = []

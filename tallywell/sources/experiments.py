@@ -95,7 +95,7 @@ def validate_units(documents: DataFrame, strict: bool = True) -> tuple[DataFrame
     bad = F.size("unit_errors") > 0
     if strict:
         message = F.concat(F.lit("wrong grid unit "), F.concat_ws(", ", "unit_errors"))
-        checked = require(checked, ~bad, message)
+        return require(checked, ~bad, message).drop("unit_errors"), checked.limit(0)
     return checked.where(~bad).drop("unit_errors"), checked.where(bad)
 
 
