@@ -14,6 +14,7 @@ from tallywell.functions import names
 from tallywell.functions.checks import keep_checked, require
 from tallywell.operators.tabular import prefix_columns
 from tallywell.sources.tables import scan_by_suffix, union_frames
+from tallywell.storage import materialize
 
 METADATA = ("Metadata_Well", "Metadata_Site")
 ROOT = "nucleus"
@@ -142,7 +143,8 @@ def reduce_experiment(
     frames = merge_frames(spark, root, folders, files)
     if ROOT not in frames:
         return None
-    cells = attach_compounds(join_cell_parts(frames), layout)
+    # Fitting reads the cells twice and projecting once more, so the joins are done once and stored.
+    cells = materialize(attach_compounds(join_cell_parts(frames), layout), "cells")
     return reduce_features(cells, feature_columns(cells), k)
 
 

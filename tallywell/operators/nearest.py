@@ -36,6 +36,7 @@ def nearest_references(
     vector: str = "vector",
     max_pivots: int = 64,
     block_rows: int = 2_000,
+    parts_per_task: int = 32,
 ) -> DataFrame:
     """(query_id, ref_id, distance2, rank): the ``k`` nearest references of each query, ties to the smaller id.
 
@@ -88,21 +89,26 @@ def nearest_references(
         return pd.Series([ids[row].tolist() for row in near])
 
     block = F.pmod(F.xxhash64("rid"), block_count).cast("int")
-    ref_blocks = placed.withColumn("block", block).groupBy("cell", "block").agg(
-        F.collect_list("rid").alias("rids"), F.collect_list("rv").alias("rvs")
-    )
-
     routed = asked.select("qid", "qv", F.explode(visit("qv")).alias("cell"))
     routed = materialize(routed, "visits")
     visits = routed.groupBy("cell").agg(F.count("*").alias("n")).collect()  # at most max_pivots rows
     parts = {int(v["cell"]): math.ceil(v["n"] / block_rows) for v in visits} or {-1: 1}
-    part_count = F.element_at(F.create_map(*[F.lit(v) for pair in parts.items() for v in pair]), F.col("cell"))
+    part_count = F.try_element_at(F.create_map(*[F.lit(v) for pair in parts.items() for v in pair]), F.col("cell"))
+    # A reference block meets the query blocks of its cell in groups of parts_per_task, each its own join key.
     query_blocks = (
         routed.withColumn("part", F.pmod(F.xxhash64("qid"), part_count).cast("int"))
         .groupBy("cell", "part")
         .agg(F.collect_list("qid").alias("qids"), F.collect_list("qv").alias("qvs"))
+        .withColumn("turn", F.floor(F.col("part") / parts_per_task).cast("int"))
         .withColumn("block", F.explode(F.sequence(F.lit(0), block_count - 1)))
     )
+    turns = F.ceil(part_count / parts_per_task).cast("int")
+    ref_blocks = (
+        placed.withColumn("block", block)
+        .groupBy("cell", "block")
+        .agg(F.collect_list("rid").alias("rids"), F.collect_list("rv").alias("rvs"))
+        .withColumn("turn", F.explode(F.sequence(F.lit(0), turns - 1)))
+    )
 
     id_types = [asked.schema["qid"].dataType, refs.schema["rid"].dataType]
     schema = T.StructType().add("qid", id_types[0]).add("rid", id_types[1]).add("distance2", "double")
@@ -124,7 +130,7 @@ def nearest_references(
                         "distance2": d[rows, best].ravel(),
                     })
 
-    tiles = query_blocks.join(ref_blocks, ["cell", "block"]).select("qids", "qvs", "rids", "rvs")
+    tiles = query_blocks.join(ref_blocks, ["cell", "block", "turn"]).select("qids", "qvs", "rids", "rvs")
     found = tiles.mapInPandas(compare, schema)
     # Row number up to k plans as a group limit before the shuffle.
     rank = F.row_number().over(Window.partitionBy("qid").orderBy("distance2", "rid"))

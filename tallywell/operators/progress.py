@@ -20,18 +20,18 @@ def expected_sites() -> F.Column:
 def processed_sites(batch_sites: DataFrame, sites: DataFrame, batches: DataFrame, files: DataFrame) -> DataFrame:
     """(experiment, batchid, well_name, site_id) of processed sites, for all batches at once.
 
-    A batch counts when it exists and has at least one result file. Both are existence tests, so
+    Repeats are removed before the joins. A batch counts when it exists and has at least one result file. Both are existence tests, so
     sites are not multiplied by files.
     """
     key = ["experiment", "batchid"]
     stored = sites.select(F.col("id").alias("siteid"), "well_name", "site_id")
     return (
         batch_sites.select(*key, "siteid")
+        .distinct()
         .join(batches.select(*key), key, "left_semi")
         .join(files.select(*key), key, "left_semi")
         .join(stored, "siteid")
         .select(*key, "well_name", "site_id")
-        .distinct()
     )
 
 

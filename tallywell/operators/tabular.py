@@ -49,8 +49,9 @@ def count_at_max(df: DataFrame, column: str) -> DataFrame:
 
 def group_share(df: DataFrame, key: str) -> DataFrame:
     """(key, n, share) with the share taken of all rows; nulls form a group of their own."""
-    total = df.agg(F.count("*")).scalar()
     counts = df.groupBy(key).agg(F.count("*").alias("n"))
+    # The total adds up the groups, so it shares their aggregation instead of reading the rows again.
+    total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("share", F.try_divide(F.col("n").cast("double"), total.cast("double")))
 
 
@@ -70,9 +71,10 @@ def id_difference(left: DataFrame, right: DataFrame, column: str = "value") -> D
 
     def ids(frame: DataFrame) -> DataFrame:
         number = F.regexp_replace(F.col(column), r"^\s+|\s+$", "").try_cast("bigint")
-        return frame.select(number.alias("id")).where(F.col("id").isNotNull())
+        return frame.select(number.alias("id")).where(F.col("id").isNotNull()).distinct()
 
-    return ids(left).subtract(ids(right))
+    # Repeats go before the join, so an id that fills a third of the lines is one row in it.
+    return ids(left).join(ids(right), "id", "left_anti")
 
 
 def prefix_columns(df: DataFrame, prefix: str, keep: Sequence[str]) -> DataFrame:

@@ -62,15 +62,15 @@ def test_components_match_numpy(spark):
         np.testing.assert_allclose([r[f"component_{j + 1}"] for r in got[:-1]], scaled @ weights, atol=1e-8)
 
 
-@pytest.mark.parametrize("k,block", [(1, 7), (3, 7), (3, 2000), (50, 10)])
-def test_nearest_equals_brute_force(spark, k, block):
+@pytest.mark.parametrize("k,block,group", [(1, 7, 2), (3, 7, 1), (3, 2000, 32), (50, 10, 3)])
+def test_nearest_equals_brute_force(spark, k, block, group):
     rng = np.random.default_rng(1)
     # Half of the references are copies of one vector, so one cell is hot and ties are many.
     refs = [rng.integers(-9, 9, size=4) / 2 for _ in range(40)]
     refs += [refs[0]] * 40
     asked = [rng.integers(-9, 9, size=4) / 2 for _ in range(30)] + [refs[0]] * 30
     frame = lambda items, name: spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(items)], f"{name} long, vector array<double>")
-    found = nearest_references(frame(asked, "query_id"), frame(refs, "ref_id"), k=k, max_pivots=5, block_rows=block)
+    found = nearest_references(frame(asked, "query_id"), frame(refs, "ref_id"), k=k, max_pivots=5, block_rows=block, parts_per_task=group)
     got = {}
     for r in found.orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append((round(r["distance2"], 9), r["ref_id"]))
