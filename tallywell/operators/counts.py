@@ -17,7 +17,7 @@ def _values(df: DataFrame, items: Column, name: str) -> DataFrame:
 
 def word_count(tokens: DataFrame, column: str = "tokens") -> DataFrame:
     """(word, n) of all non-empty tokens of an array column; unsorted."""
-    words = _values(tokens, F.filter(column, lambda t: F.length(t) > 0), "word")
+    words = _values(tokens, F.col(column), "word").where(F.col("word") != "")
     return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
