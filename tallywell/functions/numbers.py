@@ -6,6 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def integer_or_null(text: Column) -> Column:
+    """Whole number in a text, null for anything else.
+
+    The pattern keeps junk away from ``try_cast``, whose failures are costly.
+    """
+    return F.when(text.rlike(r"^[+-]?\d{1,19}$"), text.try_cast("bigint"))
+
+
 def percent(part: Column, whole: Column) -> Column:
     """100 * part / whole; null when there is nothing to divide by."""
     return F.try_divide(part.cast("double") * 100, whole.cast("double"))

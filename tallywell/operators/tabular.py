@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallywell.functions.numbers import integer_or_null
+from tallywell.functions.text import strip
+
 
 def drop_columns(df: DataFrame, *names: str) -> DataFrame:
     """Drop columns by name, in any case; unknown names are ignored."""
@@ -70,7 +73,7 @@ def id_difference(left: DataFrame, right: DataFrame, column: str = "value") -> D
     """Distinct integer ids of ``left`` that ``right`` lacks; lines that hold no integer are ignored."""
 
     def ids(frame: DataFrame) -> DataFrame:
-        number = F.regexp_replace(F.col(column), r"^\s+|\s+$", "").try_cast("bigint")
+        number = integer_or_null(strip(F.col(column)))
         return frame.select(number.alias("id")).where(F.col("id").isNotNull()).distinct()
 
     # Repeats go before the join, so an id that fills a third of the lines is one row in it.

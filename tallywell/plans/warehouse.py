@@ -11,6 +11,7 @@ from tallywell.operators.features import route_result_files as route_files
 from tallywell.plans import standins as st
 from tallywell.session import table
 from tallywell.sources import experiments as ex
+from tallywell.storage import materialize
 
 
 def _projects(spark, sf_dir):
@@ -56,6 +57,7 @@ def parse_image_name(spark, sf_dir):
 def ingest_experiment(spark, sf_dir):
     documents = st.experiment_documents(spark, sf_dir)
     rows, _ = warehouse.ingest_experiments(documents, st.existing_experiments(spark, sf_dir), ex.dim_plate_types(spark))
+    rows = materialize(rows, "new-experiments")  # read once per dimension and once more at the end
     dims = {}
     for column, id_name in (("microscope", "microscopeid"), ("objective", "objectiveid")):
         stored = rows.sparkSession.createDataFrame([(1, "scope-0")] if column == "microscope" else [(1, "20x")], f"id bigint, {column} string")
@@ -195,8 +197,13 @@ def next_batch_id(spark, sf_dir):
     return warehouse.next_batch_id(experiments, stored)
 
 
+def _stored_images(spark, sf_dir):
+    """The image table that sets are formed from; sets read it twice, names are parsed once."""
+    return materialize(warehouse.parse_images(st.image_files(spark, sf_dir)).drop("channel", "site_x", "site_y"), "images")
+
+
 def image_sets(spark, sf_dir):
-    parsed = warehouse.parse_images(st.image_files(spark, sf_dir))
+    parsed = _stored_images(spark, sf_dir)
     return sets.image_sets(parsed).withColumn("files", F.concat_ws("|", "files"))
 
 
@@ -218,8 +225,7 @@ def _measure(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def map_image_sets(spark, sf_dir):
-    parsed = warehouse.parse_images(st.image_files(spark, sf_dir))
-    images = parsed.select("experiment", "well", "site", "path", "site_z")
+    images = _stored_images(spark, sf_dir).select("experiment", "well", "site", "path", "site_z")
     mapped = sets.map_image_sets(images, _measure, "n_images bigint, planes bigint")
     return mapped.groupBy("experiment", "well", "site", "status", "error").agg(
         F.sum("n_images").alias("n_images"), F.sum("planes").alias("planes")

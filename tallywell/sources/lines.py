@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywell.functions.numbers import integer_or_null
 from tallywell.functions.text import strip
 
 
@@ -38,7 +39,7 @@ def scan_key_counts(lines: DataFrame) -> DataFrame:
     """(key, count) from ``key<TAB>count[<TAB>...]`` lines; rows without an integer count are dropped."""
     fields = F.split(strip(F.col("value")), "\t", -1)
     return lines.select(
-        F.get(fields, F.lit(0)).alias("key"), strip(F.get(fields, F.lit(1))).try_cast("bigint").alias("count")
+        F.get(fields, F.lit(0)).alias("key"), integer_or_null(strip(F.get(fields, F.lit(1)))).alias("count")
     ).where(F.col("count").isNotNull())
 
 

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tallywell.streaming.feed import merge_repeats
-
 
 def complete_sets(
     images: DataFrame, keys: Sequence[str], channel: str, expected: Sequence[str], time: str, keep_days: int = 7
@@ -32,7 +31,14 @@ def complete_sets(
         bit = F.when(F.col(channel) == name, F.lit(value).cast("bigint")).otherwise(bit)
     seen = images.select(*keys, bit.alias("_bits"), F.col(time).cast("timestamp").alias("_time")).where(F.col("_bits") > 0)
 
-    combined = merge_repeats(seen, [*keys, "_bits"], "_time").withWatermark("_time", f"{keep_days} days")
+    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            single = batch.groupby([*keys, "_bits"], as_index=False, dropna=False)["_time"].max()
+            # Each bit is there once now, so adding them up is their union.
+            yield single.groupby([*keys], as_index=False, dropna=False).agg({"_bits": "sum", "_time": "max"})
+
+    combined = seen.mapInPandas(combine, seen.schema).withWatermark("_time", f"{keep_days} days")
+    combined = combined.withColumn("_ms", F.unix_millis("_time"))
     key_fields = [seen.schema[k] for k in keys]
     output = T.StructType([*key_fields, T.StructField("n_channels", T.IntegerType())])
 
@@ -42,9 +48,8 @@ def complete_sets(
             return
         mask, emitted, last = state.get if state.exists else (0, False, 0)
         for frame in frames:
-            for value in frame["_bits"].unique():
-                mask |= int(value)
-            last = max(last, int(frame["_time"].max().timestamp() * 1000))
+            mask |= int(np.bitwise_or.reduce(frame["_bits"].to_numpy()))
+            last = max(last, int(frame["_ms"].to_numpy().max()))
         if mask == full and not emitted:
             emitted = True
             yield pd.DataFrame([(*key, len(expected))], columns=[f.name for f in output])
