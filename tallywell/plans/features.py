@@ -28,7 +28,7 @@ def _nucleus(cells):
 
 def _cytoplasm(cells):
     values = [F.get("embedding", F.lit(i + 32)).cast("double").alias(f"f{i}") for i in range(4)]
-    found = cells.where(F.col("vec_id") % 5 != 0)
+    found = cells.where(F.get("embedding", F.lit(0)) > 0)  # not every nucleus has a cytoplasm
     return found.select(
         "Metadata_Well", "Metadata_Site", (F.col("vec_id") + 1_000_000).alias("ObjectNumber"),
         F.col("vec_id").alias("Parent_nucleus"), *values,
@@ -59,18 +59,18 @@ def attach_compounds(spark, sf_dir):
 
 
 def _store_results(spark, sf_dir):
-    """Four batches of result files, the third as CSV; the fourth is not recorded."""
+    """Three batches of result files, the last as CSV."""
     root = fresh_path(spark, "results")
     cells = _cells(spark, sf_dir)
-    for batch in range(4):
-        rows = cells.where(F.col("vec_id") % 4 == batch)
+    batch = F.col("vec_id") % 3
+    for number, suffix in enumerate((".parquet", ".parquet", ".csv")):
+        rows = cells.where(batch == number)
         for stem, frame in (("nucleus", _nucleus(rows)), ("cytoplasm", _cytoplasm(rows))):
-            target = f"{root}/screen one/plate+1/{batch}/{stem}"
-            if batch == 2:
-                frame.write.option("header", "true").csv(f"{target}.csv")
-            else:
-                frame.write.parquet(f"{target}.parquet")
-    batches = cells.select((F.col("vec_id") % 4).alias("batch")).distinct().where(F.col("batch") != 3)
+            kind = suffix.removeprefix(".")
+            frame.write.format(kind).options(**({"header": "true"} if kind == "csv" else {})).save(
+                f"{root}/screen one/plate+1/{number}/{stem}{suffix}"
+            )
+    batches = cells.select(batch.alias("batch")).distinct()
     suffix = F.when(F.col("batch") == 2, ".csv").otherwise(".parquet")
     stems = F.array(*[F.lit(s) for s in ("nucleus", "cytoplasm", "Image", "Experiment")])
     files = batches.select("batch", F.explode(stems).alias("stem")).select(
@@ -110,8 +110,8 @@ def reduce_features(spark, sf_dir):
 
 def nearest_reference(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
-    asked = vectors.where(F.col("vec_id") % 2 == 1).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
-    known = vectors.where(F.col("vec_id") % 2 == 0).select(F.col("vec_id").alias("ref_id"), F.col("embedding").alias("vector"))
+    asked = vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    known = vectors.select(F.col("vec_id").alias("ref_id"), F.col("embedding").alias("vector"))
     found = nearest.nearest_references(asked, known, k=3)
     return found.withColumn("distance2", F.round("distance2", 6))
 
@@ -147,19 +147,18 @@ ORACLE = {
       SELECT "Metadata_Well", "Metadata_Site" AS "nucleus_Metadata_Site", vec_id AS "ObjectNumber", {_values(0, 'nucleus_')} FROM cells""",
     "join_cell_parts": f"""WITH {_SQL_CELLS}
       SELECT "Metadata_Well", "Metadata_Site", vec_id AS "ObjectNumber", {_values(0, 'nucleus_')},
-             vec_id + 1000000 AS "cytoplasm_ObjectNumber", {_values(32, 'cytoplasm_')} FROM cells WHERE vec_id % 5 <> 0""",
+             vec_id + 1000000 AS "cytoplasm_ObjectNumber", {_values(32, 'cytoplasm_')} FROM cells WHERE embedding[1] > 0""",
     "attach_compounds": f"""WITH {_SQL_CELLS}
       SELECT vec_id AS "ObjectNumber", "Metadata_Well", CASE WHEN label <> 9 THEN 'c' || label END AS compound,
              CASE WHEN label <> 9 THEN label % 2 = 0 END AS is_reference, embedding[1]::DOUBLE AS nucleus_f0
-      FROM cells WHERE vec_id % 5 <> 0""",
+      FROM cells WHERE embedding[1] > 0""",
     "merge_frames": f"""WITH {_SQL_CELLS}
-      SELECT 'nucleus' AS stem, vec_id AS "ObjectNumber", "Metadata_Site", embedding[4]::DOUBLE AS f3 FROM cells WHERE vec_id % 4 <> 3
-      UNION ALL SELECT 'cytoplasm', vec_id + 1000000, "Metadata_Site", embedding[36]::DOUBLE FROM cells
-      WHERE vec_id % 4 <> 3 AND vec_id % 5 <> 0""",
+      SELECT 'nucleus' AS stem, vec_id AS "ObjectNumber", "Metadata_Site", embedding[4]::DOUBLE AS f3 FROM cells
+      UNION ALL SELECT 'cytoplasm', vec_id + 1000000, "Metadata_Site", embedding[36]::DOUBLE FROM cells WHERE embedding[1] > 0""",
     "nearest_reference": """WITH d AS (
         SELECT q.vec_id AS query_id, r.vec_id AS ref_id,
                list_sum(list_transform(range(1, 65), lambda i: pow(q.embedding[i]::DOUBLE - r.embedding[i]::DOUBLE, 2))) AS distance2
-        FROM embeddings q, embeddings r WHERE q.vec_id % 2 = 1 AND r.vec_id % 2 = 0),
+        FROM embeddings q, embeddings r),
       ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance2, ref_id) AS rank FROM d)
       SELECT query_id, ref_id, round(distance2, 6) AS distance2, rank::INTEGER AS rank FROM ranked WHERE rank <= 3""",
     "group_profiles": """SELECT label, pos, round(avg(v), 7) AS mean FROM (

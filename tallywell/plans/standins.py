@@ -98,7 +98,8 @@ SQL_IMAGES = f"""images AS (
   SELECT l_suppkey AS experiment, l_orderkey, l_linenumber, {_WELL} AS well, {_SITE}::INTEGER AS site,
          ({_SITE} % 2)::INTEGER AS site_x, (({_SITE} // 2) % 2)::INTEGER AS site_y,
          CASE WHEN l_quantity::INTEGER % 3 = 0 THEN 1 ELSE l_quantity::INTEGER % 3 + 1 END AS site_z,
-         {_CHANNEL} AS channel, l_tax <> 0.08 AS ok, l_shipdate AS seen, l_quantity::INTEGER % 3 AS plane
+         {_CHANNEL} AS channel, l_tax <> 0.08 AS ok, l_shipdate AS seen, l_quantity::INTEGER % 3 AS plane,
+         l_returnflag AS returnflag, l_linestatus AS linestatus
   FROM lineitem),
 image_files AS (
   SELECT *, CASE WHEN ok THEN well || '_s' || site || '_x' || site_x || '_y' || site_y
@@ -169,27 +170,29 @@ RESULT_FILES = ("Experiment.parquet", "Image.parquet", "cytoplasm.parquet", "nuc
 
 
 def batch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(experiment, batchid, filename, s3path): four result files of each finished batch, a third has none."""
-    done = batches(spark, sf_dir).where((F.col("status") == "done") & (F.col("batchid") % 3 != 0))
-    listed = done.select("experiment", "batchid", F.explode(F.array(*[F.lit(f) for f in RESULT_FILES])).alias("filename"))
+    """(experiment, batchid, filename, s3path): four result files per batch; batches of low priority have none."""
+    filed = table(spark, sf_dir, "orders").where(F.col("o_orderpriority") != "5-LOW").select(F.col("o_orderkey").alias("batchid"))
+    stored = batches(spark, sf_dir).join(filed, "batchid", "left_semi")
+    listed = stored.select("experiment", "batchid", F.explode(F.array(*[F.lit(f) for f in RESULT_FILES])).alias("filename"))
     path = names.join_path(F.concat(F.lit("exp"), "experiment"), F.lit("plate"), F.col("batchid").cast("string"), F.col("filename"))
     return listed.withColumn("s3path", path)
 
 
 SQL_BATCHES = """batches AS (
   SELECT DISTINCT l_suppkey AS experiment, l_orderkey AS batchid,
-         CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'P' THEN 'processing images' ELSE 'registered' END AS status
+         CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'P' THEN 'processing images' ELSE 'registered' END AS status,
+         o_orderpriority AS priority
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 SQL_BATCH_FILES = f"""{SQL_BATCHES},
 batch_files AS (
-  SELECT experiment, batchid, filename, 'exp' || experiment || '/plate/' || batchid || '/' || filename AS s3path
+  SELECT experiment, batchid, status, filename, 'exp' || experiment || '/plate/' || batchid || '/' || filename AS s3path
   FROM batches, (SELECT unnest(['Experiment.parquet','Image.parquet','cytoplasm.parquet','nucleus.parquet']) AS filename)
-  WHERE status = 'done' AND batchid % 3 <> 0)"""
+  WHERE priority <> '5-LOW')"""
 SQL_PROCESSED = f"""processed AS (
   SELECT DISTINCT l_suppkey AS experiment, l_orderkey AS batchid, {sql_well('l_partkey % 96')} AS well_name,
          (l_orderkey % 4 + 1)::INTEGER AS site_id
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE o_orderstatus = 'F' AND l_orderkey % 3 <> 0)"""
+  WHERE o_orderstatus = 'F' AND o_orderpriority <> '5-LOW')"""
 SQL_EXPERIMENTS = """experiments AS (
   SELECT s_suppkey AS experiment, (4 * CASE WHEN s_suppkey % 10 = 0 THEN 2 ELSE 1 END)::INTEGER AS n FROM supplier)"""
 SQL_USED_WELLS = f"""used AS (
@@ -254,16 +257,16 @@ def experiment_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def existing_experiments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(project_name, experiment_name) loaded before: every fifth supplier."""
+    """(project_name, experiment_name) loaded before: those of one region."""
+    nations = table(spark, sf_dir, "nation").where(F.col("n_regionkey") == 0)
     return (
-        table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 5 == 0)
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        table(spark, sf_dir, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
         .select(F.col("n_name").alias("project_name"), F.col("s_name").alias("experiment_name"))
     )
 
 
 SQL_DOCUMENTS = """docs AS (
-  SELECT n_name AS project_name, s_name AS experiment_name, s_suppkey AS k, load,
+  SELECT n_name AS project_name, n_regionkey, s_name AS experiment_name, s_suppkey AS k, load,
          CASE WHEN s_suppkey % 29 = 5 THEN '24-XX' ELSE '96-CO-3603' END AS plate_type,
          'plate-' || (s_suppkey // 2) AS plate_name,
          CASE WHEN load = 1 THEN 'scope-9' ELSE 'scope-' || (s_suppkey % 4) END AS microscope_name,
@@ -277,4 +280,4 @@ SQL_DOCUMENTS = """docs AS (
          CASE WHEN s_suppkey % 17 = 4 THEN 'um' ELSE 'mm' END AS z_unit
   FROM supplier JOIN nation ON s_nationkey = n_nationkey
   JOIN (SELECT unnest([0, 1]) AS load) ON load = 0 OR s_suppkey % 7 = 0)"""
-SQL_NEW_DOCUMENTS = f"{SQL_DOCUMENTS}, new_docs AS (SELECT * FROM docs WHERE load = 0 AND k % 5 <> 0)"
+SQL_NEW_DOCUMENTS = f"{SQL_DOCUMENTS}, new_docs AS (SELECT * FROM docs WHERE load = 0 AND n_regionkey <> 0)"

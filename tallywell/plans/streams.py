@@ -43,8 +43,11 @@ def _requests(spark, sf_dir):
 
 def register_batches(spark, sf_dir):
     requests = feed.drain_to_table(bt.new_requests(_as_stream(_requests(spark, sf_dir), "requests"), keep_days=60), "requests-seen")
-    stored = _requests(spark, sf_dir).where(F.col("experiment") % 3 == 0).select("experiment", "batchid").distinct()
-    stored = stored.withColumn("status", F.when(F.col("batchid") % 2 == 0, bt.REGISTERED).otherwise(bt.DONE))
+    # Batches of purchases are stored already; one of high value is done.
+    bought = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    stored = bought.groupBy(F.col("user_id").alias("experiment"), (F.col("event_id") % 40).alias("batchid")).agg(
+        F.when(F.max("value") > 10, bt.DONE).otherwise(bt.REGISTERED).alias("status")
+    )
     registered, conflicts = bt.register_batches(requests, stored)
     return registered.withColumn("outcome", F.lit("new")).unionByName(
         conflicts.select("experiment", "batchid", F.col("stored_status").alias("status"), F.lit("conflict").alias("outcome"))
@@ -109,10 +112,12 @@ ORACLE = {
       SELECT l_orderkey, l_linenumber, path, well, site, site_x, site_y, site_z::INTEGER AS site_z, channel FROM files WHERE ok""",
     "stream_complete_sets": """SELECT user_id, weekofyear(ts)::INTEGER AS week, 5::INTEGER AS n_channels FROM events
       GROUP BY 1, 2 HAVING count(DISTINCT event_type) = 5""",
-    "register_batches": """WITH r AS (SELECT DISTINCT user_id AS experiment, event_id % 40 AS batchid FROM events)
-      SELECT experiment, batchid, CASE WHEN experiment % 3 <> 0 THEN 'registered' ELSE 'done' END AS status,
-             CASE WHEN experiment % 3 <> 0 THEN 'new' ELSE 'conflict' END AS outcome
-      FROM r WHERE experiment % 3 <> 0 OR batchid % 2 = 1""",
+    "register_batches": """WITH r AS (
+        SELECT user_id AS experiment, event_id % 40 AS batchid, max(CASE WHEN event_type = 'purchase' THEN value END) AS spent
+        FROM events GROUP BY 1, 2)
+      SELECT experiment, batchid, CASE WHEN spent IS NULL THEN 'registered' ELSE 'done' END AS status,
+             CASE WHEN spent IS NULL THEN 'new' ELSE 'conflict' END AS outcome
+      FROM r WHERE spent IS NULL OR spent > 10""",
     "status_fold": _FOLD,
     "stream_status_fold": _FOLD,
     "stream_experiment_done": """SELECT user_id AS experiment, count(DISTINCT hour(ts)) AS n_sites FROM events

@@ -149,9 +149,7 @@ def processed_sites(spark, sf_dir):
 
 
 def files_of_experiment(spark, sf_dir):
-    found = warehouse.files_of_experiment(
-        st.batch_files(spark, sf_dir), st.batches(spark, sf_dir), F.col("experiment") % 10 == 3
-    )
+    found = warehouse.files_of_experiment(st.batch_files(spark, sf_dir), st.batches(spark, sf_dir), F.col("status") == "done")
     return found.select("s3path", "filename")
 
 
@@ -180,10 +178,10 @@ def progress_matrix(spark, sf_dir):
 
 def attach_coordinates(spark, sf_dir):
     parsed = warehouse.parse_images(st.image_files(spark, sf_dir))
-    used = st.stored_wells(spark, sf_dir).where(F.col("wellid") % 3 != 0)
-    coordinates = warehouse.experiment_wells(used, st.plate_wells(spark, sf_dir)).select(
-        "experiment", F.col("well_name").alias("well"), F.explode(F.sequence(F.lit(1), F.lit(4))).alias("site")
-    ).select(
+    c = st.image_columns()
+    # Coordinates were recorded for the sites of open, unreturned items.
+    recorded = table(spark, sf_dir, "lineitem").where((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"))
+    coordinates = recorded.select(F.col("l_suppkey").alias("experiment"), c["well"].alias("well"), c["site"].cast("int").alias("site")).distinct().select(
         "*", (F.col("site") * 0.5).alias("x_mm"), (F.col("site") * 0.25).alias("y_mm"), (F.col("experiment") * 1.0).alias("z_um"),
         F.lit(None).cast("timestamp").alias("t"),
     )
@@ -192,9 +190,10 @@ def attach_coordinates(spark, sf_dir):
 
 
 def next_batch_id(spark, sf_dir):
-    experiments = st.experiments(spark, sf_dir).select("experiment")
-    stored = st.batches(spark, sf_dir).where((F.col("status") == "done") & (F.col("experiment") % 4 != 0))
-    return warehouse.next_batch_id(experiments, stored)
+    # Customers as experiments: many have no urgent order.
+    experiments = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("experiment"))
+    urgent = table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    return warehouse.next_batch_id(experiments, urgent.select(F.col("o_custkey").alias("experiment"), F.col("o_orderkey").alias("batchid")))
 
 
 def _stored_images(spark, sf_dir):
@@ -215,7 +214,8 @@ def files_by_name(spark, sf_dir):
 
 def number_image_sets(spark, sf_dir):
     parsed = warehouse.parse_images(st.image_files(spark, sf_dir))
-    return sets.number_image_sets(parsed, next_batch_id(spark, sf_dir), "seen")
+    next_ids = warehouse.next_batch_id(st.experiments(spark, sf_dir).select("experiment"), st.batches(spark, sf_dir))
+    return sets.number_image_sets(parsed, next_ids, "seen")
 
 
 def _measure(rows: pd.DataFrame) -> pd.DataFrame:
@@ -259,8 +259,7 @@ _SCAFFOLD = f"""WITH {st.SQL_EXPERIMENTS}, {st.SQL_USED_WELLS}, {st.SQL_PROCESSE
     FROM expected LEFT JOIN flags USING (experiment, well_name, site_id))"""
 _NEXT = f"""{st.SQL_BATCHES}, next_ids AS (
   SELECT s_suppkey AS experiment, coalesce(max(batchid) + 1, 0) AS next_id
-  FROM supplier LEFT JOIN (SELECT * FROM batches WHERE status = 'done' AND experiment % 4 <> 0) ON s_suppkey = experiment
-  GROUP BY s_suppkey)"""
+  FROM supplier LEFT JOIN batches ON s_suppkey = experiment GROUP BY s_suppkey)"""
 _SITE_IDS = f"""{st.SQL_USED_WELLS}, sites AS (
   SELECT experiment, well_name AS well, s::INTEGER AS site, (experiment * 1000 + wi + 1) * 10 + s AS siteid
   FROM used, (SELECT unnest([1, 2, 3, 4]) AS s))"""
@@ -328,7 +327,7 @@ ORACLE = {
       SELECT experiment, well, site, l_orderkey, siteid FROM images LEFT JOIN sites USING (experiment, well, site) WHERE ok""",
     "experiment_wells": f"WITH {st.SQL_USED_WELLS} SELECT experiment, well_name FROM used",
     "processed_sites": f"WITH {st.SQL_PROCESSED} SELECT * FROM processed",
-    "files_of_experiment": f"WITH {st.SQL_BATCH_FILES} SELECT s3path, filename FROM batch_files WHERE experiment % 10 = 3",
+    "files_of_experiment": f"WITH {st.SQL_BATCH_FILES} SELECT s3path, filename FROM batch_files WHERE status = 'done'",
     "route_result_files": """SELECT l_orderkey, l_linenumber, filename,
         CASE WHEN starts_with(filename, 'nucleus') OR starts_with(filename, 'cytoplasm') THEN 'merge'
              WHEN starts_with(filename, 'Image') OR starts_with(filename, 'Experiment') THEN 'skip' ELSE 'unexpected' END AS route
@@ -343,12 +342,13 @@ ORACLE = {
     "progress_matrix": f"{_SCAFFOLD} SELECT experiment, site_id, "
     + ", ".join(f"max(CASE WHEN well_name = '{w}' THEN processed END) AS {w}" for w in MATRIX_WELLS)
     + " FROM scaffold GROUP BY experiment, site_id",
-    "attach_coordinates": f"""WITH {st.SQL_IMAGES}, {_SITE_IDS},
-      c AS (SELECT experiment, well, site, site * 0.5::DOUBLE AS coord_x_mm, site * 0.25::DOUBLE AS coord_y_mm,
-                   experiment::DOUBLE AS coord_z_um FROM sites WHERE (siteid // 10) % 1000 % 3 <> 0)
+    "attach_coordinates": f"""WITH {st.SQL_IMAGES},
+      c AS (SELECT DISTINCT experiment, well, site, site * 0.5::DOUBLE AS coord_x_mm, site * 0.25::DOUBLE AS coord_y_mm,
+                   experiment::DOUBLE AS coord_z_um FROM images WHERE returnflag = 'N' AND linestatus = 'O')
       SELECT experiment, l_orderkey, l_linenumber, well, site, coord_x_mm, coord_y_mm, coord_z_um
       FROM images LEFT JOIN c USING (experiment, well, site) WHERE ok""",
-    "next_batch_id": f"WITH {_NEXT} SELECT * FROM next_ids",
+    "next_batch_id": """SELECT c_custkey AS experiment, coalesce(max(o_orderkey) + 1, 0) AS next_id
+      FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_orderpriority = '1-URGENT' GROUP BY c_custkey""",
     "image_sets": f"""WITH {st.SQL_IMAGES}
       SELECT experiment, well, site, 0::INTEGER AS part, count(*) AS n_files, string_agg(path, '|' ORDER BY path) AS files
       FROM files WHERE ok GROUP BY experiment, well, site""",
