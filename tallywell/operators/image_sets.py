@@ -130,3 +130,21 @@ def retry_lineage(attempts: DataFrame, set_key: Sequence[str], order_by: Sequenc
     if max_attempts is not None:
         again = again & (F.col("attempt") + 1 < max_attempts)
     return numbered.withColumn("status", status).withColumn("retry", again)
+
+
+def next_attempts(
+    lineage: DataFrame, next_ids: DataFrame, set_key: Sequence[str], experiment: str = "experiment"
+) -> DataFrame:
+    """(experiment, set key, attempt, batchid): the attempt to start for each set whose last one is to be repeated.
+
+    The failed batch keeps its row; the new attempt gets the experiment's next free batch id. All
+    ids are given out in one step.
+    """
+    last = lineage.groupBy(experiment, *set_key).agg(
+        F.max("attempt").alias("_last"), F.max(F.when(F.col("retry"), F.col("attempt"))).alias("_retry")
+    )
+    waiting = last.where(F.col("_last") == F.col("_retry")).select(experiment, *set_key, (F.col("_last") + 1).alias("attempt"))
+    ranked = index_rows(waiting, list(set_key), "_rank", within=[experiment])
+    return ranked.join(next_ids, experiment).select(
+        experiment, *set_key, "attempt", (F.col("next_id") + F.col("_rank")).alias("batchid")
+    )

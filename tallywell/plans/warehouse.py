@@ -232,11 +232,22 @@ def map_image_sets(spark, sf_dir):
     )
 
 
-def retry_lineage(spark, sf_dir):
+def _lineage(spark, sf_dir):
     code = F.when(F.col("event_type") == "error", 137).when(F.col("event_type") == "purchase", 1).otherwise(0)
-    attempts = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", code.alias("exit_code"))
-    lineage = sets.retry_lineage(attempts, ["user_id"], ["ts", "event_id"], max_attempts=40)
-    return lineage.select("event_id", "user_id", "attempt", "status", "retry")
+    attempts = table(spark, sf_dir, "events").select(
+        "event_id", (F.col("user_id") % 10).alias("experiment"), "user_id", "ts", code.alias("exit_code")
+    )
+    return sets.retry_lineage(attempts, ["user_id"], ["ts", "event_id"], max_attempts=60)
+
+
+def retry_lineage(spark, sf_dir):
+    return _lineage(spark, sf_dir).select("event_id", "user_id", "attempt", "status", "retry")
+
+
+def retry_batches(spark, sf_dir):
+    used = table(spark, sf_dir, "events").select((F.col("user_id") % 10).alias("experiment"), F.col("event_id").alias("batchid"))
+    next_ids = warehouse.next_batch_id(used.select("experiment").distinct(), used)
+    return sets.next_attempts(_lineage(spark, sf_dir), next_ids, ["user_id"])
 
 
 QUERIES = {
@@ -246,7 +257,7 @@ QUERIES = {
         ingest_sites, experiment_channels, ingest_images, ingest_batch_results, upsert_dimension, lookup_or_reject,
         resolve_sites, experiment_wells, processed_sites, files_of_experiment, route_result_files, site_scaffold,
         experiment_progress, progress_matrix, attach_coordinates, next_batch_id, image_sets, files_by_name,
-        number_image_sets, map_image_sets, retry_lineage,
+        number_image_sets, map_image_sets, retry_lineage, retry_batches,
     )
 }
 
@@ -264,6 +275,9 @@ _SITE_IDS = f"""{st.SQL_USED_WELLS}, sites AS (
   SELECT experiment, well_name AS well, s::INTEGER AS site, (experiment * 1000 + wi + 1) * 10 + s AS siteid
   FROM used, (SELECT unnest([1, 2, 3, 4]) AS s))"""
 
+_ATTEMPTS = """a AS (
+  SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS attempt, event_type FROM events)"""
+
 ORACLE = {
     "list_projects": "SELECT n_name AS name FROM nation",
     "list_experiments": "SELECT s_name AS name FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_name = 'NATION_3'",
@@ -363,9 +377,15 @@ ORACLE = {
              CASE WHEN well = 'A01' THEN 'no cells' END AS error, CASE WHEN well <> 'A01' THEN count(*) END AS n_images,
              CASE WHEN well <> 'A01' THEN sum(site_z)::BIGINT END AS planes
       FROM images WHERE ok GROUP BY experiment, well, site""",
-    "retry_lineage": """WITH a AS (
-        SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS attempt, event_type FROM events)
+    "retry_lineage": f"""WITH {_ATTEMPTS}
       SELECT event_id, user_id, attempt,
              CASE event_type WHEN 'error' THEN 'failed.OOM(' || attempt || ')' WHEN 'purchase' THEN 'failed.1' ELSE 'done' END AS status,
-             event_type = 'error' AND attempt + 1 < 40 AS retry FROM a""",
+             event_type = 'error' AND attempt + 1 < 60 AS retry FROM a""",
+    "retry_batches": f"""WITH {_ATTEMPTS},
+      last AS (SELECT user_id, max(attempt) AS attempt FROM a GROUP BY user_id),
+      waiting AS (SELECT a.* FROM a JOIN last USING (user_id, attempt) WHERE event_type = 'error' AND attempt + 1 < 60),
+      next_ids AS (SELECT user_id % 10 AS experiment, max(event_id) + 1 AS next_id FROM events GROUP BY 1)
+      SELECT experiment, user_id, attempt + 1 AS attempt,
+             next_id + row_number() OVER (PARTITION BY experiment ORDER BY user_id) - 1 AS batchid
+      FROM waiting JOIN next_ids ON experiment = user_id % 10""",
 }

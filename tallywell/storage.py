@@ -57,3 +57,12 @@ def write_partitioned(
         .partitionBy(*by)
         .parquet(path)
     )
+
+
+def append_rows(rows: dict[str, DataFrame], root: str) -> None:
+    """Append each frame to its table, the folder ``root/<table>``.
+
+    Rows that come from reading the same table are safe: Spark fixes the file list when it plans.
+    """
+    for name, frame in rows.items():
+        frame.write.mode("append").parquet(f"{root}/{name}")

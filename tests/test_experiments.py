@@ -268,3 +268,23 @@ def test_coordinates_are_optional(spark):
     stage = spark.createDataFrame([(1, "A01", 1, 0.5, 0.25, 3.0)], "experiment long, well string, site int, x_mm double, y_mm double, z_um double")
     got = warehouse.attach_coordinates(image, stage.withColumn("t", F.lit(None).cast("timestamp")))
     assert rows(got) == [(1, "A01", 1, 0.5, 0.25, 3.0, None), (1, "A01", 2, None, None, None, None)]
+
+
+def test_a_retry_gets_the_next_batch_id(spark):
+    data = [("e", "a", 1, 137), ("e", "b", 1, 137), ("e", "b", 2, 0), ("e", "c", 1, 137), ("e", "c", 2, 137), ("f", "d", 1, 1)]
+    attempts = spark.createDataFrame(data, "experiment string, image_set string, ts int, exit_code int")
+    lineage = sets.retry_lineage(attempts, ["image_set"], ["ts"])
+    next_ids = spark.createDataFrame([("e", 7), ("f", 0)], "experiment string, next_id long")
+    assert rows(sets.next_attempts(lineage, next_ids, ["image_set"])) == [("e", "a", 1, 7), ("e", "c", 2, 8)]
+
+
+def test_append_to_the_table_that_was_read(spark, tmp_path):
+    from tallywell.storage import append_rows
+
+    root = str(tmp_path)
+    append_rows({"projects": spark.createDataFrame([(1, "a")], "id long, name string")}, root)
+    offered = spark.createDataFrame([("a",), ("b",)], "name string")
+    for _ in range(2):
+        stored = spark.read.parquet(f"{root}/projects")
+        append_rows({"projects": warehouse.upsert_dimension(stored, offered, "name")}, root)
+    assert rows(spark.read.parquet(f"{root}/projects")) == [(1, "a"), (2, "b")]
