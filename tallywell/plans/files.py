@@ -154,7 +154,7 @@ _LINES = "SELECT unnest(string_split(text, chr(10))) AS line FROM documents"
 
 
 def _oracles() -> dict[str, str]:
-    from tallywell.plans.standins import SQL_DOCUMENTS, SQL_IMAGES, sql_well
+    from tallywell.plans.standins import SQL_DOCUMENTS, SQL_IMAGES
 
     width = "CASE WHEN s_suppkey % 2 = 0 THEN 12 ELSE 24 END"
     channels = ", ".join(

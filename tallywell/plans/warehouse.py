@@ -232,16 +232,16 @@ def map_image_sets(spark, sf_dir):
     )
 
 
-def _lineage(spark, sf_dir):
+def _lineage(spark, sf_dir, max_attempts=None):
     code = F.when(F.col("event_type") == "error", 137).when(F.col("event_type") == "purchase", 1).otherwise(0)
     attempts = table(spark, sf_dir, "events").select(
         "event_id", (F.col("user_id") % 10).alias("experiment"), "user_id", "ts", code.alias("exit_code")
     )
-    return sets.retry_lineage(attempts, ["user_id"], ["ts", "event_id"], max_attempts=60)
+    return sets.retry_lineage(attempts, ["user_id"], ["ts", "event_id"], max_attempts)
 
 
 def retry_lineage(spark, sf_dir):
-    return _lineage(spark, sf_dir).select("event_id", "user_id", "attempt", "status", "retry")
+    return _lineage(spark, sf_dir, max_attempts=60).select("event_id", "user_id", "attempt", "status", "retry")
 
 
 def retry_batches(spark, sf_dir):
@@ -383,7 +383,7 @@ ORACLE = {
              event_type = 'error' AND attempt + 1 < 60 AS retry FROM a""",
     "retry_batches": f"""WITH {_ATTEMPTS},
       last AS (SELECT user_id, max(attempt) AS attempt FROM a GROUP BY user_id),
-      waiting AS (SELECT a.* FROM a JOIN last USING (user_id, attempt) WHERE event_type = 'error' AND attempt + 1 < 60),
+      waiting AS (SELECT a.* FROM a JOIN last USING (user_id, attempt) WHERE event_type = 'error'),
       next_ids AS (SELECT user_id % 10 AS experiment, max(event_id) + 1 AS next_id FROM events GROUP BY 1)
       SELECT experiment, user_id, attempt + 1 AS attempt,
              next_id + row_number() OVER (PARTITION BY experiment ORDER BY user_id) - 1 AS batchid
