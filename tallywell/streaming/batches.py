@@ -48,13 +48,12 @@ def fold_status(events: DataFrame, keys: Sequence[str] = BATCH_KEY) -> DataFrame
     """
     status = F.col("status")
     final = status.isin(DONE, TERMINATED) | status.startswith("failed")
-    order = F.struct("ts", "seq")
-    return events.groupBy(*keys).agg(
-        F.max_by("status", order).alias("status"),
+    folded = events.groupBy(*keys).agg(
+        F.max(F.struct("ts", "seq", "status")).alias("last_event"),
         F.max(F.when(status == PROCESSING, F.col("ts"))).alias("start_time"),
         F.max(F.when(final, F.col("ts"))).alias("end_time"),
-        F.max(order).alias("last_event"),
     )
+    return folded.select(*keys, F.col("last_event.status").alias("status"), "start_time", "end_time")
 
 
 def latest(updates: DataFrame, keys: Sequence[str] = BATCH_KEY, by: str = "epoch") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
@@ -32,6 +33,16 @@ def merge_repeats(rows: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
     return kept.mapInPandas(merge, kept.schema)
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The table at ``path``; without rows when nothing was written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def drain_to_table(stream: DataFrame, label: str, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Process all input that is there, append the result to a Parquet table, return it as a batch frame.
 
@@ -47,7 +58,7 @@ def drain_to_table(stream: DataFrame, label: str, path: str | None = None, check
         .start(target)
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(target)
+    return read_or_empty(spark, target, stream.schema)
 
 
 def drain_updates(
@@ -73,4 +84,4 @@ def drain_updates(
     )
     query.awaitTermination()
     schema = StructType(stream.schema.fields).add("epoch", IntegerType())
-    return spark.read.schema(schema).parquet(target)
+    return read_or_empty(spark, target, schema)

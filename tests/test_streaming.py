@@ -107,3 +107,11 @@ def test_shared_root_is_the_configured_folder(spark):
         assert shared_root(spark) == configured.rstrip("/")
     else:
         assert shared_root(spark) == shared_root(spark)
+
+
+def test_a_feed_without_files_gives_no_rows(spark, tmp_path):
+    (tmp_path / "feed").mkdir()
+    feed_ = feed.image_feed(spark, str(tmp_path / "feed"), "experiment long, site int")
+    assert feed.drain_to_table(feed_, "none").collect() == []
+    counts = feed_.groupBy("experiment").agg(F.count("*").alias("n"))
+    assert feed.drain_updates(counts, "none").collect() == []
