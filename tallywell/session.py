@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import shutil
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,3 +42,21 @@ def get_session(app: str = "tallywell", cores: str | int = "*", **conf: str) ->
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; projection and filters reach this Parquet scan."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever the session was started; once per application.
+
+    The archive is read by the driver alone, which hands it to the executors.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tallywell-code-"), "tallywell")
+    shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package))
+    context.addPyFile(f"{archive}.zip")
+    _shipped.add(context.applicationId)
