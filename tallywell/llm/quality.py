@@ -126,6 +126,7 @@ def default_rules() -> list[Rule]:
     mean = F.try_divide(F.col("word_chars"), F.col("n_words"))
     return [
         share("n_symbols", "n_words", 3, 10),
+        share("n_symbols", "n_chars", 1, 4, 100),
         share("n_dup_lines", "n_lines", 10, 30, 5),
         share("n_repeat_words", "n_words", 5, 15),
         share("n_upper", "n_cased", 20, 50, 40),
@@ -157,19 +158,24 @@ class VoteModel:
 def fit_votes(votes: np.ndarray, counts: np.ndarray, rounds: int = 100) -> VoteModel:
     """Expectation-maximisation on distinct vote patterns and how many documents have each.
 
-    A rule has an accuracy for good and for bad documents. Both stay above 0.55, so a rule never counts
-    against its own meaning, and the share of good documents stays between 0.5 and 0.99.
+    A rule has a chance to vote good on good documents and one to vote bad on bad ones; most rules see one kind of bad
+    document only, so the second may be small. A rule never counts against its own meaning: it votes good on good
+    documents at least nine times in ten, and bad on bad ones at least twice as often as on good ones. The share
+    of good documents stays between 0.5 and 0.99.
     """
-    model = VoteModel(0.85, np.tile(np.array([[0.8, 0.2], [0.2, 0.8]]), (votes.shape[1], 1, 1)))
+    start = np.array([[0.4, 0.6], [0.05, 0.95]])
+    model = VoteModel(0.85, np.tile(start, (votes.shape[1], 1, 1)))
     for _ in range(rounds if len(votes) else 0):
         good = model.posterior(votes) * counts
         bad = counts - good
         tables = np.empty_like(model.tables)
         for j in range(votes.shape[1]):
-            for c, weight in ((0, bad), (1, good)):
-                right, voted = weight[votes[:, j] == c].sum(), weight[votes[:, j] >= 0].sum()
-                accuracy = min(max((right + 8) / (voted + 10), 0.55), 0.99)
-                tables[j, c, c], tables[j, c, 1 - c] = accuracy, 1 - accuracy
+            voted, no = votes[:, j] >= 0, votes[:, j] == 0
+            miss = (good[no].sum() + 0.5) / (good[voted].sum() + 10)
+            hit = (bad[no].sum() + 4) / (bad[voted].sum() + 10)
+            miss = min(max(miss, 0.001), 0.1)
+            hit = min(max(hit, 2 * miss), 0.99)
+            tables[j] = [[hit, 1 - hit], [miss, 1 - miss]]
         prior = min(max((good.sum() + 8.5) / (counts.sum() + 10), 0.5), 0.99)
         moved = max(abs(prior - model.prior), np.abs(tables - model.tables).max())
         model = VoteModel(prior, tables)
