@@ -14,19 +14,18 @@ bits in unary. ``select(i)`` finds the i-th 1 of the high bits from a sample for
 
 from __future__ import annotations
 
-import contextlib
+import functools
 import os
 import struct
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallywell.llm.words import blocks
+from tallywell.llm.words import blocks, words_of
 from tallywell.storage import fresh_path
 
 SEGMENT_IDS = 1 << 20
@@ -34,7 +33,7 @@ END_ID = 2
 _SAMPLE = 256
 _HEAD = struct.Struct("<QBQ")
 
-Encode = Callable[[list[str]], list[np.ndarray]]
+Encode = Callable[[list[bytes]], list[np.ndarray]]
 
 
 # --- Elias-Fano ----------------------------------------------------------------------------------------------
@@ -99,87 +98,128 @@ class EliasFano:
 # --- tokenizer -----------------------------------------------------------------------------------------------
 
 
-def _gaps(parts: list) -> Iterator[int]:
-    at = -1
-    with contextlib.suppress(ValueError):
-        while True:
-            at = parts.index(None, at + 1)
-            yield at
+#: White space that a text must not hold to be encoded word by word: the code points that may be white space anywhere, and
+#: runs of it.
+_OTHER_WHITE = [chr(c).encode() for c in range(0x2000) if chr(c).isspace() and chr(c) not in " \n"]
+_WIDE_WHITE = [chr(c).encode() for c in range(0x2000, 0x3001) if chr(c).isspace()]
+_RUNS = [b"  ", b"\n\n", b" \n", b"\n "]
+
+
+def _is_plain(text: bytes) -> bool:
+    """Whether all white space is single spaces and line ends between words (one line end may close the text)."""
+    if text[:1] in (b" ", b"\n") or text[-1:] == b" " or any(map(text.__contains__, _RUNS + _OTHER_WHITE)):
+        return False
+    return not ((b"\xe2" in text or b"\xe3" in text) and any(map(text.__contains__, _WIDE_WHITE)))
+
+
+class _KnownWords:
+    """Ids of words by hash: sorted hashes, and where the ids of each lie in one array. About 30 bytes a word."""
 
+    def __init__(self, id_type: str):
+        self.hash = np.zeros(0, np.uint64)
+        self.at = np.zeros(0, np.int64)
+        self.size = np.zeros(0, np.int64)
+        self.pool = np.zeros(0, id_type)
 
-def byte_bpe(path: str, pattern: str, remember: int = 1_000_000) -> Encode:
-    """Encoder for a byte-level vocabulary of the tokenizers library.
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each key, and whether it is known."""
+        place = np.searchsorted(self.hash, keys)
+        known = np.zeros(len(keys), bool)
+        inside = place < len(self.hash)
+        known[inside] = self.hash[place[inside]] == keys[inside]
+        return place, known
+
+    def add(self, keys: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        at = len(self.pool) + np.cumsum(sizes) - sizes
+        self.pool = np.concatenate([self.pool, ids])
+        order = np.argsort(keys)
+        place = np.searchsorted(self.hash, keys[order])
+        self.hash = np.insert(self.hash, place, keys[order])
+        self.at = np.insert(self.at, place, at[order])
+        self.size = np.insert(self.size, place, sizes[order])
+
+
+@functools.cache  # one per Python worker: its tasks share what has been learnt
+def byte_bpe(path: str, pattern: str, remember: int = 2_000_000) -> Encode:
+    """Encoder for a byte-level vocabulary of the tokenizers library: UTF-8 texts to arrays of ids.
 
     Such a vocabulary encodes each match of ``pattern`` by itself, with the space before it. So each different word is given
-    to the library once and its ids are remembered (``remember`` words; beyond, the half that came first, mostly the frequent ones, stays); a text's ids
-    are those of its words in a row. That holds where all white space is single spaces and line ends; other texts
-    are split by ``pattern`` first. Strings of special tokens in a text are ordinary text.
+    to the library once and its ids are remembered (``remember`` words, then all are forgotten); a text's ids are those
+    of its words in a row. That holds where all white space is single spaces and line ends; other texts go to the
+    library whole. Strings of special tokens in a text are ordinary text.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    import regex
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    vocabulary = tokenizer.get_vocab(with_added_tokens=False)
     wide = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-    matches = regex.compile(pattern).findall
-    others = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"] + ["  ", "\n\n", " \n", "\n "]
-
-    def ids_of(text: str) -> np.ndarray:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, wide)
-
-    line_end = int(ids_of("\n")[0])
     opens_word = np.zeros(tokenizer.get_vocab_size(), bool)  # ids whose bytes start with a space
-    opens_word[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
-    by_match: dict[str, bytes] = {}
-    by_word: dict[str, bytes] = {"": ids_of(" ").tobytes()}
-
-    def learn(words: list[str], joined: str, first: Callable[[np.ndarray], np.ndarray]) -> None:
-        """Encode many words in one text and cut the ids where ``first`` says that a word starts."""
-        ids = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, wide)
-        starts = np.flatnonzero(first(ids))
-        if len(starts) != len(words):
-            raise ValueError("the vocabulary does not keep words apart")
-        raw, at = ids.tobytes(), [*(starts * ids.itemsize).tolist(), len(ids) * ids.itemsize]
-        by_word.update(zip(words, map(raw.__getitem__, map(slice, at, at[1:]))))
-
-    def matched(text: str) -> np.ndarray:
-        pieces = matches(text)
-        new = list(set(pieces).difference(by_match))
-        if len(by_match) + len(new) > remember:
-            by_match.clear()
-            new = list(set(pieces))
-        for piece, found in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            by_match[piece] = np.array(found.ids, wide).tobytes()
-        return np.frombuffer(b"".join(map(by_match.__getitem__, pieces)), wide)
-
-    def encode(texts: list[str]) -> list[np.ndarray]:
-        split = []
-        for text in texts:
-            whole = "\n" + text  # as if each text began a line
-            split.append(None if any(map(whole.__contains__, others)) else whole.replace("\n", " \n").split(" ")[1:])
-        found = [words and list(map(by_word.get, words)) for words in split]
-        gaps = [(i, at) for i, parts in enumerate(found) if parts for at in _gaps(parts)]
-        if gaps:
-            new = {split[i][at] for i, at in gaps}
-            inner, first = [w for w in new if w[0] != "\n"], [w for w in new if w[0] == "\n"]
-            for k in range(0, len(inner), 5000):
-                own = inner[k : k + 5000]
-                learn(own, " " + " ".join(own), lambda ids: opens_word[ids])
-            for k in range(0, len(first), 5000):
-                own = first[k : k + 5000]
-                learn(own, "".join(own), lambda ids: ids == line_end)
-            for i, at in gaps:
-                found[i][at] = by_word[split[i][at]]
-            if len(by_word) > remember:
-                early = list(islice(by_word.items(), remember // 2))
-                by_word.clear()
-                by_word.update(early)
-        return [
-            matched(text) if parts is None else np.frombuffer(b"".join(parts), wide)[1:]
-            for text, parts in zip(texts, found)
-        ]
+    opens_word[[i for token, i in tokenizer.get_vocab(with_added_tokens=False).items() if token.startswith("\u0120")]] = True
+
+    def ids_of(text: bytes) -> np.ndarray:
+        whole = tokenizer.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)
+        return np.array(whole[0].ids, wide)
+
+    line_end = ids_of(b"\n")
+    if len(line_end) != 1:
+        raise ValueError("the vocabulary has no line end")
+    known = _KnownWords(wide)
+    bare = np.uint64(0xA0761D6478BD642F)  # marks words without a space before them
+
+    def learn(keys: np.ndarray, words: list[bytes], mark: bytes, starts_word: Callable[[np.ndarray], np.ndarray]) -> None:
+        """Encode many words in one text and cut its ids where words start."""
+        for k in range(0, len(words), 5000):
+            own = words[k : k + 5000]
+            ids = ids_of(mark + mark.join(own))
+            starts = np.flatnonzero(starts_word(ids))
+            if len(starts) != len(own):
+                raise ValueError("the vocabulary does not keep words apart")
+            sizes = np.diff(np.append(starts, len(ids)))
+            if mark == b"\n":
+                ids, sizes = np.delete(ids, starts), sizes - 1
+            known.add(keys[k : k + 5000], sizes, ids)
+
+    def encode_plain(texts: list[bytes]) -> list[np.ndarray]:
+        data = b"\n".join(texts) + b"\n"
+        words = words_of(texts)
+        raw = np.frombuffer(data, np.uint8)
+        text_ends = np.cumsum([len(t) + 1 for t in texts])
+        text_starts = np.concatenate([[0], text_ends[:-1]])
+        opens_text = words.start == text_starts[words.text]
+        spaced = ~opens_text & (raw[np.maximum(words.start - 1, 0)] == 32)
+        key = np.where(spaced, words.hash, words.hash ^ bare)
+        unique, first, back = np.unique(key, return_index=True, return_inverse=True)
+        place, found = known.find(unique)
+        if not found.all():
+            if len(known.hash) + len(unique) > remember:
+                known.__init__(wide)
+                found[:] = False
+            new = first[~found]
+            keys, is_spaced = unique[~found], spaced[new]
+            strings = [data[a:b] for a, b in zip(words.start[new].tolist(), words.end[new].tolist())]
+            inner = np.flatnonzero(is_spaced)
+            learn(keys[inner], [strings[i] for i in inner], b" ", lambda ids: opens_word[ids])
+            other = np.flatnonzero(~is_spaced)
+            learn(keys[other], [strings[i] for i in other], b"\n", lambda ids: ids == line_end[0])
+            place, found = known.find(unique)
+        place = place[back]
+        size, at = known.size[place], known.at[place]
+        breaks = (~opens_text & ~spaced).astype(np.int64)
+        closes = np.array([t[-1:] == b"\n" for t in texts], np.int64)
+        # Words of a text, then the line end that closes it.
+        total = np.bincount(words.text, size + breaks, minlength=len(texts)).astype(np.int64) + closes
+        ends = np.cumsum(total)
+        out = np.full(int(ends[-1]) if len(ends) else 0, line_end[0], wide)
+        before = np.cumsum(size + breaks) - size + np.concatenate([[0], np.cumsum(closes)])[words.text]
+        within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        out[np.repeat(before, size) + within] = known.pool[np.repeat(at, size) + within]
+        return np.split(out, ends[:-1])
+
+    def encode(texts: list[bytes]) -> list[np.ndarray]:
+        plain = [_is_plain(t) for t in texts]
+        found = iter(encode_plain([t for t, p in zip(texts, plain) if p]) if any(plain) else ())
+        return [next(found) if p else ids_of(t) for t, p in zip(texts, plain)]
 
     return encode
 
@@ -230,9 +270,9 @@ def write_tokens(
 
         total = 0
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+            texts = [t or b"" for t in batch.column(1).to_pylist()]
             own = batch.column(0).to_pylist()
-            for a, b in blocks([len(t) for t in texts]):
+            for a, b in blocks([len(t) for t in texts], 4 << 20):
                 for name, found in zip(own[a:b], encode(texts[a:b])):
                     names.append(name)
                     runs.append(np.append(found, np.array([end_id], found.dtype)))
@@ -243,7 +283,7 @@ def write_tokens(
         if names:
             yield flush()
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.mapInArrow(segments, SEGMENT_SCHEMA).write.parquet(path)
