@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: <well>_s<site>_x<column>_y<row>[_z<plane>]_<channel>, up to the suffix.
-IMAGE_NAME = r"^([^\n]+)_s(\d+)_x(\d+)_y(\d+)(?:_z(\d+))?_([^\n]+?)(?:\.[^.\n]+)?$"
-_BREAK = "\u0001"
+# Fixed value: <well>_s<site>_x<column>_y<row>[_z<plane>]_<channel>, the stem of the file name.
+IMAGE_NAME = r"^([^\n]+)_s(\d+)_x(\d+)_y(\d+)(?:_z(\d+))?_([^\n]+)$"
+_BREAK = "/"  # can't occur in a file name
 
 # Media types by lower-case suffix.
 MEDIA_TYPES = {
@@ -25,9 +28,10 @@ MEDIA_TYPES = {
 }
 DEFAULT_MEDIA_TYPE = "application/octet-stream"
 
-# Result tables that are merged, and those that are left out.
+# Result tables that are merged, those that are left out, and their suffixes.
 MERGED_STEMS = ("cytoplasm", "nucleus")
 SKIPPED_STEMS = ("Experiment", "Image")
+RESULT_SUFFIXES = (".csv", ".parquet")
 
 
 def literal_map(values: dict[str, str]) -> Column:
@@ -71,20 +75,43 @@ def media_type(path: Column) -> Column:
     )
 
 
+@functools.cache
+def _ascii_parts() -> dict[str, str]:
+    """ASCII part of the compatibility decomposition of each character that has one."""
+    parts = {}
+    for code in range(0x80, 0x10000):
+        if not 0xD800 <= code < 0xE000:
+            plain = unicodedata.normalize("NFKD", chr(code)).encode("ascii", "ignore").decode()
+            if plain:
+                parts[chr(code)] = plain
+    return parts
+
+
+def to_ascii(text: Column) -> Column:
+    """Accented and compatibility characters as their ASCII parts; other characters beyond ASCII are dropped.
+
+    Texts that are ASCII already, nearly all, are only tested.
+    """
+    table = literal_map(_ascii_parts())
+    single = F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c))
+    decomposed = F.regexp_replace(F.array_join(single, ""), r"[^\x00-\x7F]", "")
+    return F.when(text.rlike(r"[^\x00-\x7F]"), decomposed).otherwise(text)
+
+
 def sanitize(name: Column) -> Column:
     """File name safe for storage: no separators, ASCII only, no dots or underscores at the ends."""
-    ascii_only = F.regexp_replace(F.regexp_replace(name, r"[/\\]", " "), r"[^\x00-\x7F]", "")
+    ascii_only = to_ascii(F.replace(name, F.lit("/"), F.lit(" ")))
     joined = F.regexp_replace(F.regexp_replace(ascii_only, r"^\s+|\s+$", ""), r"\s+", "_")
     return F.regexp_replace(F.regexp_replace(joined, r"[^A-Za-z0-9_.-]", ""), r"^[._]+|[._]+$", "")
 
 
 def is_image(path: Column) -> Column:
-    return base_name(path).rlike(IMAGE_NAME)
+    return stem(path).rlike(IMAGE_NAME)
 
 
 def image_parts(path: Column) -> Column:
     """The six raw fields of an image name, from one pass of the pattern."""
-    marked = F.regexp_replace(base_name(path), IMAGE_NAME, _BREAK.join(f"${n}" for n in range(1, 7)))
+    marked = F.regexp_replace(stem(path), IMAGE_NAME, _BREAK.join(f"${n}" for n in range(1, 7)))
     return F.split(marked, _BREAK, 6)
 
 
@@ -116,10 +143,9 @@ def result_name(name: Column) -> Column:
 
 def result_route(name: Column) -> Column:
     """What the merge does with a result table: ``merge``, ``skip`` or ``unexpected``."""
-    base = stem(name)
-    return (
-        F.when(base.isin(*MERGED_STEMS), "merge").when(base.isin(*SKIPPED_STEMS), "skip").otherwise("unexpected")
-    )
+    merged = [stem + suffix for stem in MERGED_STEMS for suffix in RESULT_SUFFIXES]
+    skipped = [stem + suffix for stem in SKIPPED_STEMS for suffix in RESULT_SUFFIXES]
+    return F.when(name.isin(*merged), "merge").when(name.isin(*skipped), "skip").otherwise("unexpected")
 
 
 def well_name(index: Column, columns: Column | int) -> Column:

@@ -6,12 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def integer_or_null(text: Column) -> Column:
-    """Whole number in a text, null for anything else.
+def integer_text(text: Column) -> Column:
+    """Canonical digits of the whole number in a text, of any size; null for anything else.
 
-    The pattern keeps junk away from ``try_cast``, whose failures are costly.
+    Underscores may stand between digits. Leading zeros, a plus sign and the sign of zero are dropped, so
+    equal numbers have equal texts.
     """
-    return F.when(text.rlike(r"^[+-]?\d{1,19}$"), text.try_cast("bigint"))
+    digits = F.regexp_replace(F.replace(text, F.lit("_"), F.lit("")), r"^([+-]?)0+(?=\d)", "$1")
+    signed = F.regexp_replace(digits, r"^\+|^-(?=0$)", "")
+    return F.when(text.rlike(r"^[+-]?\d+(_\d+)*$"), signed)
+
+
+def integer_or_null(text: Column) -> Column:
+    """Whole number in a text, null for anything else; one that a bigint can't hold fails the job."""
+    return integer_text(text).cast("bigint")
 
 
 def percent(part: Column, whole: Column) -> Column:

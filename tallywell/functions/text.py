@@ -20,8 +20,8 @@ def words(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    """Remove whitespace of any kind from both ends (``trim`` only removes spaces)."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    """Remove whitespace of any kind, Unicode's included, from both ends (``trim`` only removes spaces)."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
 def first_letter(word: Column) -> Column:

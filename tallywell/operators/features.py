@@ -47,27 +47,36 @@ def merge_frames(
 
     ``folders`` is a glob over ``project/plate/batch`` that keeps the listing to one
     experiment; the record of files stays a DataFrame and is applied as a
-    semi-join on the file's key, so neither file list nor content passes the driver.
+    semi-join on the file's key, so neither file list nor content passes the driver. A recorded file
+    that is not there, or outside ``folders``, is an error.
     """
     route = F.col("route")
     routed = route_result_files(files, strict=False)
     routed = keep_checked(routed, route == "merge", route == "skip", _unexpected("filename"))
     routed = routed.select(F.col("s3path").alias("_key")).distinct()
     frames = {}
+    missing = routed
     for stem in names.MERGED_STEMS:
         found = []
-        for suffix in (".csv", ".parquet"):
+        for suffix in names.RESULT_SUFFIXES:
+            path = f"{root}/{folders}/{stem}{suffix}"
             try:
-                frame = scan_by_suffix(spark, [f"{root}/{folders}/{stem}{suffix}"], (schemas or {}).get(stem))
+                frame = scan_by_suffix(spark, [path], (schemas or {}).get(stem))
             except AnalysisException as problem:
                 if problem.getCondition() != "PATH_NOT_FOUND":
                     raise
                 continue
             columns = frame.columns
+            listed = spark.read.format("binaryFile").load(path)  # the content is not read
+            stored = listed.select(stored_key(F.col("_metadata.file_path")).alias("_key")).distinct()
+            missing = missing.join(stored, "_key", "left_anti")
             keyed = frame.withColumn("_key", stored_key(F.col("_metadata.file_path")))
             found.append(keyed.join(routed, "_key", "left_semi").select(*columns))
         if found:
             frames[stem] = union_frames(found)
+    gone = [r["_key"] for r in missing.orderBy("_key").limit(5).collect()]
+    if gone:
+        raise FileNotFoundError(f"recorded result files are missing: {', '.join(gone)}")
     return frames
 
 
@@ -101,37 +110,36 @@ def feature_columns(cells: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 def reduce_features(cells: DataFrame, features: Sequence[str], k: int = 2, prefix: str = "component") -> DataFrame:
     """Principal components of the standardised features.
 
-    Fitting aggregates a features x features matrix; the projection is a plain
-    column expression. A component's sign is set so that its largest loading is
-    positive. Rows with a missing feature are kept, with null components.
+    Fitting aggregates a features x features matrix. The features are one array column, so the plan does not
+    grow with their number. A component's sign is set so that its largest loading is positive. Rows with a missing
+    feature are kept, with null components.
     """
-    values = [F.col(f"`{c}`").cast("double") for c in features]
-    usable: Column = F.lit(True)
-    for value in values:
-        usable = usable & value.isNotNull() & ~F.isnan(value)
-    vectors = cells.where(usable).select(array_to_vector(F.array(*values)).alias("v"))
+    with_values = cells.withColumn("_values", F.array(*[F.col(f"`{c}`").cast("double") for c in features]))
+    usable = ~F.exists("_values", lambda x: x.isNull() | F.isnan(x))
+    vectors = with_values.where(usable).select(array_to_vector("_values").alias("v"))
     scaler = StandardScaler(inputCol="v", outputCol="s", withMean=True, withStd=True).fit(vectors)
     loadings = PCA(k=k, inputCol="s", outputCol="p").fit(scaler.transform(vectors)).pc.toArray()
 
     mean, std = scaler.mean.toArray(), scaler.std.toArray()
+    centred = F.zip_with("_values", F.lit(mean.tolist()), lambda x, m: x - m)
     out = []
     for j in range(k):
         weights = loadings[:, j]
         if weights[abs(weights).argmax()] < 0:
             weights = -weights
-        scaled = [
-            (value - float(mean[i])) * float(weights[i] / std[i]) for i, value in enumerate(values) if std[i] > 0
-        ]
-        component = sum(scaled[1:], scaled[0]) if scaled else F.lit(0.0)
+        scale = [float(w / d) if d > 0 else 0.0 for w, d in zip(weights, std)]
+        component = F.aggregate(F.zip_with(centred, F.lit(scale), lambda x, w: x * w), F.lit(0.0), lambda a, x: a + x)
         out.append(F.when(usable, component).alias(f"{prefix}_{j + 1}"))
-    return cells.select("*", *out)
+    return with_values.select(*[F.col(f"`{c}`") for c in cells.columns], *out)
 
 
 def group_profiles(df: DataFrame, key: str, vector: str, size: int) -> DataFrame:
-    """(key, pos, mean): the mean vector of each group.
+    """(key, pos, mean): the mean vector of each group; a vector of another size fails the job.
 
     One average per element keeps it to a single partial aggregation; rows are not multiplied.
     """
+    other = F.concat(F.lit(f"expected a vector of {size}, got "), F.size(vector).cast("string"))
+    df = require(df, F.size(vector) == size, other)
     means = df.groupBy(key).agg(*[F.avg(F.get(vector, F.lit(i)).cast("double")).alias(f"m{i}") for i in range(size)])
     return means.select(key, F.posexplode(F.array(*[f"m{i}" for i in range(size)])).alias("pos", "mean"))
 

@@ -11,33 +11,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywell.operators.indexing import index_rows
-from tallywell.operators.skew import split_hot_groups
+from tallywell.storage import materialize
 
 SET_KEY = ("experiment", "well", "site")
 
 
-def collect_files(
-    files: DataFrame, keys: Sequence[str], path: str, max_files: int = 10_000
-) -> DataFrame:
-    """(keys, part, n_files, files): the sorted paths of each key.
+def listed_files(files: DataFrame, keys: Sequence[str], path: str) -> DataFrame:
+    """(keys, position, path): the paths of each key in order, numbered from 0.
 
-    A key with more than ``max_files`` paths is spread over several rows (``part``),
-    so that no row or task holds an unbounded list. No path is left out.
+    One row per path, whatever the size of the key: no row or task holds the paths of a key.
     """
-    parts = split_hot_groups(files.select(*keys, path), keys, [path], max_files)
-    return parts.groupBy(*keys, "part").agg(
-        F.count("*").alias("n_files"), F.sort_array(F.collect_list(path)).alias("files")
-    )
+    return index_rows(files.select(*keys, path), [path], "position", within=keys).select(*keys, "position", path)
 
 
-def image_sets(images: DataFrame, path: str = "path", max_files: int = 10_000) -> DataFrame:
+def image_sets(images: DataFrame, path: str = "path") -> DataFrame:
     """The images of each set; channels and planes share one set."""
-    return collect_files(images, SET_KEY, path, max_files)
+    return listed_files(images, SET_KEY, path)
 
 
-def files_by_name(files: DataFrame, name: str = "filename", path: str = "s3path", max_files: int = 10_000) -> DataFrame:
+def files_by_name(files: DataFrame, name: str = "filename", path: str = "s3path") -> DataFrame:
     """The result files of each file name."""
-    return collect_files(files, [name], path, max_files)
+    return listed_files(files, [name], path)
 
 
 def number_image_sets(images: DataFrame, next_ids: DataFrame, first_seen: str) -> DataFrame:
@@ -53,65 +47,90 @@ def number_image_sets(images: DataFrame, next_ids: DataFrame, first_seen: str) -
     )
 
 
+def _set_starts(rows: pd.DataFrame, keys: Sequence[str]) -> np.ndarray:
+    """Where each run of equal keys starts; null equals null."""
+    key = rows[[*keys]]
+    same = (key == key.shift()) | (key.isna() & key.shift().isna())
+    return np.flatnonzero(~same.all(axis=1).to_numpy())
+
+
+def _run_sets(
+    rows: pd.DataFrame, keys: Sequence[str], work: Callable[[pd.DataFrame], pd.DataFrame], names: Sequence[str]
+) -> Iterator[pd.DataFrame]:
+    """Rows of ``work`` on many sets at once, and one row with the error for each set that it fails on.
+
+    A run of sets that fails is halved until the failing set stands alone.
+    """
+    starts = np.append(_set_starts(rows, keys), len(rows))
+    todo = [(0, len(starts) - 1)] if len(rows) else []
+    while todo:
+        a, b = todo.pop()
+        try:
+            made = work(rows.iloc[starts[a] : starts[b]].reset_index(drop=True))
+            yield made[[*keys, *names]].assign(error=None)
+        except Exception as problem:  # noqa: BLE001 - any failure of user code is recorded
+            if b - a > 1:
+                todo += [((a + b) // 2, b), (a, (a + b) // 2)]
+            else:
+                yield rows[[*keys]].iloc[starts[a] : starts[a] + 1].assign(error=str(problem), **dict.fromkeys(names))
+
+
 def map_image_sets(
     images: DataFrame,
-    work: Callable[[pd.DataFrame], pd.DataFrame],
+    partial: Callable[[pd.DataFrame], pd.DataFrame],
+    merge: Callable[[pd.DataFrame], pd.DataFrame],
+    partial_schema: str,
     schema: str,
     keys: Sequence[str] = SET_KEY,
-    spread_by: Sequence[str] = ("path",),
-    max_rows: int = 50_000,
-    partitions: int | None = None,
 ) -> DataFrame:
-    """Run ``work`` on each image set; a failing set gives one row with its error, others go on.
+    """Run work on each image set: ``partial`` on pieces of sets, ``merge`` on what the pieces of a set gave.
 
-    ``work`` maps the set's rows to rows of ``schema``. A set above ``max_rows``
-    reaches it in parts (column ``part``), so ``work`` on such sets must be
-    combinable over parts. Output: keys, part, status, error, then ``schema``.
+    Both get rows of several sets, the rows of a set together, and return rows with the key columns: ``partial`` those
+    of ``partial_schema``, ``merge`` those of ``schema``. Rows are spread in ranges of the keys and, within a set, of
+    all columns, so no task holds a large set; pieces are merged in the same way whatever the size. A set that work fails
+    on gives one row with its error, the others go on. Output: keys, status (done or failed), error, then ``schema``; a set
+    whose work gives no row has one row of nulls with status done.
     """
-    split = split_hot_groups(images, keys, spread_by, max_rows)
-    group = [*keys, "part"]
-    result = T.StructType.fromDDL(schema)
-    head = T.StructType([split.schema[k] for k in group]).add("status", "string").add("error", "string")
-    columns = [f.name for f in result]
-
-    def run_sets(rows: pd.DataFrame, bounds: np.ndarray) -> Iterator[pd.DataFrame]:
-        outputs, done, failed, errors = [], [], [], []
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            try:
-                out = work(rows.iloc[a:b].reset_index(drop=True))
-                outputs.append(out if list(out.columns) == columns else out[columns])
-                done.append(a)
-            except Exception as problem:  # noqa: BLE001 - any failure of user code is recorded
-                failed.append(a)
-                errors.append(str(problem))
-        if outputs:
-            keyed = rows[group].iloc[np.repeat(done, [len(out) for out in outputs])].reset_index(drop=True)
-            keyed = keyed.assign(status="done", error=None)
-            if len(keyed):
-                yield pd.concat([keyed, pd.concat(outputs, ignore_index=True)], axis=1)
-        if failed:
-            keyed = rows[group].iloc[failed].reset_index(drop=True)
-            yield keyed.assign(status="failed", error=errors, **dict.fromkeys(columns))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    key_fields = [images.schema[k] for k in keys]
+    error = T.StructField("error", T.StringType())
+    piece_fields, result_fields = T.StructType.fromDDL(partial_schema).fields, T.StructType.fromDDL(schema).fields
+    piece_names, result_names = [f.name for f in piece_fields], [f.name for f in result_fields]
+
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield from _run_sets(batch, keys, partial, piece_names)
+
+    def second(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pending = None
         for batch in batches:
             rows = batch if pending is None else pd.concat([pending, batch], ignore_index=True)
-            key = rows[group]
-            same = (key == key.shift()) | (key.isna() & key.shift().isna())
-            starts = np.flatnonzero(~same.all(axis=1).to_numpy())
-            pending = rows.iloc[starts[-1] :]
-            if len(starts) > 1:
-                yield from run_sets(rows, starts)
-        if pending is not None and len(pending):
-            yield from run_sets(pending.reset_index(drop=True), np.array([0, len(pending)]))
-
-    # A set's rows are adjacent after this, so many small sets share one Arrow batch; the last set
-    # of a batch waits for the next batch, and is bounded by max_rows. The number of partitions is
-    # given, since AQE would merge partitions by their bytes, which say little about the work.
-    count = partitions or int(images.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = split.repartition(count, *group).sortWithinPartitions(*group)
-    return placed.mapInPandas(run, T.StructType(head.fields + result.fields))
+            starts = _set_starts(rows, keys)
+            last = int(starts[-1]) if len(starts) else 0
+            pending = rows.iloc[last:].reset_index(drop=True)
+            yield from _run_sets(rows.iloc[:last], keys, merge, result_names)
+        if pending is not None:
+            yield from _run_sets(pending, keys, merge, result_names)
+
+    spread = images.repartitionByRange(*[F.col(c) for c in images.columns]).sortWithinPartitions(*keys)
+    parts = materialize(spread.mapInPandas(first, T.StructType([*key_fields, *piece_fields, error])), "set-pieces")
+    # A set has few pieces: one for each Arrow batch that holds rows of it.
+    good = parts.where("error IS NULL").drop("error")
+    merged = good.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(
+        second, T.StructType([*key_fields, *result_fields, error])
+    )
+    merged = materialize(merged, "set-results")
+
+    own = [f"_{k}" for k in keys]
+    renamed = dict(zip(keys, own))
+    errors = parts.select(*keys, "error").unionByName(merged.select(*keys, "error")).where("error IS NOT NULL")
+    failed = errors.groupBy(*keys).agg(F.min("error").alias("error")).withColumnsRenamed(renamed)
+    state = images.select(*keys).distinct().join(failed, [F.col(k).eqNullSafe(F.col(o)) for k, o in renamed.items()], "left")
+    results = merged.where("error IS NULL").drop("error").withColumnsRenamed(renamed)
+    told = state.drop(*own).join(
+        results, [*[F.col(k).eqNullSafe(F.col(o)) for k, o in renamed.items()], F.col("error").isNull()], "left"
+    )
+    status = F.when(F.col("error").isNull(), "done").otherwise("failed").alias("status")
+    return told.select(*keys, status, "error", *result_names)
 
 
 def retry_lineage(attempts: DataFrame, set_key: Sequence[str], order_by: Sequence[str], max_attempts: int | None = None) -> DataFrame:

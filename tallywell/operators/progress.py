@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallywell.functions.checks import require
 from tallywell.functions.numbers import minutes_between, percent
 
 _SITE = ["experiment", "well_name", "site_id"]
@@ -75,10 +76,23 @@ def experiment_progress(experiments: DataFrame, wells: DataFrame, processed: Dat
 
 
 def progress_matrix(scaffold: DataFrame, wells: Sequence[str]) -> DataFrame:
-    """One row per (experiment, site), one 0/1 column per well in ``wells``."""
+    """One row per (experiment, site), one 0/1 column per well in ``wells``; a well outside them fails the job."""
+    outside = F.concat(F.lit("not a well of the plate: "), F.col("well_name"))
+    scaffold = require(scaffold, F.col("well_name").isin(*wells), outside)
     return scaffold.groupBy("experiment", "site_id").pivot("well_name", list(wells)).agg(F.max("processed"))
 
 
+def batch_list(batches: DataFrame, marks: DataFrame, initial: str = "registered") -> DataFrame:
+    """(experiment, batchid, status, start_time, end_time) of all batches; ``marks`` as from ``fold_status``.
+
+    A batch without marks has the initial status and no times.
+    """
+    key = ["experiment", "batchid"]
+    told = marks.select(*key, "status", "start_time", "end_time")
+    listed = batches.select(*key).distinct().join(told, key, "left")
+    return listed.withColumn("status", F.coalesce("status", F.lit(initial)))
+
+
 def throughput_report(batches: DataFrame, units: str, workers: str, start: str = "start", end: str = "end") -> DataFrame:
     """Duration in minutes, units per minute, and the same per worker."""
     minutes = minutes_between(F.col(start), F.col(end))

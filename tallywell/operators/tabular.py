@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywell.functions.numbers import integer_or_null
+from tallywell.functions.numbers import integer_text
 from tallywell.functions.text import strip
 
 
@@ -70,11 +70,10 @@ def mode_where(df: DataFrame, condition: Column, key: str) -> DataFrame:
 
 
 def id_difference(left: DataFrame, right: DataFrame, column: str = "value") -> DataFrame:
-    """Distinct integer ids of ``left`` that ``right`` lacks; lines that hold no integer are ignored."""
+    """Distinct integer ids of ``left`` that ``right`` lacks, as canonical digits of any length; other lines are ignored."""
 
     def ids(frame: DataFrame) -> DataFrame:
-        number = integer_or_null(strip(F.col(column)))
-        return frame.select(number.alias("id")).where(F.col("id").isNotNull()).distinct()
+        return frame.select(integer_text(strip(F.col(column))).alias("id")).where(F.col("id").isNotNull()).distinct()
 
     # Repeats go before the join, so an id that fills a third of the lines is one row in it.
     return ids(left).join(ids(right), "id", "left_anti")

@@ -47,17 +47,29 @@ def lookup_layout(projects: DataFrame, experiments: DataFrame, project: str, exp
     return only_value(found, "compound_layout_path", f"experiment {project}/{experiment}")
 
 
+def lookup_with_reason(df: DataFrame, dimension: DataFrame, on: Sequence[str], take: Sequence[str]) -> DataFrame:
+    """``df`` with the columns ``take`` of a many-to-one lookup, and ``reason``: null, or why there is no match.
+
+    One frame, so the join runs once. A key that the dimension holds more than once fails the job instead of
+    multiplying rows.
+    """
+    name = F.concat_ws("/", *[F.col(c).cast("string") for c in on])
+    single = dimension.groupBy(*on).agg(*[F.first(c).alias(c) for c in take], F.count("*").alias("_n"))
+    single = require(single, F.col("_n") == 1, F.concat(F.lit("more than one row for "), name))
+    joined = df.join(single, list(on), "left")
+    reason = F.when(F.col("_n").isNull(), F.concat(F.lit("not found: "), name))
+    return joined.withColumn("reason", reason).drop("_n")
+
+
 def lookup_or_reject(
     df: DataFrame, dimension: DataFrame, on: Sequence[str], take: Sequence[str], strict: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """(matched, rejected) rows of a many-to-one lookup; ``strict`` fails on the first reject."""
-    dim = dimension.select(*on, *take, F.lit(True).alias("_found"))
-    joined = df.join(dim, list(on), "left")
-    missing = F.col("_found").isNull()
+    joined = lookup_with_reason(df, dimension, on, take)
+    found = F.col("reason").isNull()
     if strict:
-        key = F.concat_ws("/", *[F.col(c).cast("string") for c in on])
-        return require(joined, ~missing, F.concat(F.lit("not found: "), key)).drop("_found"), df.limit(0)
-    return joined.where(~missing).drop("_found"), joined.where(missing).select(*df.columns)
+        return require(joined, found, F.col("reason")).drop("reason"), df.limit(0)
+    return joined.where(found).drop("reason"), joined.where(~found).select(*df.columns)
 
 
 def upsert_dimension(dimension: DataFrame, incoming: DataFrame, key: str, extra: Sequence[str] = ()) -> DataFrame:
@@ -166,7 +178,7 @@ def experiment_channels(documents: DataFrame, channels: DataFrame) -> tuple[Data
         F.col("_config.AnalogGain").alias("analog_gain"),
         F.col("_config.IlluminationIntensity").alias("illumination_strength"),
     )
-    dim = F.broadcast(channels.select("name", F.col("id").alias("channelid")))  # eight rows by construction
+    dim = channels.select("name", F.col("id").alias("channelid"))
     joined = listed.join(dim, "name", "left")
     good = F.col("_configured") & F.col("channelid").isNotNull()
     rejected = joined.where(~good).select(
@@ -178,6 +190,17 @@ def experiment_channels(documents: DataFrame, channels: DataFrame) -> tuple[Data
     return joined.where(good).drop("_configured"), rejected
 
 
+def stored_channel_rejects(documents: DataFrame, channels: DataFrame) -> DataFrame:
+    """(project_name, experiment_name, name): channels that documents of stored experiments ask for and that those lack.
+
+    ``channels`` has (project_name, experiment_name, name) of the stored experiments; others are not looked at.
+    """
+    experiment = ["project_name", "experiment_name"]
+    asked = documents.join(channels.select(*experiment).distinct(), experiment, "left_semi")
+    listed = asked.select(*experiment, F.explode("channels_ordered").alias("name")).distinct()
+    return listed.join(channels, [*experiment, "name"], "left_anti")
+
+
 def resolve_sites(requests: DataFrame, sites: DataFrame, strict: bool = False) -> DataFrame:
     """(experiment, well, site) requests with the id of the stored site; null where there is none.
 
@@ -223,11 +246,16 @@ def unnamed_images(files: DataFrame, path: str = "path") -> DataFrame:
     return files.where(~F.coalesce(names.is_image(F.col(path)), F.lit(False)))
 
 
-def ingest_images(files: DataFrame, wells: DataFrame, channels: DataFrame, bucket: str, path: str = "path") -> DataFrame:
-    """Image rows with storage path, well and channel ids, and ``reason``: null, or why the row is rejected.
+def ingest_images(
+    files: DataFrame, wells: DataFrame, channels: DataFrame, plates: DataFrame, bucket: str, path: str = "path"
+) -> DataFrame:
+    """Image rows with storage path, plate, well and channel ids, and ``reason``: null, or why the row is rejected.
 
-    ``files`` has (project_name, experiment_name, plate_type, path).
+    ``files`` has (project_name, experiment_name, plate_type, path); ``channels`` the channels of each experiment (id,
+    project_name, experiment_name, name), so one that the experiment lacks is rejected; ``plates`` the plate of each
+    experiment (project_name, experiment_name, plateid).
     """
+    experiment = ["project_name", "experiment_name"]
     parts = F.when(names.is_image(F.col(path)), names.image_parts(F.col(path)))
     split = files.withColumn("_parts", parts)
     parsed = split.select(*files.columns, *names.image_fields(F.col("_parts")))
@@ -235,15 +263,20 @@ def ingest_images(files: DataFrame, wells: DataFrame, channels: DataFrame, bucke
         F.lit(bucket), F.col("project_name"), F.col("experiment_name"), names.sanitize(names.base_name(F.col(path)))
     )
     well_dim = wells.select("plate_type", F.col("well_name").alias("well"), F.col("id").alias("wellid"))
-    channel_dim = F.broadcast(channels.select(F.col("name").alias("channel"), F.col("id").alias("channelid")))
-    joined = parsed.join(well_dim, ["plate_type", "well"], "left").join(channel_dim, "channel", "left")
+    channel_dim = channels.select(*experiment, F.col("name").alias("channel"), F.col("id").alias("experimentchannelid"))
+    joined = (
+        parsed.join(well_dim, ["plate_type", "well"], "left")
+        .join(channel_dim, [*experiment, "channel"], "left")
+        .join(plates.select(*experiment, "plateid"), experiment, "left")
+    )
     reason = (
         F.when(F.col("well").isNull(), "not an image name")
+        .when(F.col("plateid").isNull(), "unknown experiment")
         .when(F.col("wellid").isNull(), "unknown well")
-        .when(F.col("channelid").isNull(), "unknown channel")
+        .when(F.col("experimentchannelid").isNull(), "unknown channel")
     )
     return joined.select(
-        "project_name", "experiment_name", path, stored.alias("s3path"), "well", "wellid", "channel", "channelid",
+        *experiment, path, "plateid", stored.alias("s3path"), "well", "wellid", "channel", "experimentchannelid",
         "site", "site_x", "site_y", "site_z", F.lit(1).alias("site_t"), reason.alias("reason"),
     )
 
@@ -276,3 +309,14 @@ def ingest_batch_results(results: DataFrame, sites: DataFrame, batches: DataFram
     return resolved.select(
         "experiment", "batchid", "well", "site", F.when(F.col("_known"), F.col("siteid")).alias("siteid"), reason.alias("reason")
     )
+
+
+def ingest_batch_files(files: DataFrame, batches: DataFrame) -> DataFrame:
+    """(experiment, batchid, s3path, filename, reason): result files of batches, each path once.
+
+    ``reason`` is null, or why the row is rejected.
+    """
+    known = batches.select("experiment", "batchid", F.lit(True).alias("_known"))
+    listed = files.select("experiment", "batchid", "s3path", "filename").distinct()
+    reason = F.when(F.col("_known").isNull(), "unknown batch")
+    return listed.join(known, ["experiment", "batchid"], "left").withColumn("reason", reason).drop("_known")

@@ -41,7 +41,7 @@ def first_letter_count(spark, sf_dir):
 
 
 def strip_lines(spark, sf_dir):
-    padded = doc_lines(spark, sf_dir).withColumn("line", F.concat(F.lit(" \t"), "line", F.lit("\n ")))
+    padded = doc_lines(spark, sf_dir).withColumn("line", F.concat(F.lit(" \t\u00a0"), "line", F.lit("\n \u2003")))
     return padded.select("doc_id", "pos", text.strip(F.col("line")).alias("line"))
 
 
@@ -53,12 +53,11 @@ def row_count(spark, sf_dir):
 
 
 def count_match(spark, sf_dir):
-    lines = doc_lines(spark, sf_dir)
-    return counts.count_match(lines, lines.withColumn("tokens", text.lower_tokens(F.col("line"))))
+    return counts.count_match(doc_lines(spark, sf_dir, "de"), doc_lines(spark, sf_dir, "fr"))
 
 
 def line_index(spark, sf_dir):
-    return indexing.index_rows(doc_lines(spark, sf_dir, "de"), ["doc_id", "pos"]).select("doc_id", "pos", "idx")
+    return indexing.index_rows(doc_lines(spark, sf_dir), ["doc_id", "pos"]).select("doc_id", "pos", "idx")
 
 
 def _aligned(spark, sf_dir):
@@ -85,8 +84,11 @@ def word_pair_count(spark, sf_dir):
 def id_difference(spark, sf_dir):
     from tallywell.operators.tabular import id_difference as difference
 
-    orders = table(spark, sf_dir, "orders").select(F.concat("o_orderkey", F.lit(" ")).alias("value"))
-    items = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("value"))
+    # Long ids with leading zeros on one side: 24 digits, equal numbers in different spellings.
+    long_id = F.concat(F.lit("900000000000000000"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0"))
+    orders = table(spark, sf_dir, "orders").select(F.concat(F.lit("\u00a0000"), long_id, F.lit(" ")).alias("value"))
+    item_id = F.concat(F.lit("+900000000000000000"), F.lpad(F.col("l_orderkey").cast("string"), 8, "0"))
+    items = table(spark, sf_dir, "lineitem").select(item_id.alias("value"))
     junk = table(spark, sf_dir, "events").select(F.col("event_type").alias("value"))
     return difference(orders.unionByName(junk), items.unionByName(junk))
 
@@ -120,19 +122,19 @@ ORACLE = {
     "mr_word_count": f"SELECT word, count(*) AS n FROM (SELECT {_SQL_WORDS} AS word FROM documents) GROUP BY word",
     "first_letter_count": f"""SELECT lower(substr(word, 1, 1)) AS letter, count(*) AS n
       FROM (SELECT {_SQL_WORDS} AS word FROM documents) GROUP BY 1""",
-    "strip_lines": f"WITH {sql_lines('lines')} SELECT doc_id, pos, trim(line, ' ' || chr(9) || chr(10)) AS line FROM lines",
+    "strip_lines": f"WITH {sql_lines('lines')} SELECT doc_id, pos, trim(line, ' ' || chr(9) || chr(10) || chr(160) || chr(8195)) AS line FROM lines",
     "row_count": f"""WITH {sql_lines('de', 'de')}, {sql_lines('fr', 'fr')}
       SELECT 'de' AS table_name, count(*) AS n FROM de UNION ALL SELECT 'fr', count(*) FROM fr
       UNION ALL SELECT 'documents', count(*) FROM documents UNION ALL SELECT 'lineitem', count(*) FROM lineitem""",
-    "count_match": f"""WITH {sql_lines('lines')}
-      SELECT count(*) AS left_count, count(string_split(lower(line), ' ')) AS right_count,
-             count(*) = count(string_split(lower(line), ' ')) AS same FROM lines""",
-    "line_index": f"""WITH {sql_lines('de', 'de')}
-      SELECT doc_id, pos, row_number() OVER (ORDER BY doc_id, pos) - 1 AS idx FROM de""",
+    "count_match": f"""WITH {sql_lines('de', 'de')}, {sql_lines('fr', 'fr')}
+      SELECT (SELECT count(*) FROM de) AS left_count, (SELECT count(*) FROM fr) AS right_count,
+             (SELECT count(*) FROM de) = (SELECT count(*) FROM fr) AS same""",
+    "line_index": f"""WITH {sql_lines('lines')}
+      SELECT doc_id, pos, row_number() OVER (ORDER BY doc_id, pos) - 1 AS idx FROM lines""",
     "aligned_lines": f"{_ALIGNED} SELECT * FROM aligned",
     "pair_filter": f"{_ALIGNED} SELECT idx, len(l)::INTEGER AS n_words, array_to_string(l, ' ') AS left_line FROM kept",
     "aligned_word_pairs": f"{_ALIGNED} SELECT * FROM words",
     "word_pair_count": f"{_ALIGNED} SELECT left_word, right_word, count(*) AS n FROM words GROUP BY ALL",
-    "id_difference": """SELECT DISTINCT o_orderkey AS id FROM orders
+    "id_difference": """SELECT DISTINCT '900000000000000000' || lpad(o_orderkey::VARCHAR, 8, '0') AS id FROM orders
       WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
 }

@@ -12,6 +12,7 @@ from tallywell.session import table
 from tallywell.storage import fresh_path
 
 VECTOR_SIZE = 64
+PART_SIZE = VECTOR_SIZE // 2  # features of a nucleus, and of its cytoplasm
 
 
 def _cells(spark, sf_dir):
@@ -22,12 +23,12 @@ def _cells(spark, sf_dir):
 
 
 def _nucleus(cells):
-    values = [F.get("embedding", F.lit(i)).cast("double").alias(f"f{i}") for i in range(4)]
+    values = [F.get("embedding", F.lit(i)).cast("double").alias(f"f{i}") for i in range(PART_SIZE)]
     return cells.select("Metadata_Well", "Metadata_Site", F.col("vec_id").alias("ObjectNumber"), *values)
 
 
 def _cytoplasm(cells):
-    values = [F.get("embedding", F.lit(i + 32)).cast("double").alias(f"f{i}") for i in range(4)]
+    values = [F.get("embedding", F.lit(i + PART_SIZE)).cast("double").alias(f"f{i}") for i in range(PART_SIZE)]
     found = cells.where(F.get("embedding", F.lit(0)) > 0)  # not every nucleus has a cytoplasm
     return found.select(
         "Metadata_Well", "Metadata_Site", (F.col("vec_id") + 1_000_000).alias("ObjectNumber"),
@@ -79,10 +80,10 @@ def _store_results(spark, sf_dir):
     return root, files
 
 
+_CSV_FEATURES = ", ".join(f"f{i} double" for i in range(PART_SIZE))
 _CSV = {
-    "nucleus": "Metadata_Well string, Metadata_Site int, ObjectNumber bigint, f0 double, f1 double, f2 double, f3 double",
-    "cytoplasm": "Metadata_Well string, Metadata_Site int, ObjectNumber bigint, Parent_nucleus bigint, "
-    "f0 double, f1 double, f2 double, f3 double",
+    "nucleus": f"Metadata_Well string, Metadata_Site int, ObjectNumber bigint, {_CSV_FEATURES}",
+    "cytoplasm": f"Metadata_Well string, Metadata_Site int, ObjectNumber bigint, Parent_nucleus bigint, {_CSV_FEATURES}",
 }
 _FOLDERS = "screen one/plate+1/*"
 
@@ -90,14 +91,16 @@ _FOLDERS = "screen one/plate+1/*"
 def merge_frames(spark, sf_dir):
     root, files = _store_results(spark, sf_dir)
     frames = ft.merge_frames(spark, root, _FOLDERS, files, _CSV)
-    named = [frame.select(F.lit(stem).alias("stem"), "ObjectNumber", "Metadata_Site", "f3") for stem, frame in frames.items()]
+    features = [f"f{i}" for i in range(PART_SIZE)]
+    named = [frame.select(F.lit(stem).alias("stem"), "ObjectNumber", "Metadata_Site", *features) for stem, frame in frames.items()]
     return named[0].unionByName(named[1])
 
 
 def reduce_experiment(spark, sf_dir):
     root, files = _store_results(spark, sf_dir)
     reduced = ft.reduce_experiment(spark, root, _FOLDERS, files, _layout(spark, sf_dir))
-    return reduced.select("ObjectNumber", "Metadata_Well", "compound", "component_1", "component_2")
+    placed = F.col("component_1").isNotNull() & F.col("component_2").isNotNull()
+    return reduced.select("ObjectNumber", "Metadata_Well", "compound", placed.alias("placed"))
 
 
 def reduce_features(spark, sf_dir):
@@ -105,13 +108,24 @@ def reduce_features(spark, sf_dir):
     wide = table(spark, sf_dir, "embeddings").select(
         "vec_id", *[F.get("embedding", F.lit(i)).alias(c) for i, c in enumerate(columns)]
     )
-    return ft.reduce_features(wide, columns).select("vec_id", "component_1", "component_2")
+    one, two = F.col("component_1"), F.col("component_2")
+    # What holds for principal components whatever the solver: centred, uncorrelated, of falling variance.
+    return ft.reduce_features(wide, columns).agg(
+        F.count("*").alias("n"), F.count(one + two).alias("placed"),
+        ((F.abs(F.avg(one)) < 1e-6) & (F.abs(F.avg(two)) < 1e-6)).alias("centred"),
+        (F.abs(F.corr(one, two)) < 1e-6).alias("uncorrelated"),
+        ((F.var_samp(one) >= F.var_samp(two)) & (F.var_samp(two) > 0)).alias("falling"),
+    )
 
 
 def nearest_reference(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
-    asked = vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
-    known = vectors.select(F.col("vec_id").alias("ref_id"), F.col("embedding").alias("vector"))
+    asked = vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("vector"))
+    # The known compounds are the profiles of the labels: as many as the library has, however many cells are asked for.
+    profiles = ft.group_profiles(vectors, "label", "embedding", VECTOR_SIZE)
+    known = profiles.groupBy(F.col("label").cast("bigint").alias("ref_id")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("pos", "mean"))), lambda x: x["mean"]).alias("vector")
+    )
     found = nearest.nearest_references(asked, known, k=3)
     return found.withColumn("distance2", F.round("distance2", 6))
 
@@ -139,7 +153,7 @@ _SQL_CELLS = f"""cells AS (
 
 
 def _values(offset: int, prefix: str) -> str:
-    return ", ".join(f'embedding[{offset + i + 1}]::DOUBLE AS "{prefix}f{i}"' for i in range(4))
+    return ", ".join(f'embedding[{offset + i + 1}]::DOUBLE AS "{prefix}f{i}"' for i in range(PART_SIZE))
 
 
 ORACLE = {
@@ -147,18 +161,26 @@ ORACLE = {
       SELECT "Metadata_Well", "Metadata_Site" AS "nucleus_Metadata_Site", vec_id AS "ObjectNumber", {_values(0, 'nucleus_')} FROM cells""",
     "join_cell_parts": f"""WITH {_SQL_CELLS}
       SELECT "Metadata_Well", "Metadata_Site", vec_id AS "ObjectNumber", {_values(0, 'nucleus_')},
-             vec_id + 1000000 AS "cytoplasm_ObjectNumber", {_values(32, 'cytoplasm_')} FROM cells WHERE embedding[1] > 0""",
+             vec_id + 1000000 AS "cytoplasm_ObjectNumber", {_values(PART_SIZE, 'cytoplasm_')} FROM cells WHERE embedding[1] > 0""",
     "attach_compounds": f"""WITH {_SQL_CELLS}
       SELECT vec_id AS "ObjectNumber", "Metadata_Well", CASE WHEN label <> 9 THEN 'c' || label END AS compound,
              CASE WHEN label <> 9 THEN label % 2 = 0 END AS is_reference, embedding[1]::DOUBLE AS nucleus_f0
       FROM cells WHERE embedding[1] > 0""",
     "merge_frames": f"""WITH {_SQL_CELLS}
-      SELECT 'nucleus' AS stem, vec_id AS "ObjectNumber", "Metadata_Site", embedding[4]::DOUBLE AS f3 FROM cells
-      UNION ALL SELECT 'cytoplasm', vec_id + 1000000, "Metadata_Site", embedding[36]::DOUBLE FROM cells WHERE embedding[1] > 0""",
-    "nearest_reference": """WITH d AS (
-        SELECT q.vec_id AS query_id, r.vec_id AS ref_id,
-               list_sum(list_transform(range(1, 65), lambda i: pow(q.embedding[i]::DOUBLE - r.embedding[i]::DOUBLE, 2))) AS distance2
-        FROM embeddings q, embeddings r),
+      SELECT 'nucleus' AS stem, vec_id AS "ObjectNumber", "Metadata_Site", {_values(0, '')} FROM cells
+      UNION ALL SELECT 'cytoplasm', vec_id + 1000000, "Metadata_Site", {_values(PART_SIZE, '')} FROM cells WHERE embedding[1] > 0""",
+    "reduce_features": """SELECT count(*) AS n, count(*) AS placed, true AS centred, true AS uncorrelated, true AS falling
+      FROM embeddings""",
+    "reduce_experiment": f"""WITH {_SQL_CELLS}
+      SELECT vec_id AS "ObjectNumber", "Metadata_Well", CASE WHEN label <> 9 THEN 'c' || label END AS compound, true AS placed
+      FROM cells WHERE embedding[1] > 0""",
+    "nearest_reference": """WITH values AS (
+        SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS v FROM embeddings),
+      profiles AS (SELECT label, list(m ORDER BY i) AS profile FROM (SELECT label, i, avg(v) AS m FROM values GROUP BY ALL) GROUP BY label),
+      d AS (
+        SELECT vec_id AS query_id, p.label::BIGINT AS ref_id,
+               list_sum(list_transform(range(1, 65), lambda i: pow(embedding[i]::DOUBLE - profile[i], 2))) AS distance2
+        FROM embeddings, profiles p),
       ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance2, ref_id) AS rank FROM d)
       SELECT query_id, ref_id, round(distance2, 6) AS distance2, rank::INTEGER AS rank FROM ranked WHERE rank <= 3""",
     "group_profiles": """SELECT label, pos, round(avg(v), 7) AS mean FROM (

@@ -10,7 +10,7 @@ from tallywell.session import TABLES, table
 from tallywell.sources import experiments as ex
 from tallywell.sources import lines as line_sources
 from tallywell.sources import sinks, tables
-from tallywell.storage import fresh_path, write_partitioned
+from tallywell.storage import fresh_path, materialize, write_partitioned
 
 
 def scan_lines(spark, sf_dir):
@@ -45,8 +45,7 @@ def scan_csv_typed(spark, sf_dir):
 
 
 def scan_parquet(spark, sf_dir):
-    items = tables.scan_parquet(spark, f"{sf_dir}/lineitem.parquet")
-    return items.where(F.col("l_quantity") >= 45).select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return tables.scan_parquet(spark, f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_extendedprice")
 
 
 def scan_by_suffix(spark, sf_dir):
@@ -63,8 +62,8 @@ def scan_experiment_json(spark, sf_dir):
     root = fresh_path(spark, "experiments")
     documents = experiment_documents(spark, sf_dir).drop("experiment_name")
     body = F.to_json(F.struct(*[c for c in documents.columns if c != "document"]), {"pretty": "true"})
-    documents.select("document", body.alias("value")).write.partitionBy("document").text(root)
-    scanned = ex.scan_experiments(spark, f"{root}/*")
+    documents.select(body.alias("value")).write.option("maxRecordsPerFile", 1).text(root)  # one file per document
+    scanned = ex.scan_experiments(spark, root)
     return scanned.select(
         "project_name", "experiment_name", "plate_type", "microscope_name", "timestamp",
         F.col("grid_config.x.N").alias("nx"), F.col("grid_config.t.d").alias("step_t"),
@@ -74,11 +73,10 @@ def scan_experiment_json(spark, sf_dir):
 
 def scan_images(spark, sf_dir):
     root = fresh_path(spark, "objects")
-    pages = table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("value"))
-    pages.write.partitionBy("page_id").text(root)
-    page = F.regexp_extract("path", r"/page_id=(\d+)/", 1).cast("bigint")
+    pages = table(spark, sf_dir, "pages").select(F.col("html").alias("value"))
+    pages.write.option("maxRecordsPerFile", 1).text(root)  # one object per page
     # Text files end with a newline, which belongs to the object but not to the page.
-    return ex.scan_images(spark, root).select(page.alias("page_id"), (F.col("length") - 1).alias("n_bytes"))
+    return ex.scan_images(spark, root).select((F.col("length") - 1).alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
 
 
 def sql_query(spark, sf_dir):
@@ -110,7 +108,14 @@ def gen_well_grid(spark, sf_dir):
 
 
 def preview_tables(spark, sf_dir):
-    return row_counts(tables.preview_tables({name: table(spark, sf_dir, name) for name in TABLES}, 5))
+    whole = {name: table(spark, sf_dir, name) for name in TABLES}
+    previews = {name: materialize(rows, "preview") for name, rows in tables.preview_tables(whole, 5).items()}
+    # Previewed rows that the table really holds.
+    held = {
+        name: rows.alias("p").join(whole[name].alias("w"), [F.col(f"p.{c}").eqNullSafe(F.col(f"w.{c}")) for c in rows.columns], "left_semi")
+        for name, rows in previews.items()
+    }
+    return row_counts(previews).join(row_counts(held).withColumnRenamed("n", "held"), "table_name")
 
 
 def sink_csv_to_parquet(spark, sf_dir):
@@ -130,7 +135,7 @@ def scan_numbered_lines(spark, sf_dir):
     from tallywell.operators.indexing import index_file_lines
 
     path = fresh_path(spark, "numbered")
-    ordered = doc_lines(spark, sf_dir, "de").orderBy("doc_id", "pos")
+    ordered = doc_lines(spark, sf_dir).orderBy("doc_id", "pos")
     ordered.select(F.concat("doc_id", F.lit(":"), "pos").alias("value")).write.text(path)
     return index_file_lines(line_sources.scan_lines_with_position(spark, path)).select("value", "idx")
 
@@ -166,12 +171,12 @@ def _oracles() -> dict[str, str]:
         "scan_glob": _LINES,
         "scan_csv_header": "SELECT COLUMNS(*)::VARCHAR FROM customer",
         "scan_csv_typed": f"SELECT {', '.join(_ITEM_COLUMNS[:-1])}, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate FROM lineitem",
-        "scan_parquet": "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_quantity >= 45",
+        "scan_parquet": "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem",
         "scan_by_suffix": "SELECT p_partkey, p_name, p_retailprice, CASE WHEN p_size <= 25 THEN p_type END AS p_type FROM part",
         "scan_experiment_json": f"""WITH {SQL_DOCUMENTS}
           SELECT project_name, experiment_name, plate_type, microscope_name, start_text AS timestamp, nx, 5400.0::DOUBLE AS step_t,
                  (k % 7 + 3 + CASE WHEN k % 31 = 3 THEN 1 ELSE 0 END)::INTEGER AS n_wells, 18::INTEGER AS n_configs FROM docs""",
-        "scan_images": "SELECT page_id, octet_length(encode(html)) AS n_bytes FROM pages",
+        "scan_images": "SELECT octet_length(encode(html)) AS n_bytes, sha256(html || chr(10)) AS sha256 FROM pages",
         "sql_query": """SELECT l_returnflag, count(*) AS n, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue
           FROM lineitem WHERE l_quantity BETWEEN 10 AND 40 AND l_linestatus = 'O' GROUP BY l_returnflag""",
         "dim_channels": f"""WITH {SQL_IMAGES},
@@ -182,12 +187,12 @@ def _oracles() -> dict[str, str]:
             SELECT s_suppkey, {width} AS width, unnest(range(CASE WHEN s_suppkey % 2 = 0 THEN 96 ELSE 384 END)) AS i FROM supplier)
           SELECT s_suppkey, chr(65 + (i // width)::INTEGER) || lpad((i % width + 1)::VARCHAR, 2, '0') AS well_name FROM w""",
         "preview_tables": " UNION ALL ".join(
-            f"SELECT '{name}' AS table_name, least(5, count(*)) AS n FROM {name}" for name in TABLES
+            f"SELECT '{name}' AS table_name, least(5, count(*)) AS n, least(5, count(*)) AS held FROM {name}" for name in TABLES
         ),
         "sink_csv_to_parquet": """SELECT l_returnflag AS project, l_linestatus AS plate, l_linenumber AS batch, l_orderkey, l_quantity
           FROM lineitem""",
-        "scan_numbered_lines": f"""WITH {sql_lines('de', 'de')}
-          SELECT doc_id || ':' || pos AS value, row_number() OVER (ORDER BY doc_id, pos) - 1 AS idx FROM de""",
+        "scan_numbered_lines": f"""WITH {sql_lines('lines')}
+          SELECT doc_id || ':' || pos AS value, row_number() OVER (ORDER BY doc_id, pos) - 1 AS idx FROM lines""",
         "sink_partitioned": "SELECT event_type, event_id FROM events",
     }
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import functions as F
 
 from tallywell.functions import terms as tm
@@ -90,15 +88,11 @@ def sum_by_key(spark, sf_dir):
 
 
 def mr_term_job(spark, sf_dir):
-    word = re.compile(r"[^\W\d_]+")
-    wanted = frozenset(TERMS)
-
-    def emit(line):
-        yield "posts", 1
-        for term in {w.lower() for w in word.findall(line)} & wanted:
-            yield term, 1
-
-    return counts.map_count_lines(_originals(spark, sf_dir), emit, "text")
+    posts_read = _originals(spark, sf_dir)
+    # The mapper's emissions as an array per post: the post itself, then each term that it has.
+    keys = F.concat(F.array(F.lit("posts")), tm.distinct_terms(F.col("text"), TERMS))
+    emitted = posts_read.select(F.explode(keys).alias("key")).withColumn("count", F.lit(1).cast("bigint"))
+    return counts.sum_by_key(emitted)
 
 
 def scan_tsv_kv(spark, sf_dir):

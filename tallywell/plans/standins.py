@@ -74,7 +74,11 @@ def image_columns() -> dict[str, Column]:
         well, F.lit("_s"), site, F.lit("_x"), site % 2, F.lit("_y"), F.floor(site / 2) % 2, z, F.lit("_"),
         F.replace(channel, F.lit(" "), F.lit("_")), F.lit(".tif"),
     )
-    file = F.when(F.col("l_tax") == 0.08, F.concat(F.lit("snapshot-"), "l_orderkey", F.lit(".tif"))).otherwise(file)
+    # Names that are no images: snapshots, and names without a channel.
+    no_channel = F.concat(well, F.lit("_s"), site, F.lit("_x0_y0_.tif"))
+    snapshot = F.concat(F.lit("snapshot-"), "l_orderkey", F.lit(".tif"))
+    odd = F.when(F.col("l_orderkey") % 2 == 0, snapshot).otherwise(no_channel)
+    file = F.when(F.col("l_tax") == 0.08, odd).otherwise(file)
     return {"index": index, "well": well, "site": site, "channel": channel, "file": file}
 
 
@@ -105,7 +109,8 @@ image_files AS (
   SELECT *, CASE WHEN ok THEN well || '_s' || site || '_x' || site_x || '_y' || site_y
                    || CASE WHEN plane = 0 THEN '' ELSE '_z' || (plane + 1) END
                    || '_' || replace(channel, ' ', '_') || '.tif'
-                 ELSE 'snapshot-' || l_orderkey || '.tif' END AS file
+                 WHEN l_orderkey % 2 = 0 THEN 'snapshot-' || l_orderkey || '.tif'
+                 ELSE well || '_s' || site || '_x0_y0_.tif' END AS file
   FROM images),
 files AS (SELECT *, '/export/run ' || (l_orderkey % 10) || '/' || file AS path FROM image_files)"""
 
@@ -148,6 +153,24 @@ def stored_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select((F.col("experiment_wellid") * 10 + F.col("site_id")).alias("id"), "experiment_wellid", "site_id")
 
 
+def plates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(project_name, experiment_name, plateid): one plate per experiment."""
+    return table(spark, sf_dir, "supplier").select(
+        F.lit("screen").alias("project_name"), F.concat(F.lit("exp "), "s_suppkey").alias("experiment_name"),
+        (F.col("s_suppkey") + 5000).alias("plateid"),
+    )
+
+
+def stored_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, project_name, experiment_name, name): the channels of each experiment, all but one of the eight."""
+    named = F.posexplode(F.array(*[F.lit(c) for c in CHANNEL_NAMES])).alias("i", "name")
+    listed = table(spark, sf_dir, "supplier").select("s_suppkey", named).where(F.col("s_suppkey") % 8 != F.col("i"))
+    return listed.select(
+        (F.col("s_suppkey") * 100 + F.col("i")).alias("id"), F.lit("screen").alias("project_name"),
+        F.concat(F.lit("exp "), "s_suppkey").alias("experiment_name"), "name",
+    )
+
+
 def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(experiment, batchid, status): one batch per order and supplier."""
     items = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("experiment"), F.col("l_orderkey").alias("batchid"))

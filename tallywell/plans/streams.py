@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallywell.operators import progress
 from tallywell.operators.warehouse import parse_images
 from tallywell.plans import standins as st
 from tallywell.session import table
-from tallywell.storage import fresh_path
+from tallywell.schemas import STATUS_EVENT
+from tallywell.storage import append_rows, fresh_path
 from tallywell.streaming import batches as bt
 from tallywell.streaming import feed
 from tallywell.streaming.image_sets import complete_sets
@@ -15,11 +17,14 @@ from tallywell.streaming.image_sets import complete_sets
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
-def _as_stream(rows, label, files=6):
-    """Write ``rows`` as several files and open them as a stream that takes two at a time."""
+FILE_ROWS = 25_000
+
+
+def _as_stream(rows, label):
+    """Write ``rows`` as files of bounded size and open them as a stream that takes some at a time."""
     path = fresh_path(rows.sparkSession, label)
-    rows.repartition(files).write.parquet(path)
-    return feed.image_feed(rows.sparkSession, path, rows.schema, max_files=2)
+    rows.write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
+    return feed.image_feed(rows.sparkSession, path, rows.schema, max_files=16)
 
 
 def stream_images(spark, sf_dir):
@@ -77,6 +82,25 @@ def status_fold(spark, sf_dir):
     return _shown(bt.fold_status(_status_events(spark, sf_dir)))
 
 
+def batch_list(spark, sf_dir):
+    # Customers as batches; most have no events.
+    known = table(spark, sf_dir, "customer").select((F.col("c_custkey") % 10).alias("experiment"), F.col("c_custkey").alias("batchid"))
+    return _shown(progress.batch_list(known, bt.fold_status(_status_events(spark, sf_dir))))
+
+
+def status_marks(spark, sf_dir):
+    """Marks written as a table and folded with the events of before: each marked batch has the new status."""
+    root = fresh_path(spark, "marks")
+    events = _status_events(spark, sf_dir).withColumn("exit_code", F.lit(None).cast("int"))
+    columns = [part.split()[0] for part in STATUS_EVENT.split(", ")]
+    marked = events.where(F.col("status") == bt.UPLOADING).select("experiment", "batchid").distinct()
+    append_rows({"events": events.select(*columns)}, root)
+    append_rows({"events": bt.status_marks(marked, bt.DONE).select(*columns)}, root)
+    folded = bt.fold_status(spark.read.schema(STATUS_EVENT).parquet(f"{root}/events"))
+    recent = F.col("end_time") > F.current_timestamp() - F.expr("INTERVAL 1 DAY")
+    return folded.select("experiment", "batchid", "status", F.coalesce(recent, F.lit(False)).alias("marked_now"))
+
+
 def stream_status_fold(spark, sf_dir):
     folded = bt.fold_status(_as_stream(_status_events(spark, sf_dir), "status-feed"))
     return _shown(bt.latest(feed.drain_updates(folded, "status")))
@@ -84,16 +108,18 @@ def stream_status_fold(spark, sf_dir):
 
 def stream_experiment_done(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    sites = events.select(F.col("user_id").alias("experiment"), F.hour("ts").alias("site")).distinct()
+    sites = events.select(F.col("user_id").alias("experiment"), F.hour("ts").alias("site"))  # sites come again and again
     expected = events.select(F.col("user_id").alias("experiment")).distinct().withColumn("expected_sites", F.lit(24))
     counts = bt.finished_experiments(_as_stream(sites, "site-feed"), expected)
-    return feed.drain_updates(counts, "finished", bt.just_finished).select("experiment", "n_sites")
+    done = feed.drain_updates(counts, "finished", bt.just_finished, once=["experiment"])
+    return done.select("experiment", "n_sites")
 
 
 QUERIES = {
     f.__name__: f
     for f in (
-        stream_images, stream_complete_sets, register_batches, status_fold, stream_status_fold, stream_experiment_done,
+        stream_images, stream_complete_sets, register_batches, status_fold, batch_list, status_marks, stream_status_fold,
+        stream_experiment_done,
     )
 }
 
@@ -120,6 +146,11 @@ ORACLE = {
       FROM r WHERE spent IS NULL OR spent > 10""",
     "status_fold": _FOLD,
     "stream_status_fold": _FOLD,
+    "batch_list": f"""SELECT c_custkey % 10 AS experiment, c_custkey AS batchid, coalesce(status, 'registered') AS status, start_time, end_time
+      FROM customer LEFT JOIN ({_FOLD}) ON c_custkey = batchid AND c_custkey % 10 = experiment""",
+    "status_marks": f"""WITH marked AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'click')
+      SELECT experiment, batchid, CASE WHEN user_id IS NULL THEN status ELSE 'done' END AS status, user_id IS NOT NULL AS marked_now
+      FROM ({_FOLD}) LEFT JOIN marked ON batchid = user_id""",
     "stream_experiment_done": """SELECT user_id AS experiment, count(DISTINCT hour(ts)) AS n_sites FROM events
       GROUP BY user_id HAVING count(DISTINCT hour(ts)) = 24""",
 }

@@ -119,12 +119,12 @@ def site_grid(spark, sf_dir):
 def _file_paths(spark, sf_dir):
     suffixes = F.array(*[F.lit(s) for s in (".tif", ".CSV", ".json", ".tar.gz", "", ".bin", ".HTML")])
     ending = F.element_at(suffixes, (F.col("p_partkey") % 7 + 1).cast("int"))
-    path = F.concat(F.lit("bucket-"), F.col("p_partkey") % 3, F.lit("/"), "p_brand", F.lit("/"), "p_name", F.lit(" ("), "p_partkey", F.lit(")é_"), ending)
+    path = F.concat(F.lit("bucket-"), F.col("p_partkey") % 3, F.lit("/"), "p_brand", F.lit("/"), "p_name", F.lit(" ("), "p_partkey", F.lit(")é\\_"), ending)
     return table(spark, sf_dir, "part").select("p_partkey", "p_brand", path.alias("path"))
 
 
 _SQL_PATHS = """paths AS (
-  SELECT p_partkey, p_brand, 'bucket-' || (p_partkey % 3) || '/' || p_brand || '/' || p_name || ' (' || p_partkey || ')é_'
+  SELECT p_partkey, p_brand, 'bucket-' || (p_partkey % 3) || '/' || p_brand || '/' || p_name || ' (' || p_partkey || ')é\\_'
          || list_extract(['.tif', '.CSV', '.json', '.tar.gz', '', '.bin', '.HTML'], (p_partkey % 7 + 1)::INTEGER) AS path
   FROM part)"""
 _SQL_SUFFIX = "regexp_extract(path, '(\\.[^./]+)$', 1)"
@@ -178,7 +178,9 @@ def concat_columns(spark, sf_dir):
 
 
 def partition_rows(spark, sf_dir):
-    return tabular.partition_rows(table(spark, sf_dir, "lineitem"))
+    # How rows lie in partitions is up to the reader; what holds anywhere is that each row is in one of them.
+    found = tabular.partition_rows(table(spark, sf_dir, "lineitem"))
+    return found.agg(F.sum("n").alias("n"), (F.count("*") == F.count_distinct("partition")).alias("once"))
 
 
 QUERIES = {
@@ -236,10 +238,11 @@ ORACLE = {
     "path_parts": f"""WITH {_SQL_PATHS}
       SELECT p_partkey, {_SQL_BASE} AS base, {_SQL_BASE}[:len({_SQL_BASE}) - len({_SQL_SUFFIX})] AS stem, {_SQL_SUFFIX} AS suffix,
              split_part(path, '/', 1) AS bucket, substr(path, strpos(path, '/') + 1) AS object_key FROM paths""",
+    "partition_rows": "SELECT count(*) AS n, true AS once FROM lineitem",
     "build_paths": f"""WITH {_SQL_PATHS}
       SELECT p_partkey, 'store/' || p_brand || '/' || p_partkey || '/' || {_SQL_BASE} AS built FROM paths""",
     "sanitize_name": f"""WITH {_SQL_PATHS}
-      SELECT p_partkey, trim(regexp_replace(replace({_SQL_BASE}, ' ', '_'), '[^A-Za-z0-9_.-]', '', 'g'), '._') AS safe FROM paths""",
+      SELECT p_partkey, trim(regexp_replace(replace(strip_accents({_SQL_BASE}), ' ', '_'), '[^A-Za-z0-9_.-]', '', 'g'), '._') AS safe FROM paths""",
     "mime_type": f"""WITH {_SQL_PATHS}
       SELECT p_partkey, CASE lower({_SQL_SUFFIX}) WHEN '.tif' THEN 'image/tiff' WHEN '.csv' THEN 'text/csv'
         WHEN '.json' THEN 'application/json' WHEN '.html' THEN 'text/html' ELSE 'application/octet-stream' END AS media_type

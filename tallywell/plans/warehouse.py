@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywell.operators import image_sets as sets
 from tallywell.operators import progress, warehouse
 from tallywell.operators.features import route_result_files as route_files
 from tallywell.plans import standins as st
 from tallywell.session import table
+from tallywell.schemas import TABLES
 from tallywell.sources import experiments as ex
-from tallywell.storage import materialize
+from tallywell.sources.tables import union_frames
+from tallywell.storage import append_rows, fresh_path, materialize
+from tallywell.streaming.feed import read_or_empty
 
 
 def _projects(spark, sf_dir):
@@ -59,14 +63,20 @@ def ingest_experiment(spark, sf_dir):
     rows, _ = warehouse.ingest_experiments(documents, st.existing_experiments(spark, sf_dir), ex.dim_plate_types(spark))
     rows = materialize(rows, "new-experiments")  # read once per dimension and once more at the end
     dims = {}
-    for column, id_name in (("microscope", "microscopeid"), ("objective", "objectiveid")):
-        stored = rows.sparkSession.createDataFrame([(1, "scope-0")] if column == "microscope" else [(1, "20x")], f"id bigint, {column} string")
+    nations = table(spark, sf_dir, "nation").where(F.col("n_regionkey") == 0)
+    stored_before = {
+        "project_name": ("projectid", nations.select(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("project_name"))),
+        "barcode": ("plateid", spark.createDataFrame([], "id bigint, barcode string")),
+        "microscope": ("microscopeid", spark.createDataFrame([(1, "scope-0")], "id bigint, microscope string")),
+        "objective": ("objectiveid", spark.createDataFrame([(1, "20x")], "id bigint, objective string")),
+    }
+    for column, (id_name, stored) in stored_before.items():
         new = warehouse.upsert_dimension(stored, rows, column)
         dims[column] = (stored.unionByName(new), column, id_name)
     rows = warehouse.with_surrogate_ids(rows, dims)
     rounded = [F.round(c, 9).alias(c) for c in ("delta_x_mm", "delta_y_mm", "delta_z_um", "delta_t_h")]
     return rows.select(
-        "project_name", "name", "compound_layout_path", "barcode", "platetypeid", "microscopeid", "objectiveid",
+        "projectid", "name", "compound_layout_path", "plateid", "platetypeid", "microscopeid", "objectiveid",
         "num_images_x", "num_images_y", "num_images_z", "num_images_t", *rounded,
         F.date_format("start_time", "yyyy-MM-dd HH:mm:ss").alias("start_time"),
     )
@@ -94,8 +104,10 @@ def _files(spark, sf_dir):
 
 
 def ingest_images(spark, sf_dir):
-    rows = warehouse.ingest_images(_files(spark, sf_dir), _plate_type_wells(spark, sf_dir), ex.dim_channels(spark), "images")
-    columns = ["s3path", "wellid", "channelid", "site", "site_x", "site_y", "site_z"]
+    rows = warehouse.ingest_images(
+        _files(spark, sf_dir), _plate_type_wells(spark, sf_dir), st.stored_channels(spark, sf_dir), st.plates(spark, sf_dir), "images"
+    )
+    columns = ["plateid", "s3path", "wellid", "experimentchannelid", "site", "site_x", "site_y", "site_z"]
     kept = [F.when(F.col("reason").isNull(), F.col(c)).alias(c) for c in columns]
     return rows.select("path", *kept, "reason")
 
@@ -110,6 +122,35 @@ def ingest_batch_results(spark, sf_dir):
     return warehouse.ingest_batch_results(results, _sites(spark, sf_dir), st.batches(spark, sf_dir))
 
 
+def ingest_batch_files(spark, sf_dir):
+    # Files of batches, some recorded under a batch that is not there.
+    files = st.batch_files(spark, sf_dir)
+    lost = F.when(F.col("batchid") % 50 == 0, -F.col("batchid")).otherwise(F.col("batchid"))
+    return warehouse.ingest_batch_files(files.withColumn("batchid", lost), st.batches(spark, sf_dir))
+
+
+def stored_channel_rejects(spark, sf_dir):
+    stored = warehouse.new_experiments(
+        st.experiment_documents(spark, sf_dir), st.existing_experiments(spark, sf_dir)
+    ).select("project_name", "experiment_name", F.explode(F.slice("channels_ordered", 1, 1)).alias("name"))
+    return warehouse.stored_channel_rejects(st.experiment_documents(spark, sf_dir), stored)
+
+
+def append_loads(spark, sf_dir):
+    """Dimensions of the documents appended to their tables, twice: the second load finds everything stored."""
+    root = fresh_path(spark, "model")
+    documents = materialize(st.experiment_documents(spark, sf_dir).select("project_name", "microscope_name", "objective"), "documents")
+    columns = {"projects": "project_name", "microscopes": "microscope_name", "objectives": "objective"}
+    for _ in range(2):
+        new = {}
+        for name, column in columns.items():
+            stored = read_or_empty(spark, f"{root}/{name}", T.StructType.fromDDL(TABLES[name]))
+            new[name] = warehouse.upsert_dimension(stored, documents.select(F.col(column).alias("name")), "name")
+        append_rows(new, root)
+    tables = [spark.read.schema(TABLES[name]).parquet(f"{root}/{name}").withColumn("table_name", F.lit(name)) for name in columns]
+    return union_frames(tables)
+
+
 def upsert_dimension(spark, sf_dir):
     # Known names: those of the supplier side's first half of nations; offered: every part name and brand.
     stored = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("id"), F.concat(F.lit("Brand#"), "n_nationkey").alias("name"))
@@ -121,8 +162,7 @@ def upsert_dimension(spark, sf_dir):
 def lookup_or_reject(spark, sf_dir):
     parsed = warehouse.parse_images(st.image_files(spark, sf_dir))
     wells = st.plate_wells(spark, sf_dir).select(F.col("well_name").alias("well"), F.col("id").alias("wellid"))
-    matched, rejected = warehouse.lookup_or_reject(parsed.select("l_orderkey", "l_linenumber", "well"), wells, ["well"], ["wellid"])
-    return matched.unionByName(rejected, allowMissingColumns=True)
+    return warehouse.lookup_with_reason(parsed.select("l_orderkey", "l_linenumber", "well"), wells, ["well"], ["wellid"])
 
 
 def _sites(spark, sf_dir):
@@ -149,13 +189,13 @@ def processed_sites(spark, sf_dir):
 
 
 def files_of_experiment(spark, sf_dir):
-    found = warehouse.files_of_experiment(st.batch_files(spark, sf_dir), st.batches(spark, sf_dir), F.col("status") == "done")
+    found = warehouse.files_of_experiment(st.batch_files(spark, sf_dir), st.batches(spark, sf_dir), F.col("experiment") == 3)
     return found.select("s3path", "filename")
 
 
 def route_result_files(spark, sf_dir):
     name = F.element_at(
-        F.array(*[F.lit(n) for n in (*st.RESULT_FILES, "membrane.parquet", "nucleus.csv", "Image.csv")]), F.col("l_linenumber")
+        F.array(*[F.lit(n) for n in (*st.RESULT_FILES, "nucleus.tif", "nucleus.csv", "Image.csv")]), F.col("l_linenumber")
     )
     files = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", name.alias("filename"))
     return route_files(files, strict=False)
@@ -169,7 +209,7 @@ def experiment_progress(spark, sf_dir):
     return progress.experiment_progress(st.experiments(spark, sf_dir), experiment_wells(spark, sf_dir), _processed(spark, sf_dir))
 
 
-MATRIX_WELLS = [f"{chr(65 + i // 12)}{i % 12 + 1:02d}" for i in range(96)]
+MATRIX_WELLS = ex.well_names(next(n for name, n in ex.PLATE_SIZES.items() if name == st.PLATE_TYPE))
 
 
 def progress_matrix(spark, sf_dir):
@@ -190,26 +230,24 @@ def attach_coordinates(spark, sf_dir):
 
 
 def next_batch_id(spark, sf_dir):
-    # Customers as experiments: many have no urgent order.
+    # Customers as experiments, their orders as batches; some customers have none.
     experiments = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("experiment"))
-    urgent = table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
-    return warehouse.next_batch_id(experiments, urgent.select(F.col("o_custkey").alias("experiment"), F.col("o_orderkey").alias("batchid")))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("experiment"), F.col("o_orderkey").alias("batchid"))
+    return warehouse.next_batch_id(experiments, orders)
 
 
 def _stored_images(spark, sf_dir):
-    """The image table that sets are formed from; sets read it twice, names are parsed once."""
+    """The image table that sets are formed from: the range split reads it twice, names are parsed once."""
     return materialize(warehouse.parse_images(st.image_files(spark, sf_dir)).drop("channel", "site_x", "site_y"), "images")
 
 
 def image_sets(spark, sf_dir):
-    parsed = _stored_images(spark, sf_dir)
-    return sets.image_sets(parsed).withColumn("files", F.concat_ws("|", "files"))
+    return sets.image_sets(warehouse.parse_images(st.image_files(spark, sf_dir)))
 
 
 def files_by_name(spark, sf_dir):
-    # The four names are hot groups; their lists come in parts, which together hold every path once.
-    listed = sets.files_by_name(st.batch_files(spark, sf_dir), max_files=1_000)
-    return listed.select("filename", F.explode("files").alias("s3path"))
+    # The four names are hot groups.
+    return sets.files_by_name(st.batch_files(spark, sf_dir))
 
 
 def number_image_sets(spark, sf_dir):
@@ -218,18 +256,24 @@ def number_image_sets(spark, sf_dir):
     return sets.number_image_sets(parsed, next_ids, "seen")
 
 
+_COUNTS = "n_images bigint, planes bigint"
+
+
 def _measure(rows: pd.DataFrame) -> pd.DataFrame:
-    if rows["well"].iat[0] == "A01":
+    """Images and planes of each set; sets of well A01 fail, those of A02 give nothing."""
+    if (rows["well"] == "A01").any():
         raise ValueError("no cells")
-    return pd.DataFrame({"n_images": [len(rows)], "planes": [int(rows["site_z"].sum())]})
+    grouped = rows[rows["well"] != "A02"].groupby(list(sets.SET_KEY), as_index=False, sort=False)
+    return grouped.agg(n_images=("site_z", "size"), planes=("site_z", "sum"))
+
+
+def _add_up(pieces: pd.DataFrame) -> pd.DataFrame:
+    return pieces.groupby(list(sets.SET_KEY), as_index=False, sort=False)[["n_images", "planes"]].sum()
 
 
 def map_image_sets(spark, sf_dir):
     images = _stored_images(spark, sf_dir).select("experiment", "well", "site", "path", "site_z")
-    mapped = sets.map_image_sets(images, _measure, "n_images bigint, planes bigint")
-    return mapped.groupBy("experiment", "well", "site", "status", "error").agg(
-        F.sum("n_images").alias("n_images"), F.sum("planes").alias("planes")
-    )
+    return sets.map_image_sets(images, _measure, _add_up, _COUNTS, _COUNTS)
 
 
 def _lineage(spark, sf_dir, max_attempts=None):
@@ -241,7 +285,7 @@ def _lineage(spark, sf_dir, max_attempts=None):
 
 
 def retry_lineage(spark, sf_dir):
-    return _lineage(spark, sf_dir, max_attempts=60).select("event_id", "user_id", "attempt", "status", "retry")
+    return _lineage(spark, sf_dir).select("event_id", "user_id", "attempt", "status", "retry")
 
 
 def retry_batches(spark, sf_dir):
@@ -254,7 +298,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         list_projects, list_experiments, lookup_layout, validate_units, parse_image_name, ingest_experiment,
-        ingest_sites, experiment_channels, ingest_images, ingest_batch_results, upsert_dimension, lookup_or_reject,
+        ingest_sites, experiment_channels, stored_channel_rejects, ingest_images, ingest_batch_results, ingest_batch_files,
+        append_loads, upsert_dimension, lookup_or_reject,
         resolve_sites, experiment_wells, processed_sites, files_of_experiment, route_result_files, site_scaffold,
         experiment_progress, progress_matrix, attach_coordinates, next_batch_id, image_sets, files_by_name,
         number_image_sets, map_image_sets, retry_lineage, retry_batches,
@@ -292,13 +337,19 @@ ORACLE = {
         SELECT row_number() OVER (ORDER BY microscope_name) + 1, microscope_name
         FROM (SELECT DISTINCT microscope_name FROM good WHERE microscope_name <> 'scope-0')),
       objectives AS (SELECT 1 AS id, '20x' AS name UNION ALL
-        SELECT row_number() OVER (ORDER BY objective) + 1, objective FROM (SELECT DISTINCT objective FROM good WHERE objective <> '20x'))
-      SELECT project_name, experiment_name AS name, project_name || '/' || experiment_name || '/layout.csv' AS compound_layout_path,
-             plate_name AS barcode, 1::BIGINT AS platetypeid, scopes.id AS microscopeid, objectives.id AS objectiveid,
+        SELECT row_number() OVER (ORDER BY objective) + 1, objective FROM (SELECT DISTINCT objective FROM good WHERE objective <> '20x')),
+      projects AS (
+        SELECT (SELECT max(n_nationkey) FROM nation WHERE n_regionkey = 0) + row_number() OVER (ORDER BY project_name) AS id,
+               project_name AS name FROM (SELECT DISTINCT project_name FROM good)),
+      plates AS (SELECT row_number() OVER (ORDER BY plate_name) AS id, plate_name AS name FROM (SELECT DISTINCT plate_name FROM good))
+      SELECT projects.id AS projectid, experiment_name AS name,
+             project_name || '/' || experiment_name || '/layout.csv' AS compound_layout_path,
+             plates.id AS plateid, 1::BIGINT AS platetypeid, scopes.id AS microscopeid, objectives.id AS objectiveid,
              nx AS num_images_x, ny AS num_images_y, nz AS num_images_z, nt AS num_images_t,
              0.5::DOUBLE AS delta_x_mm, 0.25::DOUBLE AS delta_y_mm, 3.0::DOUBLE AS delta_z_um, 1.5::DOUBLE AS delta_t_h,
              strftime(strptime(start_text, '%Y-%m-%d_%H.%M.%S'), '%Y-%m-%d %H:%M:%S') AS start_time
-      FROM good JOIN scopes ON scopes.name = microscope_name JOIN objectives ON objectives.name = objective""",
+      FROM good JOIN scopes ON scopes.name = microscope_name JOIN objectives ON objectives.name = objective
+           JOIN projects ON projects.name = project_name JOIN plates ON plates.name = plate_name""",
     "ingest_sites": f"""WITH {st.SQL_NEW_DOCUMENTS}, {_WELL_ID},
       listed AS (SELECT *, {st.sql_well('(k + i * 5) % 96')} AS well_name FROM (SELECT *, unnest(range(k % 7 + 3)) AS i FROM new_docs)),
       numbered AS (
@@ -315,13 +366,15 @@ ORACLE = {
     "ingest_images": f"""WITH {st.SQL_IMAGES}, {_WELL_ID},
       joined AS (
         SELECT path, file, 'images/screen/exp ' || experiment || '/' || file AS stored, wellid,
-               nullif(list_position({st.SQL_CHANNELS}, channel), 0)::BIGINT AS channelid, site, site_x, site_y, site_z::INTEGER AS site_z,
+               experiment * 100 + list_position({st.SQL_CHANNELS}, channel) - 1 AS channelid, experiment + 5000 AS plateid,
+               site, site_x, site_y, site_z::INTEGER AS site_z,
                CASE WHEN NOT ok THEN 'not an image name' WHEN wellid IS NULL THEN 'unknown well'
-                    WHEN list_position({st.SQL_CHANNELS}, channel) IS NULL OR list_position({st.SQL_CHANNELS}, channel) = 0
+                    WHEN coalesce(list_position({st.SQL_CHANNELS}, channel), 0) IN (0, experiment % 8 + 1)
                     THEN 'unknown channel' END AS reason
         FROM files LEFT JOIN wells USING (well))
       SELECT path, CASE WHEN reason IS NULL THEN stored END AS s3path, CASE WHEN reason IS NULL THEN wellid END AS wellid,
-             CASE WHEN reason IS NULL THEN channelid END AS channelid, CASE WHEN reason IS NULL THEN site END AS site,
+             CASE WHEN reason IS NULL THEN plateid END AS plateid,
+             CASE WHEN reason IS NULL THEN channelid END AS experimentchannelid, CASE WHEN reason IS NULL THEN site END AS site,
              CASE WHEN reason IS NULL THEN site_x END AS site_x, CASE WHEN reason IS NULL THEN site_y END AS site_y,
              CASE WHEN reason IS NULL THEN site_z END AS site_z, reason FROM joined""",
     "ingest_batch_results": f"""WITH {_SITE_IDS}, {st.SQL_BATCHES},
@@ -332,21 +385,34 @@ ORACLE = {
       SELECT experiment, batchid, well, site, CASE WHEN status IS NOT NULL THEN siteid END AS siteid,
              CASE WHEN status IS NULL THEN 'unknown batch' WHEN siteid IS NULL THEN 'unknown site' END AS reason
       FROM asked LEFT JOIN batches USING (experiment, batchid) LEFT JOIN sites USING (experiment, well, site)""",
+    "ingest_batch_files": f"""WITH {st.SQL_BATCH_FILES}
+      SELECT experiment, CASE WHEN batchid % 50 = 0 THEN -batchid ELSE batchid END AS batchid, s3path, filename,
+             CASE WHEN batchid % 50 = 0 AND batchid <> 0 THEN 'unknown batch' END AS reason FROM batch_files""",
+    "stored_channel_rejects": f"""WITH {st.SQL_DOCUMENTS},
+      listed AS (SELECT DISTINCT project_name, experiment_name, k, unnest(range(k % 4 + 1)) AS i FROM docs WHERE n_regionkey <> 0)
+      SELECT project_name, experiment_name, list_extract({st.SQL_CHANNELS}, ((k + i) % 8 + 1)::INTEGER) AS name FROM listed WHERE i > 0
+      UNION ALL SELECT DISTINCT project_name, experiment_name, 'X-ray' FROM docs WHERE n_regionkey <> 0 AND k % 37 = 1
+      UNION ALL SELECT DISTINCT project_name, experiment_name, 'Custom' FROM docs WHERE n_regionkey <> 0 AND k % 41 = 2""",
+    "append_loads": f"""WITH {st.SQL_DOCUMENTS},
+      d AS (SELECT 'projects' AS table_name, project_name AS name FROM docs UNION SELECT 'microscopes', microscope_name FROM docs
+            UNION SELECT 'objectives', objective FROM docs)
+      SELECT table_name, row_number() OVER (PARTITION BY table_name ORDER BY name) AS id, name FROM d""",
     "upsert_dimension": """WITH offered AS (SELECT p_brand AS name FROM part UNION SELECT p_name FROM part)
       SELECT 24 + row_number() OVER (ORDER BY name) AS id, name FROM offered
       WHERE name NOT IN (SELECT 'Brand#' || n_nationkey FROM nation)""",
     "lookup_or_reject": f"""WITH {st.SQL_IMAGES}, {_WELL_ID}
-      SELECT l_orderkey, l_linenumber, well, wellid FROM images LEFT JOIN wells USING (well) WHERE ok""",
+      SELECT l_orderkey, l_linenumber, well, wellid, CASE WHEN wellid IS NULL THEN 'not found: ' || well END AS reason
+      FROM images LEFT JOIN wells USING (well) WHERE ok""",
     "resolve_sites": f"""WITH {st.SQL_IMAGES}, {_SITE_IDS}
       SELECT experiment, well, site, l_orderkey, siteid FROM images LEFT JOIN sites USING (experiment, well, site) WHERE ok""",
     "experiment_wells": f"WITH {st.SQL_USED_WELLS} SELECT experiment, well_name FROM used",
     "processed_sites": f"WITH {st.SQL_PROCESSED} SELECT * FROM processed",
-    "files_of_experiment": f"WITH {st.SQL_BATCH_FILES} SELECT s3path, filename FROM batch_files WHERE status = 'done'",
+    "files_of_experiment": f"WITH {st.SQL_BATCH_FILES} SELECT s3path, filename FROM batch_files WHERE experiment = 3",
     "route_result_files": """SELECT l_orderkey, l_linenumber, filename,
-        CASE WHEN starts_with(filename, 'nucleus') OR starts_with(filename, 'cytoplasm') THEN 'merge'
-             WHEN starts_with(filename, 'Image') OR starts_with(filename, 'Experiment') THEN 'skip' ELSE 'unexpected' END AS route
+        CASE WHEN regexp_full_match(filename, '(nucleus|cytoplasm)\\.(csv|parquet)') THEN 'merge'
+             WHEN regexp_full_match(filename, '(Image|Experiment)\\.(csv|parquet)') THEN 'skip' ELSE 'unexpected' END AS route
       FROM (SELECT l_orderkey, l_linenumber, list_extract(['Experiment.parquet', 'Image.parquet', 'cytoplasm.parquet',
-        'nucleus.parquet', 'membrane.parquet', 'nucleus.csv', 'Image.csv'], l_linenumber) AS filename FROM lineitem)""",
+        'nucleus.parquet', 'nucleus.tif', 'nucleus.csv', 'Image.csv'], l_linenumber) AS filename FROM lineitem)""",
     "site_scaffold": f"{_SCAFFOLD} SELECT * FROM scaffold",
     "experiment_progress": f"""{_SCAFFOLD}
       SELECT experiment, count(*) AS total_sites, count(DISTINCT CASE WHEN processed = 1 THEN site_id END) AS num_registered_sites,
@@ -362,11 +428,12 @@ ORACLE = {
       SELECT experiment, l_orderkey, l_linenumber, well, site, coord_x_mm, coord_y_mm, coord_z_um
       FROM images LEFT JOIN c USING (experiment, well, site) WHERE ok""",
     "next_batch_id": """SELECT c_custkey AS experiment, coalesce(max(o_orderkey) + 1, 0) AS next_id
-      FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_orderpriority = '1-URGENT' GROUP BY c_custkey""",
+      FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey""",
     "image_sets": f"""WITH {st.SQL_IMAGES}
-      SELECT experiment, well, site, 0::INTEGER AS part, count(*) AS n_files, string_agg(path, '|' ORDER BY path) AS files
-      FROM files WHERE ok GROUP BY experiment, well, site""",
-    "files_by_name": f"WITH {st.SQL_BATCH_FILES} SELECT filename, s3path FROM batch_files",
+      SELECT experiment, well, site, row_number() OVER (PARTITION BY experiment, well, site ORDER BY path) - 1 AS position, path
+      FROM files WHERE ok""",
+    "files_by_name": f"""WITH {st.SQL_BATCH_FILES}
+      SELECT filename, row_number() OVER (PARTITION BY filename ORDER BY s3path) - 1 AS position, s3path FROM batch_files""",
     "number_image_sets": f"""WITH {st.SQL_IMAGES}, {_NEXT},
       s AS (SELECT experiment, well, site, count(*) AS n_images, min(seen) AS first FROM files WHERE ok GROUP BY ALL)
       SELECT experiment, well, site, n_images,
@@ -374,13 +441,14 @@ ORACLE = {
       FROM s JOIN next_ids USING (experiment)""",
     "map_image_sets": f"""WITH {st.SQL_IMAGES}
       SELECT experiment, well, site, CASE WHEN well = 'A01' THEN 'failed' ELSE 'done' END AS status,
-             CASE WHEN well = 'A01' THEN 'no cells' END AS error, CASE WHEN well <> 'A01' THEN count(*) END AS n_images,
-             CASE WHEN well <> 'A01' THEN sum(site_z)::BIGINT END AS planes
+             CASE WHEN well = 'A01' THEN 'no cells' END AS error,
+             CASE WHEN well NOT IN ('A01', 'A02') THEN count(*) END AS n_images,
+             CASE WHEN well NOT IN ('A01', 'A02') THEN sum(site_z)::BIGINT END AS planes
       FROM images WHERE ok GROUP BY experiment, well, site""",
     "retry_lineage": f"""WITH {_ATTEMPTS}
       SELECT event_id, user_id, attempt,
              CASE event_type WHEN 'error' THEN 'failed.OOM(' || attempt || ')' WHEN 'purchase' THEN 'failed.1' ELSE 'done' END AS status,
-             event_type = 'error' AND attempt + 1 < 60 AS retry FROM a""",
+             event_type = 'error' AS retry FROM a""",
     "retry_batches": f"""WITH {_ATTEMPTS},
       last AS (SELECT user_id, max(attempt) AS attempt FROM a GROUP BY user_id),
       waiting AS (SELECT a.* FROM a JOIN last USING (user_id, attempt) WHERE event_type = 'error'),

@@ -29,6 +29,8 @@ PLATE_TYPES = (("96-CO-3603", "Corning", "Costar", 96, "96 well plate with a fla
 # Plate size -> wells per row.
 PLATE_COLUMNS = {96: 12, 384: 24}
 
+PLATE_SIZES = {model: wells for model, _, _, wells, _ in PLATE_TYPES}
+
 # Required unit of each grid axis.
 GRID_UNITS = {"x": "mm", "y": "mm", "z": "mm", "t": "s"}
 
@@ -64,6 +66,12 @@ def well_grid(plates: DataFrame, num_wells: str = "num_wells") -> DataFrame:
     )
 
 
+def well_names(num_wells: int) -> list[str]:
+    """Names of the wells of a plate of that size, row by row."""
+    width = PLATE_COLUMNS[num_wells]
+    return [f"{chr(65 + i // width)}{i % width + 1:02d}" for i in range(num_wells)]
+
+
 def scan_experiments(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Experiment documents, one nested JSON object per file; the name is the last part of the output path."""
     documents = spark.read.schema(EXPERIMENT).option("multiLine", "true").option("mode", "FAILFAST").json(

@@ -23,12 +23,27 @@ def shared_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_roots.setdefault(context.applicationId, tempfile.mkdtemp(prefix="tallywell-"))
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="tallywell-")
+    return _local_roots[context.applicationId]
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/tallywell/{spark.sparkContext.applicationId}"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared root."""
-    return f"{shared_root(spark)}/tallywell/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared root, in the folder of this application."""
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all that this application has stored below the shared root.
+
+    Stored tables live until this is called, as any frame made from them may still be read. Call it at the end.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:

@@ -40,6 +40,14 @@ def register_batches(requests: DataFrame, stored: DataFrame, initial: str = REGI
     return registered, asked.where(F.col("stored_status") != initial)
 
 
+def status_marks(batches: DataFrame, status: str, exit_code: int | None = None) -> DataFrame:
+    """Status events (see ``STATUS_EVENT``) that mark ``batches`` with ``status`` at the current time."""
+    return batches.select(
+        *BATCH_KEY, F.lit(status).alias("status"), F.lit(exit_code).cast("int").alias("exit_code"),
+        F.current_timestamp().alias("ts"), F.lit(0).cast("bigint").alias("seq"),
+    )
+
+
 def fold_status(events: DataFrame, keys: Sequence[str] = BATCH_KEY) -> DataFrame:
     """Latest status, start and end of each batch from its status changes; for batch and streaming frames.
 
@@ -62,15 +70,18 @@ def latest(updates: DataFrame, keys: Sequence[str] = BATCH_KEY, by: str = "epoch
     return updates.groupBy(*keys).agg(F.max_by(F.struct(*others), by).alias("_r")).select(*keys, "_r.*")
 
 
-def finished_experiments(processed: DataFrame, expected: DataFrame, experiment: str = "experiment") -> DataFrame:
-    """Streaming count of processed sites per experiment, next to the expected number.
+def finished_experiments(
+    processed: DataFrame, expected: DataFrame, experiment: str = "experiment", site: str = "site"
+) -> DataFrame:
+    """Streaming count of the different processed sites per experiment, next to the expected number.
 
-    ``processed`` delivers every site once (see ``complete_sets``), so the count
-    reaches the expected number exactly once; keep the rows where it does.
+    A site may be delivered again. The state of an experiment is its set of sites, so it is bounded by the
+    experiment's grid.
     """
-    counts = processed.groupBy(experiment).agg(F.count("*").alias("n_sites"))
+    counts = processed.groupBy(experiment).agg(F.size(F.collect_set(site)).cast("bigint").alias("n_sites"))
     return counts.join(expected, experiment)
 
 
 def just_finished(batch: DataFrame) -> DataFrame:
-    return batch.where(F.col("n_sites") == F.col("expected_sites"))
+    """Experiments with all their sites. Rows of the same experiment may come again: drain with ``once``."""
+    return batch.where(F.col("n_sites") >= F.col("expected_sites"))

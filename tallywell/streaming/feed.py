@@ -62,17 +62,23 @@ def drain_to_table(stream: DataFrame, label: str, path: str | None = None, check
 
 
 def drain_updates(
-    stream: DataFrame, label: str, keep: Callable[[DataFrame], DataFrame] | None = None, path: str | None = None
+    stream: DataFrame, label: str, keep: Callable[[DataFrame], DataFrame] | None = None, path: str | None = None,
+    once: Sequence[str] = (),
 ) -> DataFrame:
     """Like ``drain_to_table`` for aggregates in update mode: changed rows go to one folder per epoch.
 
-    A repeated epoch overwrites its own folder, so a retry does not add rows twice.
+    A repeated epoch overwrites its own folder, so a retry does not add rows twice. With ``once``, a row whose
+    key an earlier epoch has written is left out.
     """
     spark = stream.sparkSession
     target = path or fresh_path(spark, label)
+    written = StructType(stream.schema.fields).add("epoch", IntegerType())
 
     def store(batch: DataFrame, epoch: int) -> None:
         rows = keep(batch) if keep else batch
+        if once:
+            earlier = read_or_empty(batch.sparkSession, target, written).where(F.col("epoch") < epoch)
+            rows = rows.join(earlier.select(*once), list(once), "left_anti")
         rows.write.mode("overwrite").parquet(f"{target}/epoch={epoch}")
 
     query = (
@@ -83,5 +89,4 @@ def drain_updates(
         .start()
     )
     query.awaitTermination()
-    schema = StructType(stream.schema.fields).add("epoch", IntegerType())
-    return read_or_empty(spark, target, schema)
+    return read_or_empty(spark, target, written)

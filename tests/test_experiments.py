@@ -96,6 +96,8 @@ NAMES = {
     "A01_s1_x0_y0_nosuffix": ("A01", 1, 0, 0, 1, "nosuffix"),
     "snapshot.tif": None,
     "A01_s1_x0_y0.tif": None,
+    "A01_s1_x0_y0_.tif": None,
+    "A\u0001_s1_x0_y0_c.tif": ("A\u0001", 1, 0, 0, 1, "c"),
     "x_s1_x0_y0_c/plain.tif": None,
 }
 
@@ -111,11 +113,16 @@ def test_image_names(spark):
 
 def test_ingest_images_gives_a_reason(spark):
     paths = ["B03_s1_x0_y0_BF_full.tif", "Z99_s1_x0_y0_BF_full.tif", "B03_s1_x0_y0_X.tif", "odd.tif"]
+    # The channel "BF left half" exists, but the experiment has not configured it.
+    paths.append("B03_s1_x0_y0_BF_left_half.tif")
     files = spark.createDataFrame([("p", "e", "96-CO-3603", p) for p in paths], "project_name string, experiment_name string, plate_type string, path string")
-    got = {r["path"]: r for r in warehouse.ingest_images(files, wells(spark), ex.dim_channels(spark), "images").collect()}
-    assert [got[p]["reason"] for p in paths] == [None, "unknown well", "unknown channel", "not an image name"]
+    channels = spark.createDataFrame([(1, "p", "e", "BF full"), (2, "p", "other", "X")], "id long, project_name string, experiment_name string, name string")
+    plates = spark.createDataFrame([("p", "e", 77)], "project_name string, experiment_name string, plateid long")
+    got = {r["path"]: r for r in warehouse.ingest_images(files, wells(spark), channels, plates, "images").collect()}
+    assert [got[p]["reason"] for p in paths] == [None, "unknown well", "unknown channel", "not an image name", "unknown channel"]
+    assert got[paths[0]]["plateid"] == 77
     assert got[paths[0]]["s3path"] == "images/p/e/B03_s1_x0_y0_BF_full.tif"
-    assert (got[paths[0]]["site_z"], got[paths[0]]["site_t"], got[paths[0]]["channelid"]) == (1, 1, 1)
+    assert (got[paths[0]]["site_z"], got[paths[0]]["site_t"], got[paths[0]]["experimentchannelid"]) == (1, 1, 1)
 
 
 def test_result_names(spark):
@@ -146,6 +153,8 @@ def test_lookups_fail_on_unknown_names(spark):
         warehouse.list_experiments(projects, experiments, "q").collect()
     dim = spark.createDataFrame([("a", 1)], "k string, v int")
     df = spark.createDataFrame([("a",), ("z",)], "k string")
+    with pytest.raises(Exception, match="more than one row for a"):
+        warehouse.lookup_with_reason(df, dim.unionByName(dim), ["k"], ["v"]).collect()
     matched, rejected = warehouse.lookup_or_reject(df, dim, ["k"], ["v"])
     assert rows(matched) == [("a", 1)] and rows(rejected) == [("z",)]
     with pytest.raises(Exception, match="not found: z"):
@@ -180,6 +189,8 @@ def test_progress_totals(spark, nt):
     scaffold = progress.site_scaffold(experiments, used, processed)
     per_experiment = scaffold.groupBy("experiment").agg(F.count("*"), F.sum("processed"))
     assert rows(per_experiment) == [(1, 8 * nt, 3), (2, 1, 0)]
+    with pytest.raises(Exception, match="not a well of the plate: A02"):
+        progress.progress_matrix(scaffold, ["A01"]).collect()
     matrix = progress.progress_matrix(scaffold, ["A01", "A02"]).where("experiment = 1").orderBy("site_id").collect()
     assert [(r["A01"], r["A02"]) for r in matrix][:3] == [(1, 0), (1, 1), (0, 0)]
 
@@ -204,15 +215,16 @@ def images(spark, n=300):
     return spark.createDataFrame(data, "experiment long, well string, site int, path string, seen long").repartition(5)
 
 
-def test_hot_sets_are_split_without_loss(spark):
-    whole = sets.image_sets(images(spark))
-    assert {r["part"] for r in whole.collect()} == {0}
-    split = sets.image_sets(images(spark), max_files=20)
-    hot = split.where("well = 'A01'").collect()
-    assert len(hot) > 1 and max(r["n_files"] for r in hot) < 60
-    assert sorted(f for r in split.collect() for f in r["files"]) == sorted(f"img{i}" for i in range(300))
-    cold = split.where("well <> 'A01' AND n_files <= 20 AND part <> 0").count()
-    assert cold == 0 or split.where("well <> 'A01'").groupBy("well").agg(F.sum("n_files").alias("n")).where("n <= 20").count() == 0
+def test_hot_sets_keep_every_path_once(spark):
+    got = sets.image_sets(images(spark)).collect()
+    by_set = {}
+    for r in got:
+        by_set.setdefault(r["well"], []).append((r["position"], r["path"]))
+    assert sorted(p for own in by_set.values() for _, p in own) == sorted(f"img{i}" for i in range(300))
+    for own in by_set.values():
+        assert [k for k, _ in sorted(own)] == list(range(len(own)))
+        assert [p for _, p in sorted(own)] == sorted(p for _, p in own)
+    assert len(by_set["A01"]) == 100
 
 
 def test_split_keeps_null_keys(spark):
@@ -230,28 +242,45 @@ def test_sets_are_numbered_from_next_id(spark):
     assert min(got, key=lambda r: r["batchid"])["well"] == "A01"
 
 
-def test_failing_set_does_not_stop_the_others(spark):
-    def work(frame: pd.DataFrame) -> pd.DataFrame:
-        if frame["well"].iat[0] == "B01":
-            raise RuntimeError("out of focus")
-        return pd.DataFrame({"n": [len(frame)], "last": [frame["path"].max()]})
-
-    for limit in (1000, 20):
-        out = sets.map_image_sets(images(spark), work, "n long, last string", max_rows=limit, partitions=3)
-        per_set = {r["well"]: r for r in out.groupBy("well").agg(F.sum("n").alias("n"), F.max("error").alias("e"), F.max("status").alias("s")).collect()}
-        assert per_set["A01"]["n"] == 100 and per_set["A01"]["s"] == "done"
-        assert (per_set["B01"]["n"], per_set["B01"]["e"], per_set["B01"]["s"]) == (None, "out of focus", "failed")
-        good = sum(r["n"] for r in per_set.values() if r["n"])
-        assert good == 300 - images(spark).where("well = 'B01'").count()
-
+@pytest.mark.parametrize("batch", [7, 10_000])
+def test_one_result_per_set_at_any_size(spark, batch):
+    """A hot set comes in many pieces with small batches and in one with large ones; failing and empty sets keep their row."""
 
-def test_work_may_return_no_or_many_rows(spark):
-    def work(frame: pd.DataFrame) -> pd.DataFrame:
-        kept = frame[frame["well"] == "A01"]
-        return pd.DataFrame({"twice": [*kept["path"], *kept["path"]]})
-
-    out = sets.map_image_sets(images(spark), work, "twice string", partitions=2)
-    assert out.count() == 200 and {r["well"] for r in out.collect()} == {"A01"}
+    def partial(frame: pd.DataFrame) -> pd.DataFrame:
+        if (frame["well"] == "B01").any():
+            raise RuntimeError("out of focus")
+        kept = frame[frame["well"] != "B02"]
+        return kept.groupby(["experiment", "well", "site"], as_index=False).agg(n=("path", "size"), last=("path", "max"))
+
+    def merge(pieces: pd.DataFrame) -> pd.DataFrame:
+        if (pieces["well"] == "B03").any():
+            raise RuntimeError("no merge")
+        return pieces.groupby(["experiment", "well", "site"], as_index=False).agg(n=("n", "sum"), last=("last", "max"))
+
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        source = images(spark).select("experiment", "well", "site", "path")
+        got = {r["well"]: tuple(r)[3:] for r in sets.map_image_sets(source, partial, merge, "n long, last string", "n long, last string").collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    want = {}
+    for r in source.groupBy("well").agg(F.count("*").alias("n"), F.max("path").alias("last")).collect():
+        want[r["well"]] = ("done", None, r["n"], r["last"])
+    want["B01"] = ("failed", "out of focus", None, None)
+    want["B02"] = ("done", None, None, None)
+    want["B03"] = ("failed", "no merge", None, None)
+    assert got == want
+
+
+def test_sets_with_null_keys_and_no_sets(spark):
+    schema = "experiment long, well string, site int, path string"
+    count = lambda f: f.groupby(["experiment", "well", "site"], as_index=False, dropna=False).agg(n=("path", "size"))
+    add = lambda f: f.groupby(["experiment", "well", "site"], as_index=False, dropna=False).agg(n=("n", "sum"))
+    rows_in = [(1, None, 1, "a"), (1, None, 1, "b"), (1, "A01", 1, "c")]
+    got = sets.map_image_sets(spark.createDataFrame(rows_in, schema), count, add, "n long", "n long")
+    assert rows(got) == [(1, "A01", 1, "done", None, 1), (1, None, 1, "done", None, 2)]
+    assert sets.map_image_sets(spark.createDataFrame([], schema), count, add, "n long", "n long").count() == 0
 
 
 def test_only_out_of_memory_is_tried_again(spark):

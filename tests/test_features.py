@@ -45,7 +45,12 @@ def test_merge_reads_recorded_files_only(spark, tmp_path):
     merged = ft.merge_frames(spark, str(tmp_path), "a b/q%+/*", files)
     assert set(merged) == {"nucleus"}
     assert sorted((r["batch"], r["n"], r["areas"]) for r in merged["nucleus"].groupBy("batch").agg(F.count("*").alias("n"), F.count("area").alias("areas")).collect()) == [(1, 3, 3), (2, 3, 0)]
-    assert ft.reduce_experiment(spark, str(tmp_path), "none/*", files, None) is None
+    with pytest.raises(FileNotFoundError, match="a b/q%.*/1/nucleus.parquet"):
+        ft.merge_frames(spark, str(tmp_path), "none/*", files)
+    lost = files.unionByName(spark.createDataFrame([("nucleus.csv", "a b/q%+/9/nucleus.csv")], files.schema))
+    with pytest.raises(FileNotFoundError, match="9/nucleus.csv"):
+        ft.merge_frames(spark, str(tmp_path), "a b/q%+/*", lost)
+    assert ft.reduce_experiment(spark, str(tmp_path), "none/*", files.limit(0), None) is None
 
 
 def test_components_match_numpy(spark):
@@ -62,6 +67,15 @@ def test_components_match_numpy(spark):
         np.testing.assert_allclose([r[f"component_{j + 1}"] for r in got[:-1]], scaled @ weights, atol=1e-8)
 
 
+def test_thousands_of_features(spark):
+    n = 2000
+    values = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.sin(F.col("id") * i) + F.col("id") * 0.01)
+    wide = spark.range(60).select("id", values.alias("v")).select("id", *[F.get("v", F.lit(i)).alias(f"f{i}") for i in range(n)])
+    got = ft.reduce_features(wide, [f"f{i}" for i in range(n)]).select("component_1", "component_2").collect()
+    data = np.array([[r["component_1"], r["component_2"]] for r in got])
+    assert abs(data.mean(axis=0)).max() < 1e-6 and data.var(axis=0)[0] > data.var(axis=0)[1] > 0
+
+
 @pytest.mark.parametrize("k,block,group", [(1, 7, 2), (3, 7, 1), (3, 2000, 32), (50, 10, 3)])
 def test_nearest_equals_brute_force(spark, k, block, group):
     rng = np.random.default_rng(1)
@@ -88,6 +102,8 @@ def test_nearest_without_references(spark):
 def test_group_profiles_are_means(spark):
     df = spark.createDataFrame([("a", [1.0, 2.0]), ("a", [3.0, 6.0]), ("b", [5.0, 7.0])], "k string, v array<double>")
     assert sorted(map(tuple, ft.group_profiles(df, "k", "v", 2).collect())) == [("a", 0, 2.0), ("a", 1, 4.0), ("b", 0, 5.0), ("b", 1, 7.0)]
+    with pytest.raises(Exception, match="expected a vector of 1, got 2"):
+        ft.group_profiles(df, "k", "v", 1).collect()
 
 
 def test_pi(spark):

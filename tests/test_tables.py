@@ -93,7 +93,7 @@ def test_path_functions(spark):
         (".hidden", "", "application/octet-stream", "hidden"),
         ("plain", "", "application/octet-stream", "plain"),
         ("UP", ".TIF", "image/tiff", "UP.TIF"),
-        ("we ird (1)é", ".json", "application/json", "we_ird_1.json"),
+        ("we ird (1)é", ".json", "application/json", "we_ird_1e.json"),
         ("._x_.", "", "application/octet-stream", "x"),
     ]
 

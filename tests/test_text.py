@@ -158,9 +158,10 @@ def test_aligned_pairs_edges(spark):
 
 
 def test_id_difference(spark):
-    left = lines(spark, "1", "2 ", "2", "x", "\t3")
-    right = lines(spark, "2", "y")
-    assert sorted(values(tabular.id_difference(left, right))) == [1, 3]
+    long_id = "123456789012345678901234"
+    left = lines(spark, "1", "2 ", "2", "x", "\t3", f"\u00a0000{long_id}", "+7", "-0", "1_000", "1__0", "_1", f"9{long_id}")
+    right = lines(spark, "2", "y", f"9{long_id}", "007")
+    assert sorted(values(tabular.id_difference(left, right))) == ["0", "1", "1000", long_id, "3"]
 
 
 def test_codes_are_case_sensitive_and_null_safe(spark):
