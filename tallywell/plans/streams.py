@@ -47,16 +47,13 @@ def _requests(spark, sf_dir):
 
 
 def register_batches(spark, sf_dir):
-    requests = feed.drain_to_table(bt.new_requests(_as_stream(_requests(spark, sf_dir), "requests"), keep_days=60), "requests-seen")
+    requests = bt.new_requests(_as_stream(_requests(spark, sf_dir), "requests"), keep_days=60)
     # Batches of purchases are stored already; one of high value is done.
     bought = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
     stored = bought.groupBy(F.col("user_id").alias("experiment"), (F.col("event_id") % 40).alias("batchid")).agg(
         F.when(F.max("value") > 10, bt.DONE).otherwise(bt.REGISTERED).alias("status")
     )
-    registered, conflicts = bt.register_batches(requests, stored)
-    return registered.withColumn("outcome", F.lit("new")).unionByName(
-        conflicts.select("experiment", "batchid", F.col("stored_status").alias("status"), F.lit("conflict").alias("outcome"))
-    )
+    return feed.drain_to_table(bt.registration_outcomes(requests, stored), "registrations")
 
 
 STATUS = {"signup": bt.REGISTERED, "view": bt.PROCESSING, "click": bt.UPLOADING, "purchase": bt.DONE, "error": "failed.1"}
@@ -102,8 +99,8 @@ def status_marks(spark, sf_dir):
 
 
 def stream_status_fold(spark, sf_dir):
-    folded = bt.fold_status(_as_stream(_status_events(spark, sf_dir), "status-feed"))
-    return _shown(bt.latest(feed.drain_updates(folded, "status")))
+    folded = bt.fold_status_by_period(_as_stream(_status_events(spark, sf_dir), "status-feed"))
+    return _shown(bt.merge_periods(feed.drain_updates(folded, "status")))
 
 
 def stream_experiment_done(spark, sf_dir):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywell.streaming.feed import merge_repeats
@@ -40,6 +40,22 @@ def register_batches(requests: DataFrame, stored: DataFrame, initial: str = REGI
     return registered, asked.where(F.col("stored_status") != initial)
 
 
+def registration_outcomes(requests: DataFrame, stored: DataFrame, initial: str = REGISTERED) -> DataFrame:
+    """(experiment, batchid, status, outcome) of requests, for batch and streaming frames without repeats.
+
+    ``new``: not stored yet, registered now. ``conflict``: stored in a state other than the initial one. A batch
+    stored in the initial state has no row.
+    """
+    known = stored.select(*BATCH_KEY, F.col("status").alias("stored_status"))
+    asked = requests.select(*BATCH_KEY).join(known, list(BATCH_KEY), "left")
+    is_new = F.col("stored_status").isNull()
+    return asked.where(is_new | (F.col("stored_status") != initial)).select(
+        *BATCH_KEY,
+        F.coalesce("stored_status", F.lit(initial)).alias("status"),
+        F.when(is_new, "new").otherwise("conflict").alias("outcome"),
+    )
+
+
 def status_marks(batches: DataFrame, status: str, exit_code: int | None = None) -> DataFrame:
     """Status events (see ``STATUS_EVENT``) that mark ``batches`` with ``status`` at the current time."""
     return batches.select(
@@ -52,16 +68,42 @@ def fold_status(events: DataFrame, keys: Sequence[str] = BATCH_KEY) -> DataFrame
     """Latest status, start and end of each batch from its status changes; for batch and streaming frames.
 
     Events at the same time are ordered by ``seq``. As with an update in place, the
-    last processing mark is the start and the last final mark the end.
+    last processing mark is the start and the last final mark the end. A stream that never ends needs
+    ``fold_status_by_period``, whose state is bounded.
     """
+    folded = events.groupBy(*keys).agg(*_fold_columns())
+    return folded.select(*keys, F.col("last_event.status").alias("status"), "start_time", "end_time")
+
+
+def _fold_columns() -> list[Column]:
     status = F.col("status")
     final = status.isin(DONE, TERMINATED) | status.startswith("failed")
-    folded = events.groupBy(*keys).agg(
+    return [
         F.max(F.struct("ts", "seq", "status")).alias("last_event"),
         F.max(F.when(status == PROCESSING, F.col("ts"))).alias("start_time"),
         F.max(F.when(final, F.col("ts"))).alias("end_time"),
+    ]
+
+
+def fold_status_by_period(events: DataFrame, keys: Sequence[str] = BATCH_KEY, keep_days: int = 60) -> DataFrame:
+    """Stream of the fold of each batch within periods of ``keep_days``; see ``merge_periods``.
+
+    The state of a period is dropped ``keep_days`` after its end, so it does not grow with the age of the stream. Events
+    that come later than that are lost to the fold: see ``drain_late`` for a table of them.
+    """
+    timely = events.withWatermark("ts", f"{keep_days} days")
+    period = F.window("ts", f"{keep_days} days")
+    folded = timely.groupBy(*keys, period).agg(*_fold_columns())
+    return folded.select(*keys, F.col("window.start").alias("period"), "last_event", "start_time", "end_time")
+
+
+def merge_periods(updates: DataFrame, keys: Sequence[str] = BATCH_KEY) -> DataFrame:
+    """The fold of each batch from what a stream of ``fold_status_by_period`` has written."""
+    newest = latest(updates, [*keys, "period"])
+    merged = newest.groupBy(*keys).agg(
+        F.max("last_event").alias("last_event"), F.max("start_time").alias("start_time"), F.max("end_time").alias("end_time")
     )
-    return folded.select(*keys, F.col("last_event.status").alias("status"), "start_time", "end_time")
+    return merged.select(*keys, F.col("last_event.status").alias("status"), "start_time", "end_time")
 
 
 def latest(updates: DataFrame, keys: Sequence[str] = BATCH_KEY, by: str = "epoch") -> DataFrame:

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import IntegerType, StructType, TimestampType
 
 from tallywell.storage import fresh_path
 
@@ -90,3 +90,30 @@ def drain_updates(
     )
     query.awaitTermination()
     return read_or_empty(spark, target, written)
+
+
+def drain_late(stream: DataFrame, time: str, keep_days: int, label: str, path: str | None = None) -> DataFrame:
+    """The table of rows that a watermark of ``keep_days`` on ``time`` drops from the same feed.
+
+    As with Spark's watermark, a row is late if it is older than the newest time of the epochs before less
+    ``keep_days``. Those times are one row per epoch, kept beside the table, so a repeated epoch decides alike.
+    """
+    spark = stream.sparkSession
+    target = path or fresh_path(spark, label)
+    rows_path, newest_path = f"{target}/rows", f"{target}/newest"
+    newest_schema = StructType().add("newest", TimestampType()).add("epoch", IntegerType())
+
+    def store(batch: DataFrame, epoch: int) -> None:
+        before = read_or_empty(batch.sparkSession, newest_path, newest_schema).where(F.col("epoch") < epoch)
+        bound = before.agg(F.max("newest")).scalar() - F.make_dt_interval(F.lit(keep_days))
+        batch.where(F.col(time) < bound).write.mode("overwrite").parquet(f"{rows_path}/epoch={epoch}")
+        batch.agg(F.max(time).alias("newest")).write.mode("overwrite").parquet(f"{newest_path}/epoch={epoch}")
+
+    query = (
+        stream.writeStream.foreachBatch(store)
+        .option("checkpointLocation", f"{target}-progress")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return read_or_empty(spark, rows_path, StructType(stream.schema.fields).add("epoch", IntegerType())).drop("epoch")

@@ -115,3 +115,51 @@ def test_a_feed_without_files_gives_no_rows(spark, tmp_path):
     assert feed.drain_to_table(feed_, "none").collect() == []
     counts = feed_.groupBy("experiment").agg(F.count("*").alias("n"))
     assert feed.drain_updates(counts, "none").collect() == []
+
+
+def test_late_rows_go_to_a_table_of_their_own(spark, tmp_path):
+    """Rows that the watermark drops are found in the reject table, also after a restart."""
+    import datetime as dt
+
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    schema = "experiment long, batchid long, status string, ts timestamp, seq long"
+    source, target = str(tmp_path / "in"), str(tmp_path / "late")
+    batches = [
+        [(1, 1, "registered", day(0), 1)],
+        [(1, 1, "done", day(100), 2), (1, 2, "registered", day(95), 3)],
+        [(1, 1, "registered", day(80), 4), (1, 2, "done", day(99), 5)],
+        [(1, 3, "registered", day(101), 6), (1, 3, "registered", day(50), 7)],
+    ]
+    late, n = [], 0
+    for i, rows_in in enumerate(batches):
+        spark.createDataFrame(rows_in, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = feed.image_feed(spark, source, spark.createDataFrame([], schema).schema, max_files=1)
+        late = sorted(r["seq"] for r in feed.drain_late(stream, "ts", 10, "late", path=target).collect())
+    assert late == [4, 7]
+
+
+def test_folds_of_periods_merge_to_the_whole_fold(spark, tmp_path):
+    import datetime as dt
+
+    schema = "experiment long, batchid long, status string, ts timestamp, seq long"
+    states = [bt.REGISTERED, bt.PROCESSING, bt.UPLOADING, bt.DONE, "failed.1"]
+    data = [(1, i % 7, states[(i * 3) % 5], dt.datetime(2024, 1, 1) + dt.timedelta(hours=11 * i), i) for i in range(200)]
+    events = spark.createDataFrame(data, schema)
+    events.repartition(4).write.parquet(str(tmp_path / "in"))
+    stream = feed.image_feed(spark, str(tmp_path / "in"), events.schema, max_files=4)
+    updates = feed.drain_updates(bt.fold_status_by_period(stream, keep_days=20), "fold", path=str(tmp_path / "out"))
+    assert updates.select("period").distinct().count() > 2
+    got = sorted(map(tuple, bt.merge_periods(updates).collect()))
+    assert got == sorted(map(tuple, bt.fold_status(events).collect()))
+
+
+def test_redelivered_sites_do_not_lose_an_experiment(spark, tmp_path):
+    """Two files with the last missing site twice: the experiment is emitted once."""
+    schema = "experiment long, site long"
+    expected = spark.createDataFrame([(1, 3), (2, 2)], "experiment long, expected_sites long")
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    for rows_in in ([(1, 1), (1, 2), (2, 1)], [(1, 2), (1, 3), (1, 3), (2, 1)], [(1, 1), (2, 2)]):
+        spark.createDataFrame(rows_in, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = feed.image_feed(spark, source, spark.createDataFrame([], schema).schema)
+        done = feed.drain_updates(bt.finished_experiments(stream, expected), "done", bt.just_finished, path=target, once=["experiment"])
+    assert sorted((r["experiment"], r["n_sites"]) for r in done.collect()) == [(1, 3), (2, 2)]
