@@ -21,6 +21,8 @@ from tallywell.llm.words import blocks, mix, normal_text, windows, words_of
 from tallywell.storage import materialize
 
 SHINGLE, ORDER, SKETCHES, SIMILARITY = 5, 3, 24, 0.8
+#: Orders of the sketches in which crowded buckets are split; prime to SKETCHES, so each visits all.
+SPLIT_STEPS = (1, 5, 7, 11, 13)
 _FACTORS = np.random.default_rng(5).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -163,21 +165,23 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return both.mapInArrow(of, "one long, two long, linked boolean")
 
 
-def _buckets(members: DataFrame) -> DataFrame:
-    """Buckets of two nodes or more, with the least node as centre."""
+def _with_centres(members: DataFrame) -> DataFrame:
+    """``members`` of buckets of two nodes or more, with the least node of the bucket as centre."""
     sizes = members.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("_most"))
-    return sizes.where("centre < _most").select("bucket", "centre")
+    return members.join(sizes.where("centre < _most").select("bucket", "centre"), "bucket")
 
 
 def _links(nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """Verified links (one < two) between nodes that share a sketch.
 
-    A bucket's least node is its centre; the others are verified against it. Those that fail form the bucket anew, with
-    its next centre, until no bucket has two nodes left. So neither a bucket of several classes nor one of texts that
-    only share a passage takes an all-pairs step, and no text is left out.
+    A bucket's least node is its centre; the others are verified against it. Those that fail are split by a further
+    sketch each round, along several orders of the sketches, and meet the centres of these smaller buckets, until
+    no bucket has two nodes left. So a bucket of several classes, or of texts that share a passage only, takes no
+    all-pairs step; texts that are near copies agree on most sketches and stay together on the way.
     """
-    exploded = nodes.select("node", F.explode("sketches").alias("bucket"))
-    members = materialize(exploded.join(_buckets(exploded), "bucket"), "near-members")
+    sketches = nodes.select("node", "sketches")
+    exploded = sketches.select("node", F.posexplode("sketches").alias("band", "bucket")).withColumn("step", F.lit(0))
+    members = materialize(_with_centres(exploded), "near-members")
     wanted = nodes.join(members.select("node").distinct(), "node").select("node", "a", "b", "least_id")
     rows = docs.select("doc_id", F.col("key.a").alias("a"), F.col("key.b").alias("b"), F.col("text").cast("binary").alias("text"))
     texts = materialize(
@@ -185,22 +189,25 @@ def _links(nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
         .select("node", "text").dropDuplicates(["node"]),
         "near-texts",
     )
-    links = None
-    known = None
+    known = nodes.sparkSession.createDataFrame([], "one long, two long, linked boolean")
+    level = 0
     while not members.isEmpty():
+        level += 1
         asked = members.where("node <> centre")
         pairs = asked.select(F.col("centre").alias("one"), F.col("node").alias("two")).distinct()
-        if known is not None:
+        if level > 1:
             pairs = pairs.join(known, ["one", "two"], "left_anti")
-        verified = materialize(_verified(pairs, texts, similarity), "near-verified")
-        known = verified if known is None else known.unionByName(verified)
-        links = known.where("linked").select("one", "two")
+        known = known.unionByName(materialize(_verified(pairs, texts, similarity), "near-verified"))
         failed = known.where("not linked").select(F.col("one").alias("centre"), F.col("two").alias("node"))
-        rest = asked.join(failed, ["centre", "node"], "left_semi").select("bucket", "node")
-        members = materialize(rest.join(_buckets(rest), "bucket"), "near-members")
-    if links is None:
-        return members.select(F.col("node").alias("one"), F.col("centre").alias("two"))
-    return links
+        rest = asked.join(failed, ["centre", "node"], "left_semi").drop("centre")
+        if level == 1:
+            rest = rest.withColumn("step", F.explode(F.array(*[F.lit(k) for k in SPLIT_STEPS])))
+        further = F.get("sketches", (F.col("band") + F.col("step") * level) % SKETCHES)
+        split = rest.join(sketches, "node").select(
+            "node", "band", "step", F.xxhash64("bucket", "step", further).alias("bucket")
+        )
+        members = materialize(_with_centres(split), "near-members")
+    return known.where("linked").select("one", "two")
 
 
 def _components(links: DataFrame) -> DataFrame:
