@@ -199,13 +199,11 @@ def _links(nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
             pairs = pairs.join(known, ["one", "two"], "left_anti")
         known = known.unionByName(materialize(_verified(pairs, texts, similarity), "near-verified"))
         failed = known.where("not linked").select(F.col("one").alias("centre"), F.col("two").alias("node"))
-        rest = asked.join(failed, ["centre", "node"], "left_semi").drop("centre")
+        rest = asked.join(failed, ["centre", "node"], "left_semi").join(sketches, "node")
         if level == 1:
             rest = rest.withColumn("step", F.explode(F.array(*[F.lit(k) for k in SPLIT_STEPS])))
         further = F.get("sketches", (F.col("band") + F.col("step") * level) % SKETCHES)
-        split = rest.join(sketches, "node").select(
-            "node", "band", "step", F.xxhash64("bucket", "step", further).alias("bucket")
-        )
+        split = rest.select("node", "band", "step", F.xxhash64("bucket", "step", further).alias("bucket"))
         members = materialize(_with_centres(split), "near-members")
     return known.where("linked").select("one", "two")
 
