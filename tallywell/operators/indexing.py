@@ -13,7 +13,7 @@ _BLOCK_BITS = 33  # monotonically_increasing_id: partition number above, row num
 
 
 def index_rows(
-    df: DataFrame, order_by: Sequence[str | Column], name: str = "idx", within: Sequence[str] = ()
+    df: DataFrame, order_by: Sequence[str | Column], name: str = "idx", within: Sequence[str] = (), spread_ties: bool = True
 ) -> DataFrame:
     """Add a 0-based rank in ``order_by``, over all rows or restarting for each value of ``within``.
 
@@ -21,9 +21,13 @@ def index_rows(
     written once. Partition sizes then give each partition its offset: that table
     has one row per partition, so it is the only thing ranked in a single task and
     the only thing broadcast. A hot ``within`` key spans several partitions like
-    any other run of rows; its rank is the global rank minus the key's first one.
+    any other run of rows; its rank is the global rank minus the key's first one. Ties are
+    ordered by a hash of the row, so that many of them are spread as well; a frame with a map
+    column needs ``spread_ties=False``.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in (*within, *order_by)]
+    if spread_ties:
+        order.append(F.xxhash64(*df.columns))
     stamped = df.orderBy(*order).withColumn("_stamp", F.monotonically_increasing_id())
     fixed = materialize(stamped, "index").withColumn("_block", F.shiftright("_stamp", _BLOCK_BITS))
 
@@ -43,6 +47,23 @@ def index_rows(
     return ranked.select(*df.columns, (F.col(name) - F.col("_start")).alias(name))
 
 
+def sum_before(df: DataFrame, order_by: Sequence[str | Column], value: str, name: str) -> DataFrame:
+    """Add the sum of ``value`` over all rows before each one in ``order_by`` (unique), 0 for the first.
+
+    Rows are range-sorted and stored, summed within their partition, and the sums of the partitions before are added:
+    those are the only thing that one task orders.
+    """
+    stamped = df.orderBy(*order_by).withColumn("_stamp", F.monotonically_increasing_id())
+    fixed = materialize(stamped, "sums").withColumn("_block", F.shiftright("_stamp", _BLOCK_BITS))
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = fixed.groupBy("_block").agg(F.sum(value).alias("_sum"))
+    offsets = sums.select("_block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+    within = Window.partitionBy("_block").orderBy("_stamp").rowsBetween(Window.unboundedPreceding, -1)
+    own = fixed.withColumn("_own", F.coalesce(F.sum(value).over(within), F.lit(0)))
+    joined = own.join(F.broadcast(offsets), "_block")
+    return joined.select(*df.columns, (F.col("_offset") + F.col("_own")).alias(name))
+
+
 def index_file_lines(lines: DataFrame, name: str = "idx") -> DataFrame:
     """Global line number for lines with (file, block, seq), see ``scan_lines_with_position``.
 
@@ -50,10 +71,7 @@ def index_file_lines(lines: DataFrame, name: str = "idx") -> DataFrame:
     """
     fixed = materialize(lines, "lines")
     blocks = fixed.groupBy("file", "block").agg(F.count("*").alias("_size"), F.min("seq").alias("_first"))
-    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select(
-        "file", "block", "_first", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
-    )
+    offsets = sum_before(blocks, ["file", "block"], "_size", "_offset").drop("_size")
     indexed = fixed.join(offsets, ["file", "block"])
     return indexed.select(*lines.columns, (F.col("_offset") + F.col("seq") - F.col("_first")).alias(name))
 

@@ -182,3 +182,16 @@ def test_report_lines_round_trip(spark, tmp_path):
         sinks.write_report(df, path)
     shares = line_sources.parse_share_lines(lines(spark, "den 1220703 (52.131662% of total)", "", "junk"))
     assert list(map(tuple, shares.collect())) == [("den", 1220703, 52.131662)]
+
+
+def test_sums_before_each_row_and_spread_ties(spark):
+    df = spark.range(500).select(F.col("id"), (F.col("id") % 7).alias("v")).repartition(6)
+    got = sorted((r["id"], r["s"]) for r in indexing.sum_before(df, ["id"], "v", "s").collect())
+    total, want = 0, []
+    for i in range(500):
+        want.append((i, total))
+        total += i % 7
+    assert got == want
+    ties = spark.range(3000).select("id", F.lit(1).alias("k"))
+    ranked = indexing.index_rows(ties, ["k"], "i")
+    assert sorted(r["i"] for r in ranked.collect()) == list(range(3000))
