@@ -113,13 +113,21 @@ def banded_distance(a: list, b: list, most: int) -> int:
 
 
 def similar(a: list, b: list, similarity: float = SIMILARITY) -> bool:
-    """Whether the edit similarity reaches ``similarity``. First an exact bound: words that only one side has."""
+    """Whether the edit similarity reaches ``similarity``.
+
+    First an exact bound: words that only one side has. Then bands of growing width, as near copies need a narrow one.
+    """
     longer = max(len(a), len(b))
     most = int((1 - similarity) * longer + 1e-9)
     if longer - min(len(a), len(b)) > most:
         return False
     if longer - sum((Counter(a) & Counter(b)).values()) > most:
         return False
+    band = 64
+    while band < most:
+        if banded_distance(a, b, band) <= band:
+            return True
+        band *= 8
     return banded_distance(a, b, most) <= most
 
 
@@ -257,7 +265,8 @@ def near_classes(docs: DataFrame, text: str = "text", similarity: float = SIMILA
     rows, nodes, links = _classified(_keyed(docs, text), similarity)
     ends = links.select(F.col("one").alias("node")).unionByName(links.select(F.col("two").alias("node")))
     counted = ends.groupBy("node").agg(F.count("*").alias("n_links"))
-    classes = nodes.groupBy("root").agg(F.min("least_id").alias("class_id"))
+    # Stored, so that the join below is one that Spark can split for a large class.
+    classes = materialize(nodes.groupBy("root").agg(F.min("least_id").alias("class_id")), "near-classes")
     told = nodes.join(classes, "root").join(counted, "node", "left")
     return rows.join(told.select("a", "b", "class_id", "n_links"), ["a", "b"]).select(
         "doc_id", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")

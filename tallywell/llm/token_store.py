@@ -167,18 +167,21 @@ def byte_bpe(path: str, pattern: str, remember: int = 2_000_000) -> Encode:
     known = _KnownWords(wide)
     bare = np.uint64(0xA0761D6478BD642F)  # marks words without a space before them
 
-    def learn(keys: np.ndarray, words: list[bytes], mark: bytes, starts_word: Callable[[np.ndarray], np.ndarray]) -> None:
-        """Encode many words in one text and cut its ids where words start."""
+    def encode_words(words: list[bytes], mark: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many words, and how many each has: words are encoded in one text, its ids cut where words start."""
+        all_ids, all_sizes = [np.zeros(0, wide)], [np.zeros(0, np.int64)]
         for k in range(0, len(words), 5000):
             own = words[k : k + 5000]
             ids = ids_of(mark + mark.join(own))
-            starts = np.flatnonzero(starts_word(ids))
+            starts = np.flatnonzero(opens_word[ids] if mark == b" " else ids == line_end[0])
             if len(starts) != len(own):
                 raise ValueError("the vocabulary does not keep words apart")
             sizes = np.diff(np.append(starts, len(ids)))
             if mark == b"\n":
                 ids, sizes = np.delete(ids, starts), sizes - 1
-            known.add(keys[k : k + 5000], sizes, ids)
+            all_ids.append(ids)
+            all_sizes.append(sizes)
+        return np.concatenate(all_ids), np.concatenate(all_sizes)
 
     def encode_plain(texts: list[bytes]) -> list[np.ndarray]:
         data = b"\n".join(texts) + b"\n"
@@ -198,11 +201,11 @@ def byte_bpe(path: str, pattern: str, remember: int = 2_000_000) -> Encode:
             new = first[~found]
             keys, is_spaced = unique[~found], spaced[new]
             strings = [data[a:b] for a, b in zip(words.start[new].tolist(), words.end[new].tolist())]
-            inner = np.flatnonzero(is_spaced)
-            learn(keys[inner], [strings[i] for i in inner], b" ", lambda ids: opens_word[ids])
-            other = np.flatnonzero(~is_spaced)
-            learn(keys[other], [strings[i] for i in other], b"\n", lambda ids: ids == line_end[0])
-            place, found = known.find(unique)
+            inner, other = np.flatnonzero(is_spaced), np.flatnonzero(~is_spaced)
+            made = [encode_words([strings[i] for i in own], mark) for own, mark in ((inner, b" "), (other, b"\n"))]
+            ids, sizes = (np.concatenate(x) for x in zip(*made))
+            known.add(keys[np.concatenate([inner, other])], sizes, ids)
+            place, _ = known.find(unique)
         place = place[back]
         size, at = known.size[place], known.at[place]
         breaks = (~opens_text & ~spaced).astype(np.int64)
