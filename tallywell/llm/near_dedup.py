@@ -21,8 +21,8 @@ from tallywell.llm.words import blocks, mix, normal_text, windows, words_of
 from tallywell.storage import materialize
 
 SHINGLE, ORDER, SKETCHES, SIMILARITY = 5, 3, 24, 0.8
-#: Orders of the sketches in which crowded buckets are split; prime to SKETCHES, so each visits all.
-SPLIT_STEPS = (1, 5, 7, 11, 13)
+#: Texts, and bytes of them, of a crowded bucket that make a block; blocks are compared in pairs.
+BLOCK_ROWS, BLOCK_BYTES = 256, 4 << 20
 _FACTORS = np.random.default_rng(5).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -179,16 +179,105 @@ def _with_centres(members: DataFrame) -> DataFrame:
     return members.join(sizes.where("centre < _most").select("bucket", "centre"), "bucket")
 
 
+def _shared(texts: list[list]) -> np.ndarray:
+    """Words that each two texts share, counted with repeats."""
+    holders: dict[tuple, list[int]] = {}
+    for i, words in enumerate(texts):
+        seen: Counter = Counter()
+        for word in words:
+            seen[word] += 1
+            holders.setdefault((word, seen[word]), []).append(i)
+    columns = [own for own in holders.values() if len(own) > 1]
+    out = np.zeros((len(texts), len(texts)), np.float32)
+    for k in range(0, len(columns), 4096):
+        part = columns[k : k + 4096]
+        held = np.zeros((len(texts), len(part)), np.float32)
+        held[np.concatenate(part), np.repeat(np.arange(len(part)), [len(own) for own in part])] = 1
+        out += held @ held.T
+    return out
+
+
+def block_links(rows: list[tuple[int, bool, list]], first: int, similarity: float = SIMILARITY) -> list[tuple[int, int]]:
+    """Links (one < two) that connect all similar texts of a block, or of two blocks that meet at row ``first`` (else 0).
+
+    ``rows``: node, whether it is linked to the bucket's centre, words. Pairs that share too few words, and texts that
+    are connected already, are not aligned.
+    """
+    root = list(range(len(rows)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    linked = [i for i, row in enumerate(rows) if row[1]]
+    for i in linked:
+        root[i] = linked[0]
+    texts = [row[2] for row in rows]
+    sizes = np.array([len(x) for x in texts])
+    longer = np.maximum(sizes[:, None], sizes)
+    able = _shared(texts) >= longer - np.floor((1 - similarity) * longer + 1e-9)
+    out = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(able, 1)))):
+        if first and (i < first) == (j < first):
+            continue
+        a, b = find(i), find(j)
+        if a != b and similar(texts[i], texts[j], similarity):
+            root[b] = a
+            out.append((min(rows[i][0], rows[j][0]), max(rows[i][0], rows[j][0])))
+    return out
+
+
+def _compared(rest: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links (one, two) among the members (bucket, node, linked) of each bucket, blocks of bounded size at a time."""
+    sized = rest.join(texts.select("node", F.octet_length("text").alias("bytes")), "node")
+    totals = sized.groupBy("bucket").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("n")
+    )
+    dealt = rest.join(totals, "bucket").withColumn("block", F.pmod(F.xxhash64("node", "bucket"), F.col("n")).cast("int"))
+    packed = (
+        dealt.join(texts, "node").groupBy("bucket", "n", "block")
+        .agg(F.collect_list(F.struct("node", "linked", "text")).alias("rows"))
+    )
+    other = F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other")
+    met = packed.select("bucket", "block", other, "rows").select(
+        "bucket", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "rows"
+    )
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def close() -> pa.RecordBatch:
+            rows = [(r["node"], r["linked"], normal_text(r["text"]).split()) for part in held for r in part]
+            # Two blocks, or a block by itself; a pair of which one block is empty has no pairs left.
+            first = len(held[0]) if len(held) > 1 else 0
+            found = block_links(rows, first, similarity) if first or key[1] == key[2] else []
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found) if found else ([], []))], ["one", "two"])
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                now = tuple(batch.column(c)[k].as_py() for c in range(3))
+                if now != key:
+                    if held:
+                        yield close()
+                    key, held = now, []
+                held.append(batch.column(4)[k].as_py())
+        if held:
+            yield close()
+
+    own = met.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "block")
+    return own.mapInArrow(of, "one long, two long")
+
+
 def _links(nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """Verified links (one < two) between nodes that share a sketch.
 
-    A bucket's least node is its centre; the others are verified against it. Those that fail are split by a further
-    sketch each round, along several orders of the sketches, and meet the centres of these smaller buckets, until
-    no bucket has two nodes left. So a bucket of several classes, or of texts that share a passage only, takes no
-    all-pairs step; texts that are near copies agree on most sketches and stay together on the way.
+    A bucket's least node is its centre; the others are verified against it. Where some fail, all but the centre are
+    compared with each other, failing ones with passing ones too, so no two similar texts of a bucket stay unconnected.
+    Buckets are compared in pairs of blocks of bounded size, and only links leave a task.
     """
-    sketches = nodes.select("node", "sketches")
-    exploded = sketches.select("node", F.posexplode("sketches").alias("band", "bucket")).withColumn("step", F.lit(0))
+    exploded = nodes.select("node", F.explode("sketches").alias("bucket"))
     members = materialize(_with_centres(exploded), "near-members")
     wanted = nodes.join(members.select("node").distinct(), "node").select("node", "a", "b", "least_id")
     rows = docs.select("doc_id", F.col("key.a").alias("a"), F.col("key.b").alias("b"), F.col("text").cast("binary").alias("text"))
@@ -197,23 +286,14 @@ def _links(nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
         .select("node", "text").dropDuplicates(["node"]),
         "near-texts",
     )
-    known = nodes.sparkSession.createDataFrame([], "one long, two long, linked boolean")
-    level = 0
-    while not members.isEmpty():
-        level += 1
-        asked = members.where("node <> centre")
-        pairs = asked.select(F.col("centre").alias("one"), F.col("node").alias("two")).distinct()
-        if level > 1:
-            pairs = pairs.join(known, ["one", "two"], "left_anti")
-        known = known.unionByName(materialize(_verified(pairs, texts, similarity), "near-verified"))
-        failed = known.where("not linked").select(F.col("one").alias("centre"), F.col("two").alias("node"))
-        rest = asked.join(failed, ["centre", "node"], "left_semi").join(sketches, "node")
-        if level == 1:
-            rest = rest.withColumn("step", F.explode(F.array(*[F.lit(k) for k in SPLIT_STEPS])))
-        further = F.get("sketches", (F.col("band") + F.col("step") * level) % SKETCHES)
-        split = rest.select("node", "band", "step", F.xxhash64("bucket", "step", further).alias("bucket"))
-        members = materialize(_with_centres(split), "near-members")
-    return known.where("linked").select("one", "two")
+    asked = members.where("node <> centre")
+    pairs = asked.select(F.col("centre").alias("one"), F.col("node").alias("two")).distinct()
+    known = materialize(_verified(pairs, texts, similarity), "near-verified")
+    told = asked.join(known.select(F.col("one").alias("centre"), F.col("two").alias("node"), "linked"), ["centre", "node"])
+    crowded = told.groupBy("bucket").agg(F.count("*").alias("_n"), F.every("linked").alias("_all")).where("_n > 1 and not _all")
+    rest = materialize(told.join(crowded.select("bucket"), "bucket").select("bucket", "node", "linked"), "near-crowded")
+    links = known.where("linked").select("one", "two")
+    return materialize(links.unionByName(_compared(rest, texts, similarity)).distinct(), "near-links")
 
 
 def _components(links: DataFrame) -> DataFrame:

@@ -4,8 +4,8 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tallywell.llm.near_dedup import _components, banded_distance, keep_one, near_classes, similar
-from tallywell.llm.words import normal_text
+from tallywell.llm.near_dedup import _components, banded_distance, block_links, keep_one, near_classes, order_minhash, similar
+from tallywell.llm.words import normal_text, words_of
 
 
 def distance(a, b):
@@ -116,6 +116,48 @@ def test_large_groups_and_shared_passages(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
 
 
+def test_near_copies_inside_a_large_template_group(spark):
+    """Texts that share 70 % and are unlike, with edited copies among them: similar texts of a bucket are connected."""
+    rng = random.Random(13)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    template = [rng.choice(vocabulary) for _ in range(140)]
+    texts = []
+    for _ in range(300):
+        own = template + [rng.choice(vocabulary) for _ in range(60)]
+        texts += [own, edited(own, 0.1, rng, vocabulary)]
+    rng.shuffle(texts)
+    sketches = [set(enumerate(_sketches_of(" ".join(t)))) for t in texts]
+    sure = [
+        (i, j) for j in range(600) for i in range(j)
+        if sketches[i] & sketches[j] and block_links([(0, False, texts[i]), (1, False, texts[j])], 0)
+    ]
+    assert len(sure) >= 200
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_classes(frame).collect()}
+    assert all(got[i] == got[j] for i, j in sure)
+    widest = classes_of(range(600), [(i, j) for j in range(600) for i in range(j) if similar(texts[i], texts[j])])
+    assert all(widest[i] == widest[c] for i, c in got.items())
+
+
+def _sketches_of(text):
+    return order_minhash(words_of([text.encode()]).hash).tolist()
+
+
+def test_block_links_match_brute_force():
+    rng = random.Random(17)
+    vocabulary = [f"w{i}" for i in range(40)]
+    base = [[rng.choice(vocabulary) for _ in range(rng.randrange(1, 60))] for _ in range(12)]
+    texts = [edited(rng.choice(base), rng.choice((0.05, 0.1, 0.2)), rng, vocabulary) for _ in range(80)]
+    for first in (0, 30):
+        rows = [(i, False, t) for i, t in enumerate(texts)]
+        want = [
+            (i, j) for j in range(80) for i in range(j)
+            if similar(texts[i], texts[j]) and not (first and (i < first) == (j < first))
+        ]
+        got = block_links(rows, first)
+        assert set(got) <= set(want) and classes_of(range(80), got) == classes_of(range(80), want)
+
+
 @pytest.mark.parametrize("edges", [
     [], [(1, 0)], [(i + 1, i) for i in range(200)], [(0, i) for i in range(1, 100)] + [(200, 201), (201, 202)],
     [(5, 9), (9, 7), (3, 7), (100, 101), (101, 100)],
