@@ -1,9 +1,14 @@
 """Near copies by Order MinHash on word shingles, verified by banded alignment.
 
-Texts are compared as words in lower case without ASCII punctuation. A shingle is five words in a row, labelled with its
-occurrence number in the text. Each of ``SKETCHES`` hash functions takes the ``ORDER`` least shingles of a text and keeps
-them in text order; texts with an equal sketch are candidates. A link is an edit similarity of words of at least
+Texts are compared as words in lower case without ASCII punctuation. A link is an edit similarity of words of at least
 0.8: 1 - edit distance / words of the longer text. Texts without a word are linked to equal texts only.
+
+A shingle is some words in a row, labelled with its occurrence number in the text. Each of ``SKETCHES`` hash functions
+takes the least shingles of a text and keeps them in text order; texts with an equal sketch are candidates. Order and
+number follow from the edits that a link allows wherever they stand: if every fifth word is another, runs of four stay,
+so long texts take the least one of the four-word shingles. If n words are substituted at random places, 0.41 of the
+shingles stay, 0.26 of the union, and 24 sketches miss a pair with probability 0.001. Texts of up to ``SHORT`` words
+have few runs; they take the three least words, of which a link keeps 0.67 of the union and 0.3 of the triples.
 """
 
 from __future__ import annotations
@@ -20,11 +25,15 @@ from tallywell.llm.sharding import text_key
 from tallywell.llm.words import blocks, mix, normal_text, windows, words_of
 from tallywell.storage import materialize
 
-SHINGLE, ORDER, SKETCHES, SIMILARITY = 5, 3, 24, 0.8
+SHINGLE, SKETCHES, SIMILARITY = 4, 24, 0.8
+#: Most words of a text that is sketched by single words, and how many of them make a sketch.
+SHORT, SHORT_ORDER = 40, 3
 #: Texts, and bytes of them, of a crowded bucket that make a block; blocks are compared in pairs.
 BLOCK_ROWS, BLOCK_BYTES = 256, 4 << 20
 _FACTORS = np.random.default_rng(5).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
+_NUMBERS = mix(np.arange(1, 2 * SKETCHES + 1, dtype=np.uint64)).reshape(2, SKETCHES)
+
 
 def _labelled(shingles: np.ndarray) -> np.ndarray:
     """Shingles with their occurrence numbers, as one hash each."""
@@ -39,7 +48,7 @@ def _labelled(shingles: np.ndarray) -> np.ndarray:
     return mix(shingles + number * np.uint64(0x9E3779B97F4A7C15))
 
 
-def order_minhash(words: np.ndarray, shingle: int = SHINGLE, order: int = ORDER) -> np.ndarray:
+def order_minhash(words: np.ndarray, shingle: int = SHINGLE, order: int = 1) -> np.ndarray:
     """Sketches (uint64) of a text's word hashes; a text of fewer words than a shingle is one shingle; no words, none."""
     if not len(words):
         return np.zeros(0, np.uint64)
@@ -61,6 +70,16 @@ def order_minhash(words: np.ndarray, shingle: int = SHINGLE, order: int = ORDER)
     return out
 
 
+def sketches_of(words: np.ndarray) -> np.ndarray:
+    """All sketches of a text, with their number and kind mixed in; two similar texts have one kind in common."""
+    out = []
+    if len(words) <= SHORT:
+        out.append(order_minhash(words, 1, SHORT_ORDER) ^ _NUMBERS[0, : SKETCHES if len(words) else 0])
+    if len(words) >= SHORT * SIMILARITY:
+        out.append(order_minhash(words) ^ _NUMBERS[1])
+    return np.concatenate(out)
+
+
 def banded_distance(a: list, b: list, most: int) -> int:
     """Edit distance of two sequences, or ``most`` + 1 if it is larger.
 
@@ -133,8 +152,6 @@ def similar(a: list, b: list, similarity: float = SIMILARITY) -> bool:
 
 def _sketched(docs: DataFrame) -> DataFrame:
     """doc_id, 128 bits (a, b) of the text, its sketches (with their number mixed in)."""
-    numbers = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64))
-
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column(3).to_pylist()
@@ -143,8 +160,7 @@ def _sketched(docs: DataFrame) -> DataFrame:
                 found = words_of([normal_text(t) for t in raw[a:b]])
                 bounds = np.searchsorted(found.text, np.arange(b - a + 1))
                 for i in range(b - a):
-                    own = order_minhash(found.hash[bounds[i] : bounds[i + 1]])
-                    sketches.append((own ^ numbers[: len(own)]).view(np.int64))
+                    sketches.append(sketches_of(found.hash[bounds[i] : bounds[i + 1]]).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], pa.array(sketches, pa.list_(pa.int64()))], ["doc_id", "a", "b", "sketches"]
             )

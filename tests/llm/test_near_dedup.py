@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tallywell.llm.near_dedup import _components, banded_distance, block_links, keep_one, near_classes, order_minhash, similar
+from tallywell.llm.near_dedup import _components, banded_distance, block_links, keep_one, near_classes, similar, sketches_of
 from tallywell.llm.words import normal_text, words_of
 
 
@@ -126,7 +126,7 @@ def test_near_copies_inside_a_large_template_group(spark):
         own = template + [rng.choice(vocabulary) for _ in range(60)]
         texts += [own, edited(own, 0.1, rng, vocabulary)]
     rng.shuffle(texts)
-    sketches = [set(enumerate(_sketches_of(" ".join(t)))) for t in texts]
+    sketches = [set(_sketches_of(" ".join(t))) for t in texts]
     sure = [
         (i, j) for j in range(600) for i in range(j)
         if sketches[i] & sketches[j] and block_links([(0, False, texts[i]), (1, False, texts[j])], 0)
@@ -140,7 +140,7 @@ def test_near_copies_inside_a_large_template_group(spark):
 
 
 def _sketches_of(text):
-    return order_minhash(words_of([text.encode()]).hash).tolist()
+    return sketches_of(words_of([text.encode()]).hash).tolist()
 
 
 def test_block_links_match_brute_force():
@@ -158,6 +158,24 @@ def test_block_links_match_brute_force():
         assert set(got) <= set(want) and classes_of(range(80), got) == classes_of(range(80), want)
 
 
+@pytest.mark.parametrize("rate", [0.05, 0.1, 0.15, 0.2])
+def test_recall_of_scattered_edits(spark, rate):
+    rng = random.Random(19)
+    rows = []
+    for i in range(600):
+        size = rng.choice((5, 8, 15, 30, 38, 42, 60, 100, 300))
+        words = [f"{i}x{k}" for k in range(size)]
+        rows.append((2 * i, " ".join(words)))
+        other = list(words)
+        for at in rng.sample(range(size), int(rate * size)):
+            other[at] = f"{i}y{at}"
+        rows.append((2 * i + 1, " ".join(other)))
+    got = near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    classes = {r.doc_id: r.class_id for r in got}
+    assert sum(classes[2 * i] == classes[2 * i + 1] == 2 * i for i in range(600)) >= 0.99 * 600
+    assert len(set(classes.values())) >= 600
+
+
 @pytest.mark.parametrize("edges", [
     [], [(1, 0)], [(i + 1, i) for i in range(200)], [(0, i) for i in range(1, 100)] + [(200, 201), (201, 202)],
     [(5, 9), (9, 7), (3, 7), (100, 101), (101, 100)],
