@@ -5,7 +5,8 @@ symbol. Two texts a few edits apart soon read the same symbols at the same steps
 distance, and texts that agree at a few sampled steps are candidates. Symbols are words in lower case without ASCII
 punctuation. The walk starts at every word of every document, which makes each item-sized window a candidate; items
 are embedded once. A repetition has its own random bits, sampled steps and, so that an edit near an item's start does no
-harm to all of them, its own offset into the items.
+harm to all of them, its own offsets into the items. Steps are sampled within a short span, and long items have more
+offsets, so that recall does not fall with the length of an item.
 
 A match is a stretch of a document within ``EDITS`` edits per word of the item.
 """
@@ -24,9 +25,12 @@ from tallywell.llm.words import Words, blocks, mix, normal_text, words_of
 EDITS = 0.2
 #: Items of fewer words say nothing: they are not searched for.
 LEAST_WORDS = 5
-#: Sampled steps per repetition, and the part of the items that each repetition skips.
+#: Sampled steps per repetition, the steps among which they are at most, and the part of the items that each repetition skips.
 SAMPLED = 5
+SPAN = 16
 OFFSETS = (0.0, 0.2, 0.4, 0.6, 0.1, 0.3, 0.5, 0.7)
+#: Words between a repetition's offsets into an item, and the most of them: 64 tries in 8 repetitions miss next to nothing.
+STRIDE, MOST_STARTS = 6, 8
 #: Benchmark text that one pass over the documents searches for; more takes more passes.
 ITEM_BYTES = 8 << 20
 _PASS_WORDS = 1 << 16
@@ -45,12 +49,14 @@ class Plan:
         low = LEAST_WORDS
         while low <= sizes.max(initial=0):
             high = max(low + 1, low * 3 // 2)
+            if int((1 - max(OFFSETS)) * low) >= SPAN:  # larger items have the same steps
+                high = sizes.max() + 1
             own = [i for i in np.flatnonzero((sizes >= low) & (sizes < high))]
             if own:
                 # Walks move on at every other step, so these steps lie within the smallest item of the class.
-                span = min(max(int((1 - share) * low), SAMPLED), 4000)
+                span = min(max(int((1 - share) * low), SAMPLED), SPAN)
                 steps = np.unique(np.minimum((places * span).astype(int), span - 1))
-                starts = [int(share * len(items[i])) for i in own]
+                own, starts = zip(*((i, s) for i in own for s in _starts(len(items[i]), share, span)))
                 keys = [self._keys(items[i][s:], steps) for i, s in zip(own, starts)]
                 tables = [np.zeros(1 << 16, bool) for _ in steps]
                 for key in keys:
@@ -74,6 +80,15 @@ class Plan:
         return keys
 
 
+def _starts(size: int, share: float, span: int) -> list[int]:
+    """A repetition's offsets into an item."""
+    room = size - span
+    n = min(room // STRIDE, MOST_STARTS)
+    if n < 2:
+        return [int(share * size)]
+    return sorted({int((k + share) * room / n) for k in range(n)} | {min(int(share * size), room)})
+
+
 def _walk(words: np.ndarray, at: np.ndarray, bits: np.ndarray, done: int, step: int) -> np.ndarray:
     for j in range(done, step):
         read = words.take(at, mode="clip")

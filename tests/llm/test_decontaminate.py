@@ -87,6 +87,23 @@ def test_recall_of_edited_passages(spark, documents, rate, recall):
     assert sum((i, i) in found for i in range(len(items))) >= recall * len(items)
 
 
+@pytest.mark.parametrize("size", [5, 20, 60, 200, 1000])
+@pytest.mark.parametrize("rate", [0.05, 0.2])
+@pytest.mark.parametrize("kind", ["substituted", "inserted", "deleted"])
+def test_recall_at_any_length(size, rate, kind):
+    rng = random.Random(23)
+    items = [[f"i{j}w{k}" for k in range(size)] for j in range(20 if size == 1000 else 60)]
+    texts = []
+    for item in items:
+        words = list(item)
+        for at in sorted(rng.sample(range(size), int(rate * size)), reverse=True):
+            words[at : at + (kind != "inserted")] = [] if kind == "deleted" else [f"z{rng.random()}"]
+        around = [[f"a{rng.random()}" for _ in range(30)] for _ in range(2)]
+        texts.append(" ".join(around[0] + words + around[1]).encode())
+    found = {(t, i) for t, i, *_ in Matcher([" ".join(x).encode() for x in items]).matches(texts)}
+    assert sum((i, i) in found for i in range(len(items))) >= 0.93 * len(items)
+
+
 def test_case_punctuation_and_neighbours():
     item = b"Alpha beta, gamma delta epsilon zeta eta theta iota kappa lambda mu."
     texts = [b"x " + item.upper().replace(b" ", b"\n"), b"alpha beta gamma", b"", item + b" " + item, b"beta gamma " * 10]
