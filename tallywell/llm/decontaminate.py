@@ -8,11 +8,14 @@ are embedded once. A repetition has its own random bits, sampled steps and, so t
 harm to all of them, its own offsets into the items. Steps are sampled within a short span, and long items have more
 offsets, so that recall does not fall with the length of an item.
 
-A match is a stretch of a document within ``EDITS`` edits per word of the item.
+A match is a stretch of a document within ``EDITS`` edits per word of the item. Items under ``LEAST_WORDS`` words are
+looked for exactly: as words in a row or, if they hold characters of a script without spaces, as a run of characters,
+whatever white space is in it.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywell.llm.words import Words, blocks, mix, normal_text, words_of
+from tallywell.llm.words import Words, blocks, mix, normal_text, windows, words_of
 
 EDITS = 0.2
-#: Items of fewer words say nothing: they are not searched for.
+#: Items of fewer words are looked for exactly only.
 LEAST_WORDS = 5
+#: Thai, Lao, Myanmar, Khmer; kana, Han and their punctuation.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3000-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 #: Sampled steps per repetition, the steps among which they are at most, and the part of the items that each repetition skips.
 SAMPLED = 5
 SPAN = 16
@@ -111,6 +116,19 @@ class Matcher:
         self.items = [found.hash[a:b] for a, b in zip(bounds, bounds[1:])]
         self.most = [int(edits * len(x) + 1e-9) for x in self.items]
         self.plans = [Plan(r, self.items) for r in range(repetitions)]
+        self.unspaced: list[tuple[int, bytes]] = []
+        short: dict[int, list[tuple[int, int]]] = {}
+        for i, (item, text) in enumerate(zip(self.items, texts)):
+            if not 0 < len(item) < LEAST_WORDS:
+                continue
+            if UNSPACED.search(text.decode("utf-8", "replace")):
+                self.unspaced.append((i, b"".join(normal_text(text).split())))
+            else:
+                short.setdefault(len(item), []).append((int(windows(item, len(item))[0]), i))
+        self.short = {
+            size: (np.array([k for k, _ in sorted(own)], np.uint64), np.array([i for _, i in sorted(own)]))
+            for size, own in short.items()
+        }
         self.bits: list[dict[int, int]] = []
         for item in self.items:
             where: dict[int, int] = {}
@@ -154,10 +172,42 @@ class Matcher:
         """(text, item, distance, word at which the window starts), the nearest window of each text and item."""
         out = []
         for a, b in blocks([len(t) for t in texts]):
-            found = words_of([normal_text(t) for t in texts[a:b]])
+            normal = [normal_text(t) for t in texts[a:b]]
+            found = words_of(normal)
             out.extend((a + text, *rest) for text, *rest in self._of(found, b - a))
+            out.extend((a + text, *rest) for text, *rest in self._short(found, b - a))
+            if self.unspaced:
+                out.extend((a + i, *rest) for i, t in enumerate(normal) for rest in self._unspaced(t))
         return out
 
+    def _short(self, found: Words, n: int) -> Iterator[tuple[int, int, int, int]]:
+        """Items under LEAST_WORDS words that stand in the texts word by word, the first place in each text."""
+        bounds = np.searchsorted(found.text, np.arange(n + 1))
+        for size, (keys, items) in self.short.items():
+            read = windows(found.hash, size)
+            place = np.flatnonzero(found.text[: len(read)] == found.text[size - 1 :][: len(read)])
+            place = place[np.isin(read[place], keys)]
+            low, high = (np.searchsorted(keys, read[place], side) for side in ("left", "right"))
+            seen = set()
+            for at, a, b in zip(place.tolist(), low.tolist(), high.tolist()):
+                text = int(found.text[at])
+                for item in items[a:b].tolist():
+                    if (text, item) not in seen:
+                        seen.add((text, item))
+                        yield text, item, 0, at - int(bounds[text])
+
+    def _unspaced(self, text: bytes) -> Iterator[tuple[int, int, int]]:
+        """Items in scripts without spaces that stand in a text as a run of characters."""
+        if text.isascii() or not UNSPACED.search(text.decode()):
+            return
+        words = text.split()
+        ends = np.cumsum([len(w) for w in words])
+        joined = b"".join(words)
+        for item, key in self.unspaced:
+            at = joined.find(key)
+            if at >= 0:
+                yield item, 0, int(np.searchsorted(ends, at, "right"))
+
     def _near(self, item: int, starts: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Whether enough words around each start occur in the item: else no window there is near enough."""
         size, most = len(self.items[item]), self.most[item]
@@ -229,7 +279,7 @@ def find_items(
     """Matches of ``items`` (item_id, text) in whole ``docs`` (doc_id, text): doc_id, item_id, distance, item_words, start.
 
     One row per doc_id and item_id with the least distance (in words) found, and the word where that window starts. Null
-    texts are empty and match nothing, nor do items under five words; null ids are kept as ids; rows that repeat an
+    texts are empty and match nothing; items under five words match exactly only; null ids are kept as ids; rows that repeat an
     id give one row; other columns are ignored. Without documents or items there are no rows. Items are sent to the tasks in
     blocks of bounded size; each block is one pass over the documents.
     """

@@ -111,6 +111,17 @@ def test_case_punctuation_and_neighbours():
     assert [(t, i, d) for t, i, d, _ in found] == [(0, 0, 0), (3, 0, 0)]
 
 
+def test_items_under_five_words_are_found_exactly():
+    paragraph = "\u6771\u4eac\u306f\u65e5\u672c\u306e\u9996\u90fd\u3067\u3059\u3002" * 4
+    items = ["Four words, of test", "one", "x y", paragraph, "\u0e2a\u0e27\u0e31\u0e2a\u0e14\u0e35 abc", "x y", ""]
+    texts = [
+        "here four words of TEST stand", "four words of", "x", "y one x. y", "\u524d\u6587" + paragraph[:9] + "\n" + paragraph[9:] + "\u5f8c",
+        paragraph[1:], "z \u0e2a\u0e27\u0e31\u0e2a\u0e14\u0e35abc", "one one",
+    ]
+    found = Matcher([t.encode() for t in items]).matches([t.encode() for t in texts])
+    assert sorted(found) == [(0, 0, 0, 1), (3, 1, 0, 1), (3, 2, 0, 2), (3, 5, 0, 2), (4, 3, 0, 0), (6, 4, 0, 1), (7, 1, 0, 0)]
+
+
 def test_item_blocks_find_the_same(spark, documents):
     items = table(spark, SF_DIR, "benchmark")
     whole = {tuple(r) for r in find_items(documents, items).collect()}
