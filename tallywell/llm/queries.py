@@ -60,7 +60,7 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return chat.format_and_read(turns)
+    return chat.format_and_read(turns, lookback=8)  # the template renders each turn by itself
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
