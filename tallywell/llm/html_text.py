@@ -141,7 +141,12 @@ def _hinted(node: Node) -> bool:
 
 def _is_boilerplate(node: Node) -> bool:
     tag, attrs = node.tag, node.attrs
-    if tag in BOILERPLATE or attrs.get("role", "").lower() in ROLES:
+    role = attrs.get("role", "").lower()
+    # Some frameworks write the whole body in one form.
+    if (tag == "form" or role == "form") and tag not in BOILERPLATE - {"form"} and role in ("", "form"):
+        if not _holds(node):
+            return True
+    elif tag in BOILERPLATE or role in ROLES:
         return True
     if "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true":
         return True

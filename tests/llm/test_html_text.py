@@ -41,6 +41,18 @@ def test_parts_of_a_page_are_left_out(part, frame):
     assert main_text(frame.format(p=part, w=WORDS)) == want
 
 
+@pytest.mark.parametrize("form", ["form id=aspnetForm", "div role=form"])
+@pytest.mark.parametrize("body", [
+    "<article><h1>Title</h1><p>{w}</p><p>{w}</p></article>", "<main><h1>Title</h1><p>{w}</p><p>{w}</p></main>",
+    "<div><h1>Title</h1><p>{w}</p><p>{w}</p></div>",
+])
+def test_one_form_around_the_article(form, body):
+    controls = "<nav><a href=/>Home</a></nav><label>Mail</label><input><select><option>one</select><button>Go</button>"
+    search = "<form><label>Search</label><input></form>" if form.startswith("div") else ""
+    page = f"<html><body><{form}>{controls}{body.format(w=WORDS)}{search}<footer>us</footer></{form.split()[0]}></body></html>"
+    assert main_text(page) == " ".join(f"Title {WORDS} {WORDS}".split())
+
+
 def test_two_sections_both_stay():
     page = f"<body><main><div><h1>T</h1></div><div><p>{WORDS}</p><p>{WORDS}</p></div><div><p>{WORDS}</p></div></main></body>"
     assert main_text(page) == " ".join(f"T {WORDS * 3}".split())
