@@ -83,3 +83,25 @@ def test_odd_rows(spark, odd, none):
     assert sorted((r.doc_id, r.is_secret) for r in rows) == [(20, True), (20, True), (21, False)]
     assert scan_secrets(none).count() == 0
     assert frequent_words(odd.where(F.col("doc_id") == 1)).count() == 7
+
+
+def test_short_letter_only_punctuated_unquoted_and_url_secrets(spark):
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows, want = [], set()
+    for i in range(200):
+        short = "".join(rng.choice(letters + "0123456789") for _ in range(8))
+        plain = "".join(rng.choice(letters) for _ in range(20))
+        odd = "p!" + short[:4] + "$@#" + short[4:] + "_x"
+        kinds = [
+            (f'password = "{short}"', short), (f"API_KEY={plain}", plain), (f'secret: "{odd}"', odd), (f"DB_PASSWORD={short}", short),
+            (f"postgres://user:{odd}@db.example.com/x", odd), (f"https://example.com/page{i}0123456789/{plain}", None),
+        ]
+        text, value = kinds[i % 6]
+        rows.append((i, f"the quick dog {text} sleeps near water", "src"))
+        want |= {(i, value)} if value else set()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    told = {(r.doc_id, r.finding): r.is_secret for r in scan_secrets(docs).collect()}
+    assert want <= set(told)
+    assert sum(told[k] for k in want) >= 0.95 * len(want)
+    assert not any(told[k] for k in told if k[0] % 6 == 5)
