@@ -1,4 +1,4 @@
-"""The ten operators with production parameters, on their whole tables."""
+"""The training-data operators with production parameters, on their whole tables."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywell.llm import chat, decontaminate, html_text, line_dedup, mixing, near_dedup, quality, secrets, sharding
-from tallywell.llm import token_store
+from tallywell.llm import hard_negatives, lexical, packing, token_store
 from tallywell.session import table
 
 #: Rows per Arrow batch: texts may be long, and a batch of them is held in memory.
@@ -77,11 +77,30 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").select(
+        "vec_id",
+        F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        hard_negatives.whole_vector(F.col("embedding")).alias("embedding"),
+    )
+    return hard_negatives.mine_negatives(rows, "vec_id % 100 = 0")
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary("word_bpe_49k.json")[0]
+    packed = packing.pack_documents(read(spark, sf_dir, "documents"), lambda: packing.word_bpe(path))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_html_text, op2_decontaminate, op3_token_store, op4_secrets, op5_mixing, op6_line_dedup, op7_chat, op8_quality,
-        op9_near_dedup, op10_sharding,
+        op9_near_dedup, op10_sharding, op11_hard_negatives, op12_packing, op13_lexical,
     )
 }
 
@@ -145,4 +164,48 @@ ORACLE: dict[str, str] = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
                CAST(sum(length(role) + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + 24) AS BIGINT) AS formatted_chars
         FROM turns GROUP BY conv_id""",
+    "op11_hard_negatives": r"""
+        WITH rows AS (
+            SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+                   list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+                   CAST(list_sum(list_transform(list_zip(a.v, r.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+            FROM rows a JOIN rows r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, p.positive_id,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+               s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+        FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.same
+         AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+        QUALIFY rank <= 10""",
+    "op13_lexical": r"""
+        WITH asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark),
+        docs AS (
+            SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents),
+        sizes AS (SELECT d, doc_id, CAST(len(terms) AS BIGINT) AS n FROM docs WHERE len(terms) > 0),
+        totals AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sizes),
+        held AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(terms) AS term FROM docs) GROUP BY ALL),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+            FROM held, totals GROUP BY term, n_docs),
+        scored AS (
+            SELECT a.item_id, s.doc_id, s.d,
+                   CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+            FROM asked a JOIN held h ON a.term = h.term JOIN weights v ON v.term = a.term JOIN sizes s ON s.d = h.d, totals
+            GROUP BY ALL)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+        FROM scored WHERE score > 0 QUALIFY rank <= 10""",
 }

@@ -112,7 +112,7 @@ def _is_plain(text: bytes) -> bool:
     return not ((b"\xe2" in text or b"\xe3" in text) and any(map(text.__contains__, _WIDE_WHITE)))
 
 
-class _KnownWords:
+class KnownWords:
     """Ids of words by hash: sorted hashes, and where the ids of each lie in one array. About 30 bytes a word."""
 
     def __init__(self, id_type: str):
@@ -164,7 +164,7 @@ def byte_bpe(path: str, pattern: str, remember: int = 2_000_000) -> Encode:
     line_end = ids_of(b"\n")
     if len(line_end) != 1:
         raise ValueError("the vocabulary has no line end")
-    known = _KnownWords(wide)
+    known = KnownWords(wide)
     bare = np.uint64(0xA0761D6478BD642F)  # marks words without a space before them
 
     def encode_words(words: list[bytes], mark: bytes) -> tuple[np.ndarray, np.ndarray]:
