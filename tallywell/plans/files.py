@@ -9,7 +9,7 @@ from tallywell.plans.standins import doc_lines, experiment_documents, image_file
 from tallywell.session import TABLES, table
 from tallywell.sources import experiments as ex
 from tallywell.sources import lines as line_sources
-from tallywell.sources import sinks, tables
+from tallywell.sources import objects, sinks, tables
 from tallywell.storage import fresh_path, materialize, write_partitioned
 
 
@@ -79,16 +79,28 @@ def scan_images(spark, sf_dir):
     return ex.scan_images(spark, root).select((F.col("length") - 1).alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
 
 
+def scan_image_refs(spark, sf_dir):
+    """Half of the pages stand in a table of references, some of them twice, beside objects that don't exist."""
+    root = fresh_path(spark, "objects")
+    pages = table(spark, sf_dir, "pages")
+    name = F.concat(F.lit("page-"), "page_id", F.lit(".html"))
+    objects.put_objects(pages.select(F.concat(F.lit(f"{root}/"), name).alias("path"), F.col("html").cast("binary").alias("content")))
+    once, twice = pages.where("page_id % 2 = 0"), pages.where("page_id % 10 = 0")
+    gone = pages.where("page_id % 7 = 1").select(F.concat(F.lit("gone-"), "page_id", F.lit(".html")).alias("name"))
+    named = once.select(name.alias("name")).unionByName(twice.select(name.alias("name"))).unionByName(gone)
+    fetched = objects.fetch_objects(named.select(F.concat(F.lit(f"{root}/"), "name").alias("path")))
+    return fetched.select(
+        F.substring_index("path", "/", -1).alias("name"), "n_references", F.col("length").alias("n_bytes"),
+        F.sha2("content", 256).alias("sha256"), "reason",
+    )
+
+
 def sql_query(spark, sf_dir):
     text = """SELECT l_returnflag, count(*) AS n, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue
       FROM {items} WHERE l_quantity BETWEEN :low AND :high AND l_linestatus = :status GROUP BY l_returnflag"""
     return tables.sql_query(spark, text, {"items": table(spark, sf_dir, "lineitem")}, low=10, high=40, status="O")
 
 
-def gen_random_frame(spark, sf_dir):
-    return tables.random_columns(table(spark, sf_dir, "orders").select("o_orderkey"), seed=42)
-
-
 def dim_channels(spark, sf_dir):
     from tallywell.operators.warehouse import parse_images
 
@@ -150,7 +162,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         scan_lines, scan_glob, scan_csv_header, scan_csv_typed, scan_parquet, scan_by_suffix, scan_experiment_json,
-        scan_images, sql_query, gen_random_frame, dim_channels, gen_well_grid, preview_tables, sink_csv_to_parquet,
+        scan_images, scan_image_refs, sql_query, dim_channels, gen_well_grid, preview_tables, sink_csv_to_parquet,
         scan_numbered_lines, sink_partitioned,
     )
 }
@@ -177,6 +189,13 @@ def _oracles() -> dict[str, str]:
           SELECT project_name, experiment_name, plate_type, microscope_name, start_text AS timestamp, nx, 5400.0::DOUBLE AS step_t,
                  (k % 7 + 3 + CASE WHEN k % 31 = 3 THEN 1 ELSE 0 END)::INTEGER AS n_wells, 18::INTEGER AS n_configs FROM docs""",
         "scan_images": "SELECT octet_length(encode(html)) AS n_bytes, sha256(html || chr(10)) AS sha256 FROM pages",
+        "scan_image_refs": """WITH refs AS (
+            SELECT 'page-' || page_id || '.html' AS name, html FROM pages WHERE page_id % 2 = 0
+            UNION ALL SELECT 'page-' || page_id || '.html', html FROM pages WHERE page_id % 10 = 0
+            UNION ALL SELECT 'gone-' || page_id || '.html', NULL FROM pages WHERE page_id % 7 = 1)
+          SELECT name, count(*) AS n_references, octet_length(encode(any_value(html))) AS n_bytes, sha256(any_value(html)) AS sha256,
+                 CASE WHEN any_value(html) IS NULL THEN 'not found' END AS reason
+          FROM refs GROUP BY name""",
         "sql_query": """SELECT l_returnflag, count(*) AS n, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue
           FROM lineitem WHERE l_quantity BETWEEN 10 AND 40 AND l_linestatus = 'O' GROUP BY l_returnflag""",
         "dim_channels": f"""WITH {SQL_IMAGES},

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -42,8 +43,7 @@ def release(spark: SparkSession) -> None:
 
     Stored tables live until this is called, as any frame made from them may still be read. Call it at the end.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, _own_folder(spark))
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
@@ -81,3 +81,63 @@ def append_rows(rows: dict[str, DataFrame], root: str) -> None:
     """
     for name, frame in rows.items():
         frame.write.mode("append").parquet(f"{root}/{name}")
+
+
+class EpochLog:
+    """Totals of a stream: what each epoch adds, and every so often all epochs merged into one table.
+
+    ``merge`` brings rows of several epochs together (a sum, a union of bitmaps); it must give the same for merged rows and for
+    those that they were merged from. An epoch is replaced when it is repeated, and reads only epochs before its own, at most
+    ``every`` of them and one merged table. So a repeated epoch decides alike, and work doesn't grow with the stream's age.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, merge: Callable[[DataFrame], DataFrame], every: int = 8):
+        self.spark, self.path, self.schema, self.merge, self.every = spark, path, schema, merge, every
+
+    def _read(self, paths: list[str]) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+
+    def before(self, epoch: int) -> DataFrame:
+        """All that epochs before ``epoch`` have added, merged."""
+        base = epoch // self.every * self.every
+        paths = [f"{self.path}/merged={base}"] if base else []
+        return self.merge(self._read([*paths, *(f"{self.path}/epoch={e}" for e in range(base, epoch))]))
+
+    def write(self, epoch: int, rows: DataFrame) -> DataFrame:
+        """Replace what ``epoch`` adds; returns it as stored."""
+        own = f"{self.path}/epoch={epoch}"
+        rows.write.mode("overwrite").parquet(own)
+        if (epoch + 1) % self.every == 0:
+            self._merge_before(epoch + 1)
+        return self._read([own])
+
+    def _merge_before(self, base: int) -> None:
+        """Merge all epochs before ``base``. Those that even a repeated epoch no longer reads are deleted."""
+        earlier = base - self.every
+        paths = [f"{self.path}/merged={earlier}"] if earlier else []
+        paths += [f"{self.path}/epoch={e}" for e in range(earlier, base)]
+        self.merge(self._read(paths)).write.mode("overwrite").parquet(f"{self.path}/merged={base}")
+        for old in (*(f"epoch={e}" for e in range(earlier - self.every, earlier)), f"merged={earlier - self.every}"):
+            delete(self.spark, f"{self.path}/{old}")
+
+    def total(self) -> DataFrame:
+        """All that was added so far, merged."""
+        epochs = [int(name.partition("=")[2]) for name in names_in(self.spark, self.path) if name.startswith("epoch=")]
+        return self.before(max(epochs, default=-1) + 1)
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    store, place = _file_system(spark, path)
+    store.delete(place, True)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    store, place = _file_system(spark, path)
+    return [found.getPath().getName() for found in store.listStatus(place)] if store.exists(place) else []

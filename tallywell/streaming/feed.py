@@ -43,22 +43,54 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
         return spark.createDataFrame([], schema)
 
 
-def drain_to_table(stream: DataFrame, label: str, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def drain_to_table(
+    stream: DataFrame, label: str, path: str | None = None, checkpoint: str | None = None, rocks_db: bool = False
+) -> DataFrame:
     """Process all input that is there, append the result to a Parquet table, return it as a batch frame.
 
-    Progress is kept in the checkpoint, so the next call with the same paths goes on from there.
+    Progress is kept in the checkpoint, so the next call with the same paths goes on from there. ``rocks_db``: state on
+    the executors' disks instead of in their heap, as ``transformWithState`` needs.
     """
     spark = stream.sparkSession
     target = path or fresh_path(spark, label)
+    before = spark.conf.get(_STORE)
+    if rocks_db:
+        spark.conf.set(_STORE, _ROCKS_DB)
+    try:
+        query = (
+            stream.writeStream.format("parquet")
+            .outputMode("append")
+            .option("checkpointLocation", checkpoint or f"{target}-progress")
+            .trigger(availableNow=True)
+            .start(target)
+        )
+    finally:
+        spark.conf.set(_STORE, before)
+    query.awaitTermination()
+    return read_or_empty(spark, target, stream.schema)
+
+
+def drain_epochs(
+    stream: DataFrame, label: str, work: Callable[[DataFrame, int], None], path: str | None = None, mode: str = "append"
+) -> str:
+    """Process all input that is there with ``work(batch, epoch)``; returns the folder that its progress belongs to.
+
+    A repeated epoch calls ``work`` again with the same rows and number, so it must replace what it wrote before.
+    """
+    target = path or fresh_path(stream.sparkSession, label)
     query = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint or f"{target}-progress")
+        stream.writeStream.foreachBatch(work)
+        .outputMode(mode)
+        .option("checkpointLocation", f"{target}-progress")
         .trigger(availableNow=True)
-        .start(target)
+        .start()
     )
     query.awaitTermination()
-    return read_or_empty(spark, target, stream.schema)
+    return target
 
 
 def drain_updates(
