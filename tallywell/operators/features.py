@@ -136,12 +136,12 @@ def reduce_features(cells: DataFrame, features: Sequence[str], k: int = 2, prefi
 def group_profiles(df: DataFrame, key: str, vector: str, size: int) -> DataFrame:
     """(key, pos, mean): the mean vector of each group; a vector of another size fails the job.
 
-    One average per element keeps it to a single partial aggregation; rows are not multiplied.
+    Averaged by position, in part before the shuffle: the plan is the same for vectors of any size.
     """
     other = F.concat(F.lit(f"expected a vector of {size}, got "), F.size(vector).cast("string"))
-    df = require(df, F.size(vector) == size, other)
-    means = df.groupBy(key).agg(*[F.avg(F.get(vector, F.lit(i)).cast("double")).alias(f"m{i}") for i in range(size)])
-    return means.select(key, F.posexplode(F.array(*[f"m{i}" for i in range(size)])).alias("pos", "mean"))
+    checked = require(df, F.size(vector) == size, other)
+    elements = checked.select(key, F.posexplode(vector).alias("pos", "value"))
+    return elements.groupBy(key, "pos").agg(F.avg(F.col("value").cast("double")).alias("mean"))
 
 
 def reduce_experiment(
@@ -154,10 +154,3 @@ def reduce_experiment(
     # Fitting reads the cells twice and projecting once more, so the joins are done once and stored.
     cells = materialize(attach_compounds(join_cell_parts(frames), layout), "cells")
     return reduce_features(cells, feature_columns(cells), k)
-
-
-def monte_carlo_pi(rows: DataFrame, seed: int = 0) -> DataFrame:
-    """One row: pi estimated with one random point per input row."""
-    x, y = F.rand(seed), F.rand(seed + 1)
-    inside = F.when(x * x + y * y <= 1, 4.0).otherwise(0.0)
-    return rows.select(inside.alias("v")).agg(F.avg("v").alias("pi"), F.count("*").alias("n"))

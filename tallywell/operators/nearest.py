@@ -14,11 +14,11 @@ from pyspark.sql import types as T
 from tallywell.storage import materialize
 
 
-def _matrix(values: pd.Series) -> np.ndarray:
+def vector_matrix(values: pd.Series) -> np.ndarray:
     return np.array(values.tolist(), dtype=np.float64)
 
 
-def _distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+def squared_distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Squared distances, summed element by element so that equal vectors give exactly 0."""
     out = np.zeros((len(left), len(right)))
     for j in range(left.shape[1]):
@@ -63,7 +63,7 @@ def nearest_references(
 
     @F.pandas_udf("cell int, far double")
     def assign(vectors: pd.Series) -> pd.DataFrame:
-        d = _distances(_matrix(vectors), pivots)
+        d = squared_distances(vector_matrix(vectors), pivots)
         cell = d.argmin(axis=1)
         return pd.DataFrame({"cell": cell.astype("int32"), "far": np.sqrt(d[np.arange(len(d)), cell])})
 
@@ -78,7 +78,7 @@ def nearest_references(
 
     @F.pandas_udf("array<int>")
     def visit(vectors: pd.Series) -> pd.Series:
-        centre = np.sqrt(_distances(_matrix(vectors), pivots[ids]))
+        centre = np.sqrt(squared_distances(vector_matrix(vectors), pivots[ids]))
         upper = centre + radius
         order = upper.argsort(axis=1)
         held = sizes[order].cumsum(axis=1)
@@ -121,7 +121,7 @@ def nearest_references(
                 rids, rvs = rids[order], np.array(tile.rvs.tolist(), dtype=np.float64)[order]
                 qids, qvs = np.asarray(tile.qids), np.array(tile.qvs.tolist(), dtype=np.float64)
                 for start in range(0, len(qids), 256):
-                    d = _distances(qvs[start : start + 256], rvs)
+                    d = squared_distances(qvs[start : start + 256], rvs)
                     best = d.argsort(axis=1, kind="stable")[:, :k]
                     rows = np.arange(len(d))[:, None]
                     yield pd.DataFrame({

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywell.functions import text
-from tallywell.operators import counts, indexing, pairs
+from tallywell.operators import counts, indexing, pairs, translations
 from tallywell.plans.standins import doc_lines, sql_lines
 from tallywell.session import table
 
@@ -81,6 +81,11 @@ def word_pair_count(spark, sf_dir):
     return pairs.word_pair_count(pairs.word_pairs(pairs.pair_filter(_aligned(spark, sf_dir))))
 
 
+def word_translations(spark, sf_dir):
+    found = translations.word_translations(translations.short_pairs(_aligned(spark, sf_dir), 12), rounds=3)
+    return found.withColumn("probability", F.round("probability", 6))
+
+
 def id_difference(spark, sf_dir):
     from tallywell.operators.tabular import id_difference as difference
 
@@ -97,10 +102,31 @@ QUERIES = {
     f.__name__: f
     for f in (
         lower_tokens, word_count, top_words, mr_word_count, first_letter_count, strip_lines, row_count, count_match,
-        line_index, aligned_lines, pair_filter, aligned_word_pairs, word_pair_count, id_difference,
+        line_index, aligned_lines, pair_filter, aligned_word_pairs, word_pair_count, word_translations, id_difference,
     )
 }
 
+def _em_round(number: int) -> str:
+    before = "1.0::DOUBLE" if number == 1 else "t"
+    links = "links" if number == 1 else f"links JOIN p{number - 1} USING (left_word, right_word)"
+    return f"""
+s{number} AS (SELECT left_word, right_word, a * {before} / sum(a * {before}) OVER (PARTITION BY idx, right_word) * b AS share FROM {links}),
+n{number} AS (SELECT left_word, right_word, sum(share) AS n FROM s{number} GROUP BY ALL),
+p{number} AS (SELECT left_word, right_word, n / sum(n) OVER (PARTITION BY left_word) AS t FROM n{number})"""
+
+
+_TRANSLATIONS = f"""WITH {sql_lines('de', 'de')}, {sql_lines('fr', 'fr')},
+a AS (SELECT line AS left_line, row_number() OVER (ORDER BY doc_id, pos) AS idx FROM de),
+b AS (SELECT line AS right_line, row_number() OVER (ORDER BY doc_id, pos) AS idx FROM fr),
+pairs AS (
+  SELECT idx, list_filter(string_split(lower(left_line), ' '), lambda w: w <> '') AS l,
+         list_filter(string_split(lower(right_line), ' '), lambda w: w <> '') AS r FROM a JOIN b USING (idx)),
+short AS (SELECT idx, [''] || l AS l, r FROM pairs WHERE len(l) BETWEEN 1 AND 12 AND len(r) BETWEEN 1 AND 12),
+ls AS (SELECT idx, left_word, count(*) AS a FROM (SELECT idx, unnest(l) AS left_word FROM short) GROUP BY ALL),
+rs AS (SELECT idx, right_word, count(*) AS b FROM (SELECT idx, unnest(r) AS right_word FROM short) GROUP BY ALL),
+links AS (SELECT * FROM ls JOIN rs USING (idx)),{_em_round(1)},{_em_round(2)},{_em_round(3)}
+SELECT left_word, right_word, round(t, 6) AS probability FROM p3"""
+
 _ALIGNED = f"""WITH {sql_lines('de', 'de')}, {sql_lines('fr', 'fr')},
 a AS (SELECT line AS left_line, row_number() OVER (ORDER BY doc_id, pos) - 1 AS idx FROM de),
 b AS (SELECT line AS right_line, row_number() OVER (ORDER BY doc_id, pos) - 1 AS idx FROM fr),
@@ -114,6 +140,7 @@ words AS (
 _WORDS = f"SELECT word, count(*) AS n FROM (SELECT {_SQL_TOKENS} AS word FROM lines) WHERE word <> '' GROUP BY word"
 
 ORACLE = {
+    "word_translations": _TRANSLATIONS,
     "lower_tokens": f"""WITH {sql_lines('lines')}
       SELECT doc_id, pos, (generate_subscripts(string_split(lower(line), ' '), 1) - 1)::INTEGER AS token_pos,
              {_SQL_TOKENS} AS token FROM lines""",

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from tallywell.functions import names
 from tallywell.operators import features as ft
-from tallywell.operators import nearest, tabular
+from tallywell.operators import nearest, nearest_lsh, tabular
 from tallywell.plans.standins import sql_well
 from tallywell.session import table
-from tallywell.storage import fresh_path
+from tallywell.storage import fresh_path, materialize
 
 VECTOR_SIZE = 64
 PART_SIZE = VECTOR_SIZE // 2  # features of a nucleus, and of its cytoplasm
@@ -135,15 +135,28 @@ def group_profiles(spark, sf_dir):
     return profiles.withColumn("mean", F.round("mean", 7))
 
 
-def monte_carlo_pi(spark, sf_dir):
-    return ft.monte_carlo_pi(table(spark, sf_dir, "lineitem").select("l_orderkey"), seed=1)
+def nearest_reference_lsh(spark, sf_dir):
+    """Every twentieth cell looks for its three nearest among all; how many it finds is measured by the exact search."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
+    asked = vectors.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
+    known = vectors.withColumnRenamed("vec_id", "ref_id")
+    # Small buckets, so that a small table has many of them as well.
+    found = materialize(nearest_lsh.nearest_references_lsh(asked, known, k=3, bucket_rows=128), "found")
+    exact = nearest.nearest_references(asked, known, k=3).select("query_id", "rank", F.col("distance2").alias("least"))
+    # Equal distances are equally near.
+    met = exact.join(found, ["query_id", "rank"], "left").withColumn("hit", F.coalesce(F.col("distance2") <= F.col("least") * (1 + 1e-9), F.lit(False)))
+    return met.agg(
+        F.count_distinct("query_id").alias("n_queries"), F.count("*").alias("n_nearest"),
+        (F.avg(F.col("hit").cast("int")) >= 0.9).alias("recalled"),
+        F.every(F.coalesce(F.col("distance2") >= F.col("least") * (1 - 1e-9), F.lit(True))).alias("none_nearer"),
+    )
 
 
 QUERIES = {
     f.__name__: f
     for f in (
         prefix_columns, join_cell_parts, attach_compounds, merge_frames, reduce_experiment, reduce_features,
-        nearest_reference, group_profiles, monte_carlo_pi,
+        nearest_reference, nearest_reference_lsh, group_profiles,
     )
 }
 
@@ -183,6 +196,8 @@ ORACLE = {
         FROM embeddings, profiles p),
       ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance2, ref_id) AS rank FROM d)
       SELECT query_id, ref_id, round(distance2, 6) AS distance2, rank::INTEGER AS rank FROM ranked WHERE rank <= 3""",
+    "nearest_reference_lsh": """SELECT count(*) AS n_queries, 3 * count(*) AS n_nearest, true AS recalled, true AS none_nearer
+      FROM embeddings WHERE vec_id % 20 = 0""",
     "group_profiles": """SELECT label, pos, round(avg(v), 7) AS mean FROM (
         SELECT label, (generate_subscripts(embedding, 1) - 1)::INTEGER AS pos, unnest(embedding)::DOUBLE AS v FROM embeddings)
       GROUP BY label, pos""",

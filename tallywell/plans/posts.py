@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import sys
+
 from pyspark.sql import functions as F
 
 from tallywell.functions import terms as tm
-from tallywell.operators import counts, terms
+from tallywell.operators import counts, programs, term_trie, terms
 from tallywell.operators.terms import term_list
 from tallywell.plans.standins import REPOST, post_lines
 from tallywell.session import table
@@ -95,6 +98,26 @@ def mr_term_job(spark, sf_dir):
     return counts.sum_by_key(emitted)
 
 
+def mr_pipeline(spark, sf_dir):
+    """A mapper, a combiner and a reducer program over posts as JSON lines."""
+    folder = os.path.join(os.path.dirname(os.path.abspath(__file__)), "programs")
+    add_up = [sys.executable, "sum_reducer.py"]
+    written = programs.map_reduce(
+        post_lines(spark, sf_dir), [sys.executable, "term_mapper.py", *TERMS], add_up, add_up,
+        [os.path.join(folder, name) for name in ("term_mapper.py", "sum_reducer.py")],
+    )
+    return line_sources.scan_key_counts(written)
+
+
+def term_share_trie(spark, sf_dir):
+    # All words of the benchmark items, and the first two of each as a phrase.
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{M}]+"), F.lit(0))
+    listed = F.array_append(words, F.concat(F.get(words, F.lit(0)), F.lit("\n "), F.get(words, F.lit(1))))
+    asked = table(spark, sf_dir, "benchmark").select(F.explode(listed).alias("term"))
+    shares = _rounded(term_trie.term_share_trie(_originals(spark, sf_dir), asked))
+    return shares.withColumn("term", F.regexp_replace("term", r"\s+", " "))
+
+
 def scan_tsv_kv(spark, sf_dir):
     odd = F.col("event_id") % 7 == 0
     count = F.when(odd, "n/a").otherwise(F.floor("value").cast("bigint").cast("string"))
@@ -126,7 +149,7 @@ QUERIES = {
     for f in (
         scan_ndjson, scan_json_lines_raw, originals_by_key, originals_by_null, sink_posts_table,
         pronoun_share_extract, pronoun_share_flags, pronoun_share_filter, regex_filter_count, zero_filled_counts,
-        sum_by_key, mr_term_job, scan_tsv_kv, sink_text_report, parse_report_lines,
+        sum_by_key, mr_term_job, mr_pipeline, term_share_trie, scan_tsv_kv, sink_text_report, parse_report_lines,
     )
 }
 
@@ -160,6 +183,19 @@ ORACLE = {
     "sum_by_key": "SELECT event_type AS key, sum(floor(value)::BIGINT)::BIGINT AS count FROM events GROUP BY 1",
     "mr_term_job": f"""WITH {_sql_matches(_ORIGINALS)}
       SELECT term AS key, n AS count FROM hits WHERE n > 0 UNION ALL SELECT 'posts', count(*) FROM posts""",
+    "mr_pipeline": f"""WITH {_sql_matches(_ORIGINALS)}
+      SELECT term AS key, n AS count FROM hits WHERE n > 0 UNION ALL SELECT 'posts', count(*) FROM posts""",
+    "term_share_trie": f"""WITH posts AS (
+        SELECT row_number() OVER () AS id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}]+|[^\\p{{L}}\\p{{M}}\\s]+') AS t FROM ({_ORIGINALS})),
+      held AS (
+        SELECT DISTINCT id, unnest(t) AS term FROM posts
+        UNION SELECT DISTINCT id, unnest(list_transform(list_zip(t[:-2], t[2:]), lambda z: z[1] || ' ' || z[2])) FROM posts WHERE len(t) > 1),
+      counted AS (SELECT term, count(*) AS n FROM held GROUP BY term),
+      items AS (SELECT regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}]+') AS w FROM benchmark),
+      asked AS (SELECT unnest(w) AS term FROM items UNION SELECT w[1] || ' ' || w[2] FROM items WHERE len(w) > 1)
+      SELECT term, coalesce(n, 0) AS n, (SELECT count(*) FROM posts) AS total,
+             round(coalesce(n, 0)::DOUBLE * 100 / (SELECT count(*) FROM posts), 6) AS pct
+      FROM asked LEFT JOIN counted USING (term)""",
     "scan_tsv_kv": "SELECT event_type AS key, floor(value)::BIGINT AS count FROM events WHERE event_id % 7 <> 0",
     "sink_text_report": """SELECT printf('%s' || chr(9) || '%d' || chr(9) || '(%6.2f%% of total)', event_type, count(*),
         count(*) * 100.0::DOUBLE / (SELECT count(*) FROM events)) AS line FROM events GROUP BY event_type""",

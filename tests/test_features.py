@@ -106,11 +106,6 @@ def test_group_profiles_are_means(spark):
         ft.group_profiles(df, "k", "v", 1).collect()
 
 
-def test_pi(spark):
-    row = ft.monte_carlo_pi(spark.range(200_000)).first()
-    assert row["n"] == 200_000 and abs(row["pi"] - 3.14159) < 0.03
-
-
 def test_csv_becomes_partitioned_parquet(spark, tmp_path):
     csv, target = str(tmp_path / "in"), str(tmp_path / "out")
     spark.range(30).selectExpr("'p' AS project", "id % 3 AS batch", "id * 0.5 AS v").write.option("header", "true").csv(csv)
