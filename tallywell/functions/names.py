@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import sys
 import unicodedata
 
 from pyspark.sql import Column
@@ -75,27 +76,29 @@ def media_type(path: Column) -> Column:
     )
 
 
+_PAIR, _ENTRY = "\x01", "\x02"  # can't occur in the table
+
+
 @functools.cache
-def _ascii_parts() -> dict[str, str]:
-    """ASCII part of the compatibility decomposition of each character that has one."""
-    parts = {}
-    for code in range(0x80, 0x10000):
+def _ascii_parts() -> str:
+    """ASCII part of the compatibility decomposition of each character that has one, of all of Unicode, in one text."""
+    parts = []
+    for code in range(0x80, sys.maxunicode + 1):
         if not 0xD800 <= code < 0xE000:
             plain = unicodedata.normalize("NFKD", chr(code)).encode("ascii", "ignore").decode()
             if plain:
-                parts[chr(code)] = plain
-    return parts
+                parts.append(f"{chr(code)}{_PAIR}{plain}")
+    return _ENTRY.join(parts)
 
 
 def to_ascii(text: Column) -> Column:
     """Accented and compatibility characters as their ASCII parts; other characters beyond ASCII are dropped.
 
-    Texts that are ASCII already, nearly all, are only tested.
+    Texts that are ASCII already, nearly all, are only tested. The table is one literal, which Spark makes a map of once.
     """
-    table = literal_map(_ascii_parts())
-    single = F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c))
-    decomposed = F.regexp_replace(F.array_join(single, ""), r"[^\x00-\x7F]", "")
-    return F.when(text.rlike(r"[^\x00-\x7F]"), decomposed).otherwise(text)
+    table = F.str_to_map(F.lit(_ascii_parts()), F.lit(_ENTRY), F.lit(_PAIR))
+    single = F.transform(F.split(text, ""), lambda c: F.when(c < "\x80", c).otherwise(F.coalesce(F.try_element_at(table, c), F.lit(""))))
+    return F.when(text.rlike(r"[^\x00-\x7F]"), F.array_join(single, "")).otherwise(text)
 
 
 def sanitize(name: Column) -> Column:
@@ -105,14 +108,14 @@ def sanitize(name: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(joined, r"[^A-Za-z0-9_.-]", ""), r"^[._]+|[._]+$", "")
 
 
-def is_image(path: Column) -> Column:
-    return stem(path).rlike(IMAGE_NAME)
-
-
 def image_parts(path: Column) -> Column:
-    """The six raw fields of an image name, from one pass of the pattern."""
-    marked = F.regexp_replace(stem(path), IMAGE_NAME, _BREAK.join(f"${n}" for n in range(1, 7)))
-    return F.split(marked, _BREAK, 6)
+    """The six raw fields of an image name, null for other names: one pattern, and the extension cut without one."""
+    name = base_name(path)
+    last = F.substring_index(name, ".", -1)
+    before = F.length(name) - F.length(last) - 1
+    cut = F.when((before > 0) & (last != ""), F.substring(name, F.lit(1), before)).otherwise(name)
+    marked = F.regexp_replace(cut, IMAGE_NAME, _BREAK.join(f"${n}" for n in range(1, 7)))
+    return F.get(F.filter(F.array(F.split(marked, _BREAK, 6)), lambda parts: F.size(parts) == 6), F.lit(0))
 
 
 def image_fields(parts: Column) -> list[Column]:

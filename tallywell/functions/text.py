@@ -19,9 +19,13 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD_PATTERN), F.lit(0))
 
 
+# All characters that count as white space, Unicode's and the information separators included.
+WHITE_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
 def strip(text: Column) -> Column:
-    """Remove whitespace of any kind, Unicode's included, from both ends (``trim`` only removes spaces)."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """Remove white space of any kind from both ends (``trim`` only removes spaces)."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def first_letter(word: Column) -> Column:

@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 from tallywell.operators.nearest import squared_distances, vector_matrix
 from tallywell.storage import materialize
 
-#: Signs of a signature, and by how many a crowded bucket is told apart at a time.
-SIGNS, STEP = 60, 4
+#: Signs of a signature, by how many a crowded bucket is told apart at a time, and how many a query may turn round.
+SIGNS, STEP, LIKELY = 60, 6, 16
 
 
 def _signer(dim: int, tables: int, probes: int, centre: np.ndarray, seed: int):
@@ -33,7 +33,7 @@ def _signer(dim: int, tables: int, probes: int, centre: np.ndarray, seed: int):
                 for t, values in enumerate(row):
                     text = np.where(values >= 0, "1", "0")
                     own.append({"t": t, "sign": "".join(text)})
-                    for i in np.argsort(np.abs(values[: 4 * STEP]), kind="stable")[:probes].tolist():
+                    for i in np.argsort(np.abs(values[:LIKELY]), kind="stable")[:probes].tolist():
                         other = text.copy()
                         other[i] = "1" if text[i] == "0" else "0"
                         own.append({"t": t, "sign": "".join(other)})
@@ -54,7 +54,8 @@ def _buckets(signed: DataFrame, n_signs: int, most: int) -> DataFrame:
             break
         found = full if found is None else found.unionByName(full)
         # Only rows of crowded buckets are looked at again.
-        rows = rows.join(full, (rows["t"] == full["t"]) & (F.substring("sign", 1, depth) == full["crowded"]), "left_semi")
+        held = (rows["t"] == full["t"]) & (F.substring("sign", 1, depth) == full["crowded"])
+        rows = materialize(rows.join(full, held, "left_semi").select("t", "sign"), "crowded-rows")
         depth += STEP
     return found if found is not None else signed.sparkSession.createDataFrame([], "t int, crowded string")
 
@@ -72,7 +73,7 @@ def _placed(signed: DataFrame, crowded: DataFrame, n_signs: int) -> DataFrame:
         met = rest.join(here, (F.col("t") == F.col("_t")) & (start == F.col("crowded")), "left")
         calm = met.where(F.col("crowded").isNull()).select(*rest.columns, start.alias("bucket"))
         out = calm if out is None else out.unionByName(calm)
-        rest = met.where(F.col("crowded").isNotNull()).select(*rest.columns)
+        rest = materialize(met.where(F.col("crowded").isNotNull()).select(*rest.columns), "crowded-rows")
         depth = min(depth + STEP, SIGNS)
         if depth == SIGNS:
             return out.unionByName(rest.withColumn("bucket", F.col("sign")))

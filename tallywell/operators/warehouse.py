@@ -232,18 +232,20 @@ def experiment_wells(stored: DataFrame, plate_wells: DataFrame) -> DataFrame:
 def parse_images(files: DataFrame, path: str = "path", strict: bool = False) -> DataFrame:
     """Image files with the fields of their names; other files are left out, or an error when ``strict``.
 
-    The parts are a column of their own, so the pattern runs once for all six fields.
+    The parts are made by a generator: a filter beside it can't be moved in front, where the pattern would run once more.
     """
-    matches = names.is_image(F.col(path))
-    message = F.concat(F.lit("not an image name: "), F.col(path))
-    images = require(files, matches, message) if strict else files.where(matches)
-    split = images.withColumn("_parts", names.image_parts(F.col(path)))
+    parts = F.array(names.image_parts(F.col(path)))
+    if strict:
+        checked = files.withColumn("_parts", F.explode(parts))
+        split = require(checked, F.col("_parts").isNotNull(), F.concat(F.lit("not an image name: "), F.col(path)))
+    else:
+        split = files.withColumn("_parts", F.explode(F.array_compact(parts)))
     return split.select(*files.columns, *names.image_fields(F.col("_parts")))
 
 
 def unnamed_images(files: DataFrame, path: str = "path") -> DataFrame:
     """Files whose name is not that of an image."""
-    return files.where(~F.coalesce(names.is_image(F.col(path)), F.lit(False)))
+    return files.where(names.image_parts(F.col(path)).isNull())
 
 
 def ingest_images(
@@ -256,8 +258,7 @@ def ingest_images(
     experiment (project_name, experiment_name, plateid).
     """
     experiment = ["project_name", "experiment_name"]
-    parts = F.when(names.is_image(F.col(path)), names.image_parts(F.col(path)))
-    split = files.withColumn("_parts", parts)
+    split = files.withColumn("_parts", F.explode(F.array(names.image_parts(F.col(path)))))
     parsed = split.select(*files.columns, *names.image_fields(F.col("_parts")))
     stored = names.join_path(
         F.lit(bucket), F.col("project_name"), F.col("experiment_name"), names.sanitize(names.base_name(F.col(path)))

@@ -41,7 +41,7 @@ def first_letter_count(spark, sf_dir):
 
 
 def strip_lines(spark, sf_dir):
-    padded = doc_lines(spark, sf_dir).withColumn("line", F.concat(F.lit(" \t\u00a0"), "line", F.lit("\n \u2003")))
+    padded = doc_lines(spark, sf_dir).withColumn("line", F.concat(F.lit(" \t\u00a0\x1c"), "line", F.lit("\x1f\n \u2003")))
     return padded.select("doc_id", "pos", text.strip(F.col("line")).alias("line"))
 
 
@@ -91,7 +91,7 @@ def id_difference(spark, sf_dir):
 
     # Long ids with leading zeros on one side: 24 digits, equal numbers in different spellings.
     long_id = F.concat(F.lit("900000000000000000"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0"))
-    orders = table(spark, sf_dir, "orders").select(F.concat(F.lit("\u00a0000"), long_id, F.lit(" ")).alias("value"))
+    orders = table(spark, sf_dir, "orders").select(F.concat(F.lit("\u00a0\x1d000"), long_id, F.lit(" \x1e")).alias("value"))
     item_id = F.concat(F.lit("+900000000000000000"), F.lpad(F.col("l_orderkey").cast("string"), 8, "0"))
     items = table(spark, sf_dir, "lineitem").select(item_id.alias("value"))
     junk = table(spark, sf_dir, "events").select(F.col("event_type").alias("value"))
@@ -149,7 +149,7 @@ ORACLE = {
     "mr_word_count": f"SELECT word, count(*) AS n FROM (SELECT {_SQL_WORDS} AS word FROM documents) GROUP BY word",
     "first_letter_count": f"""SELECT lower(substr(word, 1, 1)) AS letter, count(*) AS n
       FROM (SELECT {_SQL_WORDS} AS word FROM documents) GROUP BY 1""",
-    "strip_lines": f"WITH {sql_lines('lines')} SELECT doc_id, pos, trim(line, ' ' || chr(9) || chr(10) || chr(160) || chr(8195)) AS line FROM lines",
+    "strip_lines": f"WITH {sql_lines('lines')} SELECT doc_id, pos, trim(line, ' ' || chr(9) || chr(10) || chr(160) || chr(8195) || chr(28) || chr(31)) AS line FROM lines",
     "row_count": f"""WITH {sql_lines('de', 'de')}, {sql_lines('fr', 'fr')}
       SELECT 'de' AS table_name, count(*) AS n FROM de UNION ALL SELECT 'fr', count(*) FROM fr
       UNION ALL SELECT 'documents', count(*) FROM documents UNION ALL SELECT 'lineitem', count(*) FROM lineitem""",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywell.operators import image_sets as sets
-from tallywell.operators import progress, warehouse
+from tallywell.operators import loads, progress, warehouse
 from tallywell.operators.features import route_result_files as route_files
 from tallywell.plans import standins as st
 from tallywell.session import table
@@ -151,6 +151,38 @@ def append_loads(spark, sf_dir):
     return union_frames(tables)
 
 
+def append_facts(spark, sf_dir):
+    """Documents of one region loaded first, then all of them, and both loads once more; what the second load has added."""
+    model = loads.Model(spark, fresh_path(spark, "model"))
+    documents = materialize(st.experiment_documents(spark, sf_dir), "documents")
+    existing = st.existing_experiments(spark, sf_dir)
+    first = documents.join(existing, ["project_name", "experiment_name"], "left_semi")
+    for _ in range(2):
+        for name, rows in (("one", first), ("two", documents)):
+            loads.load_documents(model, name, rows, ex.dim_plate_types(spark), _plate_type_wells(spark, sf_dir), ex.dim_channels(spark))
+    projects = model.read("projects").select(F.col("id").alias("projectid"), F.col("name").alias("project_name"))
+    experiments = model.read("experiments").join(projects, "projectid").join(
+        model.read("plates").select(F.col("id").alias("plateid"), "barcode"), "plateid"
+    ).select(F.col("id").alias("experimentid"), "project_name", F.col("name").alias("experiment_name"), "barcode")
+    experiments = experiments.join(existing, ["project_name", "experiment_name"], "left_anti")
+    wells = model.read("experiment_wells").withColumnRenamed("id", "experiment_wellid").join(
+        _plate_type_wells(spark, sf_dir).select(F.col("id").alias("wellid"), "well_name"), "wellid"
+    )
+    sites = model.read("experiment_well_sites").join(wells, "experiment_wellid")
+    channels = model.read("experiment_imaging_channels").join(
+        ex.dim_channels(spark).select(F.col("id").alias("channelid"), "name"), "channelid"
+    )
+    place = F.concat_ws("/", "site_x", "site_y", "site_z", "site_t")
+    facts = (
+        experiments.select("experimentid", F.lit("experiments").alias("table_name"), F.col("barcode").alias("what")),
+        wells.select("experimentid", F.lit("experiment_wells").alias("table_name"), F.concat_ws("/", "well_name", "cell_line").alias("what")),
+        sites.select("experimentid", F.lit("experiment_well_sites").alias("table_name"), F.concat_ws("/", "well_name", "site_id", place).alias("what")),
+        channels.select("experimentid", F.lit("experiment_imaging_channels").alias("table_name"), F.concat_ws("/", "name", "imaging_order_index").alias("what")),
+    )
+    named = experiments.select("experimentid", "project_name", "experiment_name")
+    return union_frames(list(facts)).join(named, "experimentid").drop("experimentid")
+
+
 def upsert_dimension(spark, sf_dir):
     # Known names: those of the supplier side's first half of nations; offered: every part name and brand.
     stored = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("id"), F.concat(F.lit("Brand#"), "n_nationkey").alias("name"))
@@ -242,7 +274,7 @@ def _stored_images(spark, sf_dir):
 
 
 def image_sets(spark, sf_dir):
-    return sets.image_sets(warehouse.parse_images(st.image_files(spark, sf_dir)))
+    return sets.image_sets(_stored_images(spark, sf_dir))
 
 
 def files_by_name(spark, sf_dir):
@@ -251,7 +283,7 @@ def files_by_name(spark, sf_dir):
 
 
 def number_image_sets(spark, sf_dir):
-    parsed = warehouse.parse_images(st.image_files(spark, sf_dir))
+    parsed = _stored_images(spark, sf_dir)
     next_ids = warehouse.next_batch_id(st.experiments(spark, sf_dir).select("experiment"), st.batches(spark, sf_dir))
     return sets.number_image_sets(parsed, next_ids, "seen")
 
@@ -299,7 +331,7 @@ QUERIES = {
     for f in (
         list_projects, list_experiments, lookup_layout, validate_units, parse_image_name, ingest_experiment,
         ingest_sites, experiment_channels, stored_channel_rejects, ingest_images, ingest_batch_results, ingest_batch_files,
-        append_loads, upsert_dimension, lookup_or_reject,
+        append_loads, append_facts, upsert_dimension, lookup_or_reject,
         resolve_sites, experiment_wells, processed_sites, files_of_experiment, route_result_files, site_scaffold,
         experiment_progress, progress_matrix, attach_coordinates, next_batch_id, image_sets, files_by_name,
         number_image_sets, map_image_sets, retry_lineage, retry_batches,
@@ -457,3 +489,13 @@ ORACLE = {
              next_id + row_number() OVER (PARTITION BY experiment ORDER BY user_id) - 1 AS batchid
       FROM waiting JOIN next_ids ON experiment = user_id % 10""",
 }
+
+# Documents of an unknown plate type are left out whole.
+ORACLE["append_facts"] = f"""WITH sites AS ({ORACLE['ingest_sites']}), channels AS ({ORACLE['experiment_channels']}),
+      known AS (WITH {st.SQL_NEW_DOCUMENTS} SELECT project_name, experiment_name, plate_name FROM new_docs WHERE plate_type = '96-CO-3603')
+    SELECT 'experiments' AS table_name, project_name, experiment_name, plate_name AS what FROM known
+    UNION ALL SELECT DISTINCT 'experiment_wells', project_name, experiment_name, well_name || '/' || cell_line FROM sites
+    UNION ALL SELECT 'experiment_well_sites', project_name, experiment_name,
+      well_name || '/' || site_id || '/' || site_x || '/' || site_y || '/' || site_z || '/' || site_t FROM sites
+    UNION ALL SELECT 'experiment_imaging_channels', project_name, experiment_name, name || '/' || imaging_order_index
+      FROM channels SEMI JOIN known USING (project_name, experiment_name)"""
