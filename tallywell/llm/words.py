@@ -16,12 +16,9 @@ WHITE = b" \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_BYTES = 1 << 20
 _PUNCTUATION = string.punctuation.encode()
-_ROOT = 0x9E3779B97F4A7C15
-_INVERSE = pow(_ROOT, -1, 1 << 64)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 _IS_WHITE = np.zeros(256, bool)
 _IS_WHITE[list(WHITE)] = True
-_BYTE_VALUES = np.random.default_rng(20_011).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_powers: dict[int, np.ndarray] = {}
 
 
 class Words(NamedTuple):
@@ -38,13 +35,31 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power(root: int, n: int) -> np.ndarray:
-    have = _powers.get(root)
-    if have is None or len(have) < n:
-        steps = np.full(max(n, BLOCK_BYTES + 4096), root, np.uint64)
-        steps[0] = 1
-        have = _powers[root] = np.multiply.accumulate(steps)
-    return have
+def _spread(byte: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A value of 64 random-looking bits for each (byte, place)."""
+    return mix(mix((place.astype(np.uint64) << np.uint64(8) | byte.astype(np.uint64)) + _STEP) + _STEP)
+
+
+_NEAR = 256  # places whose values are looked up
+_NEAR_VALUES = _spread(np.tile(np.arange(256), _NEAR), np.repeat(np.arange(_NEAR), 256))
+
+
+def _word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Sum of the values of a word's (byte, place in the word), spread once more.
+
+    Words whose hashes are equal without being equal are as rare as with a random function: no pattern of bytes, as in a
+    polynomial with a fixed root, makes their values cancel.
+    """
+    size = end - start
+    first = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(first, size)
+    byte = raw[np.repeat(start, size) + place]
+    near = place < _NEAR
+    if near.all():
+        value = _NEAR_VALUES[place << 8 | byte]
+    else:
+        value = np.where(near, _NEAR_VALUES[np.where(near, place, 0) << 8 | byte], _spread(byte, place))
+    return mix(np.add.reduceat(value, first) + size.astype(np.uint64) * _STEP)
 
 
 def normal_text(text: bytes | None) -> bytes:
@@ -89,9 +104,9 @@ def words_of(texts: list[bytes]) -> Words:
         edge = np.diff(_IS_WHITE[raw], prepend=True, append=True)
         bounds = np.flatnonzero(edge)
         s, e = bounds[0::2], bounds[1::2]
-        total = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_BYTE_VALUES[raw] * _power(_ROOT, len(raw))[: len(raw)], out=total[1:])
-        hashes.append(mix((total[e] - total[s]) * _power(_INVERSE, len(raw))[s]))
+        if not len(s):
+            continue
+        hashes.append(_word_hashes(raw, s, e))
         starts.append(s + at)
         ends.append(e + at)
     if not starts:
