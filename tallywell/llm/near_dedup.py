@@ -4,11 +4,19 @@ Texts are compared as words in lower case without ASCII punctuation. A link is a
 0.8: 1 - edit distance / words of the longer text. Texts without a word are linked to equal texts only.
 
 A shingle is some words in a row, labelled with its occurrence number in the text. Each of ``SKETCHES`` hash functions
-takes the least shingles of a text and keeps them in text order; texts with an equal sketch are candidates. Order and
-number follow from the edits that a link allows wherever they stand: if every fifth word is another, runs of four stay,
-so long texts take the least one of the four-word shingles. If n words are substituted at random places, 0.41 of the
-shingles stay, 0.26 of the union, and 24 sketches miss a pair with probability 0.001. Texts of up to ``SHORT`` words
-have few runs; they take the three least words, of which a link keeps 0.67 of the union and 0.3 of the triples.
+takes the two least shingles of a text and keeps them in text order, so a sketch tells the order of what it holds; texts with
+an equal sketch are candidates. How many words make a shingle follows from the edits that a link allows wherever they stand: if
+every fifth word is another, 0.34 of the union of shingles of three words stay, both of two with 0.12, and 40 sketches miss the
+pair with 0.007. Shorter texts have few runs and take shingles of two words or one (``LENGTHS``).
+
+Texts of a bucket meet like this, each step between texts that the steps before have not connected:
+
+1. The least node of a bucket is its centre, and the others are its pairs. Lengths and bags of words bound the distance of a pair
+   from below, so most unlike pairs go without a text being read. Each node is verified against its least centre.
+2. The other pairs with centres are verified.
+3. In buckets whose texts are still apart, bags are compared in blocks, and the pairs that remain are verified.
+
+So no two similar texts of a bucket stay unconnected, and texts are moved only for pairs that may be links.
 """
 
 from __future__ import annotations
@@ -18,21 +26,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywell.llm.sharding import text_key
 from tallywell.llm.words import blocks, mix, normal_text, windows, words_of
 from tallywell.storage import materialize
 
-SHINGLE, SKETCHES, SIMILARITY = 4, 24, 0.8
-#: Most words of a text that is sketched by single words, and how many of them make a sketch.
-SHORT, SHORT_ORDER = 40, 3
-#: Texts, and bytes of them, of a crowded bucket that make a block; blocks are compared in pairs.
-BLOCK_ROWS, BLOCK_BYTES = 256, 4 << 20
+SKETCHES, ORDER, SIMILARITY = 40, 2, 0.8
+#: Words of a shingle, and of the longest text that has such shingles.
+LENGTHS = ((1, 12), (2, 48), (3, 1 << 62))
+#: Numbers that a bag of words is folded to; members of a bucket that make a block; pairs of a centre that a task verifies.
+BAG, BLOCK_ROWS, CENTRE_PAIRS = 256, 512, 2000
 _FACTORS = np.random.default_rng(5).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-_NUMBERS = mix(np.arange(1, 2 * SKETCHES + 1, dtype=np.uint64)).reshape(2, SKETCHES)
+_NUMBERS = mix(np.arange(1, len(LENGTHS) * SKETCHES + 1, dtype=np.uint64)).reshape(len(LENGTHS), SKETCHES)
 
 
 def _labelled(shingles: np.ndarray) -> np.ndarray:
@@ -48,23 +55,25 @@ def _labelled(shingles: np.ndarray) -> np.ndarray:
     return mix(shingles + number * np.uint64(0x9E3779B97F4A7C15))
 
 
-def order_minhash(words: np.ndarray, shingle: int = SHINGLE, order: int = 1) -> np.ndarray:
+def order_minhash(words: np.ndarray, shingle: int, order: int = ORDER) -> np.ndarray:
     """Sketches (uint64) of a text's word hashes; a text of fewer words than a shingle is one shingle; no words, none."""
     if not len(words):
         return np.zeros(0, np.uint64)
     shingles = _labelled(windows(words, min(shingle, len(words))))
+    order = min(order, len(shingles))
     out = np.zeros(SKETCHES, np.uint64)
     # A few hash functions at a time: memory stays a small multiple of the text.
-    step = max(1, (1 << 20) // len(shingles))
+    step = max(1, (1 << 18) // len(shingles))
     for k in range(0, SKETCHES, step):
         rank = shingles * _FACTORS[k : k + step, None]
         rank ^= rank >> np.uint64(29)
-        if len(shingles) > order:
-            least = np.sort(np.argpartition(rank, order - 1, axis=1)[:, :order], axis=1)
-        else:
-            least = np.broadcast_to(np.arange(len(shingles)), (len(rank), len(shingles)))
+        least = np.empty((len(rank), order), np.int64)
+        for j in range(order):
+            least[:, j] = rank.argmin(axis=1)
+            rank[np.arange(len(rank)), least[:, j]] = np.uint64(0xFFFFFFFFFFFFFFFF)
+        least.sort(axis=1)  # text order
         chosen = np.zeros(len(rank), np.uint64)
-        for j in range(least.shape[1]):
+        for j in range(order):
             chosen = chosen * np.uint64(0xD6E8FEB86659FD93) + shingles[least[:, j]]
         out[k : k + step] = mix(chosen)
     return out
@@ -72,14 +81,30 @@ def order_minhash(words: np.ndarray, shingle: int = SHINGLE, order: int = 1) ->
 
 def sketches_of(words: np.ndarray) -> np.ndarray:
     """All sketches of a text, with their number and kind mixed in; two similar texts have one kind in common."""
-    out = []
-    if len(words) <= SHORT:
-        out.append(order_minhash(words, 1, SHORT_ORDER) ^ _NUMBERS[0, : SKETCHES if len(words) else 0])
-    if len(words) >= SHORT * SIMILARITY:
-        out.append(order_minhash(words) ^ _NUMBERS[1])
+    out = [np.zeros(0, np.uint64)]
+    least = 1.0
+    for kind, (shingle, longest) in enumerate(LENGTHS):
+        if least <= len(words) <= longest:
+            out.append(order_minhash(words, shingle) ^ _NUMBERS[kind])
+        least = SIMILARITY * longest  # a text just above ``longest`` may be similar to one of this length
     return np.concatenate(out)
 
 
+def bag_of(words: np.ndarray) -> np.ndarray:
+    """Words counted in ``BAG`` numbers by their hash, up to 255 each."""
+    return np.minimum(np.bincount((words >> np.uint64(7)).astype(np.int64) % BAG, minlength=BAG), 255).astype(np.uint8)
+
+
+def may_link(n: np.ndarray, m: np.ndarray, apart: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """Whether texts of ``n`` and ``m`` words may be linked if their bags differ by ``apart`` in all.
+
+    Each edit changes a bag by two at most (by one where a word comes or goes), and folding only hides differences.
+    """
+    longer, shorter = np.maximum(n, m), np.minimum(n, m)
+    most = np.floor((1 - similarity) * longer + 1e-9)
+    return (longer - shorter <= most) & (apart <= 2 * most - (longer - shorter))
+
+
 def banded_distance(a: list, b: list, most: int) -> int:
     """Edit distance of two sequences, or ``most`` + 1 if it is larger.
 
@@ -151,165 +176,212 @@ def similar(a: list, b: list, similarity: float = SIMILARITY) -> bool:
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, 128 bits (a, b) of the text, its sketches (with their number mixed in)."""
+    """doc_id, 128 bits (a, b) of the text, its number of words and its sketches (with their number mixed in)."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column(3).to_pylist()
-            sketches = []
+            sketches, sizes = [], []
             for a, b in blocks([len(t) for t in raw]):
                 found = words_of([normal_text(t) for t in raw[a:b]])
                 bounds = np.searchsorted(found.text, np.arange(b - a + 1))
+                sizes.extend(np.diff(bounds).tolist())
                 for i in range(b - a):
                     sketches.append(sketches_of(found.hash[bounds[i] : bounds[i + 1]]).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(sketches, pa.list_(pa.int64()))], ["doc_id", "a", "b", "sketches"]
+                [*batch.columns[:3], pa.array(sizes, pa.int64()), pa.array(sketches, pa.list_(pa.int64()))],
+                ["doc_id", "a", "b", "n", "sketches"],
             )
 
     rows = docs.select("doc_id", "key.a", "key.b", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    return rows.mapInArrow(of, "doc_id long, a long, b long, sketches array<long>")
+    return rows.mapInArrow(of, "doc_id long, a long, b long, n long, sketches array<long>")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """``pairs`` (one, two) with ``linked``."""
-
+def _bags(texts: DataFrame) -> DataFrame:
+    """node, n, bag."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked, last, words = [], None, []
-            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                if a != last:
-                    last, words = a, normal_text(a).split()
-                linked.append(similar(words, normal_text(b).split(), similarity))
+            raw = batch.column(1).to_pylist()
+            sizes, bags = [], []
+            for a, b in blocks([len(t or b"") for t in raw]):
+                found = words_of([normal_text(t) for t in raw[a:b]])
+                bounds = np.searchsorted(found.text, np.arange(b - a + 1))
+                sizes.extend(np.diff(bounds).tolist())
+                bags.extend(bag_of(found.hash[x:y]).tobytes() for x, y in zip(bounds[:-1], bounds[1:]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["one", "two", "linked"]
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(bags, pa.binary())], ["node", "n", "bag"]
             )
 
-    one = texts.select(F.col("node").alias("one"), F.col("text").alias("x"))
-    two = texts.select(F.col("node").alias("two"), F.col("text").alias("y"))
-    both = pairs.join(one, "one").join(two, "two").select("one", "two", "x", "y")
-    return both.mapInArrow(of, "one long, two long, linked boolean")
-
-
-def _with_centres(members: DataFrame) -> DataFrame:
-    """``members`` of buckets of two nodes or more, with the least node of the bucket as centre."""
-    sizes = members.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("_most"))
-    return members.join(sizes.where("centre < _most").select("bucket", "centre"), "bucket")
-
-
-def _shared(texts: list[list]) -> np.ndarray:
-    """Words that each two texts share, counted with repeats."""
-    holders: dict[tuple, list[int]] = {}
-    for i, words in enumerate(texts):
-        seen: Counter = Counter()
-        for word in words:
-            seen[word] += 1
-            holders.setdefault((word, seen[word]), []).append(i)
-    columns = [own for own in holders.values() if len(own) > 1]
-    out = np.zeros((len(texts), len(texts)), np.float32)
-    for k in range(0, len(columns), 4096):
-        part = columns[k : k + 4096]
-        held = np.zeros((len(texts), len(part)), np.float32)
-        held[np.concatenate(part), np.repeat(np.arange(len(part)), [len(own) for own in part])] = 1
-        out += held @ held.T
-    return out
+    return texts.select("node", "text").mapInArrow(of, "node long, n long, bag binary")
 
 
-def block_links(rows: list[tuple[int, bool, list]], first: int, similarity: float = SIMILARITY) -> list[tuple[int, int]]:
-    """Links (one < two) that connect all similar texts of a block, or of two blocks that meet at row ``first`` (else 0).
+def _able(pairs: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
+    """Those of ``pairs`` (one, two) that may be links by their bags."""
 
-    ``rows``: node, whether it is linked to the bucket's centre, words. Pairs that share too few words, and texts that
-    are connected already, are not aligned.
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BAG) for c in (4, 5))
+            n, m = (batch.column(c).to_numpy() for c in (2, 3))
+            apart = np.abs(x.astype(np.int16) - y).sum(axis=1)
+            keep = pa.array(may_link(n, m, apart, similarity))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["one", "two"])
+
+    one, two = (bags.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bag").alias(f"bag_{c}")) for c in ("one", "two"))
+    both = pairs.join(one, "one").join(two, "two").select("one", "two", "n_one", "n_two", "bag_one", "bag_two")
+    return both.mapInArrow(of, "one long, two long")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The links among ``pairs`` (one, two).
+
+    A text moves beside its pairs' ``two``, then to the task of their ``one``, whose own text comes once for ``CENTRE_PAIRS`` of them.
+    """
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, words = None, []
+        for batch in batches:
+            found = []
+            for one, part, two, text in zip(*(batch.column(c).to_pylist() for c in range(4))):
+                if two is None:
+                    last, words = (one, part), normal_text(text).split()
+                elif (one, part) != last:
+                    raise ValueError("a pair without its text")
+                elif similar(words, normal_text(text).split(), similarity):
+                    found.append((one, two))
+            columns = zip(*found) if found else ([], [])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["one", "two"])
+
+    parts = pairs.groupBy("one").agg(F.ceil(F.count("*") / CENTRE_PAIRS).alias("parts"))
+    asked = pairs.join(parts, "one").select("one", F.pmod(F.xxhash64("two"), F.col("parts")).alias("part"), "two")
+    theirs = asked.join(texts.select(F.col("node").alias("two"), "text"), "two").select("one", "part", "two", "text")
+    own = parts.join(texts.select(F.col("node").alias("one"), "text"), "one").select(
+        "one", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("two"), "text"
+    )
+    met = own.unionByName(theirs).repartition("one", "part").sortWithinPartitions("one", "part", F.asc_nulls_first("two"))
+    return materialize(met.mapInArrow(of, "one long, two long"), "near-links")
+
+
+def _apart(pairs: DataFrame, rooted: DataFrame) -> DataFrame:
+    """Those of ``pairs`` that no chain of links connects; ``rooted`` as from ``_components``."""
+    out = pairs
+    for end in ("one", "two"):
+        roots = rooted.select(F.col("node").alias(end), F.col("root").alias(f"_{end}"))
+        out = out.join(roots, end, "left").withColumn(f"_{end}", F.coalesce(f"_{end}", end))
+    return out.where("_one <> _two").select("one", "two")
+
+
+def block_pairs(rows: list[tuple], first: int, similarity: float = SIMILARITY) -> list[tuple[int, int]]:
+    """Pairs (one < two) that may be links, of a block or of two blocks that meet at row ``first`` (else 0).
+
+    ``rows``: node, root, number of words, bag. Nodes of one root are connected already.
     """
-    root = list(range(len(rows)))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    linked = [i for i, row in enumerate(rows) if row[1]]
-    for i in linked:
-        root[i] = linked[0]
-    texts = [row[2] for row in rows]
-    sizes = np.array([len(x) for x in texts])
-    longer = np.maximum(sizes[:, None], sizes)
-    able = _shared(texts) >= longer - np.floor((1 - similarity) * longer + 1e-9)
+    node, root, n = (np.array([row[c] for row in rows], np.int64) for c in range(3))
+    bag = np.frombuffer(b"".join(row[3] for row in rows), np.uint8).reshape(-1, BAG).astype(np.int16)
     out = []
-    for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(able, 1)))):
-        if first and (i < first) == (j < first):
-            continue
-        a, b = find(i), find(j)
-        if a != b and similar(texts[i], texts[j], similarity):
-            root[b] = a
-            out.append((min(rows[i][0], rows[j][0]), max(rows[i][0], rows[j][0])))
+    for i in range(first or len(rows)):
+        others = np.arange(first or i + 1, len(rows))
+        longer, shorter = np.maximum(n[others], n[i]), np.minimum(n[others], n[i])
+        near = (longer - shorter <= np.floor((1 - similarity) * longer + 1e-9)) & (root[others] != root[i])
+        others = others[near]
+        if len(others):
+            apart = np.abs(bag[others] - bag[i]).sum(axis=1)
+            for j in others[may_link(n[others], n[i], apart, similarity)].tolist():
+                out.append((int(min(node[i], node[j])), int(max(node[i], node[j]))))
     return out
 
 
-def _compared(rest: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Links (one, two) among the members (bucket, node, linked) of each bucket, blocks of bounded size at a time."""
-    sized = rest.join(texts.select("node", F.octet_length("text").alias("bytes")), "node")
-    totals = sized.groupBy("bucket").agg(
-        F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("n")
-    )
-    dealt = rest.join(totals, "bucket").withColumn("block", F.pmod(F.xxhash64("node", "bucket"), F.col("n")).cast("int"))
-    packed = (
-        dealt.join(texts, "node").groupBy("bucket", "n", "block")
-        .agg(F.collect_list(F.struct("node", "linked", "text")).alias("rows"))
-    )
-    other = F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other")
-    met = packed.select("bucket", "block", other, "rows").select(
-        "bucket", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "rows"
-    )
+def _crowded(members: DataFrame, rooted: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (one < two) that may be links, of texts that share a bucket and are not connected.
+
+    A bucket is compared in pairs of blocks of bounded size, of which only pairs leave a task. Blocks hold texts of like length, and
+    blocks whose lengths rule each other out don't meet.
+    """
+    told = members.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = told.groupBy("bucket").agg(F.min("root").alias("_a"), F.max("root").alias("_b"), F.count("*").alias("_n")).where("_a <> _b and _n > 1")
+    # A block for each BLOCK_ROWS members: bands of lengths within which hashes deal.
+    band = F.floor(F.log(F.greatest("n", F.lit(1)).cast("double")) / F.log(F.lit(1 / similarity)) + 1e-9).cast("int")
+    rows = told.join(open_.select("bucket"), "bucket").withColumn("band", band)
+    sizes = rows.groupBy("bucket", "band").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts"))
+    after = sizes.select("bucket", (F.col("band") - 1).alias("band"), F.col("parts").alias("next"))
+    before = sizes.select("bucket", (F.col("band") + 1).alias("band"), F.col("parts").alias("last"))
+    plan = sizes.join(after, ["bucket", "band"], "left").join(before, ["bucket", "band"], "left").na.fill(0, ["next", "last"])
+    placed = rows.join(plan, ["bucket", "band"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+
+    def met(low_band: Column, x: Column, y: Column, side: int) -> Column:
+        return F.struct(low_band.alias("low"), x.cast("int").alias("x"), y.cast("int").alias("y"), F.lit(side).alias("side"))
+
+    upto = lambda last: F.when(last > 0, F.sequence(F.lit(0), last - 1)).otherwise(F.array().cast("array<int>"))
+    own, part = F.col("band"), F.col("part")
+    # Within the band: blocks (x <= y), -1 marks it; with the next band: this block is x there; with the one before: y.
+    inner = F.transform(upto(F.col("parts")), lambda o: met(own * 2, F.least(part, o), F.greatest(part, o), 0))
+    up = F.transform(upto(F.col("next")), lambda o: met(own * 2 + 1, part, o, 0))
+    down = F.transform(upto(F.col("last")), lambda o: met(own * 2 - 1, o, part, 1))
+    dealt = placed.select("bucket", "node", "root", "n", "part", F.explode(F.concat(inner, up, down)).alias("m"))
+    dealt = dealt.select(
+        "bucket", "m.low", "m.x", "m.y",
+        F.when(F.col("m.low") % 2 == 0, (F.col("part") != F.col("m.x")).cast("int")).otherwise(F.col("m.side")).alias("side"),
+        "node", "root", "n",
+    ).join(bags.select("node", "bag"), "node")
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        key, held, first = None, [], 0
 
         def close() -> pa.RecordBatch:
-            rows = [(r["node"], r["linked"], normal_text(r["text"]).split()) for part in held for r in part]
-            # Two blocks, or a block by itself; a pair of which one block is empty has no pairs left.
-            first = len(held[0]) if len(held) > 1 else 0
-            found = block_links(rows, first, similarity) if first or key[1] == key[2] else []
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found) if found else ([], []))], ["one", "two"])
+            across = key[1] % 2 or key[2] != key[3]
+            pairs = [] if across and not 0 < first < len(held) else block_pairs(held, first if across else 0, similarity)
+            columns = zip(*pairs) if pairs else ([], [])
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["one", "two"])
 
         for batch in batches:
-            for k in range(batch.num_rows):
-                now = tuple(batch.column(c)[k].as_py() for c in range(3))
+            for bucket, low, x, y, side, node, root, n, bag in zip(*(batch.column(c).to_pylist() for c in range(9))):
+                now = bucket, low, x, y
                 if now != key:
                     if held:
                         yield close()
-                    key, held = now, []
-                held.append(batch.column(4)[k].as_py())
+                    key, held, first = now, [], 0
+                if not side:
+                    first += 1
+                held.append((node, root, n, bag))
         if held:
             yield close()
 
-    own = met.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "block")
-    return own.mapInArrow(of, "one long, two long")
+    cells = ["bucket", "low", "x", "y"]
+    dealt = dealt.select(*cells, "side", "node", "root", "n", "bag").repartition(*cells).sortWithinPartitions(*cells, "side", "node")
+    return dealt.mapInArrow(of, "one long, two long").distinct()
 
 
 def _links(nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """Verified links (one < two) between nodes that share a sketch.
-
-    A bucket's least node is its centre; the others are verified against it. Where some fail, all but the centre are
-    compared with each other, failing ones with passing ones too, so no two similar texts of a bucket stay unconnected.
-    Buckets are compared in pairs of blocks of bounded size, and only links leave a task.
-    """
-    exploded = nodes.select("node", F.explode("sketches").alias("bucket"))
-    members = materialize(_with_centres(exploded), "near-members")
-    wanted = nodes.join(members.select("node").distinct(), "node").select("node", "a", "b", "least_id")
+    """Verified links (one < two) that connect all similar nodes which share a sketch; see the steps above."""
+    exploded = nodes.select("node", "n", F.explode("sketches").alias("bucket"))
+    sizes = exploded.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("c"), F.max("node").alias("_last"))
+    sizes = sizes.where("c.node <> _last").select("bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("centre_n"))
+    members = materialize(exploded.join(sizes, "bucket"), "near-members")
+    asked = members.where("node <> centre")
+    longer, shorter = F.greatest("n", "centre_n"), F.least("n", "centre_n")
+    pairs = asked.where(longer - shorter <= F.floor((1 - similarity) * longer + 1e-9))
+    pairs = materialize(pairs.select(F.col("centre").alias("one"), F.col("node").alias("two")).distinct(), "near-pairs")
+
+    # Texts of pairs, and of buckets in which others than the centre may be alike.
+    several = asked.groupBy("bucket").agg(F.min("node").alias("_a"), F.max("node").alias("_b")).where("_a <> _b").select("bucket")
+    wanted = pairs.select(F.col("one").alias("node")).unionByName(pairs.select(F.col("two").alias("node"))).unionByName(asked.join(several, "bucket", "left_semi").select("node"))
+    wanted = materialize(nodes.join(wanted.distinct(), "node").select("node", "a", "b", "least_id"), "near-wanted")
     rows = docs.select("doc_id", F.col("key.a").alias("a"), F.col("key.b").alias("b"), F.col("text").cast("binary").alias("text"))
     texts = materialize(
         rows.join(wanted, ["a", "b"]).where(F.col("doc_id").eqNullSafe(F.col("least_id")))
         .select("node", "text").dropDuplicates(["node"]),
         "near-texts",
     )
-    asked = members.where("node <> centre")
-    pairs = asked.select(F.col("centre").alias("one"), F.col("node").alias("two")).distinct()
-    known = materialize(_verified(pairs, texts, similarity), "near-verified")
-    told = asked.join(known.select(F.col("one").alias("centre"), F.col("two").alias("node"), "linked"), ["centre", "node"])
-    crowded = told.groupBy("bucket").agg(F.count("*").alias("_n"), F.every("linked").alias("_all")).where("_n > 1 and not _all")
-    rest = materialize(told.join(crowded.select("bucket"), "bucket").select("bucket", "node", "linked"), "near-crowded")
-    links = known.where("linked").select("one", "two")
-    return materialize(links.unionByName(_compared(rest, texts, similarity)).distinct(), "near-links")
+    bags = materialize(_bags(texts), "near-bags")
+
+    able = materialize(_able(pairs, bags, similarity), "near-able")
+    links = _verified(able.groupBy("two").agg(F.min("one").alias("one")).select("one", "two"), texts, similarity)
+    rest = _apart(able.join(able.groupBy("two").agg(F.min("one").alias("one")), ["one", "two"], "left_anti"), _components(links))
+    links = links.unionByName(_verified(materialize(rest, "near-rest"), texts, similarity))
+    rooted = _components(links)
+    inner = asked.join(several, "bucket", "left_semi").select("bucket", "node", "n")
+    open_pairs = _crowded(inner, rooted, bags, similarity).join(able, ["one", "two"], "left_anti")
+    return links.unionByName(_verified(materialize(open_pairs, "near-open"), texts, similarity))
 
 
 def _components(links: DataFrame) -> DataFrame:
@@ -340,11 +412,13 @@ def _classified(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFram
     """Documents (doc_id, a, b), nodes (node, a, b, least_id, root) and links."""
     sketched = materialize(_sketched(docs), "near-sketches")
     # Equal texts have equal sketches, so any row's will do.
-    distinct = sketched.groupBy("a", "b").agg(F.min("doc_id").alias("least_id"), F.first("sketches").alias("sketches"))
+    distinct = sketched.groupBy("a", "b").agg(
+        F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("sketches").alias("sketches")
+    )
     nodes = materialize(distinct.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
     links = _links(nodes, docs, similarity)
-    rooted = nodes.drop("sketches").join(_components(links), "node", "left")
-    return sketched.drop("sketches"), rooted.withColumn("root", F.coalesce("root", "node")), links
+    rooted = nodes.drop("sketches", "n").join(_components(links), "node", "left")
+    return sketched.drop("sketches", "n"), rooted.withColumn("root", F.coalesce("root", "node")), links
 
 
 def _keyed(docs: DataFrame, text: str) -> DataFrame:

@@ -4,7 +4,9 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tallywell.llm.near_dedup import _components, banded_distance, block_links, keep_one, near_classes, similar, sketches_of
+import numpy as np
+
+from tallywell.llm.near_dedup import _components, bag_of, banded_distance, block_pairs, keep_one, may_link, near_classes, similar, sketches_of
 from tallywell.llm.words import normal_text, words_of
 
 
@@ -129,7 +131,7 @@ def test_near_copies_inside_a_large_template_group(spark):
     sketches = [set(_sketches_of(" ".join(t))) for t in texts]
     sure = [
         (i, j) for j in range(600) for i in range(j)
-        if sketches[i] & sketches[j] and block_links([(0, False, texts[i]), (1, False, texts[j])], 0)
+        if sketches[i] & sketches[j] and similar(texts[i], texts[j])
     ]
     assert len(sure) >= 200
     frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
@@ -143,19 +145,55 @@ def _sketches_of(text):
     return sketches_of(words_of([text.encode()]).hash).tolist()
 
 
-def test_block_links_match_brute_force():
+def hashes(words):
+    return words_of([" ".join(words).encode()]).hash
+
+
+def test_blocks_hold_all_links():
     rng = random.Random(17)
     vocabulary = [f"w{i}" for i in range(40)]
     base = [[rng.choice(vocabulary) for _ in range(rng.randrange(1, 60))] for _ in range(12)]
     texts = [edited(rng.choice(base), rng.choice((0.05, 0.1, 0.2)), rng, vocabulary) for _ in range(80)]
+    for text in texts[::3]:
+        del text[rng.randrange(len(text))]
+    rows = [(i, i % 5, len(t), bag_of(hashes(t)).tobytes()) for i, t in enumerate(texts)]
     for first in (0, 30):
-        rows = [(i, False, t) for i, t in enumerate(texts)]
-        want = [
+        want = {
             (i, j) for j in range(80) for i in range(j)
-            if similar(texts[i], texts[j]) and not (first and (i < first) == (j < first))
-        ]
-        got = block_links(rows, first)
-        assert set(got) <= set(want) and classes_of(range(80), got) == classes_of(range(80), want)
+            if i % 5 != j % 5 and similar(texts[i], texts[j]) and not (first and (i < first) == (j < first))
+        }
+        got = set(block_pairs(rows, first))
+        assert want <= got and len(got) < 1000
+        assert all(i % 5 != j % 5 and not (first and (i < first) == (j < first)) for i, j in got)
+
+
+def test_bags_bound_the_distance():
+    rng = random.Random(5)
+    for _ in range(2000):
+        k = rng.choice((3, 30, 3000))
+        a = [f"w{rng.randrange(k)}" for _ in range(rng.randrange(1, 60))]
+        b = list(a)
+        for _ in range(rng.randrange(14)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randrange(2)] = [f"w{rng.randrange(k)}"] * rng.randrange(2)
+        apart = np.abs(bag_of(hashes(a)).astype(int) - bag_of(hashes(b))).sum()
+        if similar(a, b):
+            assert may_link(np.array([len(a)]), np.array([len(b)]), np.array([apart]))[0]
+    long = ["x"] * 5000
+    assert bag_of(hashes(long)).max() == 255
+
+
+def test_sketches_tell_the_order():
+    """Blocks of 40 words in another order: nearly all shingles are the same, but not their order."""
+    rng = random.Random(2)
+    moved, reversed_ = [], []
+    for k in range(20):
+        words = [f"{k}w{i}" for i in range(400)]
+        parts = [words[i : i + 40] for i in range(0, 400, 40)]
+        own = set(sketches_of(hashes(words)).tolist())
+        for kept, order in ((moved, rng.sample(parts, 10)), (reversed_, parts[::-1])):
+            kept.append(len(own & set(sketches_of(hashes(sum(order, []))).tolist())) / len(own))
+    assert np.mean(moved) < 0.65 and np.mean(reversed_) < 0.2
 
 
 @pytest.mark.parametrize("rate", [0.05, 0.1, 0.15, 0.2])
