@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallywell.functions import names
 from tallywell.operators import features as ft
-from tallywell.operators import nearest, nearest_lsh, tabular
+from tallywell.operators import embedding, nearest, nearest_lsh, tabular
 from tallywell.plans.standins import sql_well
 from tallywell.session import table
 from tallywell.storage import fresh_path, materialize
@@ -130,6 +130,22 @@ def nearest_reference(spark, sf_dir):
     return found.withColumn("distance2", F.round("distance2", 6))
 
 
+def embed_cells(spark, sf_dir):
+    cells = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
+    graph = embedding.neighbour_graph(cells, 10, "vec_id")
+    placed, values = embedding.embed_graph(graph, rounds=18)
+    off = embedding.residuals(graph, placed, values)
+    one, two, weight = F.col("component_1"), F.col("component_2"), F.col("degree")
+    # What holds for the graph's leading vectors whatever the way to them.
+    return cells.join(placed, F.col("vec_id") == F.col("i"), "left").agg(
+        F.count("*").alias("n"), F.count(one + two).alias("placed"),
+        ((F.abs(F.sum(one * weight)) < 1e-6) & (F.abs(F.sum(two * weight)) < 1e-6)).alias("centred"),
+        (F.abs(F.sum(one * two * weight)) < 1e-6).alias("orthogonal"),
+        ((F.abs(F.sum(one * one * weight) - 1) < 1e-6) & (F.abs(F.sum(two * two * weight) - 1) < 1e-6)).alias("of_length_one"),
+        F.lit(max(off) < 0.1).alias("near_eigenvectors"), F.lit(bool(values[0] >= values[1] > 0.5)).alias("leading"),
+    )
+
+
 def group_profiles(spark, sf_dir):
     profiles = ft.group_profiles(table(spark, sf_dir, "embeddings"), "label", "embedding", VECTOR_SIZE)
     return profiles.withColumn("mean", F.round("mean", 7))
@@ -156,7 +172,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         prefix_columns, join_cell_parts, attach_compounds, merge_frames, reduce_experiment, reduce_features,
-        nearest_reference, nearest_reference_lsh, group_profiles,
+        nearest_reference, nearest_reference_lsh, embed_cells, group_profiles,
     )
 }
 
@@ -198,6 +214,8 @@ ORACLE = {
       SELECT query_id, ref_id, round(distance2, 6) AS distance2, rank::INTEGER AS rank FROM ranked WHERE rank <= 3""",
     "nearest_reference_lsh": """SELECT count(*) AS n_queries, 3 * count(*) AS n_nearest, true AS recalled, true AS none_nearer
       FROM embeddings WHERE vec_id % 20 = 0""",
+    "embed_cells": """SELECT count(*) AS n, count(*) AS placed, true AS centred, true AS orthogonal, true AS of_length_one,
+        true AS near_eigenvectors, true AS leading FROM embeddings""",
     "group_profiles": """SELECT label, pos, round(avg(v), 7) AS mean FROM (
         SELECT label, (generate_subscripts(embedding, 1) - 1)::INTEGER AS pos, unnest(embedding)::DOUBLE AS v FROM embeddings)
       GROUP BY label, pos""",
