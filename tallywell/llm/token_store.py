@@ -236,16 +236,15 @@ SEGMENT_SCHEMA = (
 
 
 def write_tokens(
-    docs: DataFrame, path: str, encoder: Callable[[], Encode], end_id: int = END_ID, width: int = 2, segment_ids: int = SEGMENT_IDS
+    docs: DataFrame, path: str, encoder: Callable[[], Encode], end_id: int = END_ID, segment_ids: int = SEGMENT_IDS
 ) -> None:
     """Encode ``docs`` (doc_id, text) and write them to ``path`` in ascending doc_id order.
 
     Null doc_ids come first, equal ones in the order of a hash of the text, so a repeated id is spread over tasks. Null texts
     are empty: their ids are the end id alone. Other columns are ignored; no rows write no segments. A segment ends once it
-    holds ``segment_ids``; a task holds one segment and one Arrow batch at a time. Spark's committer drops the files of
+    holds ``segment_ids``, and keeps ids in two bytes if all fit; a task holds one segment and one Arrow batch at a time. Spark's committer drops the files of
     failed attempts.
     """
-    id_type = f"<u{width}"
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -259,10 +258,11 @@ def write_tokens(
             unnamed = sum(n is None for n in names)
             own = np.array(names[unnamed:], np.int64)
             first = int(own[0]) if len(own) else 0
-            ids = np.concatenate(runs).astype(id_type)
+            ids = np.concatenate(runs)
+            width = 2 if int(ids.max()) < 1 << 16 else 4  # a segment has at least an end id
             row = {
                 "part": part, "segment": state["segment"], "base": state["base"], "n_docs": len(names), "n_ids": len(ids),
-                "width": width, "ids": ids.tobytes(), "ends": ef_encode(np.cumsum([len(r) for r in runs])),
+                "width": width, "ids": ids.astype(f"<u{width}").tobytes(), "ends": ef_encode(np.cumsum([len(r) for r in runs])),
                 "first_name": first, "n_unnamed": unnamed, "names": ef_encode((own - first).view(np.uint64)),
             }
             state["segment"] += 1
@@ -278,7 +278,7 @@ def write_tokens(
             for a, b in blocks([len(t) for t in texts], 4 << 20):
                 for name, found in zip(own[a:b], encode(texts[a:b])):
                     names.append(name)
-                    runs.append(np.append(found, np.array([end_id], found.dtype)))
+                    runs.append(np.append(found.astype(np.uint32), np.uint32(end_id)))
                     total += len(found) + 1
                     if total >= segment_ids:
                         yield flush()

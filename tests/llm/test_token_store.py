@@ -78,3 +78,35 @@ def test_odd_rows(spark, odd, none):
     assert [r.start for r in ordered] == np.cumsum([0] + [r.n_tokens for r in ordered])[:-1].tolist()
     assert [r.doc_id or -1 for r in ordered] == sorted(r.doc_id or -1 for r in ordered)
     assert token_store.store_documents(none, in_task()).count() == 0
+
+
+def test_ids_of_any_size(spark):
+    """Large vocabularies: a segment takes four bytes an id where two don't hold them."""
+    rows = [(1, "a"), (2, "b"), (3, "c"), (4, None)]
+
+    def encoder():
+        import numpy as np
+
+        sizes = {b"a": [1, 2], b"b": [70_000, 3], b"c": [1 << 31]}
+        return lambda texts: [np.array(sizes.get(t, []), np.uint32) for t in texts]
+
+    path = fresh_path(spark, "wide")
+    token_store.write_tokens(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), path, encoder, segment_ids=1)
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in token_store.read_documents(spark, path).collect()}
+    want = {1: [1, 2, 2], 2: [70_000, 3, 2], 3: [1 << 31, 2], 4: [2]}
+    assert got == {k: (len(v), zlib.crc32(np.array(v, "<u4"))) for k, v in want.items()}
+    assert sorted(r.width for r in token_store.read_segments(spark, path).collect()) == [2, 2, 4, 4]
+
+
+def test_words_of_like_hashes_in_other_schemes(spark):
+    """Words whose polynomial hashes are equal for any odd root: their ids are their own."""
+    one = "a"
+    while len(one) < 1024:
+        one += one.translate(str.maketrans("ab", "ba"))
+    other = one.translate(str.maketrans("ab", "ba"))
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(vocabulary()[0])
+    for texts in ([one, other], [f"x {one} y", f"x {other} y", one]):
+        got = encoder()([t.encode() for t in texts])
+        assert [x.tolist() for x in got] == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
