@@ -294,48 +294,62 @@ def block_pairs(rows: list[tuple], first: int, similarity: float = SIMILARITY) -
 def _crowded(members: DataFrame, rooted: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
     """Pairs (one < two) that may be links, of texts that share a bucket and are not connected.
 
-    A bucket is compared in pairs of blocks of bounded size, of which only pairs leave a task. Blocks hold texts of like length, and
-    blocks whose lengths rule each other out don't meet.
+    Of each bucket the largest root is the base, as a group of near copies may hold most of it: its members only meet the rest, the
+    rest meet each other as well. Both are dealt out in blocks of bounded size and like length, and blocks whose lengths rule
+    each other out don't meet; only pairs leave a task.
     """
     told = members.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_ = told.groupBy("bucket").agg(F.min("root").alias("_a"), F.max("root").alias("_b"), F.count("*").alias("_n")).where("_a <> _b and _n > 1")
-    # A block for each BLOCK_ROWS members: bands of lengths within which hashes deal.
+    held = told.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    base = held.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("base"), F.count("*").alias("_roots"))
+    base = base.where("_roots > 1").select("bucket", "base")
     band = F.floor(F.log(F.greatest("n", F.lit(1)).cast("double")) / F.log(F.lit(1 / similarity)) + 1e-9).cast("int")
-    rows = told.join(open_.select("bucket"), "bucket").withColumn("band", band)
-    sizes = rows.groupBy("bucket", "band").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts"))
+    rows = materialize(told.join(base, "bucket").withColumn("band", band), "near-apart")
+    if rows.isEmpty():
+        return rows.select(F.col("node").alias("one"), F.col("node").alias("two"))
+    rest, based = rows.where("root <> base"), rows.where("root = base")
+    blocks_of = lambda name: F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias(name)
+    deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    upto = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
+
+    def cell(kind: int, low: Column, x: Column, y: Column, side: Column | int) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), low.cast("int").alias("low"), x.cast("int").alias("x"), y.cast("int").alias("y"),
+            (F.lit(side) if isinstance(side, int) else side.cast("int")).alias("side"),
+        )
+
+    # The rest with each other: within a band blocks x <= y, and each block with those of the next band.
+    sizes = rest.groupBy("bucket", "band").agg(blocks_of("parts"))
     after = sizes.select("bucket", (F.col("band") - 1).alias("band"), F.col("parts").alias("next"))
     before = sizes.select("bucket", (F.col("band") + 1).alias("band"), F.col("parts").alias("last"))
     plan = sizes.join(after, ["bucket", "band"], "left").join(before, ["bucket", "band"], "left").na.fill(0, ["next", "last"])
-    placed = rows.join(plan, ["bucket", "band"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-
-    def met(low_band: Column, x: Column, y: Column, side: int) -> Column:
-        return F.struct(low_band.alias("low"), x.cast("int").alias("x"), y.cast("int").alias("y"), F.lit(side).alias("side"))
-
-    upto = lambda last: F.when(last > 0, F.sequence(F.lit(0), last - 1)).otherwise(F.array().cast("array<int>"))
+    placed = rest.join(plan, ["bucket", "band"]).withColumn("part", deal("parts"))
     own, part = F.col("band"), F.col("part")
-    # Within the band: blocks (x <= y), -1 marks it; with the next band: this block is x there; with the one before: y.
-    inner = F.transform(upto(F.col("parts")), lambda o: met(own * 2, F.least(part, o), F.greatest(part, o), 0))
-    up = F.transform(upto(F.col("next")), lambda o: met(own * 2 + 1, part, o, 0))
-    down = F.transform(upto(F.col("last")), lambda o: met(own * 2 - 1, o, part, 1))
-    dealt = placed.select("bucket", "node", "root", "n", "part", F.explode(F.concat(inner, up, down)).alias("m"))
-    dealt = dealt.select(
-        "bucket", "m.low", "m.x", "m.y",
-        F.when(F.col("m.low") % 2 == 0, (F.col("part") != F.col("m.x")).cast("int")).otherwise(F.col("m.side")).alias("side"),
-        "node", "root", "n",
-    ).join(bags.select("node", "bag"), "node")
+    inner = F.transform(upto("parts"), lambda o: cell(0, own * 2, F.least(part, o), F.greatest(part, o), part > o))
+    up = F.transform(upto("next"), lambda o: cell(0, own * 2 + 1, part, o, 0))
+    down = F.transform(upto("last"), lambda o: cell(0, own * 2 - 1, o, part, 1))
+    among = placed.select("bucket", "node", "root", "n", F.explode(F.concat(inner, up, down)).alias("m"))
+
+    # The base of a band with the rest of that band and the two beside it.
+    near = rest.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    plan = based.groupBy("bucket", "band").agg(blocks_of("parts")).join(
+        near.groupBy("bucket", "band").agg(blocks_of("others")), ["bucket", "band"])
+    mine = based.join(plan, ["bucket", "band"]).withColumn("part", deal("parts"))
+    mine = mine.select("bucket", "node", "root", "n", F.explode(F.transform(upto("others"), lambda o: cell(1, own, part, o, 1))).alias("m"))
+    theirs = near.join(plan, ["bucket", "band"]).withColumn("part", deal("others"))
+    theirs = theirs.select("bucket", "node", "root", "n", F.explode(F.transform(upto("parts"), lambda o: cell(1, own, o, part, 0))).alias("m"))
+    dealt = among.unionByName(mine).unionByName(theirs).select("bucket", "m.*", "node", "root", "n").join(bags.select("node", "bag"), "node")
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, first = None, [], 0
 
         def close() -> pa.RecordBatch:
-            across = key[1] % 2 or key[2] != key[3]
+            across = key[1] or key[2] % 2 or key[3] != key[4]
             pairs = [] if across and not 0 < first < len(held) else block_pairs(held, first if across else 0, similarity)
             columns = zip(*pairs) if pairs else ([], [])
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["one", "two"])
 
         for batch in batches:
-            for bucket, low, x, y, side, node, root, n, bag in zip(*(batch.column(c).to_pylist() for c in range(9))):
-                now = bucket, low, x, y
+            for *now, side, node, root, n, bag in zip(*(batch.column(c).to_pylist() for c in range(10))):
                 if now != key:
                     if held:
                         yield close()
@@ -346,13 +360,13 @@ def _crowded(members: DataFrame, rooted: DataFrame, bags: DataFrame, similarity:
         if held:
             yield close()
 
-    cells = ["bucket", "low", "x", "y"]
+    cells = ["bucket", "kind", "low", "x", "y"]
     dealt = dealt.select(*cells, "side", "node", "root", "n", "bag").repartition(*cells).sortWithinPartitions(*cells, "side", "node")
     return dealt.mapInArrow(of, "one long, two long").distinct()
 
 
-def _links(nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """Verified links (one < two) that connect all similar nodes which share a sketch; see the steps above."""
+def _links(nodes: DataFrame, docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Verified links (one < two) that connect all similar nodes which share a sketch, and the roots they lead to; see the steps above."""
     exploded = nodes.select("node", "n", F.explode("sketches").alias("bucket"))
     sizes = exploded.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("c"), F.max("node").alias("_last"))
     sizes = sizes.where("c.node <> _last").select("bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("centre_n"))
@@ -375,13 +389,19 @@ def _links(nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     bags = materialize(_bags(texts), "near-bags")
 
     able = materialize(_able(pairs, bags, similarity), "near-able")
-    links = _verified(able.groupBy("two").agg(F.min("one").alias("one")).select("one", "two"), texts, similarity)
-    rest = _apart(able.join(able.groupBy("two").agg(F.min("one").alias("one")), ["one", "two"], "left_anti"), _components(links))
-    links = links.unionByName(_verified(materialize(rest, "near-rest"), texts, similarity))
+    first = able.groupBy("two").agg(F.min("one").alias("one")).select("one", "two")
+    links = _verified(first, texts, similarity)
     rooted = _components(links)
     inner = asked.join(several, "bucket", "left_semi").select("bucket", "node", "n")
-    open_pairs = _crowded(inner, rooted, bags, similarity).join(able, ["one", "two"], "left_anti")
-    return links.unionByName(_verified(materialize(open_pairs, "near-open"), texts, similarity))
+    for step in (lambda: able.join(first, ["one", "two"], "left_anti"), lambda: _crowded(inner, rooted, bags, similarity)):
+        rest = materialize(_apart(step(), rooted).join(first, ["one", "two"], "left_anti"), "near-rest")
+        if not rest.isEmpty():
+            new = _verified(rest, texts, similarity)
+            if not new.isEmpty():
+                links = materialize(links.unionByName(new), "near-links")
+                rooted = _components(links)
+        first = materialize(first.unionByName(rest), "near-seen")
+    return links, rooted
 
 
 def _components(links: DataFrame) -> DataFrame:
@@ -391,6 +411,8 @@ def _components(links: DataFrame) -> DataFrame:
     chain. The edges of each round are a stored table.
     """
     edges, last = links, None
+    if links.isEmpty():
+        return links.select(F.col("one").alias("node"), F.col("two").alias("root"))
     while True:
         both = edges.unionByName(edges.select(F.col("two").alias("one"), F.col("one").alias("two")))
         least = both.groupBy("one").agg(F.least("one", F.min("two")).alias("m"))
@@ -416,8 +438,8 @@ def _classified(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFram
         F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("sketches").alias("sketches")
     )
     nodes = materialize(distinct.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
-    links = _links(nodes, docs, similarity)
-    rooted = nodes.drop("sketches", "n").join(_components(links), "node", "left")
+    links, roots = _links(nodes, docs, similarity)
+    rooted = nodes.drop("sketches", "n").join(roots, "node", "left")
     return sketched.drop("sketches", "n"), rooted.withColumn("root", F.coalesce("root", "node")), links
 
 
