@@ -20,31 +20,31 @@ def _ready(spark: SparkSession, sf_dir: str) -> None:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep."""
+    """Documents that the rules keep, each row by itself: a null or empty text fails the base rules; no documents give none."""
     _ready(spark, sf_dir)
     return quality.keep_good(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of copies."""
+    """One document of each class of copies: the least doc_id (nulls last), of repeated rows one. Null texts count as empty."""
     _ready(spark, sf_dir)
     return near_dedup.keep_one(docs)
 
 
 def benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark item."""
+    """Documents without a benchmark item. Null and empty texts hold none; without benchmark items all documents stay."""
     _ready(spark, sf_dir)
     return decontaminate.drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it."""
+    """Each document as often as the mix of sources takes it: repeats are rows of their own, a null source is one like others."""
     _ready(spark, sf_dir)
     return mixing.take_documents(docs)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of each document."""
+    """Shard and slot of each document; equal texts, null and empty ones among them, share a shard, ties follow the doc_id."""
     _ready(spark, sf_dir)
     return sharding.shard_documents(docs, keep=["doc_id"])
 
