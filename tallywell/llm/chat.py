@@ -208,7 +208,11 @@ _DIGEST_ARROW = pa.schema([
 
 
 def format_and_read(turns: DataFrame, **options: object) -> DataFrame:
-    """Write the formatted turns to a new folder of the shared one and read the digests back from it."""
+    """Write the formatted turns to a new folder of the shared one and read the digests back from it.
+
+    Null roles and texts are empty; turns of one number go in the order of role and text, repeated rows are turns of their own;
+    turns of null conversations are one conversation; without turns there are no rows.
+    """
     spark, path = turns.sparkSession, fresh_path(turns.sparkSession, "chat")
     written = format_turns(turns, **options)
     written.write.parquet(path)

@@ -315,7 +315,11 @@ def find_items(
 def drop_contaminated(
     docs: DataFrame, items: DataFrame, edits: float = EDITS, repetitions: int = len(OFFSETS), item_bytes: int = ITEM_BYTES
 ) -> DataFrame:
-    """The rows of ``docs`` in which no item is found, same columns. Rows are judged one by one, whatever their id."""
+    """The rows of ``docs`` in which no item is found, same columns.
+
+    Rows are judged one by one, whatever their id: repeated rows are kept or go together, rows with null ids are judged alike. A
+    null or empty text holds no item and stays. Without items all rows stay, without documents there are none.
+    """
     spark = docs.sparkSession
     kept = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])
     schema = kept.schema

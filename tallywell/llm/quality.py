@@ -218,6 +218,10 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, same columns. Verdicts are reached per row, so repeated ids don't matter."""
+    """The rows of ``docs`` that are kept, same columns.
+
+    Verdicts are reached per row, so repeated rows and ids, null ones too, don't matter. A null or empty text has no words and
+    goes with the base rules; without documents there are no rows.
+    """
     featured = materialize(add_features(docs), "quality-documents")
     return judge(featured).where("kept").select(*[F.col(c) for c in docs.columns])
