@@ -154,8 +154,8 @@ def vectors(rng, n, dim, spread):
 @pytest.mark.parametrize(("spread", "parts"), [(0.2, 1), (0.6, 5)])
 def test_recall_of_nearest_references(spark, spread, parts):
     rng = np.random.default_rng(3)
-    v = vectors(rng, 4000, 24, spread)
-    v = np.concatenate([v, np.repeat(v[:1], 1500, axis=0)])  # over a quarter of all references are copies of one
+    v = vectors(rng, 2000, 24, spread)
+    v = np.concatenate([v, np.repeat(v[:1], 800, axis=0)])  # over a quarter of all references are copies of one
     refs = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "ref_id long, vector array<double>").repartition(parts)
     asked = refs.where("ref_id % 20 = 0").withColumnRenamed("ref_id", "query_id").unionByName(
         spark.createDataFrame([(-1, None), (-2, (v[7] + 0.01).tolist())], "query_id long, vector array<double>"))
@@ -170,16 +170,16 @@ def test_recall_of_nearest_references(spark, spread, parts):
     hits = [got.get(key, np.inf) <= least * (1 + 1e-9) for key, least in exact.items()]
     assert np.mean(hits) >= 0.9
     # The copies' least ids come first.
-    assert [r.ref_id for r in sorted(rows, key=lambda r: r["rank"]) if r.query_id == 0] == [0, 4000, 4001]
+    assert [r.ref_id for r in sorted(rows, key=lambda r: r["rank"]) if r.query_id == 0] == [0, 2000, 2001]
 
 
 def test_vectors_that_no_sign_tells_apart(spark):
     """Different vectors in one direction from the centre: blocks of one bucket, and still every reference."""
-    rows = [(i, [1.0 + i * 1e-9, 1.0]) for i in range(900)] + [(1000 + i, [-1.0, -1.0 - i * 1e-9]) for i in range(900)]
+    rows = [(i, [1.0 + i * 1e-9, 1.0]) for i in range(300)] + [(1000 + i, [-1.0, -1.0 - i * 1e-9]) for i in range(300)]
     refs = spark.createDataFrame(rows, "ref_id long, vector array<double>")
-    asked = spark.createDataFrame([(1, [1.0 + 450e-9, 1.0])], "query_id long, vector array<double>")
-    got = nearest_references_lsh(asked, refs, k=2, bucket_rows=16, tables=4).collect()
-    assert sorted((r["rank"], r.ref_id) for r in got)[0] == (1, 450)
+    asked = spark.createDataFrame([(1, [1.0 + 150e-9, 1.0])], "query_id long, vector array<double>")
+    got = nearest_references_lsh(asked, refs, k=2, bucket_rows=16, tables=2, probes=1).collect()
+    assert sorted((r["rank"], r.ref_id) for r in got)[0] == (1, 150)
     assert nearest_references_lsh(asked, refs.limit(0)).count() == 0
     assert nearest_references_lsh(asked.limit(0), refs).count() == 0
     few = {r.query_id: r.ref_id for r in nearest_references_lsh(asked, refs.limit(1), k=5).collect()}
