@@ -262,15 +262,6 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return materialize(met.mapInArrow(of, "one long, two long"), "near-links")
 
 
-def _apart(pairs: DataFrame, rooted: DataFrame) -> DataFrame:
-    """Those of ``pairs`` that no chain of links connects; ``rooted`` as from ``_components``."""
-    out = pairs
-    for end in ("one", "two"):
-        roots = rooted.select(F.col("node").alias(end), F.col("root").alias(f"_{end}"))
-        out = out.join(roots, end, "left").withColumn(f"_{end}", F.coalesce(f"_{end}", end))
-    return out.where("_one <> _two").select("one", "two")
-
-
 def block_pairs(rows: list[tuple], first: int, similarity: float = SIMILARITY) -> list[tuple[int, int]]:
     """Pairs (one < two) that may be links, of a block or of two blocks that meet at row ``first`` (else 0).
 
@@ -291,19 +282,18 @@ def block_pairs(rows: list[tuple], first: int, similarity: float = SIMILARITY) -
     return out
 
 
-def _crowded(members: DataFrame, rooted: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (one < two) that may be links, of texts that share a bucket and are not connected.
+def _crowded(members: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (one < two) that may be links, of ``members`` (bucket, node, n, root) that share a bucket, not a root.
 
     Of each bucket the largest root is the base, as a group of near copies may hold most of it: its members only meet the rest, the
     rest meet each other as well. Both are dealt out in blocks of bounded size and like length, and blocks whose lengths rule
     each other out don't meet; only pairs leave a task.
     """
-    told = members.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    held = told.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    held = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     base = held.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("base"), F.count("*").alias("_roots"))
     base = base.where("_roots > 1").select("bucket", "base")
     band = F.floor(F.log(F.greatest("n", F.lit(1)).cast("double")) / F.log(F.lit(1 / similarity)) + 1e-9).cast("int")
-    rows = materialize(told.join(base, "bucket").withColumn("band", band), "near-apart")
+    rows = materialize(members.join(base, "bucket").withColumn("band", band), "near-apart")
     if rows.isEmpty():
         return rows.select(F.col("node").alias("one"), F.col("node").alias("two"))
     rest, based = rows.where("root <> base"), rows.where("root = base")
@@ -365,6 +355,11 @@ def _crowded(members: DataFrame, rooted: DataFrame, bags: DataFrame, similarity:
     return dealt.mapInArrow(of, "one long, two long").distinct()
 
 
+def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``nodes`` with the root that ``roots`` (node, root; as from ``_components``) gives, their own if none."""
+    return nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
 def _links(nodes: DataFrame, docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     """Verified links (one < two) that connect all similar nodes which share a sketch, and the roots they lead to; see the steps above."""
     exploded = nodes.select("node", "n", F.explode("sketches").alias("bucket"))
@@ -372,36 +367,54 @@ def _links(nodes: DataFrame, docs: DataFrame, similarity: float) -> tuple[DataFr
     sizes = sizes.where("c.node <> _last").select("bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("centre_n"))
     members = materialize(exploded.join(sizes, "bucket"), "near-members")
     asked = members.where("node <> centre")
-    longer, shorter = F.greatest("n", "centre_n"), F.least("n", "centre_n")
-    pairs = asked.where(longer - shorter <= F.floor((1 - similarity) * longer + 1e-9))
-    pairs = materialize(pairs.select(F.col("centre").alias("one"), F.col("node").alias("two")).distinct(), "near-pairs")
 
-    # Texts of pairs, and of buckets in which others than the centre may be alike.
+    def near(n: str, m: str) -> Column:
+        longer, shorter = F.greatest(n, m), F.least(n, m)
+        return longer - shorter <= F.floor((1 - similarity) * longer + 1e-9)
+
+    close = asked.where(near("n", "centre_n"))
+    first = materialize(close.groupBy(F.col("node").alias("two")).agg(F.min("centre").alias("one")).select("one", "two"), "near-first")
+
+    # Texts of nodes that may have a link: with a centre, or in a bucket with others than the centre.
     several = asked.groupBy("bucket").agg(F.min("node").alias("_a"), F.max("node").alias("_b")).where("_a <> _b").select("bucket")
-    wanted = pairs.select(F.col("one").alias("node")).unionByName(pairs.select(F.col("two").alias("node"))).unionByName(asked.join(several, "bucket", "left_semi").select("node"))
-    wanted = materialize(nodes.join(wanted.distinct(), "node").select("node", "a", "b", "least_id"), "near-wanted")
+    inner = asked.join(several, "bucket", "left_semi").select("node")
+    wanted = close.select("node").unionByName(close.select(F.col("centre").alias("node"))).unionByName(inner)
+    wanted = materialize(nodes.join(wanted.distinct(), "node").select("node", "a", "b", "least_id", "n", "sketches"), "near-wanted")
     rows = docs.select("doc_id", F.col("key.a").alias("a"), F.col("key.b").alias("b"), F.col("text").cast("binary").alias("text"))
     texts = materialize(
-        rows.join(wanted, ["a", "b"]).where(F.col("doc_id").eqNullSafe(F.col("least_id")))
+        rows.join(wanted.select("node", "a", "b", "least_id"), ["a", "b"]).where(F.col("doc_id").eqNullSafe(F.col("least_id")))
         .select("node", "text").dropDuplicates(["node"]),
         "near-texts",
     )
     bags = materialize(_bags(texts), "near-bags")
 
-    able = materialize(_able(pairs, bags, similarity), "near-able")
-    first = able.groupBy("two").agg(F.min("one").alias("one")).select("one", "two")
-    links = _verified(first, texts, similarity)
-    rooted = _components(links)
-    inner = asked.join(several, "bucket", "left_semi").select("bucket", "node", "n")
-    for step in (lambda: able.join(first, ["one", "two"], "left_anti"), lambda: _crowded(inner, rooted, bags, similarity)):
-        rest = materialize(_apart(step(), rooted).join(first, ["one", "two"], "left_anti"), "near-rest")
+    seen = first
+    links = _verified(materialize(_able(first, bags, similarity), "near-able"), texts, similarity)
+    roots = _components(links)
+
+    def with_centres() -> DataFrame:
+        """The other pairs with centres; those that are connected already leave no row of the join."""
+        own = _rooted(wanted, roots).select("node", "n", "root", F.explode("sketches").alias("bucket"))
+        centres = members.where("node = centre").select("bucket", "centre", "centre_n")
+        told = centres.join(roots.select(F.col("node").alias("centre"), F.col("root").alias("centre_root")), "centre", "left")
+        told = told.withColumn("centre_root", F.coalesce("centre_root", "centre"))
+        met = own.join(told, (own["bucket"] == told["bucket"]) & (F.col("root") != F.col("centre_root")) & near("n", "centre_n"))
+        return _able(met.select(F.col("centre").alias("one"), F.col("node").alias("two")).distinct(), bags, similarity)
+
+    def with_others() -> DataFrame:
+        own = _rooted(wanted, roots).select("node", "n", "root", F.explode("sketches").alias("bucket"))
+        others = own.join(members.where("node = centre").select("bucket", "centre"), "bucket").where("node <> centre").drop("centre")
+        return _crowded(others, bags, similarity)
+
+    for step in (with_centres, with_others):
+        rest = materialize(step().join(seen, ["one", "two"], "left_anti"), "near-rest")
         if not rest.isEmpty():
             new = _verified(rest, texts, similarity)
             if not new.isEmpty():
                 links = materialize(links.unionByName(new), "near-links")
-                rooted = _components(links)
-        first = materialize(first.unionByName(rest), "near-seen")
-    return links, rooted
+                roots = _components(links)
+        seen = materialize(seen.unionByName(rest), "near-seen")
+    return links, roots
 
 
 def _components(links: DataFrame) -> DataFrame:
