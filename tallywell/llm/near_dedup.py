@@ -420,13 +420,16 @@ def _links(nodes: DataFrame, docs: DataFrame, similarity: float) -> tuple[DataFr
 def _components(links: DataFrame) -> DataFrame:
     """(node, root): the least node that chains of links lead to; nodes that are their own root are left out.
 
-    Large star, then small star, until nothing changes: the number of rounds grows with the logarithm of the longest
-    chain. The edges of each round are a stored table.
+    Large star, then small star, until every node has one edge, to a node that has none itself: the number of rounds grows with
+    the logarithm of the longest chain, and links that are stars already need none. The edges of each round are a stored table.
     """
-    edges, last = links, None
-    if links.isEmpty():
-        return links.select(F.col("one").alias("node"), F.col("two").alias("root"))
+    edges = links.where("one <> two").select(F.greatest("one", "two").alias("one"), F.least("one", "two").alias("two")).distinct()
+    edges = materialize(edges, "near-edges")
     while True:
+        n, nodes = edges.agg(F.count("*"), F.count_distinct("one")).first()
+        ends = edges.select(F.col("two").alias("one")).distinct()
+        if n == nodes and edges.join(ends, "one", "left_semi").isEmpty():
+            return edges.select(F.col("one").alias("node"), F.col("two").alias("root"))
         both = edges.unionByName(edges.select(F.col("two").alias("one"), F.col("one").alias("two")))
         least = both.groupBy("one").agg(F.least("one", F.min("two")).alias("m"))
         large = (
@@ -437,10 +440,6 @@ def _components(links: DataFrame) -> DataFrame:
         edges = materialize(
             moved.unionByName(lowest.select("one", F.col("m").alias("two"))).distinct(), "near-edges"
         )
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("one", "two").cast("decimal(38,0)"))).first()
-        if now == last:
-            return edges.select(F.col("one").alias("node"), F.col("two").alias("root"))
-        last = now
 
 
 def _classified(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame]:
