@@ -62,7 +62,9 @@ def scan_experiment_json(spark, sf_dir):
     root = fresh_path(spark, "experiments")
     documents = experiment_documents(spark, sf_dir).drop("experiment_name")
     body = F.to_json(F.struct(*[c for c in documents.columns if c != "document"]), {"pretty": "true"})
-    documents.select(body.alias("value")).write.option("maxRecordsPerFile", 1).text(root)  # one file per document
+    # One file per document: dealt out, as the table is one file itself, and committed by the tasks, not one by one by the driver.
+    dealt = documents.select(body.alias("value")).repartition(4 * spark.sparkContext.defaultParallelism)
+    dealt.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(root)
     scanned = ex.scan_experiments(spark, root)
     return scanned.select(
         "project_name", "experiment_name", "plate_type", "microscope_name", "timestamp",
