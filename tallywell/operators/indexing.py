@@ -21,7 +21,7 @@ def index_rows(
     written once. Partition sizes then give each partition its offset: that table
     has one row per partition, so it is the only thing ranked in a single task and
     the only thing broadcast. A hot ``within`` key spans several partitions like
-    any other run of rows; its rank is the global rank minus the key's first one. Ties are
+    any other run of rows; its rank is the global rank minus the key's first one, found from one row per key and partition. Ties are
     ordered by a hash of the row, so that many of them are spread as well; a frame with a map
     column needs ``spread_ties=False``.
     """
@@ -36,15 +36,19 @@ def index_rows(
     offsets = sizes.select("_block", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
 
     position = F.col("_stamp").bitwiseAND(F.lit((1 << _BLOCK_BITS) - 1))
-    indexed = fixed.join(F.broadcast(offsets), "_block").withColumn(name, F.col("_offset") + position)
     if not within:
+        indexed = fixed.join(F.broadcast(offsets), "_block").withColumn(name, F.col("_offset") + position)
         return indexed.select(*df.columns, name)
 
+    # A key's rows in one partition are a run; rows meet their own run, so a hot key is spread like the partitions it fills.
     keys = [f"_k{i}" for i in range(len(within))]
-    starts = indexed.groupBy(*[F.col(c).alias(k) for c, k in zip(within, keys)]).agg(F.min(name).alias("_start"))
+    runs = fixed.groupBy("_block", *[F.col(c).alias(k) for c, k in zip(within, keys)]).agg(F.min(position).alias("_first"))
+    placed = runs.join(F.broadcast(offsets), "_block")
+    first = F.min(F.col("_offset") + F.col("_first")).over(Window.partitionBy(*keys))
+    shifts = placed.select(F.col("_block").alias("_run"), *keys, (F.col("_offset") - first).alias("_shift"))
     same = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(within, keys)]
-    ranked = indexed.join(starts, same)
-    return ranked.select(*df.columns, (F.col(name) - F.col("_start")).alias(name))
+    ranked = fixed.join(shifts, [F.col("_block") == F.col("_run"), *same])
+    return ranked.select(*df.columns, (position + F.col("_shift")).alias(name))
 
 
 def sum_before(df: DataFrame, order_by: Sequence[str | Column], value: str, name: str) -> DataFrame:

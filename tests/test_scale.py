@@ -23,6 +23,16 @@ def shuffled(spark):
         spark.conf.set(key, value)
 
 
+def test_a_hot_key_is_ranked_in_several_tasks(shuffled):
+    rows = shuffled.range(4000).select(F.when(F.col("id") % 40 > 0, "hot").alias("filename"), F.format_string("p%05d", "id").alias("s3path"))
+    listed = image_sets.files_by_name(rows)
+    assert listed.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] < 2500
+    want = {}
+    for name, path in sorted(map(tuple, rows.collect()), key=lambda r: (r[0] or "", r[1])):
+        want[path] = (name, sum(1 for n, _ in want.values() if n == name))
+    assert {r.s3path: (r.filename, r.position) for r in listed.collect()} == want
+
+
 def test_documents_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
     from tallywell.plans import files
 
