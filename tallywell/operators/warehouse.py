@@ -317,7 +317,15 @@ def ingest_batch_files(files: DataFrame, batches: DataFrame) -> DataFrame:
 
     ``reason`` is null, or why the row is rejected.
     """
-    known = batches.select("experiment", "batchid", F.lit(True).alias("_known"))
-    listed = files.select("experiment", "batchid", "s3path", "filename").distinct()
+    key = ["experiment", "batchid", "_spread"]
+    lost = F.col("experiment").isNull() | F.col("batchid").isNull()
+
+    def keyed(rows: DataFrame, *columns: str) -> DataFrame:
+        # Rows without a key have no partner; they are spread by what they hold.
+        return rows.withColumn("_spread", F.coalesce(F.when(lost, F.xxhash64(*columns)), F.lit(0)))
+
+    known = keyed(batches.select("experiment", "batchid"), "experiment", "batchid").withColumn("_known", F.lit(True))
+    # Dealt by the key of the join, so that the files move once for both.
+    listed = keyed(files.select("experiment", "batchid", "s3path", "filename"), "s3path", "filename").repartition(*key).distinct()
     reason = F.when(F.col("_known").isNull(), "unknown batch")
-    return listed.join(known, ["experiment", "batchid"], "left").withColumn("reason", reason).drop("_known")
+    return listed.join(known, key, "left").withColumn("reason", reason).drop("_known", "_spread")

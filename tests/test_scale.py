@@ -33,6 +33,18 @@ def test_a_hot_key_is_ranked_in_several_tasks(shuffled):
     assert {r.s3path: (r.filename, r.position) for r in listed.collect()} == want
 
 
+def test_files_of_batches_move_once(shuffled):
+    data = [(1, 1, "a", "f"), (1, 1, "a", "f"), (1, 2, "b", "f"), (1, 3, "c", "f"), (None, 1, "d", "f"), (1, None, "e", "f"), (1, None, "e", "f")]
+    files = shuffled.createDataFrame(data, "experiment long, batchid long, s3path string, filename string")
+    batches = shuffled.createDataFrame([(1, 1), (1, 2), (None, 1), (1, None)], "experiment long, batchid long")
+    told = warehouse.ingest_batch_files(files, batches)
+    assert told._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2  # files, batches
+    lost = "unknown batch"
+    assert sorted((r.s3path, r.experiment, r.batchid, r.reason) for r in told.collect()) == [
+        ("a", 1, 1, None), ("b", 1, 2, None), ("c", 1, 3, lost), ("d", None, 1, lost), ("e", 1, None, lost),
+    ]
+
+
 def test_documents_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
     from tallywell.plans import files
 
