@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from tallywell.streaming.keyed import DAY_MS, fold_keys, merged_bits
 
 
 def complete_sets(
@@ -22,40 +19,17 @@ def complete_sets(
     an image may come. Repeated images are merged per Arrow batch before the
     shuffle, so a hot set does not send all its rows to one task.
     """
-    bits = {name: 1 << i for i, name in enumerate(expected)}
-    full = (1 << len(expected)) - 1
-    keep_ms = keep_days * 24 * 3600 * 1000
-
-    bit = F.lit(0).cast("bigint")
-    for name, value in bits.items():
-        bit = F.when(F.col(channel) == name, F.lit(value).cast("bigint")).otherwise(bit)
-    seen = images.select(*keys, bit.alias("_bits"), F.col(time).cast("timestamp").alias("_time")).where(F.col("_bits") > 0)
-
-    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            single = batch.groupby([*keys, "_bits"], as_index=False, dropna=False)["_time"].max()
-            # Each bit is there once now, so adding them up is their union.
-            yield single.groupby([*keys], as_index=False, dropna=False).agg({"_bits": "sum", "_time": "max"})
-
-    combined = seen.mapInPandas(combine, seen.schema).withWatermark("_time", f"{keep_days} days")
-    combined = combined.withColumn("_ms", F.unix_millis("_time"))
-    key_fields = [seen.schema[k] for k in keys]
-    output = T.StructType([*key_fields, T.StructField("n_channels", T.IntegerType())])
-
-    def advance(key: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        mask, emitted, last = state.get if state.exists else (0, False, 0)
-        for frame in frames:
-            mask |= int(np.bitwise_or.reduce(frame["_bits"].to_numpy()))
-            last = max(last, int(frame["_ms"].to_numpy().max()))
-        if mask == full and not emitted:
-            emitted = True
-            yield pd.DataFrame([(*key, len(expected))], columns=[f.name for f in output])
-        state.update((mask, emitted, last))
-        state.setTimeoutTimestamp(max(last + keep_ms, state.getCurrentWatermarkMs() + 1))
-
-    return combined.groupBy(*keys).applyInPandasWithState(
-        advance, output, "mask long, emitted boolean, last long", "append", GroupStateTimeout.EventTimeTimeout
-    )
+    full, keep_ms = (1 << len(expected)) - 1, keep_days * DAY_MS
+
+    def advance(held: tuple | None, rows: list[tuple], now: int) -> tuple[tuple, list[tuple]]:
+        _, mask, emitted, last = held or (0, 0, False, 0)
+        for bits, ms in rows:
+            mask, last = mask | bits, max(last, ms)
+        done = mask == full and not emitted
+        return (max(last + keep_ms, now + 1), mask, emitted or done, last), [(len(expected),)] if done else []
+
+    def expire(held: tuple, now: int) -> tuple[None, list[tuple]]:
+        return None, []
+
+    seen = merged_bits(images, keys, channel, expected, time, keep_days)
+    return fold_keys(seen, keys, ["bits", "ms"], "at", "n_channels int", advance, expire)

@@ -1,75 +1,15 @@
-"""Image sets that become complete or time out, and attempts on a set that are tried again: state with timers."""
+"""Image sets that become complete or time out, and attempts on a set that are tried again: state with due times."""
 
 from __future__ import annotations
 
-import datetime as dt
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-# Columns that Python reads by name must not start with an underscore: rows reach it as named tuples.
+from tallywell.streaming.keyed import DAY_MS, fold_keys, merged_bits
 
 OUT_OF_MEMORY = 137
-_DAY_MS = 24 * 3600 * 1000
-
-
-def _stamp(ms: int) -> dt.datetime:
-    return dt.datetime.fromtimestamp(ms / 1000, dt.timezone.utc).replace(tzinfo=None)
-
-
-class _Timed(StatefulProcessor):
-    """One timer per key, kept in the state beside it."""
-
-    def _set_timer(self, before: int, due: int) -> None:
-        if before and before != due:
-            self.handle.deleteTimer(before)
-        if before != due:
-            self.handle.registerTimer(due)
-
-    def close(self) -> None:
-        pass
-
-
-class _SetProcessor(_Timed):
-    def __init__(self, keys: Sequence[str], expected: Sequence[str], keep_ms: int):
-        self.keys, self.expected, self.keep_ms = list(keys), list(expected), keep_ms
-        self.full = (1 << len(self.expected)) - 1
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("seen", "mask long, last long, due long, emitted boolean")
-
-    def _row(self, key: tuple, mask: int, outcome: str, at: int) -> pd.DataFrame:
-        channels = [name for i, name in enumerate(self.expected) if mask >> i & 1]
-        return pd.DataFrame({
-            **{k: [v] for k, v in zip(self.keys, key)}, "channels": [channels], "outcome": [outcome], "at": [_stamp(at)],
-        })
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        mask, last, due, emitted = self.state.get() if self.state.exists() else (0, 0, 0, False)
-        for frame in rows:
-            mask |= int(np.bitwise_or.reduce(frame["bits__"].to_numpy()))
-            last = max(last, int(frame["ms__"].to_numpy().max()))
-        if mask == self.full and not emitted:
-            emitted = True
-            yield self._row(key, mask, "complete", last)
-        # Never at or below the watermark: such a timer could not be told from one that has fired.
-        then = max(last + self.keep_ms, timerValues.getCurrentWatermarkInMs() + 1)
-        self._set_timer(due, then)
-        self.state.update((mask, last, then, emitted))
-
-    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        if not self.state.exists():
-            return
-        mask, _, due, emitted = self.state.get()
-        self.state.clear()
-        if not emitted:
-            yield self._row(key, mask, "incomplete", due)
 
 
 def set_outcomes(
@@ -79,91 +19,28 @@ def set_outcomes(
 
     A set is complete with an image of each expected channel, at its last one. A set without an image for ``keep_days`` of
     event time before that is incomplete: ``channels`` are those seen, ``at`` is when it timed out. State is one bit per
-    channel and one timer, in RocksDB (see ``drain_to_table``); it goes ``keep_days`` after the set's last image, complete or
+    channel and the time it is due, in RocksDB (see ``drain_to_table``); it goes ``keep_days`` after the set's last image, complete or
     not, which is also how late an image may come. An image that comes later than that is dropped by the watermark; one
     that is in time for a set that has gone starts it anew. Other channels, null ones too, are ignored; so are null times.
     """
-    bit = F.lit(0).cast("bigint")
-    for i, name in enumerate(expected):
-        bit = F.when(F.col(channel) == name, F.lit(1 << i).cast("bigint")).otherwise(bit)
-    seen = images.select(*keys, bit.alias("bits__"), F.col(time).cast("timestamp").alias("_time")).where("bits__ > 0 AND _time IS NOT NULL")
-    # Repeats are merged in each Arrow batch before the shuffle, so a hot set doesn't send all its rows to one task.
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in seen.schema])
-
-    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            single = batch.groupby([*keys, "bits__"], as_index=False, dropna=False)["_time"].max()
-            yield single.groupby([*keys], as_index=False, dropna=False).agg({"bits__": "sum", "_time": "max"})
-
-    combined = seen.mapInPandas(combine, schema).withWatermark("_time", f"{keep_days} days").withColumn("ms__", F.unix_millis("_time"))
-    output = T.StructType(
-        [*(T.StructField(k, seen.schema[k].dataType) for k in keys), *T.StructType.fromDDL("channels array<string>, outcome string, at timestamp").fields]
-    )
-    return combined.groupBy(*keys).transformWithStateInPandas(
-        _SetProcessor(keys, expected, keep_days * _DAY_MS), output, "append", "eventTime"
-    )
+    full, keep_ms = (1 << len(expected)) - 1, keep_days * DAY_MS
 
+    def advance(held: tuple | None, rows: list[tuple], now: int) -> tuple[tuple, list[tuple]]:
+        _, mask, last, emitted = held or (0, 0, 0, False)
+        for bits, ms in rows:
+            mask, last = mask | bits, max(last, ms)
+        done = mask == full and not emitted
+        # Never at or below the watermark: a set is due once.
+        return (max(last + keep_ms, now + 1), mask, last, emitted or done), [(mask, "complete", last)] if done else []
 
-class _RetryProcessor(_Timed):
-    def __init__(self, keys: Sequence[str], most: int, wait_ms: int, keep_ms: int):
-        self.keys, self.most, self.wait_ms, self.keep_ms = list(keys), most, wait_ms, keep_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        # ``next``: attempt whose outcome is awaited; ``told``: attempts asked for so far; ``asked``: when the next is due.
-        self.state = handle.getValueState("chain", "next int, told int, asked long, due long, ended boolean, last long")
-        self.early = handle.getMapState("early", "attempt int", "exit_code int, ms long")
-
-    def _row(self, key: tuple, attempt: int, status: str, retry: int | None, at: int) -> pd.DataFrame:
-        return pd.DataFrame({
-            **{k: [v] for k, v in zip(self.keys, key)}, "attempt": np.array([attempt], np.int32), "status": [status],
-            "next_attempt": pd.array([retry], "Int32"), "at": [_stamp(at)],
-        })
-
-    def _ask(self, key: tuple, attempt: int, at: int) -> pd.DataFrame:
-        return self._row(key, attempt - 1, f"failed.OOM({attempt - 1})", attempt, at)
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        awaited, told, asked, due, ended, last = self.state.get() if self.state.exists() else (0, 0, 0, 0, False, 0)
-        for frame in rows:
-            last = max(last, int(frame["ms__"].max()))
-            if ended:
-                continue
-            for attempt, code, ms in zip(frame["attempt"].tolist(), frame["exit_code"].tolist(), frame["ms__"].tolist()):
-                # An outcome that is delivered again is left out: the first one of an attempt counts.
-                if attempt >= awaited and not self.early.containsKey((attempt,)):
-                    self.early.updateValue((attempt,), (code, ms))
-        while not ended and self.early.containsKey((awaited,)):
-            code, ms = self.early.getValue((awaited,))
-            self.early.removeKey((awaited,))
-            if told < awaited:  # it ran before its time came
-                yield self._ask(key, awaited, asked)
-                told = awaited
-            if code == OUT_OF_MEMORY and awaited + 1 < self.most:
-                asked = ms + (self.wait_ms << awaited)
-                awaited += 1
-            else:
-                status = "done" if code == 0 else f"failed.OOM({awaited})" if code == OUT_OF_MEMORY else f"failed.{code}"
-                yield self._row(key, awaited, status, None, ms)
-                ended = True
-                self.early.clear()
-        waiting = not ended and told < awaited
-        then = max(asked if waiting else last + self.keep_ms, timerValues.getCurrentWatermarkInMs() + 1)
-        self._set_timer(due, then)
-        self.state.update((awaited, told, asked, then, ended, last))
-
-    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        if not self.state.exists():
-            return
-        awaited, told, asked, _, ended, last = self.state.get()
-        if not ended and told < awaited:
-            then = max(last + self.keep_ms, asked + self.keep_ms, timerValues.getCurrentWatermarkInMs() + 1)
-            self.handle.registerTimer(then)
-            self.state.update((awaited, awaited, asked, then, ended, last))
-            yield self._ask(key, awaited, asked)
-        else:
-            self.state.clear()
-            self.early.clear()
+    def expire(held: tuple, now: int) -> tuple[None, list[tuple]]:
+        due, mask, _, emitted = held
+        return None, [] if emitted else [(mask, "incomplete", due)]
+
+    seen = merged_bits(images.where(F.col(time).isNotNull()), keys, channel, expected, time, keep_days)
+    told = fold_keys(seen, keys, ["bits", "ms"], "at", "mask bigint, outcome string, ms bigint", advance, expire)
+    channels = [F.when(F.col("mask").bitwiseAND(F.lit(1 << i).cast("bigint")) != 0, F.lit(name)) for i, name in enumerate(expected)]
+    return told.select(*keys, F.array_compact(F.array(*channels)).alias("channels"), "outcome", F.timestamp_millis("ms").alias("at"))
 
 
 def retries(
@@ -177,13 +54,50 @@ def retries(
     the time of the outcome. Outcomes may come again and in any order: of each attempt the first to come counts, and one that is ahead
     of its turn waits. A set is remembered for ``keep_days`` after its last outcome; state is in RocksDB.
     """
-    asked = outcomes.select(
+    wait_ms, keep_ms = wait_minutes * 60_000, keep_days * DAY_MS
+
+    def ask(attempt: int, at: int) -> tuple:
+        return attempt - 1, f"failed.OOM({attempt - 1})", attempt, at
+
+    def advance(held: tuple | None, rows: list[tuple], now: int) -> tuple[tuple, list[tuple]]:
+        # ``awaited``: attempt whose outcome comes next; ``asked``: when it is due; ``told``: attempts asked for so far.
+        _, awaited, told, asked, ended, last, early = held or (0, 0, 0, 0, False, 0, {})
+        out = []
+        for attempt, code, ms in rows:
+            last = max(last, ms)
+            # An outcome that is delivered again is left out: the first one of an attempt counts.
+            if not ended and awaited <= attempt < most:
+                early.setdefault(attempt, (code, ms))
+        while not ended and awaited in early:
+            code, ms = early.pop(awaited)
+            if told < awaited:  # it ran before its time came
+                out.append(ask(awaited, asked))
+                told = awaited
+            if code == OUT_OF_MEMORY and awaited + 1 < most:
+                asked = ms + (wait_ms << awaited)
+                awaited += 1
+            else:
+                status = "done" if code == 0 else f"failed.OOM({awaited})" if code == OUT_OF_MEMORY else f"failed.{code}"
+                out.append((awaited, status, -1, ms))
+                ended, early = True, {}
+        waiting = not ended and told < awaited
+        due = max(asked if waiting else last + keep_ms, now + 1)
+        return (due, awaited, told, asked, ended, last, early), out
+
+    def expire(held: tuple, now: int) -> tuple[tuple | None, list[tuple]]:
+        _, awaited, told, asked, ended, last, early = held
+        if ended or told >= awaited:
+            return None, []
+        due = max(last + keep_ms, asked + keep_ms, now + 1)
+        return (due, awaited, awaited, asked, ended, last, early), [ask(awaited, asked)]
+
+    ran = outcomes.select(
         *keys, F.col("attempt").cast("int").alias("attempt"), F.col("exit_code").cast("int").alias("exit_code"),
-        F.col(time).cast("timestamp").alias("_time"),
-    ).where("attempt IS NOT NULL AND exit_code IS NOT NULL AND _time IS NOT NULL")
-    timed = asked.withWatermark("_time", f"{keep_days} days").withColumn("ms__", F.unix_millis("_time"))
-    output = T.StructType(
-        [*(T.StructField(k, outcomes.schema[k].dataType) for k in keys), *T.StructType.fromDDL("attempt int, status string, next_attempt int, at timestamp").fields]
+        F.col(time).cast("timestamp").alias("time__"),
+    ).where("attempt IS NOT NULL AND exit_code IS NOT NULL AND time__ IS NOT NULL")
+    timed = ran.withWatermark("time__", f"{keep_days} days").withColumn("ms__", F.unix_millis("time__"))
+    told = fold_keys(
+        timed, keys, ["attempt", "exit_code", "ms__"], "time__", "attempt int, status string, next int, ms bigint", advance, expire
     )
-    processor = _RetryProcessor(keys, most, wait_minutes * 60_000, keep_days * _DAY_MS)
-    return timed.groupBy(*keys).transformWithStateInPandas(processor, output, "append", "eventTime")
+    following = F.when(F.col("next") >= 0, F.col("next")).alias("next_attempt")
+    return told.select(*keys, "attempt", "status", following, F.timestamp_millis("ms").alias("at"))

@@ -58,3 +58,20 @@ def test_documents_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
     written = [name for name in names_in(spark, root) if name.startswith("part-")]
     assert len(written) == 69
     assert len({name.split("-")[1] for name in written}) > 1
+
+
+def test_state_of_many_sets_is_few_rows(spark):
+    from tallywell.streaming import feed, keyed
+    from tallywell.streaming.image_sets import complete_sets
+
+    big = (1 << 60) + 1
+    data = [(None if s == 7 else big + s, "ab"[i], START) for s in range(1000) for i in range(1 + s % 2)]
+    path, target = fresh_path(spark, "many-sets"), fresh_path(spark, "complete")
+    frame = spark.createDataFrame(data, "s long, channel string, ts timestamp")
+    frame.write.parquet(path)
+    sets = complete_sets(feed.image_feed(spark, path, frame.schema), ["s"], "channel", ["a", "b"], "ts")
+    query = sets.writeStream.format("parquet").option("checkpointLocation", f"{target}-progress").trigger(availableNow=True).start(target)
+    query.awaitTermination()
+    assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= keyed.BUCKETS
+    got = {r.s for r in spark.read.parquet(target).collect()}
+    assert got == {None if s == 7 else big + s for s in range(1, 1000, 2)}
