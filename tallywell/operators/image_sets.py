@@ -47,11 +47,14 @@ def number_image_sets(images: DataFrame, next_ids: DataFrame, first_seen: str) -
     )
 
 
-def _set_starts(rows: pd.DataFrame, keys: Sequence[str]) -> np.ndarray:
+def set_starts(rows: pd.DataFrame, keys: Sequence[str]) -> np.ndarray:
     """Where each run of equal keys starts; null equals null."""
-    key = rows[[*keys]]
-    same = (key == key.shift()) | (key.isna() & key.shift().isna())
-    return np.flatnonzero(~same.all(axis=1).to_numpy())
+    starts = np.zeros(len(rows), bool)
+    starts[:1] = True
+    for name in keys:
+        values, none = rows[name].to_numpy(), rows[name].isna().to_numpy()
+        starts[1:] |= (values[1:] != values[:-1]).astype(bool) & ~(none[1:] & none[:-1])
+    return np.flatnonzero(starts)
 
 
 def _run_sets(
@@ -59,20 +62,28 @@ def _run_sets(
 ) -> Iterator[pd.DataFrame]:
     """Rows of ``work`` on many sets at once, and one row with the error for each set that it fails on.
 
-    A run of sets that fails is halved until the failing set stands alone.
+    A run of sets that fails is halved until the failing set stands alone. All rows leave in two frames, as each has a
+    cost of its own.
     """
-    starts = np.append(_set_starts(rows, keys), len(rows))
+    starts = np.append(set_starts(rows, keys), len(rows))
     todo = [(0, len(starts) - 1)] if len(rows) else []
+    made, failed, errors = [], [], []
     while todo:
         a, b = todo.pop()
         try:
-            made = work(rows.iloc[starts[a] : starts[b]].reset_index(drop=True))
-            yield made[[*keys, *names]].assign(error=None)
+            made.append(work(rows.iloc[starts[a] : starts[b]].reset_index(drop=True))[[*keys, *names]])
         except Exception as problem:  # noqa: BLE001 - any failure of user code is recorded
             if b - a > 1:
                 todo += [((a + b) // 2, b), (a, (a + b) // 2)]
             else:
-                yield rows[[*keys]].iloc[starts[a] : starts[a] + 1].assign(error=str(problem), **dict.fromkeys(names))
+                failed.append(starts[a])
+                errors.append(str(problem))
+    # Frames without rows would make objects of the others' numbers.
+    made = [frame for frame in made if len(frame)]
+    if made:
+        yield (made[0] if len(made) == 1 else pd.concat(made, ignore_index=True)).assign(error=None)
+    if failed:
+        yield rows[[*keys]].iloc[failed].assign(error=errors, **dict.fromkeys(names))
 
 
 def map_image_sets(
@@ -104,7 +115,7 @@ def map_image_sets(
         pending = None
         for batch in batches:
             rows = batch if pending is None else pd.concat([pending, batch], ignore_index=True)
-            starts = _set_starts(rows, keys)
+            starts = set_starts(rows, keys)
             last = int(starts[-1]) if len(starts) else 0
             pending = rows.iloc[last:].reset_index(drop=True)
             yield from _run_sets(rows.iloc[:last], keys, merge, result_names)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -295,8 +296,13 @@ def _measure(rows: pd.DataFrame) -> pd.DataFrame:
     """Images and planes of each set; sets of well A01 fail, those of A02 give nothing."""
     if (rows["well"] == "A01").any():
         raise ValueError("no cells")
-    grouped = rows[rows["well"] != "A02"].groupby(list(sets.SET_KEY), as_index=False, sort=False)
-    return grouped.agg(n_images=("site_z", "size"), planes=("site_z", "sum"))
+    kept = rows[rows["well"] != "A02"].dropna(subset=list(sets.SET_KEY))
+    starts = sets.set_starts(kept, sets.SET_KEY)  # the rows of a set come together
+    planes = kept["site_z"]
+    return kept[[*sets.SET_KEY]].iloc[starts].assign(
+        n_images=np.diff(np.append(starts, len(kept))),
+        planes=np.add.reduceat(planes.fillna(0).to_numpy(), starts) if len(starts) else planes,
+    )
 
 
 def _add_up(pieces: pd.DataFrame) -> pd.DataFrame:
