@@ -10,7 +10,7 @@ from tallywell.operators.warehouse import next_batch_id, parse_images
 from tallywell.plans import standins as st
 from tallywell.session import table
 from tallywell.schemas import STATUS_EVENT
-from tallywell.storage import append_rows, fresh_path
+from tallywell.storage import append_rows, fresh_path, names_in
 from tallywell.streaming import batches as bt
 from tallywell.streaming import feed, outcomes, totals
 from tallywell.streaming.image_sets import complete_sets
@@ -18,14 +18,19 @@ from tallywell.streaming.image_sets import complete_sets
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
-FILE_ROWS = 25_000
+FILE_ROWS, LEAST_FILES, EPOCHS = 25_000, 16, 4
 
 
 def _as_stream(rows, label, path=None):
-    """Write ``rows`` as files of bounded size and open them as a stream that takes some at a time."""
+    """Write ``rows`` as files of bounded size and open them as a stream that takes some at a time.
+
+    An epoch has a cost of its own, and some of it grows with the state, so a large table comes in ``EPOCHS`` epochs, as a
+    backlog would. Smaller ones come ``LEAST_FILES`` files at a time.
+    """
     path = path or fresh_path(rows.sparkSession, label)
     rows.write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
-    return feed.image_feed(rows.sparkSession, path, rows.schema, max_files=16)
+    files = sum(name.endswith(".parquet") for name in names_in(rows.sparkSession, path))
+    return feed.image_feed(rows.sparkSession, path, rows.schema, max_files=max(LEAST_FILES, -(-files // EPOCHS)))
 
 
 def stream_images(spark, sf_dir):
@@ -202,7 +207,7 @@ def stream_coordinates(spark, sf_dir):
     # Rows with a null key never reach the join, nor does their time.
     feeds = _Feed(images, "image-feed", "seen", "orderkey"), _Feed(stage, "stage-feed", "t", "orderkey", -1)
     joined = totals.join_coordinates(feeds[0].stream, feeds[1].stream, ["orderkey"], "seen", "t", 30 * 24 * 60, keep_days=4000)
-    met = _to_the_end(joined, feeds, "with-coordinates")
+    met = _to_the_end(joined, feeds, "with-coordinates", rocks_db=True)
     return met.select("orderkey", "l_linenumber", F.col("t").isNotNull().alias("found"), "x_mm")
 
 

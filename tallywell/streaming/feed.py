@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -43,8 +44,33 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
         return spark.createDataFrame([], schema)
 
 
-_STORE = "spark.sql.streaming.stateStore.providerClass"
-_ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STORE = "spark.sql.streaming.stateStore"
+_ROCKS_DB = {
+    f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # All stores of an executor share one bound, and an epoch stores what it changed.
+    f"{_STORE}.rocksdb.boundedMemoryUsage": "true",
+    f"{_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
+    # Each put would look up its key to count the rows.
+    f"{_STORE}.rocksdb.trackTotalNumberOfRows": "false",
+    # Both sides of a join share one store per partition.
+    "spark.sql.streaming.join.stateFormatVersion": "3",
+}
+
+
+@contextmanager
+def _state_on_disk(spark: SparkSession, wanted: bool) -> Iterator[None]:
+    """Streams that start meanwhile keep their state in RocksDB, if ``wanted``."""
+    before = {key: spark.conf.get(key, None) for key in _ROCKS_DB} if wanted else {}
+    try:
+        for key in before:
+            spark.conf.set(key, _ROCKS_DB[key])
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def drain_to_table(
@@ -53,14 +79,11 @@ def drain_to_table(
     """Process all input that is there, append the result to a Parquet table, return it as a batch frame.
 
     Progress is kept in the checkpoint, so the next call with the same paths goes on from there. ``rocks_db``: state on
-    the executors' disks instead of in their heap, as ``transformWithState`` needs.
+    the executors' disks instead of in their heap, for state that grows with the table.
     """
     spark = stream.sparkSession
     target = path or fresh_path(spark, label)
-    before = spark.conf.get(_STORE)
-    if rocks_db:
-        spark.conf.set(_STORE, _ROCKS_DB)
-    try:
+    with _state_on_disk(spark, rocks_db):
         query = (
             stream.writeStream.format("parquet")
             .outputMode("append")
@@ -68,27 +91,28 @@ def drain_to_table(
             .trigger(availableNow=True)
             .start(target)
         )
-    finally:
-        spark.conf.set(_STORE, before)
     query.awaitTermination()
     return read_or_empty(spark, target, stream.schema)
 
 
 def drain_epochs(
-    stream: DataFrame, label: str, work: Callable[[DataFrame, int], None], path: str | None = None, mode: str = "append"
+    stream: DataFrame, label: str, work: Callable[[DataFrame, int], None], path: str | None = None, mode: str = "append",
+    rocks_db: bool = False,
 ) -> str:
     """Process all input that is there with ``work(batch, epoch)``; returns the folder that its progress belongs to.
 
     A repeated epoch calls ``work`` again with the same rows and number, so it must replace what it wrote before.
+    ``rocks_db``: see ``drain_to_table``.
     """
     target = path or fresh_path(stream.sparkSession, label)
-    query = (
-        stream.writeStream.foreachBatch(work)
-        .outputMode(mode)
-        .option("checkpointLocation", f"{target}-progress")
-        .trigger(availableNow=True)
-        .start()
-    )
+    with _state_on_disk(stream.sparkSession, rocks_db):
+        query = (
+            stream.writeStream.foreachBatch(work)
+            .outputMode(mode)
+            .option("checkpointLocation", f"{target}-progress")
+            .trigger(availableNow=True)
+            .start()
+        )
     query.awaitTermination()
     return target
 

@@ -71,7 +71,8 @@ def drain_numbered(
     Ids of an experiment go up without gaps from ``first_ids`` (experiment, next_id; 0 for others), by epoch and within it in the
     order of the set key. A set is numbered once, when its first image comes; an image up to ``keep_days`` late is known. An
     epoch that is repeated numbers the same sets from the same counts and replaces what it wrote, so no id is
-    lost or given twice, whenever the stream fails. Only counts per experiment are carried from epoch to epoch.
+    lost or given twice, whenever the stream fails. Only counts per experiment are carried from epoch to epoch, and the sets
+    that are known, in RocksDB.
     """
     spark = images.sparkSession
     target = path or fresh_path(spark, label)
@@ -97,7 +98,7 @@ def drain_numbered(
         told.select(*key, (start + F.col("_rank")).alias("batchid")).write.mode("overwrite").parquet(own)
         log.write(epoch, session.read.parquet(own).groupBy(experiment).agg(F.count("*").alias("n")))
 
-    drain_epochs(fresh, label, number, target)
+    drain_epochs(fresh, label, number, target, rocks_db=True)
     schema = images.select(*key).schema.add("batchid", T.LongType()).add("epoch", T.IntegerType())
     return read_or_empty(spark, f"{target}/sets", schema)
 

@@ -75,3 +75,14 @@ def test_state_of_many_sets_is_few_rows(spark):
     assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= keyed.BUCKETS
     got = {r.s for r in spark.read.parquet(target).collect()}
     assert got == {None if s == 7 else big + s for s in range(1, 1000, 2)}
+
+
+def test_a_large_table_comes_in_few_epochs(spark, monkeypatch):
+    from tallywell.plans import streams
+    from tallywell.streaming import feed
+
+    monkeypatch.setattr(streams, "FILE_ROWS", 5)
+    rows = spark.range(0, 1000, 1, 4)
+    target = fresh_path(spark, "epochs")
+    assert feed.drain_to_table(streams._as_stream(rows, "long-feed"), "epochs", target).distinct().count() == 1000
+    assert len([name for name in names_in(spark, f"{target}-progress/commits") if name.isdigit()]) <= streams.EPOCHS
