@@ -14,7 +14,8 @@ Texts of a bucket meet like this, each step between texts that the steps before
 1. The least node of a bucket is its centre, and the others are its pairs. Lengths and bags of words bound the distance of a pair
    from below, so most unlike pairs go without a text being read. Each node is verified against its least centre.
 2. The other pairs with centres are verified.
-3. In buckets whose texts are still apart, bags are compared in blocks, and the pairs that remain are verified.
+3. In buckets whose texts are still apart, bags are compared in blocks, and the pairs that remain are verified in tiles of a
+   bounded number of pairs: a text moves once for a tile, not for each of its pairs, and only links leave a task.
 
 So no two similar texts of a bucket stay unconnected, and texts are moved only for pairs that may be links.
 """
@@ -36,8 +37,9 @@ from tallywell.storage import materialize
 SKETCHES, ORDER, SIMILARITY = 40, 2, 0.8
 #: Words of a shingle, and of the longest text that has such shingles.
 LENGTHS = ((1, 12), (2, 48), (3, 1 << 62))
-#: Numbers that a bag of words is folded to; members of a bucket that make a block; pairs of a centre that a task verifies.
-BAG, BLOCK_ROWS, CENTRE_PAIRS = 256, 512, 2000
+#: Numbers that a bag of words is folded to; members of a bucket that make a block; pairs of a centre that a task verifies; pairs
+#: of a tile.
+BAG, BLOCK_ROWS, CENTRE_PAIRS, TILE_PAIRS = 256, 512, 2000, 8000
 _FACTORS = np.random.default_rng(5).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _NUMBERS = mix(np.arange(1, len(LENGTHS) * SKETCHES + 1, dtype=np.uint64)).reshape(len(LENGTHS), SKETCHES)
 
@@ -282,8 +284,68 @@ def block_pairs(rows: list[tuple], first: int, similarity: float = SIMILARITY) -
     return out
 
 
+def tiles_of(pairs: list[tuple[int, int]], anchors: set[int]) -> Iterator[list[tuple[int, list[int]]]]:
+    """``pairs`` in tiles of about ``TILE_PAIRS``: all nodes of a tile, each with those of its partners that it is to be compared with.
+
+    The ends among ``anchors`` (else the first ends) hold the partners, so a tile is some of them and what they meet.
+    """
+    met: dict[int, list[int]] = {}
+    for one, two in pairs:
+        held, other = (two, one) if two in anchors and one not in anchors else (one, two)
+        met.setdefault(held, []).append(other)
+    tile: dict[int, list[int]] = {}
+    n = 0
+    for held, others in met.items():
+        tile.setdefault(held, []).extend(others)
+        for other in others:
+            tile.setdefault(other, [])
+        n += len(others)
+        if n >= TILE_PAIRS:
+            yield list(tile.items())
+            tile, n = {}, 0
+    if tile:
+        yield list(tile.items())
+
+
+def _tiles_verified(tiles: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The links (one < two) of ``tiles`` (bucket, kind, low, x, y, tile, node, partners)."""
+    cells = ["bucket", "kind", "low", "x", "y", "tile"]
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, asked = None, {}, []
+
+        def close() -> pa.RecordBatch:
+            found = []
+            for node, partners in asked:
+                words = normal_text(held[node]).split()
+                found += [
+                    (min(node, p), max(node, p)) for p in partners if similar(words, normal_text(held[p]).split(), similarity)
+                ]
+            columns = zip(*found) if found else ([], [])
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["one", "two"])
+
+        for batch in batches:
+            for *now, node, partners, text in zip(*(batch.column(c).to_pylist() for c in range(9))):
+                if now != key:
+                    if asked:
+                        yield close()
+                    key, held, asked = now, {}, []
+                held[node] = text
+                if partners:
+                    asked.append((node, partners))
+        if asked:
+            yield close()
+
+    met = tiles.join(texts.select("node", "text"), "node").select(*cells, "node", "partners", "text")
+    met = met.repartition(*cells).sortWithinPartitions(*cells, "node")
+    return materialize(met.mapInArrow(of, "one long, two long"), "near-links")
+
+
 def _crowded(members: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (one < two) that may be links, of ``members`` (bucket, node, n, root) that share a bucket, not a root.
+    """Tiles of the pairs that may be links, of ``members`` (bucket, node, n, root) that share a bucket, not a root.
+
+    A row is a node of a tile (bucket, kind, low, x, y, tile, node, partners). A pair that shares several such buckets is in a tile
+    of the least one only.
 
     Of each bucket the largest root is the base, as a group of near copies may hold most of it: its members only meet the rest, the
     rest meet each other as well. Both are dealt out in blocks of bounded size and like length, and blocks whose lengths rule
@@ -295,7 +357,9 @@ def _crowded(members: DataFrame, bags: DataFrame, similarity: float) -> DataFram
     band = F.floor(F.log(F.greatest("n", F.lit(1)).cast("double")) / F.log(F.lit(1 / similarity)) + 1e-9).cast("int")
     rows = materialize(members.join(base, "bucket").withColumn("band", band), "near-apart")
     if rows.isEmpty():
-        return rows.select(F.col("node").alias("one"), F.col("node").alias("two"))
+        return rows.select(
+            "bucket", *[F.lit(0).alias(c) for c in ("kind", "low", "x", "y", "tile")], "node", F.array("node").alias("partners")
+        )
     rest, based = rows.where("root <> base"), rows.where("root = base")
     blocks_of = lambda name: F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias(name)
     deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
@@ -327,32 +391,41 @@ def _crowded(members: DataFrame, bags: DataFrame, similarity: float) -> DataFram
     mine = mine.select("bucket", "node", "root", "n", F.explode(F.transform(upto("others"), lambda o: cell(1, own, part, o, 1))).alias("m"))
     theirs = near.join(plan, ["bucket", "band"]).withColumn("part", deal("others"))
     theirs = theirs.select("bucket", "node", "root", "n", F.explode(F.transform(upto("parts"), lambda o: cell(1, own, o, part, 0))).alias("m"))
-    dealt = among.unionByName(mine).unionByName(theirs).select("bucket", "m.*", "node", "root", "n").join(bags.select("node", "bag"), "node")
+    dealt = among.unionByName(mine).unionByName(theirs).select("bucket", "m.*", "node", "root", "n")
+    # A node has at most as many buckets as sketches.
+    known = rows.groupBy("node").agg(F.collect_list("bucket").alias("own")).join(bags.select("node", "bag"), "node")
+    dealt = dealt.join(known, "node")
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, first = None, [], 0
 
-        def close() -> pa.RecordBatch:
+        def close() -> Iterator[pa.RecordBatch]:
             across = key[1] or key[2] % 2 or key[3] != key[4]
             pairs = [] if across and not 0 < first < len(held) else block_pairs(held, first if across else 0, similarity)
-            columns = zip(*pairs) if pairs else ([], [])
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["one", "two"])
+            own = {row[0]: set(row[4]) for row in held}
+            pairs = [(a, b) for a, b in pairs if min(own[a] & own[b]) == key[0]]
+            for number, tile in enumerate(tiles_of(pairs, {row[0] for row in held[:first]} if across else set())):
+                columns = [pa.array([x] * len(tile), t) for x, t in zip([*key, number], [pa.int64(), *[pa.int32()] * 5])]
+                nodes, partners = zip(*tile)
+                columns += [pa.array(nodes, pa.int64()), pa.array(partners, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, [*cells, "tile", "node", "partners"])
 
         for batch in batches:
-            for *now, side, node, root, n, bag in zip(*(batch.column(c).to_pylist() for c in range(10))):
+            for *now, side, node, root, n, bag, own in zip(*(batch.column(c).to_pylist() for c in range(11))):
                 if now != key:
                     if held:
-                        yield close()
+                        yield from close()
                     key, held, first = now, [], 0
                 if not side:
                     first += 1
-                held.append((node, root, n, bag))
+                held.append((node, root, n, bag, own))
         if held:
-            yield close()
+            yield from close()
 
     cells = ["bucket", "kind", "low", "x", "y"]
-    dealt = dealt.select(*cells, "side", "node", "root", "n", "bag").repartition(*cells).sortWithinPartitions(*cells, "side", "node")
-    return dealt.mapInArrow(of, "one long, two long").distinct()
+    dealt = dealt.select(*cells, "side", "node", "root", "n", "bag", "own").repartition(*cells).sortWithinPartitions(*cells, "side", "node")
+    tiles = dealt.mapInArrow(of, "bucket long, kind int, low int, x int, y int, tile int, node long, partners array<long>")
+    return materialize(tiles, "near-tiles")
 
 
 def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
@@ -388,7 +461,6 @@ def _links(nodes: DataFrame, docs: DataFrame, similarity: float) -> tuple[DataFr
     )
     bags = materialize(_bags(texts), "near-bags")
 
-    seen = first
     links = _verified(materialize(_able(first, bags, similarity), "near-able"), texts, similarity)
     roots = _components(links)
 
@@ -406,17 +478,26 @@ def _links(nodes: DataFrame, docs: DataFrame, similarity: float) -> tuple[DataFr
         others = own.join(members.where("node = centre").select("bucket", "centre"), "bucket").where("node <> centre").drop("centre")
         return _crowded(others, bags, similarity)
 
-    for step in (with_centres, with_others):
-        rest = materialize(step().join(seen, ["one", "two"], "left_anti"), "near-rest")
-        if not rest.isEmpty():
-            new = _verified(rest, texts, similarity)
-            if not new.isEmpty():
-                links = materialize(links.unionByName(new), "near-links")
-                roots = _components(links)
-        seen = materialize(seen.unionByName(rest), "near-seen")
+    rest = materialize(with_centres().join(first, ["one", "two"], "left_anti"), "near-rest")
+    for step in (lambda: _verified(rest, texts, similarity), lambda: _tiles_verified(with_others(), texts, similarity)):
+        new = step()
+        if not new.isEmpty():
+            links = materialize(links.unionByName(new), "near-links")
+            roots = _joined(roots, new)
     return links, roots
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` (node, root; as from ``_components``) once ``links`` connect them: only their roots are contracted."""
+    ends = roots.select(F.col("node").alias("end"), "root")
+    for end in ("one", "two"):
+        links = links.join(ends.withColumnRenamed("end", end), end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
+    further = materialize(_components(links), "near-roots")
+    over = further.select(F.col("node").alias("root"), F.col("root").alias("over"))
+    told = roots.join(over, "root", "left").select("node", F.coalesce("over", "root").alias("root"))
+    return materialize(told.unionByName(further), "near-roots")
+
+
 def _components(links: DataFrame) -> DataFrame:
     """(node, root): the least node that chains of links lead to; nodes that are their own root are left out.
 

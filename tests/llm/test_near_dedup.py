@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 import numpy as np
 
-from tallywell.llm.near_dedup import _components, bag_of, banded_distance, block_pairs, keep_one, may_link, near_classes, similar, sketches_of
+from tallywell.llm.near_dedup import (
+    _components, _crowded, _joined, bag_of, banded_distance, block_pairs, keep_one, may_link, near_classes, similar, sketches_of,
+)
 from tallywell.llm.words import normal_text, words_of
 
 
@@ -241,3 +243,24 @@ def test_all_copies(spark):
     frame = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("the same text in every document here").alias("text"))
     assert near_classes(frame).select("class_id", "n_links").distinct().collect() == [(0, 0)]
     assert [r.doc_id for r in keep_one(frame).collect()] == [0]
+
+
+def test_crowded_pairs_are_dealt_in_tiles(spark):
+    """300 texts that may all be links, in two buckets: each pair is in one tile, and far fewer rows than pairs leave the blocks."""
+    bag = bytes(bag_of(hashes([f"w{i}" for i in range(90)])).tobytes())
+    members = [(b, i, 90, 0 if i < 100 else i) for b in (1, 2) for i in range(300)]
+    frame = spark.createDataFrame(members, "bucket long, node long, n long, root long")
+    bags = spark.createDataFrame([(i, 90, bag) for i in range(300)], "node long, n long, bag binary")
+    rows = _crowded(frame, bags, 0.8).collect()
+    got = [(min(r.node, p), max(r.node, p)) for r in rows for p in r.partners]
+    assert sorted(got) == [(i, j) for i in range(300) for j in range(max(i + 1, 100), 300)]
+    assert len(rows) < len(got) / 10
+    held = {(r.bucket, r.kind, r.low, r.x, r.y, r.tile, r.node) for r in rows}
+    assert len(held) == len(rows) and all((*r[:6], p) in held for r in rows for p in r.partners)
+
+
+def test_joined_roots(spark):
+    first, second = [(1, 0), (2, 0), (5, 4), (8, 7)], [(2, 5), (6, 8), (10, 11)]
+    edges = lambda rows: spark.createDataFrame(rows, "one long, two long")
+    got = {r.node: r.root for r in _joined(_components(edges(first)), edges(second)).collect()}
+    assert got == {1: 0, 2: 0, 4: 0, 5: 0, 7: 6, 8: 6, 11: 10}
