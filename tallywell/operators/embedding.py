@@ -6,12 +6,15 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywell.operators.nearest_lsh import nearest_references_lsh
+from tallywell.operators.nearest_lsh import kept_vector, nearest_references_lsh
 from tallywell.storage import materialize
 
+#: Edges of a cell that make a list.
+LIST_EDGES = 64
+
 
 def _distance2(a: str, b: str) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda total, d: total + d)
+    return F.aggregate(F.zip_with(F.col(a).cast("array<double>"), F.col(b).cast("array<double>"), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda total, d: total + d)
 
 
 def neighbour_graph(
@@ -21,11 +24,12 @@ def neighbour_graph(
     """(i, j, distance2): up to ``k`` near neighbours j of each cell i.
 
     A first graph from random projections is improved by neighbour descent: in each of ``rounds`` rounds the neighbours of a
-    cell's neighbours stand for election too. A cell brings at most k + k * k candidates, so work grows with the cells. Cells
-    with a null vector have no neighbours.
+    cell's neighbours stand for election too. A cell brings at most k + k * k candidates, so work grows with the cells. They are
+    measured where they meet, at the neighbour between them, so a vector moves 2 * k times, not k * k times, and only those
+    leave that are no farther than the ``k`` known ones. Cells with a null vector have no neighbours.
     """
     own = materialize(
-        cells.where(F.col(vector).isNotNull()).select(F.col(cell_id).alias("i"), F.col(vector).cast("array<double>").alias("v")), "cells"
+        cells.where(F.col(vector).isNotNull()).select(F.col(cell_id).alias("i"), kept_vector(cells, vector).alias("v")), "cells"
     )
     asked, known = own.withColumnsRenamed({"i": "query_id", "v": "vector"}), own.withColumnsRenamed({"i": "ref_id", "v": "vector"})
     found = nearest_references_lsh(asked, known, k=k + 1, tables=tables, probes=probes, bucket_rows=bucket_rows)
@@ -33,12 +37,18 @@ def neighbour_graph(
     graph = found.where("query_id <> ref_id").select(F.col("query_id").alias("i"), F.col("ref_id").alias("j"), "distance2")
     graph = materialize(graph.withColumn("_r", best).where(F.col("_r") <= k).drop("_r"), "neighbours")
     for _ in range(rounds):
-        further = graph.select("i", F.col("j").alias("via")).join(graph.select(F.col("i").alias("via"), "j"), "via")
-        new = further.where("i <> j").select("i", "j").distinct().join(graph.select("i", "j"), ["i", "j"], "left_anti")
-        left, right = own.withColumnRenamed("v", "_a"), own.select(F.col("i").alias("j"), F.col("v").alias("_b"))
-        measured = new.join(left, "i").join(right, "j").select("i", "j", _distance2("_a", "_b").alias("distance2"))
+        held = graph.groupBy("i").agg(
+            F.collect_list("j").alias("known"), F.when(F.count("*") >= k, F.max("distance2")).alias("least")
+        )
+        asked = own.join(held, "i").select("i", F.col("v").alias("_a"), "known", "least", F.explode("known").alias("via"))
+        near = graph.select(F.col("i").alias("via"), "j").join(own.select(F.col("i").alias("j"), F.col("v").alias("_b")), "j")
+        near = near.groupBy("via").agg(F.collect_list(F.struct("j", "_b")).alias("near"))
+        met = asked.join(near, "via").select("i", "_a", "known", "least", F.explode("near").alias("_n"))
+        met = met.where((F.col("_n.j") != F.col("i")) & ~F.array_contains("known", F.col("_n.j")))
+        measured = met.select("i", "least", F.col("_n.j").alias("j"), _distance2("_a", "_n._b").alias("distance2"))
+        measured = measured.where(F.col("least").isNull() | (F.col("distance2") <= F.col("least"))).select("i", "j", "distance2")
         graph = materialize(
-            graph.unionByName(measured).withColumn("_r", best).where(F.col("_r") <= k).drop("_r"), "neighbours"
+            graph.unionByName(measured).repartition("i").distinct().withColumn("_r", best).where(F.col("_r") <= k).drop("_r"), "neighbours"
         )
     return graph
 
@@ -60,6 +70,10 @@ def embed_graph(graph: DataFrame, dims: int = 2, rounds: int = 30, spare: int =
     reach the driver. Each component is orthogonal to the others and has mean 0, weighted by degrees; the largest value is positive.
     """
     edges = materialize(_edges(graph), "edges")
+    # The edges of a cell in lists of bounded length.
+    part = F.pmod(F.xxhash64("i"), F.ceil(1 / (F.col("w") * F.col("w") * F.col("d") * LIST_EDGES)))
+    lists = edges.groupBy("j", part.alias("part")).agg(F.collect_list(F.struct("i", "w")).alias("e"))
+    lists = materialize(lists.select("j", F.col("e.i").alias("i"), F.col("e.w").alias("w")), "edge-lists")
     degrees = edges.groupBy("i").agg(F.max("d").alias("d"))
     whole = degrees.agg(F.sum("d")).first()[0]
     columns = [f"x{c}" for c in range(dims + spare)]
@@ -71,7 +85,8 @@ def embed_graph(graph: DataFrame, dims: int = 2, rounds: int = 30, spare: int =
 
     def step(x: DataFrame) -> DataFrame:
         values = x.select(F.col("i").alias("j"), *columns)
-        sums = edges.join(values, "j").groupBy("i").agg(*[F.sum(F.col("w") * F.col(c)).alias(f"s_{c}") for c in columns])
+        met = lists.join(values, "j").select(F.explode(F.arrays_zip("i", "w")).alias("e"), *columns).select("e.i", "e.w", *columns)
+        sums = met.groupBy("i").agg(*[F.sum(F.col("w") * F.col(c)).alias(f"s_{c}") for c in columns])
         return x.join(sums, "i").select("i", "d", *[((F.col(c) + F.col(f"s_{c}")) / 2).alias(c) for c in columns])
 
     def products(x: DataFrame, left: list[str], right: list[str]) -> np.ndarray:

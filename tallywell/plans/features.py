@@ -131,7 +131,7 @@ def nearest_reference(spark, sf_dir):
 
 
 def embed_cells(spark, sf_dir):
-    cells = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
+    cells = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
     graph = embedding.neighbour_graph(cells, 10, "vec_id")
     placed, values = embedding.embed_graph(graph, rounds=18)
     off = embedding.residuals(graph, placed, values)

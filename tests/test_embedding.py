@@ -53,3 +53,25 @@ def test_no_cells(spark):
     graph = spark.createDataFrame([], "i long, j long, distance2 double")
     placed, values = embed_graph(graph)
     assert placed.count() == 0 and len(values) == 0
+
+
+def test_vectors_move_once_they_are_needed(spark, monkeypatch):
+    """Floats are kept as floats, and the stored visits of the search hold no vectors; the graph is that of doubles."""
+    from tallywell.operators import embedding, nearest_lsh
+    from tallywell.storage import materialize
+
+    stored = {}
+
+    def noted(df, label="table"):
+        stored[label] = dict(df.dtypes)
+        return materialize(df, label)
+
+    monkeypatch.setattr(embedding, "materialize", noted)
+    monkeypatch.setattr(nearest_lsh, "materialize", noted)
+    _, frame = cells(spark, 3, 60)
+    floats = frame.selectExpr("cell_id", "cast(vector AS array<float>) AS vector")
+    got = sorted(tuple(r) for r in neighbour_graph(floats, k=5, bucket_rows=32).collect())
+    assert stored["cells"]["v"] == "array<float>" and not any("array" in t for t in stored["visits"].values())
+    doubles = floats.selectExpr("cell_id", "cast(vector AS array<double>) AS vector")
+    assert got == sorted(tuple(r) for r in neighbour_graph(doubles, k=5, bucket_rows=32).collect())
+    assert stored["cells"]["v"] == "array<double>"
