@@ -360,6 +360,9 @@ def _crowded(members: DataFrame, bags: DataFrame, similarity: float) -> DataFram
         return rows.select(
             "bucket", *[F.lit(0).alias(c) for c in ("kind", "low", "x", "y", "tile")], "node", F.array("node").alias("partners")
         )
+    # What a node brings joins its rows before they are dealt out. It has at most as many buckets as sketches.
+    known = rows.groupBy("node").agg(F.collect_list("bucket").alias("own")).join(bags.select("node", "bag"), "node")
+    rows = materialize(rows.join(known, "node"), "near-apart-bags")
     rest, based = rows.where("root <> base"), rows.where("root = base")
     blocks_of = lambda name: F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias(name)
     deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
@@ -381,20 +384,17 @@ def _crowded(members: DataFrame, bags: DataFrame, similarity: float) -> DataFram
     inner = F.transform(upto("parts"), lambda o: cell(0, own * 2, F.least(part, o), F.greatest(part, o), part > o))
     up = F.transform(upto("next"), lambda o: cell(0, own * 2 + 1, part, o, 0))
     down = F.transform(upto("last"), lambda o: cell(0, own * 2 - 1, o, part, 1))
-    among = placed.select("bucket", "node", "root", "n", F.explode(F.concat(inner, up, down)).alias("m"))
+    among = placed.select("bucket", "node", "root", "n", "own", "bag", F.explode(F.concat(inner, up, down)).alias("m"))
 
     # The base of a band with the rest of that band and the two beside it.
     near = rest.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
     plan = based.groupBy("bucket", "band").agg(blocks_of("parts")).join(
         near.groupBy("bucket", "band").agg(blocks_of("others")), ["bucket", "band"])
     mine = based.join(plan, ["bucket", "band"]).withColumn("part", deal("parts"))
-    mine = mine.select("bucket", "node", "root", "n", F.explode(F.transform(upto("others"), lambda o: cell(1, own, part, o, 1))).alias("m"))
+    mine = mine.select("bucket", "node", "root", "n", "own", "bag", F.explode(F.transform(upto("others"), lambda o: cell(1, own, part, o, 1))).alias("m"))
     theirs = near.join(plan, ["bucket", "band"]).withColumn("part", deal("others"))
-    theirs = theirs.select("bucket", "node", "root", "n", F.explode(F.transform(upto("parts"), lambda o: cell(1, own, o, part, 0))).alias("m"))
-    dealt = among.unionByName(mine).unionByName(theirs).select("bucket", "m.*", "node", "root", "n")
-    # A node has at most as many buckets as sketches.
-    known = rows.groupBy("node").agg(F.collect_list("bucket").alias("own")).join(bags.select("node", "bag"), "node")
-    dealt = dealt.join(known, "node")
+    theirs = theirs.select("bucket", "node", "root", "n", "own", "bag", F.explode(F.transform(upto("parts"), lambda o: cell(1, own, o, part, 0))).alias("m"))
+    dealt = among.unionByName(mine).unionByName(theirs).select("bucket", "m.*", "node", "root", "n", "own", "bag")
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, first = None, [], 0
