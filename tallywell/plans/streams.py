@@ -10,7 +10,7 @@ from tallywell.operators.warehouse import next_batch_id, parse_images
 from tallywell.plans import standins as st
 from tallywell.session import table
 from tallywell.schemas import STATUS_EVENT
-from tallywell.storage import append_rows, fresh_path, names_in
+from tallywell.storage import append_rows, fresh_path, materialize, names_in
 from tallywell.streaming import batches as bt
 from tallywell.streaming import feed, outcomes, totals
 from tallywell.streaming.image_sets import complete_sets
@@ -19,6 +19,11 @@ EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
 FILE_ROWS, LEAST_FILES, EPOCHS = 25_000, 16, 4
+STATE_FILES = 64  # a part of a state that grows with the table holds the rows of so many files at most
+
+
+def _files(spark, path):
+    return sum(name.endswith(".parquet") for name in names_in(spark, path))
 
 
 def _as_stream(rows, label, path=None):
@@ -29,8 +34,8 @@ def _as_stream(rows, label, path=None):
     """
     path = path or fresh_path(rows.sparkSession, label)
     rows.write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
-    files = sum(name.endswith(".parquet") for name in names_in(rows.sparkSession, path))
-    return feed.image_feed(rows.sparkSession, path, rows.schema, max_files=max(LEAST_FILES, -(-files // EPOCHS)))
+    most = max(LEAST_FILES, -(-_files(rows.sparkSession, path) // EPOCHS))
+    return feed.image_feed(rows.sparkSession, path, rows.schema, max_files=most)
 
 
 def stream_images(spark, sf_dir):
@@ -123,26 +128,35 @@ class _Feed:
 
     def __init__(self, rows, label, time, key, none=None):
         self.rows, self.time, self.key, self.none = rows, time, key, none
-        self.path = fresh_path(rows.sparkSession, label)
+        self.path, self.last = fresh_path(rows.sparkSession, label), None
         self.stream = _as_stream(rows, label, self.path)
+        self.files = _files(rows.sparkSession, self.path)
 
     def end(self):
-        last = self.rows.orderBy(F.desc_nulls_last(self.time)).limit(1)
-        last = last.withColumn(self.key, F.lit(self.none).cast(self.rows.schema[self.key].dataType))
-        last.withColumn(self.time, F.col(self.time) + F.expr("INTERVAL 20000 DAYS")).write.mode("append").parquet(self.path)
+        if self.last is None:
+            last = self.rows.orderBy(F.desc_nulls_last(self.time)).limit(1)
+            last = last.withColumn(self.key, F.lit(self.none).cast(self.rows.schema[self.key].dataType))
+            self.last = materialize(last.withColumn(self.time, F.col(self.time) + F.expr("INTERVAL 20000 DAYS")), "last-row")
+        self.last.write.mode("append").parquet(self.path)
+
+
+def _parts(spark, feeds):
+    """Parts of a state that grows with the feeds: rounds of one task per core, as a part costs time of its own in each epoch."""
+    cores = spark.sparkContext.defaultParallelism
+    return cores * max(1, -(-sum(own.files for own in feeds) // (STATE_FILES * cores)))
 
 
-def _to_the_end(stream, feeds, label, rocks_db=False):
+def _to_the_end(stream, feeds, label, rocks_db=False, partitions=None):
     """What the stream gives for all rows: drained, and started again from its checkpoint when the last rows are there.
 
     The last rows come twice, as the time they bring counts from the next batch on.
     """
     target = fresh_path(stream.sparkSession, label)
-    feed.drain_to_table(stream, label, target, rocks_db=rocks_db)
+    feed.drain_to_table(stream, label, target, rocks_db=rocks_db, partitions=partitions)
     for _ in range(2):
         for own in feeds:
             own.end()
-        told = feed.drain_to_table(stream, label, target, rocks_db=rocks_db)
+        told = feed.drain_to_table(stream, label, target, rocks_db=rocks_db, partitions=partitions)
     return told
 
 
@@ -207,7 +221,7 @@ def stream_coordinates(spark, sf_dir):
     # Rows with a null key never reach the join, nor does their time.
     feeds = _Feed(images, "image-feed", "seen", "orderkey"), _Feed(stage, "stage-feed", "t", "orderkey", -1)
     joined = totals.join_coordinates(feeds[0].stream, feeds[1].stream, ["orderkey"], "seen", "t", 30 * 24 * 60, keep_days=4000)
-    met = _to_the_end(joined, feeds, "with-coordinates", rocks_db=True)
+    met = _to_the_end(joined, feeds, "with-coordinates", rocks_db=True, partitions=_parts(spark, feeds))
     return met.select("orderkey", "l_linenumber", F.col("t").isNotNull().alias("found"), "x_mm")
 
 

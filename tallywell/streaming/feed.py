@@ -57,13 +57,17 @@ _ROCKS_DB = {
 }
 
 
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
 @contextmanager
-def _state_on_disk(spark: SparkSession, wanted: bool) -> Iterator[None]:
-    """Streams that start meanwhile keep their state in RocksDB, if ``wanted``."""
-    before = {key: spark.conf.get(key, None) for key in _ROCKS_DB} if wanted else {}
+def _state_on_disk(spark: SparkSession, wanted: bool, partitions: int | None = None) -> Iterator[None]:
+    """Streams that start meanwhile keep their state in RocksDB, if ``wanted``, and in ``partitions`` parts, if given."""
+    own = (_ROCKS_DB if wanted else {}) | ({_PARTITIONS: str(partitions)} if partitions else {})
+    before = {key: spark.conf.get(key, None) for key in own}
     try:
-        for key in before:
-            spark.conf.set(key, _ROCKS_DB[key])
+        for key in own:
+            spark.conf.set(key, own[key])
         yield
     finally:
         for key, value in before.items():
@@ -74,16 +78,18 @@ def _state_on_disk(spark: SparkSession, wanted: bool) -> Iterator[None]:
 
 
 def drain_to_table(
-    stream: DataFrame, label: str, path: str | None = None, checkpoint: str | None = None, rocks_db: bool = False
+    stream: DataFrame, label: str, path: str | None = None, checkpoint: str | None = None, rocks_db: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Process all input that is there, append the result to a Parquet table, return it as a batch frame.
 
     Progress is kept in the checkpoint, so the next call with the same paths goes on from there. ``rocks_db``: state on
-    the executors' disks instead of in their heap, for state that grows with the table.
+    the executors' disks instead of in their heap, for state that grows with the table. ``partitions``: how many parts it
+    has from the first start on, instead of the session's shuffle partitions.
     """
     spark = stream.sparkSession
     target = path or fresh_path(spark, label)
-    with _state_on_disk(spark, rocks_db):
+    with _state_on_disk(spark, rocks_db, partitions):
         query = (
             stream.writeStream.format("parquet")
             .outputMode("append")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tallywell.operators.indexing import index_rows
 from tallywell.storage import EpochLog, fresh_path
+from tallywell.streaming import timed_join
 from tallywell.streaming.feed import drain_epochs, read_or_empty
 
 # --- progress --------------------------------------------------------------------------------------------------
@@ -114,12 +115,17 @@ def join_coordinates(
     Coordinates belong to an image if they were recorded at most ``within_minutes`` before or after it. An image without any
     comes with nulls once no more can come: ``within_minutes`` and ``keep_days``, by which either stream may be late, after it.
     State is dropped at the same time. Rows with a null in ``on`` have no partner, those with a null time are dropped.
+    Many keys share a state (``timed_join``); Spark's own join, a state per row, is for columns that this can't hold.
     """
-    others = [c for c in coordinates.columns if c not in on and c != recorded]
-    right = coordinates.where(F.col(recorded).isNotNull()).select(
-        *[F.col(c).alias(f"_{c}") for c in on], F.col(recorded).cast("timestamp").alias(f"_{recorded}"), *others
-    ).withWatermark(f"_{recorded}", f"{keep_days} days")
+    known = coordinates.where(F.col(recorded).isNotNull())
+    for c in on:
+        known = known.where(F.col(c).isNotNull())
+    right = known.withColumn(recorded, F.col(recorded).cast("timestamp")).withWatermark(recorded, f"{keep_days} days")
     left = images.where(F.col(seen).isNotNull()).withColumn(seen, F.col(seen).cast("timestamp")).withWatermark(seen, f"{keep_days} days")
+    if timed_join.can_pack(left, right, on):
+        return timed_join.join_within(left, right, on, seen, recorded, within_minutes)
+    others = [c for c in coordinates.columns if c not in on and c != recorded]
+    right = right.select(*[F.col(c).alias(f"_{c}") for c in on], F.col(recorded).alias(f"_{recorded}"), *others)
     bound = F.expr(f"INTERVAL {within_minutes} MINUTES")
     met = [F.col(c) == F.col(f"_{c}") for c in on]
     near = (F.col(f"_{recorded}") >= F.col(seen) - bound) & (F.col(f"_{recorded}") <= F.col(seen) + bound)

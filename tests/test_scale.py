@@ -86,3 +86,40 @@ def test_a_large_table_comes_in_few_epochs(spark, monkeypatch):
     target = fresh_path(spark, "epochs")
     assert feed.drain_to_table(streams._as_stream(rows, "long-feed"), "epochs", target).distinct().count() == 1000
     assert len([name for name in names_in(spark, f"{target}-progress/commits") if name.isdigit()]) <= streams.EPOCHS
+
+
+def test_a_join_of_streams_holds_few_states(spark):
+    """A state row per image and position took longer than the join, and each epoch went through all of them."""
+    from tallywell.streaming import feed, timed_join, totals
+
+    frames = [
+        spark.range(4000).select((F.col("id") % 1000).alias("k"), F.col("id").alias("n"), F.lit(START).cast("timestamp").alias("seen")),
+        spark.range(500).select(F.col("id").alias("k"), F.lit(START).cast("timestamp").alias("t"), (F.col("id") * 0.5).alias("x")),
+    ]
+    paths, target = [fresh_path(spark, "sides") for _ in frames], fresh_path(spark, "joined")
+    for path, frame in zip(paths, frames):
+        frame.write.parquet(path)
+    streams = [feed.image_feed(spark, path, frame.schema) for path, frame in zip(paths, frames)]
+    joined = totals.join_coordinates(*streams, ["k"], "seen", "t", within_minutes=30)
+    query = joined.writeStream.format("parquet").option("checkpointLocation", f"{target}-progress").trigger(availableNow=True).start(target)
+    query.awaitTermination()
+    assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= timed_join.BUCKETS
+    assert {(r.k, r.n, r.x) for r in spark.read.parquet(target).collect()} == {(n % 1000, n, n % 1000 * 0.5) for n in range(4000) if n % 1000 < 500}
+
+
+def test_parts_of_a_state_go_with_the_feeds(spark):
+    from types import SimpleNamespace
+
+    from tallywell.plans import streams
+    from tallywell.streaming import feed
+
+    cores = spark.sparkContext.defaultParallelism
+    for files, rounds in ((1, 1), (streams.STATE_FILES * cores, 1), (streams.STATE_FILES * cores + 1, 2)):
+        assert streams._parts(spark, [SimpleNamespace(files=files)]) == rounds * cores
+    path, target = fresh_path(spark, "parts-feed"), fresh_path(spark, "parts")
+    spark.range(100).write.parquet(path)
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    stream = feed.image_feed(spark, path, "id long").dropDuplicates(["id"])
+    assert feed.drain_to_table(stream, "parts", target, rocks_db=True, partitions=3).count() == 100
+    assert len([name for name in names_in(spark, f"{target}-progress/state/0") if name.isdigit()]) == 3
+    assert spark.conf.get("spark.sql.shuffle.partitions") == usual

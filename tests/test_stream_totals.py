@@ -3,13 +3,14 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tallywell import storage
 from tallywell.storage import EpochLog, fresh_path, names_in
-from tallywell.streaming import feed, outcomes, totals
+from tallywell.streaming import feed, outcomes, timed_join, totals
 
 START = dt.datetime(2024, 1, 1)
 MINUTE, DAY = dt.timedelta(minutes=1), dt.timedelta(days=1)
@@ -204,3 +205,84 @@ def test_coordinates_of_a_second_stream(spark, per_trigger):
         stage.add([(1, 200, START + 9 * DAY, 0.0)])
         got = drain()
     assert got == sorted(met + [(s, -1) for s in (3, 5, 6, 7)])
+
+
+def test_pairs_within_a_bound(monkeypatch):
+    monkeypatch.setattr(timed_join, "PAIRS", 7)
+    rng = np.random.default_rng(3)
+    for n, m in ((0, 0), (0, 5), (5, 0), (60, 40), (40, 300)):
+        code, time = rng.integers(-1, 6, n), rng.integers(-50, 50, n)
+        code_other, time_other = rng.integers(0, 8, m), rng.integers(-50, 50, m)
+        some, pairs = timed_join._pairs(code, time, code_other, time_other, 10)
+        got = [(int(i), int(j)) for part in pairs for i, j in zip(*part)]
+        want = [(i, j) for i in range(n) for j in range(m) if code[i] == code_other[j] and abs(time[i] - time_other[j]) <= 10]
+        assert sorted(got) == want
+        assert some.tolist() == sorted({i for i, _ in want})
+
+
+@pytest.mark.parametrize(("seed", "keep_days"), [(1, 0), (2, 1)])
+def test_join_tells_what_a_state_per_row_tells(spark, monkeypatch, seed, keep_days):
+    """Rows in any order, late, repeated and without a key, in several epochs and after restarts: the same as Spark's own join."""
+    rng = random.Random(seed)
+    images = Feed(spark, "e int, s string, seen timestamp, n int", 1)
+    stage = Feed(spark, "e long, s string, t timestamp, x double", 1)
+    targets = [fresh_path(spark, "joined") for _ in range(2)]
+
+    def drain():
+        told = []
+        for packed, target in zip((True, False), targets):
+            with monkeypatch.context() as own:
+                if not packed:
+                    own.setattr(timed_join, "can_pack", lambda *_: False)
+                joined = totals.join_coordinates(images.stream, stage.stream, ["e", "s"], "seen", "t", 30, keep_days)
+            told.append(sorted(map(repr, feed.drain_to_table(joined, "joined", target).collect())))
+        return told
+
+    def key():
+        return rng.choice([0, 1, 2, None]), rng.choice(["a", "", None, "b"])
+
+    def when(day):
+        return START + day * DAY + rng.randrange(-3000, 3000) * MINUTE + dt.timedelta(microseconds=rng.randrange(3) * 400)
+
+    n = 0
+    for day in (0, 2, 40):
+        rows = [(*key(), None if rng.random() < 0.1 else when(day), (n := n + 1)) for _ in range(120)]
+        far = (dt.datetime(1066, 10, 14), dt.datetime(1969, 12, 31), dt.datetime(9999, 12, 31))
+        images.add(rows + [(1, "a", time, (n := n + 1)) for time in far])
+        stage.add([(*key(), None if rng.random() < 0.1 else when(day), rng.choice([None, 0.5, -0.0, float("nan")])) for _ in range(120)])
+        got, want = drain()
+        assert got == want
+    assert len(want) > 100
+
+
+def test_join_keeps_values_of_all_types(spark):
+    kinds = {
+        "small": "cast(n as tinyint)", "big": "9007199254740993 + n", "yes": "n % 2 = 0", "day": "date'0001-01-01'", "at": "timestamp'9999-12-31 23:59:59.999999'",
+        "wall": "timestamp_ntz'1066-10-14 01:02:03.000004'", "single": "cast(0.1 as float)", "part": "cast('nan' as double)", "money": "cast(12345678901234567890.12 as decimal(30, 2))",
+        "raw": "X'00ff'", "word": "'\u00e4\U0001f600'", "none": "cast(null as int)",
+    }
+    rows = spark.range(4).withColumnRenamed("id", "n").selectExpr("n as k", *[f"if(n = 3, null, {how}) as {name}" for name, how in kinds.items()])
+    images = rows.withColumn("seen", F.lit(START).cast("timestamp"))
+    stage = rows.where("k <> 1").select("k", *[F.col(c).alias(f"o_{c}") for c in kinds], F.lit(START).cast("timestamp").alias("t"))
+    paths = [fresh_path(spark, "types") for _ in range(3)]
+    images.write.parquet(paths[0])
+    stage.write.parquet(paths[1])
+    streams = [feed.image_feed(spark, path, frame.schema) for path, frame in zip(paths, (images, stage))]
+    assert timed_join.can_pack(*streams, ["k"])
+    joined = totals.join_coordinates(*streams, ["k"], "seen", "t", 30)
+    want = images.join(stage, "k").select(*images.columns, "t", *[f"o_{c}" for c in kinds])
+    assert joined.columns == want.columns
+    assert [f.dataType for f in joined.schema] == [f.dataType for f in want.schema]
+    got = feed.drain_to_table(joined, "types", paths[2])
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+@pytest.mark.parametrize("column", ["array(1, 2)", "named_struct('a', 1)"])
+def test_join_of_columns_that_cannot_be_packed(spark, column):
+    rows = spark.range(3).selectExpr("id as k", f"{column} as list", "timestamp'2024-01-01' as seen")
+    stage = spark.range(2).selectExpr("id as k", "timestamp'2024-01-01' as t", "0.5D as x")
+    paths = [fresh_path(spark, "lists") for _ in range(3)]
+    for path, frame in zip(paths, (rows, stage)):
+        frame.write.parquet(path)
+    joined = totals.join_coordinates(*[feed.image_feed(spark, p, f.schema) for p, f in zip(paths, (rows, stage))], ["k"], "seen", "t", 30)
+    assert sorted((r.k, r.x) for r in feed.drain_to_table(joined, "lists", paths[2]).collect()) == [(0, 0.5), (1, 0.5)]
